@@ -1,4 +1,4 @@
-"""Raw text to typed columns.
+"""Raw text to typed columns, as SQL expressions over a column name.
 
 Tolerant parsers turn bad text into null. Strict ones rely on ANSI casts and
 fail the query, so a corrupt refund or ticket time never passes unseen.
@@ -6,9 +6,6 @@ fail the query, so a corrupt refund or ticket time never passes unseen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # The words a tolerant boolean accepts, in any letter case.
 TRUE_WORDS = ("true", "t", "yes", "y", "on", "1")
 FALSE_WORDS = ("false", "f", "no", "n", "off", "0")
@@ -16,52 +13,52 @@ FALSE_WORDS = ("false", "f", "no", "n", "off", "0")
 FULL_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
 
-def as_text(raw: Column) -> Column:
-    return raw.cast("string")
+def as_text(name: str) -> str:
+    return f"CAST({name} AS STRING)"
 
 
-def trimmed(raw: Column) -> Column:
-    return F.trim(as_text(raw))
+def trimmed(name: str) -> str:
+    return f"trim({as_text(name)})"
 
 
-def lowered(raw: Column) -> Column:
-    return F.lower(trimmed(raw))
+def lowered(name: str) -> str:
+    return f"lower({trimmed(name)})"
 
 
-def blank_as_null(raw: Column) -> Column:
-    return F.nullif(trimmed(raw), F.lit(""))
+def blank_as_null(name: str) -> str:
+    return f"nullif({trimmed(name)}, '')"
 
 
-def tolerant_date(raw: Column) -> Column:
+def tolerant_date(name: str) -> str:
     """Year-month-day text only: a bare year or year-month is not a date here."""
-    text = trimmed(raw)
-    return F.when(text.rlike(FULL_DATE), text.try_cast("date"))
+    text = trimmed(name)
+    return f"CASE WHEN {text} RLIKE r'{FULL_DATE}' THEN try_cast({text} AS DATE) END"
 
 
-def tolerant_integer(raw: Column) -> Column:
+def tolerant_integer(name: str) -> str:
     """Nearest whole number, halves away from zero.
 
     Plain digits take the cheap cast; only other text pays for a decimal.
     """
-    text = as_text(raw)
-    rounded = text.try_cast("decimal(38,0)").try_cast("bigint")
-    return F.coalesce(text.try_cast("bigint"), rounded)
+    text = as_text(name)
+    rounded = f"try_cast(try_cast({text} AS DECIMAL(38,0)) AS BIGINT)"
+    return f"coalesce(try_cast({text} AS BIGINT), {rounded})"
+
 
+def tolerant_boolean(name: str) -> str:
+    def among(words: tuple[str, ...]) -> str:
+        return f"{lowered(name)} IN ({', '.join(repr(word) for word in words)})"
 
-def tolerant_boolean(raw: Column) -> Column:
-    word = lowered(raw)
-    return F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(
-        word.isin(*FALSE_WORDS), F.lit(False)
-    )
+    return f"CASE WHEN {among(TRUE_WORDS)} THEN true WHEN {among(FALSE_WORDS)} THEN false END"
 
 
-def strict_timestamp(raw: Column) -> Column:
-    return raw.cast("timestamp_ntz")
+def strict_timestamp(name: str) -> str:
+    return f"CAST({name} AS TIMESTAMP_NTZ)"
 
 
-def strict_amount(raw: Column) -> Column:
-    return raw.cast("decimal(38,2)")
+def strict_amount(name: str) -> str:
+    return f"CAST({name} AS DECIMAL(38,2))"
 
 
-def strict_integer(raw: Column) -> Column:
-    return raw.cast("decimal(38,0)").cast("bigint")
+def strict_integer(name: str) -> str:
+    return f"CAST(CAST({name} AS DECIMAL(38,0)) AS BIGINT)"

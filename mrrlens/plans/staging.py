@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -73,24 +74,8 @@ CHURN_EVENTS = {
 }
 
 
-@dataclass(frozen=True)
-class Staged:
-    """The five staged relations.
-
-    `usage_rows` is feature usage before repeated ids are dropped, for steps
-    that need a few columns only and so can drop them more cheaply.
-    """
-
-    accounts: DataFrame
-    subscriptions: DataFrame
-    usage_rows: DataFrame
-    feature_usage: DataFrame
-    support_tickets: DataFrame
-    churn_events: DataFrame
-
-
-def parse(raw: DataFrame, parsers: dict) -> DataFrame:
-    return raw.select(*[parser(F.col(name)).alias(name) for name, parser in parsers.items()])
+def parse(raw: DataFrame, parsers: dict[str, Callable[[str], str]]) -> DataFrame:
+    return raw.selectExpr(*[f"{parser(name)} AS {name}" for name, parser in parsers.items()])
 
 
 def one_row_per_usage(usage_rows: DataFrame) -> DataFrame:
@@ -106,13 +91,33 @@ def one_row_per_usage(usage_rows: DataFrame) -> DataFrame:
     return first_per_key(usage_rows, ["usage_id"], order)
 
 
-def stage(raw: RawTables) -> Staged:
-    usage_rows = parse(raw.feature_usage, FEATURE_USAGE)
-    return Staged(
-        accounts=parse(raw.accounts, ACCOUNTS),
-        subscriptions=parse(raw.subscriptions, SUBSCRIPTIONS),
-        usage_rows=usage_rows,
-        feature_usage=one_row_per_usage(usage_rows),
-        support_tickets=parse(raw.support_tickets, SUPPORT_TICKETS),
-        churn_events=parse(raw.churn_events, CHURN_EVENTS),
-    )
+class Staged:
+    """The five staged relations, each planned when first asked for."""
+
+    def __init__(self, raw: RawTables) -> None:
+        self.raw = raw
+
+    @cached_property
+    def accounts(self) -> DataFrame:
+        return parse(self.raw.table("accounts"), ACCOUNTS)
+
+    @cached_property
+    def subscriptions(self) -> DataFrame:
+        return parse(self.raw.table("subscriptions"), SUBSCRIPTIONS)
+
+    @cached_property
+    def usage_rows(self) -> DataFrame:
+        """Feature usage with its repeated ids, for steps that can drop them more cheaply."""
+        return parse(self.raw.table("feature_usage"), FEATURE_USAGE)
+
+    @cached_property
+    def feature_usage(self) -> DataFrame:
+        return one_row_per_usage(self.usage_rows)
+
+    @cached_property
+    def support_tickets(self) -> DataFrame:
+        return parse(self.raw.table("support_tickets"), SUPPORT_TICKETS)
+
+    @cached_property
+    def churn_events(self) -> DataFrame:
+        return parse(self.raw.table("churn_events"), CHURN_EVENTS)

@@ -14,7 +14,7 @@ from mrrlens.plans import quality, reports
 from mrrlens.plans.calendar import account_month_spine, calendar_bounds, calendar_dim
 from mrrlens.plans.dimensions import STATE_COLUMNS, account_dim, current_state
 from mrrlens.plans.facts import monthly_activity, monthly_fact, movements
-from mrrlens.plans.staging import Staged, stage
+from mrrlens.plans.staging import Staged
 from mrrlens.plans.warehouse import Marts, build_marts, open_marts, shared_folder
 from mrrlens.sources import testdata
 
@@ -28,7 +28,7 @@ _built: dict[tuple[str, int], str] = {}
 
 
 def staged_tables(spark: SparkSession, sf_dir: str) -> Staged:
-    return stage(testdata.raw_tables(spark, sf_dir))
+    return Staged(testdata.raw_tables(spark, sf_dir))
 
 
 def file_state(spark: SparkSession, sf_dir: str) -> int:

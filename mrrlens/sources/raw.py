@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -35,13 +35,17 @@ RAW_COLUMNS = {
 }
 
 
-@dataclass(frozen=True)
 class RawTables:
-    accounts: DataFrame
-    subscriptions: DataFrame
-    feature_usage: DataFrame
-    support_tickets: DataFrame
-    churn_events: DataFrame
+    """The extracts by name. `read` gives one; it is called when a table is first used."""
+
+    def __init__(self, read: Callable[[str], DataFrame]) -> None:
+        self._read = read
+        self._tables: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self._read(name)
+        return self._tables[name]
 
 
 def text_schema(table: str) -> T.StructType:
@@ -58,15 +62,13 @@ def read_raw(spark: SparkSession, table: str, path: str, file_format: str = "csv
 
 def read_raw_tables(spark: SparkSession, root: str, file_format: str = "csv") -> RawTables:
     """All five extracts, each at `<root>/<table>` (a folder or file of that format)."""
-    return RawTables(
-        **{name: read_raw(spark, name, f"{root}/{name}", file_format) for name in RAW_COLUMNS}
-    )
+    return RawTables(lambda name: read_raw(spark, name, f"{root}/{name}", file_format))
 
 
 def land_raw_tables(raw: RawTables, root: str, file_format: str = "parquet") -> None:
     """Write the extracts under `root`, where `read_raw_tables` finds them."""
     for name in RAW_COLUMNS:
-        writer = getattr(raw, name).write.mode("errorifexists").format(file_format)
+        writer = raw.table(name).write.mode("errorifexists").format(file_format)
         if file_format == "csv":
             # Spaces around a value are the parsers' business, not the file's.
             writer = (

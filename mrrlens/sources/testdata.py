@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mrrlens.sources.raw import RawTables
@@ -25,17 +25,15 @@ PRIORITIES = (" Low", "medium", "HIGH", "urgent ")
 REASONS = (" Pricing", "support", "FEATURES", "competitor", "budget", "unknown", None)
 
 
-def pick(k: Column, variants: tuple[str | None, ...]) -> Column:
-    options = F.array(*[F.lit(text).cast("string") for text in variants])
-    return F.get(options, (k % len(variants)).cast("int"))
+def pick(variants: tuple[str | None, ...]) -> str:
+    """The variant at `k` modulo how many there are."""
+    options = ", ".join("NULL" if text is None else f"'{text}'" for text in variants)
+    return f"array({options})[CAST(k % {len(variants)} AS INT)]"
 
 
-def every(k: Column, n: int) -> Column:
-    return k % n == 0
-
-
-def either(condition: Column, yes: str, no: str) -> Column:
-    return F.when(condition, yes).otherwise(no)
+def every(n: int, yes: str, no: str) -> str:
+    """`yes` for every n-th key."""
+    return f"if(k % {n} = 0, '{yes}', '{no}')"
 
 
 def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -45,139 +43,123 @@ def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     first_orders = (
         source(spark, sf_dir, "orders")
-        .groupBy(F.col("o_custkey").alias("c_custkey"))
-        .agg(F.min(F.col("o_orderdate").cast("date")).alias("first_order"))
-    )
-    nations = source(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    customers = source(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
-    late_signup = F.date_sub(F.lit(LATEST_SIGNUP), (k % 400).cast("int"))
-    signup = (
-        F.when(every(k, 89), "unknown")
-        .when(k % 5 == 1, late_signup.cast("string"))
-        .otherwise(F.col("first_order").cast("string"))
+        .groupBy("o_custkey")
+        .agg(F.min("o_orderdate").cast("date").alias("first_order"))
     )
-    return (
-        customers.join(first_orders, "c_custkey", "left")
-        .join(nations, "c_nationkey")
-        .select(
-            k.cast("string").alias("account_id"),
-            F.concat(F.lit(" "), "c_name", F.lit(" ")).alias("account_name"),
-            F.concat("c_mktsegment", F.lit(" ")).alias("industry"),
-            F.col("n_name").alias("country"),
-            signup.alias("signup_date"),
-            pick(k, REFERRALS).alias("referral_source"),
-            pick(k, ACCOUNT_PLANS).alias("plan_tier"),
-            (1 + k % 50).cast("string").alias("seats"),
-            either(every(k, 7), "TRUE", "f").alias("is_trial"),
-            either(every(k, 4), "yes", "no").alias("churn_flag"),
-        )
+    nations = source(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
+    customers = source(spark, sf_dir, "customer").join(nations, "c_nationkey")
+    with_orders = customers.join(first_orders.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", "left")
+    return with_orders.withColumnRenamed("c_custkey", "k").selectExpr(
+        "CAST(k AS STRING) AS account_id",
+        "concat(' ', c_name, ' ') AS account_name",
+        "concat(c_mktsegment, ' ') AS industry",
+        "n_name AS country",
+        f"""CASE WHEN k % 89 = 0 THEN 'unknown'
+                 WHEN k % 5 = 1 THEN CAST(date_sub(DATE'{LATEST_SIGNUP}', CAST(k % 400 AS INT)) AS STRING)
+                 ELSE CAST(first_order AS STRING) END AS signup_date""",
+        f"{pick(REFERRALS)} AS referral_source",
+        f"{pick(ACCOUNT_PLANS)} AS plan_tier",
+        "CAST(1 + k % 50 AS STRING) AS seats",
+        f"{every(7, 'TRUE', 'f')} AS is_trial",
+        f"{every(4, 'yes', 'no')} AS churn_flag",
     )
 
 
-def order_period(k: Column) -> tuple[Column, Column]:
-    """Start and end day of the subscription an order stands for; null when blank."""
-    ordered = F.col("o_orderdate").cast("date")
-    start = F.when(every(k, 101), F.lit(None)).otherwise(ordered)
-    term = (30 * (1 + k % 12)).cast("int")
-    end = (
-        F.when((F.col("o_orderstatus") == "O") & every(k, 5), F.lit(None))
-        .when(every(k, 103), F.date_sub(ordered, 40))
-        .otherwise(F.date_add(ordered, term))
+def order_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the days their subscription starts and ends; null stands for blank."""
+    orders = source(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS k",
+        "CAST(o_custkey AS STRING) AS account_id",
+        "CAST(o_orderdate AS DATE) AS ordered",
+        "o_orderstatus",
+        "o_orderpriority",
+        "floor(o_totalprice / 100) AS price",
+    )
+    return orders.selectExpr(
+        "*",
+        "if(k % 101 = 0, NULL, ordered) AS starts",
+        """CASE WHEN o_orderstatus = 'O' AND k % 5 = 0 THEN NULL
+                WHEN k % 103 = 0 THEN date_sub(ordered, 40)
+                ELSE date_add(ordered, CAST(30 * (1 + k % 12) AS INT)) END AS ends""",
     )
-    return start, end
 
 
 def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = source(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    start, end = order_period(k)
-    price = F.floor(F.col("o_totalprice") / 100)
-    mrr = (
-        F.when(every(k, 11), "0")
-        .when(every(k, 97), "n/a")
-        .otherwise(F.concat(price.cast("string"), either(every(k, 13), ".5", "")))
-    )
-    plan = (
-        F.when(F.col("o_orderpriority") == "1-URGENT", "Enterprise")
-        .when(F.col("o_orderpriority").isin("2-HIGH", "3-MEDIUM"), " Pro")
-        .otherwise("Basic ")
-    )
-    return orders.select(
-        k.cast("string").alias("subscription_id"),
-        F.col("o_custkey").cast("string").alias("account_id"),
-        F.coalesce(start.cast("string"), F.lit("")).alias("start_date"),
-        F.coalesce(end.cast("string"), F.lit("")).alias("end_date"),
-        plan.alias("plan_tier"),
-        (1 + k % 100).cast("string").alias("seats"),
-        mrr.alias("mrr_amount"),
-        (price * 12).cast("string").alias("arr_amount"),
-        F.when(every(k, 11), " TRUE ").when(every(k, 10), "off").otherwise("false").alias("is_trial"),
-        either(every(k, 6), "yes", "no").alias("upgrade_flag"),
-        either(every(k, 8), "yes", "no").alias("downgrade_flag"),
-        either(end.isNotNull(), "T", "F").alias("churn_flag"),
-        either(every(k, 2), "ANNUAL ", " Monthly").alias("billing_frequency"),
-        either(every(k, 4), "1", "0").alias("auto_renew_flag"),
+    return order_periods(spark, sf_dir).selectExpr(
+        "CAST(k AS STRING) AS subscription_id",
+        "account_id",
+        "coalesce(CAST(starts AS STRING), '') AS start_date",
+        "coalesce(CAST(ends AS STRING), '') AS end_date",
+        """CASE WHEN o_orderpriority = '1-URGENT' THEN 'Enterprise'
+                WHEN o_orderpriority IN ('2-HIGH', '3-MEDIUM') THEN ' Pro' ELSE 'Basic ' END AS plan_tier""",
+        "CAST(1 + k % 100 AS STRING) AS seats",
+        """CASE WHEN k % 11 = 0 THEN '0' WHEN k % 97 = 0 THEN 'n/a'
+                ELSE concat(CAST(price AS STRING), if(k % 13 = 0, '.5', '')) END AS mrr_amount""",
+        "CAST(price * 12 AS STRING) AS arr_amount",
+        "CASE WHEN k % 11 = 0 THEN ' TRUE ' WHEN k % 10 = 0 THEN 'off' ELSE 'false' END AS is_trial",
+        f"{every(6, 'yes', 'no')} AS upgrade_flag",
+        f"{every(8, 'yes', 'no')} AS downgrade_flag",
+        "if(ends IS NULL, 'F', 'T') AS churn_flag",
+        f"{every(2, 'ANNUAL ', ' Monthly')} AS billing_frequency",
+        f"{every(4, '1', '0')} AS auto_renew_flag",
     )
 
 
 def raw_feature_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source(spark, sf_dir, "lineitem").select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("usage_id"),
-        F.col("l_orderkey").cast("string").alias("subscription_id"),
-        F.col("l_shipdate").cast("date").cast("string").alias("usage_date"),
-        F.concat(F.lit(" feature_"), (F.col("l_partkey") % 40).cast("string")).alias("feature_name"),
-        F.floor("l_quantity").cast("string").alias("usage_count"),
-        F.floor(F.col("l_extendedprice") / 10).cast("string").alias("usage_duration_secs"),
-        (F.col("l_suppkey") % 5).cast("string").alias("error_count"),
-        either(F.col("l_returnflag") == "R", "Y", "N").alias("is_beta_feature"),
+    return source(spark, sf_dir, "lineitem").selectExpr(
+        "concat(l_orderkey, '-', l_linenumber) AS usage_id",
+        "CAST(l_orderkey AS STRING) AS subscription_id",
+        "CAST(CAST(l_shipdate AS DATE) AS STRING) AS usage_date",
+        "concat(' feature_', l_partkey % 40) AS feature_name",
+        "CAST(floor(l_quantity) AS STRING) AS usage_count",
+        "CAST(floor(l_extendedprice / 10) AS STRING) AS usage_duration_secs",
+        "CAST(l_suppkey % 5 AS STRING) AS error_count",
+        "if(l_returnflag = 'R', 'Y', 'N') AS is_beta_feature",
     )
 
 
 def raw_support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("event_id")
-    hours = k % 72
-    submitted = F.col("ts") - F.expr("INTERVAL '8400' DAY")
-    closed = submitted + F.make_dt_interval(F.lit(0), hours.cast("int"))
-    return source(spark, sf_dir, "events").select(
-        k.cast("string").alias("ticket_id"),
-        F.col("user_id").cast("string").alias("account_id"),
-        submitted.alias("submitted_at"),
-        F.when(~every(k, 10), closed).alias("closed_at"),
-        hours.cast("string").alias("resolution_time_hours"),
-        pick(k, PRIORITIES).alias("priority"),
-        (k % 240).cast("string").alias("first_response_time_minutes"),
-        F.when(~every(k, 3), (1 + k % 5).cast("string")).alias("satisfaction_score"),
-        either(F.col("event_type") == "error", "true", "false").alias("escalation_flag"),
+    events = source(spark, sf_dir, "events").selectExpr(
+        "event_id AS k", "user_id", "event_type", "ts - INTERVAL '8400' DAY AS submitted"
+    )
+    return events.selectExpr(
+        "CAST(k AS STRING) AS ticket_id",
+        "CAST(user_id AS STRING) AS account_id",
+        "submitted AS submitted_at",
+        "if(k % 10 = 0, NULL, submitted + make_dt_interval(0, CAST(k % 72 AS INT))) AS closed_at",
+        "CAST(k % 72 AS STRING) AS resolution_time_hours",
+        f"{pick(PRIORITIES)} AS priority",
+        "CAST(k % 240 AS STRING) AS first_response_time_minutes",
+        "if(k % 3 = 0, NULL, CAST(1 + k % 5 AS STRING)) AS satisfaction_score",
+        "if(event_type = 'error', 'true', 'false') AS escalation_flag",
     )
 
 
 def raw_churn_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("o_orderkey")
-    start, end = order_period(k)
-    left_on = F.date_add(end, 1)
-    return (
-        source(spark, sf_dir, "orders")
-        .where(every(k, 3) & (end >= start) & (left_on < F.lit(AS_OF)))
-        .select(
-            F.concat(F.lit("c"), k.cast("string")).alias("churn_event_id"),
-            F.col("o_custkey").cast("string").alias("account_id"),
-            left_on.cast("string").alias("churn_date"),
-            pick(k, REASONS).alias("reason_code"),
-            F.concat((k % 50).cast("string"), F.lit(".25")).alias("refund_amount_usd"),
-            either(every(k, 6), "true", "false").alias("preceding_upgrade_flag"),
-            either(every(k, 8), "true", "false").alias("preceding_downgrade_flag"),
-            either(every(k, 9), "true", "false").alias("is_reactivation"),
-            either(every(k, 2), "   ", " too expensive ").alias("feedback_text"),
-        )
+    periods = order_periods(spark, sf_dir)
+    return periods.where(
+        f"k % 3 = 0 AND ends >= starts AND date_add(ends, 1) < DATE'{AS_OF}'"
+    ).selectExpr(
+        "concat('c', k) AS churn_event_id",
+        "account_id",
+        "CAST(date_add(ends, 1) AS STRING) AS churn_date",
+        f"{pick(REASONS)} AS reason_code",
+        "concat(k % 50, '.25') AS refund_amount_usd",
+        f"{every(6, 'true', 'false')} AS preceding_upgrade_flag",
+        f"{every(8, 'true', 'false')} AS preceding_downgrade_flag",
+        f"{every(9, 'true', 'false')} AS is_reactivation",
+        f"{every(2, '   ', ' too expensive ')} AS feedback_text",
     )
 
 
+DERIVATIONS = {
+    "accounts": raw_accounts,
+    "subscriptions": raw_subscriptions,
+    "feature_usage": raw_feature_usage,
+    "support_tickets": raw_support_tickets,
+    "churn_events": raw_churn_events,
+}
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
-    return RawTables(
-        accounts=raw_accounts(spark, sf_dir),
-        subscriptions=raw_subscriptions(spark, sf_dir),
-        feature_usage=raw_feature_usage(spark, sf_dir),
-        support_tickets=raw_support_tickets(spark, sf_dir),
-        churn_events=raw_churn_events(spark, sf_dir),
-    )
+    return RawTables(lambda name: DERIVATIONS[name](spark, sf_dir))
