@@ -44,16 +44,18 @@ def unexpected_values(rows: DataFrame, relation: str, allowed: dict[str, tuple[s
     Bad values are grouped within each task first, so one that fills a third of
     the table is a single row by the time it is shuffled.
     """
-    tested = F.array(
-        *[
-            F.when(
-                F.col(name).isNotNull() & ~F.col(name).isin(*values),
-                F.struct(F.lit(check_name(relation, name)).alias("check_name"), F.col(name).alias("value")),
-            )
-            for name, values in allowed.items()
-        ]
-    )
-    bad = rows.select(F.inline(F.array_compact(tested))).groupBy("check_name", "value").count()
+    faults = {
+        name: F.coalesce(~F.col(name).isin(*values), F.lit(False)) for name, values in allowed.items()
+    }
+    listed = [
+        F.when(
+            fault,
+            F.struct(F.lit(check_name(relation, name)).alias("check_name"), F.col(name).alias("value")),
+        )
+        for name, fault in faults.items()
+    ]
+    faulty = rows.where(reduce(Column.__or__, faults.values()))
+    bad = faulty.select(F.inline(F.array_compact(F.array(*listed)))).groupBy("check_name", "value").count()
     found = bad.groupBy("check_name").agg(F.count("*").alias("violations"))
     return with_clean_checks(found, [check_name(relation, name) for name in allowed])
 

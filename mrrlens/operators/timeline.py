@@ -47,13 +47,13 @@ def subscription_periods(subscriptions: DataFrame) -> DataFrame:
     """First and last month of each subscription, equal periods of one id added up.
 
     A period overlaps a month exactly when the month lies between the months of
-    its two ends, which also settles reversed dates: kept within one month,
-    dropped otherwise.
+    its two ends. Periods without a start, or reversed into another month, never
+    do; they are still here, for `subscription_changes` to leave out.
     """
     first = month_of(F.col("start_date"))
     last = F.coalesce(month_of(F.col("end_date")), F.lit(OPEN_ENDED))
     return (
-        subscriptions.where(F.col("account_id").isNotNull() & F.col("start_date").isNotNull())
+        subscriptions.where(F.col("account_id").isNotNull())
         .select(
             "account_id",
             "subscription_id",
@@ -61,7 +61,6 @@ def subscription_periods(subscriptions: DataFrame) -> DataFrame:
             last.alias("last_month"),
             F.coalesce("mrr_amount", F.lit(0)).alias("mrr"),
         )
-        .where(F.col("first_month") <= F.col("last_month"))
         .groupBy("account_id", "subscription_id", "first_month", "last_month")
         .agg(F.sum("mrr").alias("mrr"))
     )
@@ -72,15 +71,22 @@ def subscription_changes(subscriptions: DataFrame) -> DataFrame:
 
     Revenue counts every row; the subscription count counts an id once a month,
     so a repeated id only counts from where its earlier periods stop.
+
+    Periods that never hold are dropped after the window: before it, the filter
+    would run the date parsers again for every row. A reversed one ends before
+    any later one starts, so it covers nothing.
     """
     earlier = (
         Window.partitionBy("account_id", "subscription_id")
         .orderBy("first_month", "last_month")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    covered_to = F.max("last_month").over(earlier)
-    periods = subscription_periods(subscriptions).withColumn(
-        "counted_from", F.greatest(F.col("first_month"), month_after(covered_to))
+    started = F.when(F.col("first_month").isNotNull(), F.col("last_month"))
+    covered_to = F.max(started).over(earlier)
+    periods = (
+        subscription_periods(subscriptions)
+        .withColumn("counted_from", F.greatest(F.col("first_month"), month_after(covered_to)))
+        .where(F.col("first_month") <= F.col("last_month"))
     )
     counts = F.col("subscription_id").isNotNull() & (F.col("counted_from") <= F.col("last_month"))
     once = counts.cast("bigint")
@@ -137,7 +143,7 @@ def account_segments(
     )
     if churn_events is not None:
         churn = monthly_churn_reason(churn_events).withColumnRenamed("month_start", "month")
-        churn = churn.where(F.col("account_id").isNotNull() & F.col("month").isNotNull())
+        churn = churn.where(F.col("account_id").isNotNull())
         # Kept apart from the sums above: a text minimum would turn that hash
         # aggregate into a sorting one. A month may so have two rows here.
         changes = changes.unionByName(

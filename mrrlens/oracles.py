@@ -7,6 +7,8 @@ two agree only if both are right.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 DATE_TEXT = r"\d{4}-\d{1,2}-\d{1,2}"
 
 
@@ -275,11 +277,13 @@ FROM (
               WHEN prior_month_mrr > 0 AND mrr > 0 AND mrr < prior_month_mrr THEN 'contraction'
               ELSE 'none' END AS movement
   FROM (
-    SELECT account_id, month_start, act.mrr, act.active_subscription_count,
-           lag(act.mrr, 1, 0) OVER (PARTITION BY account_id ORDER BY month_start) AS prior_month_mrr,
+    SELECT account_id, month_start, coalesce(act.mrr, 0) AS mrr,
+           coalesce(act.active_subscription_count, 0) AS active_subscription_count,
+           lag(coalesce(act.mrr, 0), 1, 0) OVER (PARTITION BY account_id ORDER BY month_start)
+             AS prior_month_mrr,
            gone.found IS NOT NULL AS logo_churned, gone.churn_reason_code
     FROM account_month_spine
-    JOIN monthly_activity act USING (account_id, month_start)
+    LEFT JOIN monthly_activity act USING (account_id, month_start)
     LEFT JOIN (SELECT *, true AS found FROM monthly_churn_reason) gone USING (account_id, month_start)
   )
 )
@@ -311,19 +315,20 @@ RELATIONS = {
 }
 
 
-def needed(sql: str) -> list[str]:
-    """Names of the relations `sql` reads, directly or through others."""
+def needed(sql: str, given: Collection[str]) -> list[str]:
+    """Names of the relations `sql` reads, directly or through others, but for given ones."""
     wanted: set[str] = set()
     text = sql
     for name in reversed(RELATIONS):
-        if name in text:
+        if name in text and name not in given:
             wanted.add(name)
             text += RELATIONS[name]
     return [name for name in RELATIONS if name in wanted]
 
 
-def oracle(sql: str) -> str:
-    relations = ",\n".join(f"{name} AS ({RELATIONS[name].strip()})" for name in needed(sql))
+def oracle(sql: str, given: Collection[str] = ()) -> str:
+    """`sql` with the relations it needs in front; `given` ones exist already."""
+    relations = ",\n".join(f"{name} AS ({RELATIONS[name].strip()})" for name in needed(sql, given))
     return f"WITH {relations}\n{sql.strip()}"
 
 

@@ -6,7 +6,7 @@ import datetime
 import hashlib
 import tempfile
 import uuid
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,15 +17,38 @@ from mrrlens.plans.staging import Staged
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 CALENDAR, ACCOUNTS, FACT = "dim_date", "dim_account", "account_monthly_fact"
-ROWS_PER_BUCKET = 4_000_000
+LEAST_ROWS_PER_BUCKET, MOST_ROWS_PER_BUCKET = 50_000, 4_000_000
 MOST_BUCKETS = 50_000
 
 
-@dataclass(frozen=True)
 class Marts:
-    calendar: DataFrame
-    accounts: DataFrame
-    fact: DataFrame
+    """The written marts of a folder, each opened when first asked for.
+
+    Where the catalog no longer knows a table and its buckets, its plain files
+    are read.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark = spark
+        self.folder = folder
+
+    def _open(self, name: str) -> DataFrame:
+        table = table_name(self.folder, name)
+        if self.spark.catalog.tableExists(table):
+            return self.spark.table(table)
+        return self.spark.read.parquet(f"{self.folder}/{name}")
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        return self._open(CALENDAR)
+
+    @cached_property
+    def accounts(self) -> DataFrame:
+        return self._open(ACCOUNTS)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return self._open(FACT)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -43,10 +66,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def bucket_count(spark: SparkSession, bounds: Bounds) -> int:
-    """Buckets for the fact, from its largest possible size, and at least one per core."""
+    """Buckets for the fact, from the most rows it can have.
+
+    Enough to keep a bucket to a task's size; up to that, one per core as long
+    as each gets a fair number of rows.
+    """
     most_rows = bounds.accounts * bounds.months
-    wanted = max(spark.sparkContext.defaultParallelism, most_rows // ROWS_PER_BUCKET)
-    return min(wanted, MOST_BUCKETS)
+    for_size = most_rows // MOST_ROWS_PER_BUCKET
+    for_cores = min(spark.sparkContext.defaultParallelism, most_rows // LEAST_ROWS_PER_BUCKET)
+    return max(1, min(max(for_size, for_cores), MOST_BUCKETS))
 
 
 def table_name(folder: str, name: str) -> str:
@@ -83,16 +111,4 @@ def build_marts(
     write_table(calendar_dim(spark, bounds), folder, CALENDAR)
     write_table(accounts, folder, ACCOUNTS, count)
     write_table(fact, folder, FACT, count)
-    return open_marts(spark, folder)
-
-
-def open_marts(spark: SparkSession, folder: str) -> Marts:
-    """Marts written before. Where the catalog no longer knows their buckets, plain files."""
-
-    def opened(name: str) -> DataFrame:
-        table = table_name(folder, name)
-        if spark.catalog.tableExists(table):
-            return spark.table(table)
-        return spark.read.parquet(f"{folder}/{name}")
-
-    return Marts(calendar=opened(CALENDAR), accounts=opened(ACCOUNTS), fact=opened(FACT))
+    return Marts(spark, folder)

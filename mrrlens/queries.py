@@ -15,7 +15,7 @@ from mrrlens.plans.calendar import account_month_spine, calendar_bounds, calenda
 from mrrlens.plans.dimensions import STATE_COLUMNS, account_dim, current_state
 from mrrlens.plans.facts import monthly_activity, monthly_fact, movements
 from mrrlens.plans.staging import Staged
-from mrrlens.plans.warehouse import Marts, build_marts, open_marts, shared_folder
+from mrrlens.plans.warehouse import Marts, build_marts, shared_folder
 from mrrlens.sources import testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,7 +46,7 @@ def marts(spark: SparkSession, sf_dir: str) -> Marts:
         folder = shared_folder(spark)
         build_marts(spark, staged_tables(spark, sf_dir), folder, testdata.AS_OF)
         _built[key] = folder
-    return open_marts(spark, _built[key])
+    return Marts(spark, _built[key])
 
 
 def staging(relation: str) -> Query:

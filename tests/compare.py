@@ -31,5 +31,5 @@ def assert_same(frame, connection, sql: str) -> int:
     connection.execute(f"CREATE OR REPLACE TEMP TABLE theirs AS SELECT {names} FROM ({sql})")
     extra = connection.execute("SELECT * FROM ours EXCEPT ALL SELECT * FROM theirs LIMIT 5").fetchall()
     missing = connection.execute("SELECT * FROM theirs EXCEPT ALL SELECT * FROM ours LIMIT 5").fetchall()
-    assert (extra, missing) == ([], [])
+    assert (extra, missing) == ([], []), names
     return connection.execute("SELECT count(*) FROM ours").fetchone()[0]
