@@ -17,6 +17,23 @@ from mrrlens.plans.staging import Staged
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 CALENDAR, ACCOUNTS, FACT = "dim_date", "dim_account", "account_monthly_fact"
+SCHEMAS = {
+    CALENDAR: (
+        "date_day date, month_start date, month_end date, year int, quarter int, month int,"
+        " day_of_week int, is_weekend boolean"
+    ),
+    ACCOUNTS: (
+        "account_id string, account_name string, industry string, country string, signup_date date,"
+        " referral_source string, initial_plan_tier string, initial_seats bigint,"
+        " initial_is_trial boolean, churn_flag_ever boolean, tenure_days int, tenure_bucket string"
+    ),
+    FACT: (
+        "account_id string, month_start date, mrr bigint, active_subscription_count bigint,"
+        " is_active boolean, prior_month_mrr bigint, mrr_churned boolean, logo_churned boolean,"
+        " churn_reason_code string, new_mrr bigint, expansion_mrr bigint, contraction_mrr bigint,"
+        " churned_mrr bigint"
+    ),
+}
 LEAST_ROWS_PER_BUCKET, MOST_ROWS_PER_BUCKET = 50_000, 4_000_000
 MOST_BUCKETS = 50_000
 
@@ -24,31 +41,43 @@ MOST_BUCKETS = 50_000
 class Marts:
     """The written marts of a folder, each opened when first asked for.
 
-    Where the catalog no longer knows a table and its buckets, its plain files
-    are read.
+    `calendar`, `accounts` and `fact` are plain files, fit for any query. The
+    bucketed pair is the same rows as tables whose buckets Spark knows, for
+    joins and groupings by account. It is kept apart because Spark 4.1 gives
+    wrong groups over a union of two bucketed scans.
     """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
 
-    def _open(self, name: str) -> DataFrame:
+    def _files(self, name: str) -> DataFrame:
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}")
+
+    def _bucketed(self, name: str) -> DataFrame:
+        """As a table; plain files in an application whose catalog does not know it."""
         table = table_name(self.folder, name)
-        if self.spark.catalog.tableExists(table):
-            return self.spark.table(table)
-        return self.spark.read.parquet(f"{self.folder}/{name}")
+        return self.spark.table(table) if self.spark.catalog.tableExists(table) else self._files(name)
 
     @cached_property
     def calendar(self) -> DataFrame:
-        return self._open(CALENDAR)
+        return self._files(CALENDAR)
 
     @cached_property
     def accounts(self) -> DataFrame:
-        return self._open(ACCOUNTS)
+        return self._files(ACCOUNTS)
 
     @cached_property
     def fact(self) -> DataFrame:
-        return self._open(FACT)
+        return self._files(FACT)
+
+    @cached_property
+    def bucketed_accounts(self) -> DataFrame:
+        return self._bucketed(ACCOUNTS)
+
+    @cached_property
+    def bucketed_fact(self) -> DataFrame:
+        return self._bucketed(FACT)
 
 
 def shared_folder(spark: SparkSession) -> str:

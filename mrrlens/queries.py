@@ -60,7 +60,7 @@ def report(build: Callable[..., DataFrame], *options: str) -> Query:
 def account_report(build: Callable[..., DataFrame], *options: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         built = marts(spark, sf_dir)
-        return build(built.fact, built.accounts, *options)
+        return build(built.bucketed_fact, built.bucketed_accounts, *options)
 
     return run
 
@@ -136,6 +136,10 @@ def by_segment(name: str, build: Callable[..., DataFrame]) -> dict[str, Query]:
     return {f"{name}_{segment}": account_report(build, segment) for segment in reports.SEGMENTS}
 
 
+def dq_fact_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.fact_grain(marts(spark, sf_dir).bucketed_fact)
+
+
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.not_null(staged_tables(spark, sf_dir), marts(spark, sf_dir).fact)
 
@@ -180,7 +184,7 @@ QUERIES: dict[str, Query] = {
     "dq_unique": check(quality.unique),
     "dq_accepted_values": check(quality.accepted_values),
     "dq_relationships": check(quality.relationships),
-    "dq_fact_grain": report(quality.fact_grain),
+    "dq_fact_grain": dq_fact_grain,
     "dq_mrr_nonnegative": report(quality.mrr_nonnegative),
     "dq_mrr_churned_rule": report(quality.mrr_churned_rule),
 }

@@ -53,11 +53,16 @@ def no_broadcast(spark):
 
 def test_segment_join_needs_no_shuffle_when_accounts_are_many(spark, no_broadcast):
     marts = queries.marts(spark, "/root/testdata/sf0.1")
-    plan = plan_of(reports.logo_churn_by_segment(marts.fact, marts.accounts, "plan"))
+    plan = plan_of(reports.logo_churn_by_segment(marts.bucketed_fact, marts.bucketed_accounts, "plan"))
     assert "SortMergeJoin" in plan
     assert "hashpartitioning(account_id" not in plan
 
 
+def test_fact_grain_is_checked_without_a_shuffle(spark):
+    plan = plan_of(queries.dq_fact_grain(spark, "/root/testdata/sf0.1"))
+    assert "hashpartitioning" not in plan
+
+
 def test_reports_read_only_their_columns(spark):
     marts = queries.marts(spark, SF_DIR)
     plan = plan_of(reports.churn_reasons_trend(marts.fact))

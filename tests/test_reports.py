@@ -64,6 +64,15 @@ def test_marts_are_built_once_per_input(spark, marts):
     assert queries._built == folders
 
 
+def test_schemas_are_those_written(marts):
+    assert marts.fact.dtypes == marts.bucketed_fact.dtypes
+    assert marts.accounts.dtypes == marts.bucketed_accounts.dtypes
+    assert marts.fact.exceptAll(marts.bucketed_fact).count() == 0
+    written = marts.spark.read.parquet(f"{marts.folder}/dim_date")
+    assert marts.calendar.dtypes == written.dtypes
+    assert marts.calendar.count() == written.count() > 0
+
+
 def test_rules_catch_faults(marts):
     broken = marts.fact.select(
         "account_id", "month_start", "prior_month_mrr", F.lit(-1).cast("bigint").alias("mrr"), F.lit(True).alias("mrr_churned")
