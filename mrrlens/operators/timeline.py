@@ -207,9 +207,11 @@ def spell_out_months(segments: DataFrame) -> DataFrame:
     )
 
 
-def spell_out_rows(segments: DataFrame) -> DataFrame:
+def spell_out_rows(segments: DataFrame, spread: bool = False) -> DataFrame:
     """One row per account row and month, with that row's own prior revenue.
 
+    With `spread`, the chunks a long segment is cut into go to different tasks.
+
     Rows of an account are ordered by month, so the first copy of a month looks
     back to the month before and any further copy to its twin in the same month.
     """
@@ -217,6 +219,8 @@ def spell_out_rows(segments: DataFrame) -> DataFrame:
     chunks = segments.withColumn("total", total).withColumn(
         "chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(total - 1) div {CHUNK}")))
     )
+    if spread:
+        chunks = chunks.repartition("account_id", "month", "chunk")
     start = F.col("chunk") * CHUNK
     stop = F.least(start + CHUNK, F.col("total")) - 1
     rows = (

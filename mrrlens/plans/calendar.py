@@ -18,11 +18,13 @@ MAX_DAYS = 50_000
 
 
 class Bounds(NamedTuple):
-    """First and last day of the calendar, and how many account rows there are."""
+    """First and last day of the calendar, and the size of what meets it: how many
+    account rows there are and how many of them share one id at most."""
 
     first_day: datetime.date | None
     last_day: datetime.date | None
     accounts: int = 0
+    copies: int = 1
 
     @property
     def months(self) -> int:
@@ -33,7 +35,17 @@ class Bounds(NamedTuple):
 
 
 def range_of(rows: DataFrame, low, high) -> DataFrame:
-    return rows.agg(F.min(low).alias("low"), F.max(high).alias("high"), F.count("*").alias("rows"))
+    return rows.agg(F.min(low).alias("low"), F.max(high).alias("high"))
+
+
+def account_sizes(accounts: DataFrame) -> DataFrame:
+    per_id = accounts.groupBy("account_id").agg(
+        F.min("signup_date").alias("low"), F.max("signup_date").alias("high"), F.count("*").alias("rows")
+    )
+    return per_id.agg(
+        F.min("low").alias("low"), F.max("high").alias("high"),
+        F.sum("rows").alias("rows"), F.max("rows").alias("copies"),
+    )
 
 
 def widest(days: list[datetime.date | None]) -> tuple[datetime.date | None, datetime.date | None]:
@@ -51,14 +63,15 @@ def calendar_bounds(staged: Staged, as_of: datetime.date | None = None) -> Bound
     today = as_of_day(as_of)
     closed = F.coalesce("closed_at", "submitted_at").cast("date")
     ranges = {
-        "accounts": range_of(staged.accounts, "signup_date", "signup_date"),
+        "accounts": account_sizes(staged.accounts),
         "subscriptions": range_of(staged.subscriptions, "start_date", F.coalesce("end_date", today)),
         "churn_events": range_of(staged.churn_events, "churn_date", "churn_date"),
         "support_tickets": range_of(staged.support_tickets, F.col("submitted_at").cast("date"), closed),
         "usage": range_of(staged.usage_rows, "usage_date", "usage_date"),
     }
     tagged = [found.withColumn("relation", F.lit(name)) for name, found in ranges.items()]
-    found = {row.relation: row for row in reduce(DataFrame.unionByName, tagged).collect()}
+    union = reduce(lambda one, two: one.unionByName(two, allowMissingColumns=True), tagged)
+    found = {row.relation: row for row in union.collect()}
 
     usage = found.pop("usage")
     others = widest([day for row in found.values() for day in (row.low, row.high)])
@@ -67,7 +80,8 @@ def calendar_bounds(staged: Staged, as_of: datetime.date | None = None) -> Bound
     first_day, last_day = widest([*others, usage.low, usage.high])
     if first_day is not None and (last_day - first_day).days >= MAX_DAYS:
         last_day = first_day + datetime.timedelta(days=MAX_DAYS - 1)
-    return Bounds(first_day, last_day, found["accounts"].rows)
+    accounts = found["accounts"]
+    return Bounds(first_day, last_day, accounts.rows or 0, accounts.copies or 1)
 
 
 def kept_usage_range(usage_rows: DataFrame) -> Row:
@@ -100,7 +114,7 @@ def calendar_dim(spark: SparkSession, bounds: Bounds) -> DataFrame:
 
 
 def account_month_spine(accounts: DataFrame, bounds: Bounds) -> DataFrame:
-    """Each account in every month from its signup to the calendar's end.
+    """Each account in every month of the calendar from its signup on.
 
     Signups are among the calendar's bounds and its months have no gaps, so the
     months are counted off per account: no join and no shuffle.

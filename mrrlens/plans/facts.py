@@ -10,6 +10,10 @@ from mrrlens.operators.timeline import account_segments, spell_out_months, spell
 from mrrlens.plans.calendar import Bounds
 
 
+# Account rows under one id from which on their months are spread over tasks.
+MANY_COPIES = 1000
+
+
 def monthly_activity(accounts: DataFrame, subscriptions: DataFrame, bounds: Bounds) -> DataFrame:
     """Subscriptions and revenue of each account in each month since signup."""
     segments = account_segments(accounts, subscriptions, bounds.last_day)
@@ -25,13 +29,18 @@ def monthly_fact(
     bounds: Bounds,
     partitions: int | None = None,
 ) -> DataFrame:
-    """The fact. Its rows stay partitioned by account, in `partitions` parts if given."""
+    """The fact. Its rows stay partitioned by account, in `partitions` parts if given.
+
+    Only where very many account rows share one id (or have none) are they spread
+    instead, so that no task has to write out all of that id's months.
+    """
+    spread = bounds.copies > MANY_COPIES
     segments = account_segments(accounts, subscriptions, bounds.last_day, churn_events, partitions)
     mrr, prior = F.col("mrr"), F.col("prior_month_mrr")
     movement = movement_class(mrr, prior)
     amounts = movement_amounts(F.col("movement"), mrr, prior)
     return (
-        spell_out_rows(segments)
+        spell_out_rows(segments, spread)
         .withColumn("movement", movement)
         .select(
             "account_id",

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mrrlens.plans.calendar import Bounds, calendar_bounds, calendar_dim
 from mrrlens.plans.dimensions import account_dim
-from mrrlens.plans.facts import monthly_fact
+from mrrlens.plans.facts import MANY_COPIES, monthly_fact
 from mrrlens.plans.staging import Staged
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -131,12 +131,15 @@ def build_marts(
     """Compute the calendar, the account dimension and the fact, and write them.
 
     Account and fact rows arrive partitioned by account into as many parts as
-    there are buckets, so each task writes one file of one bucket.
+    there are buckets, so each task writes one file of one bucket; unless very
+    many account rows share an id, which would make one such part huge.
     """
     bounds = calendar_bounds(staged, as_of)
     count = bucket_count(spark, bounds)
     fact = monthly_fact(staged.accounts, staged.subscriptions, staged.churn_events, bounds, count)
-    accounts = account_dim(staged.accounts, bounds).repartition(count, "account_id")
+    accounts = account_dim(staged.accounts, bounds)
+    if bounds.copies <= MANY_COPIES:
+        accounts = accounts.repartition(count, "account_id")
     write_table(calendar_dim(spark, bounds), folder, CALENDAR)
     write_table(accounts, folder, ACCOUNTS, count)
     write_table(fact, folder, FACT, count)

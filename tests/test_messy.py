@@ -59,6 +59,14 @@ def test_fact(world):
     assert assert_same(fact, connection, given_sql("account_monthly_fact")) > 1000
 
 
+def test_fact_with_spread_copies(world):
+    staged, bounds, connection = world
+    assert bounds.copies == 3
+    many = bounds._replace(copies=facts.MANY_COPIES + 1)
+    fact = facts.monthly_fact(staged.accounts, staged.subscriptions, staged.churn_events, many, 3)
+    assert_same(fact, connection, given_sql("account_monthly_fact"))
+
+
 def test_checks_find_the_same_faults(world):
     staged, bounds, connection = world
     fact = facts.monthly_fact(staged.accounts, staged.subscriptions, staged.churn_events, bounds)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,6 +142,21 @@ def fact_rows(spark, accounts, subscriptions, churn=(), last=D(2001, 4, 30)):
     return fact.orderBy("account_id", "month_start").collect()
 
 
+def test_many_copies_of_one_account(spark, monkeypatch):
+    """Segments longer than a chunk: 120 copies of four months in chunks of 50 rows."""
+    monkeypatch.setattr("mrrlens.operators.timeline.CHUNK", 50)
+    copies = [{"account_id": "a", "signup_date": "2001-01-15"} for _ in range(119)]
+    late = {"account_id": "a", "signup_date": "2001-03-15"}
+    rows = fact_rows(spark, [*copies, late], [subscription("1", "2001-02-01", None, "2")])
+    counted = Counter((r.month_start.month, r.mrr, r.prior_month_mrr) for r in rows)
+    assert counted == {
+        (1, 0, 0): 119,
+        (2, 238, 0): 1, (2, 238, 238): 118,
+        (3, 240, 238): 1, (3, 240, 240): 119,
+        (4, 240, 240): 120,
+    }
+
+
 def test_fact_flags_and_movements(spark):
     rows = fact_rows(
         spark,
