@@ -43,8 +43,14 @@ def change(amount: int) -> Column:
     return F.lit(amount).cast("bigint")
 
 
+def ids_repeat(rows: DataFrame, column: str) -> bool:
+    """Whether some id is on more than one row: one number, fetched."""
+    per_id = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows"))
+    return (per_id.agg(F.max("rows").alias("most")).first().most or 0) > 1
+
+
 def subscription_periods(subscriptions: DataFrame) -> DataFrame:
-    """First and last month of each subscription, equal periods of one id added up.
+    """First and last month of each subscription.
 
     A period overlaps a month exactly when the month lies between the months of
     its two ends. Periods without a start, or reversed into another month, never
@@ -52,30 +58,24 @@ def subscription_periods(subscriptions: DataFrame) -> DataFrame:
     """
     first = month_of(F.col("start_date"))
     last = F.coalesce(month_of(F.col("end_date")), F.lit(OPEN_ENDED))
-    return (
-        subscriptions.where(F.col("account_id").isNotNull())
-        .select(
-            "account_id",
-            "subscription_id",
-            first.alias("first_month"),
-            last.alias("last_month"),
-            F.coalesce("mrr_amount", F.lit(0)).alias("mrr"),
-        )
-        .groupBy("account_id", "subscription_id", "first_month", "last_month")
-        .agg(F.sum("mrr").alias("mrr"))
+    return subscriptions.where(F.col("account_id").isNotNull()).select(
+        "account_id",
+        "subscription_id",
+        first.alias("first_month"),
+        last.alias("last_month"),
+        F.coalesce("mrr_amount", F.lit(0)).alias("mrr"),
     )
 
 
-def subscription_changes(subscriptions: DataFrame) -> DataFrame:
-    """What each subscription adds when it opens and takes away when it closes.
-
-    Revenue counts every row; the subscription count counts an id once a month,
-    so a repeated id only counts from where its earlier periods stop.
+def with_counted_from(periods: DataFrame) -> DataFrame:
+    """The month from which a period of a repeated id adds to the subscription count.
 
-    Periods that never hold are dropped after the window: before it, the filter
-    would run the date parsers again for every row. A reversed one ends before
-    any later one starts, so it covers nothing.
+    Revenue counts every row, but the count an id once a month: a period only
+    counts from where the earlier periods of its id stop. Equal periods of one id
+    are added up first, so an id on a third of all rows is a few rows here. A
+    reversed period ends before any later one starts, so it covers nothing.
     """
+    keys = ["account_id", "subscription_id", "first_month", "last_month"]
     earlier = (
         Window.partitionBy("account_id", "subscription_id")
         .orderBy("first_month", "last_month")
@@ -83,11 +83,24 @@ def subscription_changes(subscriptions: DataFrame) -> DataFrame:
     )
     started = F.when(F.col("first_month").isNotNull(), F.col("last_month"))
     covered_to = F.max(started).over(earlier)
-    periods = (
-        subscription_periods(subscriptions)
+    return (
+        periods.groupBy(*keys)
+        .agg(F.sum("mrr").alias("mrr"))
         .withColumn("counted_from", F.greatest(F.col("first_month"), month_after(covered_to)))
-        .where(F.col("first_month") <= F.col("last_month"))
     )
+
+
+def subscription_changes(subscriptions: DataFrame, repeated_ids: bool = True) -> DataFrame:
+    """What each subscription adds when it opens and takes away when it closes.
+
+    With no repeated ids every period counts from its first month, and nothing
+    has to be brought together by id.
+    """
+    periods = subscription_periods(subscriptions)
+    if repeated_ids:
+        periods = with_counted_from(periods)
+    else:
+        periods = periods.withColumn("counted_from", F.col("first_month"))
     counts = F.col("subscription_id").isNotNull() & (F.col("counted_from") <= F.col("last_month"))
     once = counts.cast("bigint")
     none = change(0)
@@ -98,14 +111,18 @@ def subscription_changes(subscriptions: DataFrame) -> DataFrame:
         )
 
     closing = entry(month_after(F.col("last_month")), -F.col("mrr"), -once)
-    first_time = F.array(entry(F.col("first_month"), F.col("mrr"), once), closing)
-    repeated = F.array(
-        entry(F.col("first_month"), F.col("mrr"), none),
-        entry(F.col("counted_from"), none, once),
-        closing,
-    )
-    changes = F.when(F.col("counted_from") == F.col("first_month"), first_time).otherwise(repeated)
-    return periods.select("account_id", F.inline(changes)).withColumn("copies_change", none)
+    changes = F.array(entry(F.col("first_month"), F.col("mrr"), once), closing)
+    if repeated_ids:
+        late = F.array(
+            entry(F.col("first_month"), F.col("mrr"), none),
+            entry(F.col("counted_from"), none, once),
+            closing,
+        )
+        changes = F.when(F.col("counted_from") == F.col("first_month"), changes).otherwise(late)
+    # As a condition on the array, not a filter on the rows: that would be pushed
+    # below the projection and run the date parsers again for every row.
+    held = F.when(F.col("first_month") <= F.col("last_month"), changes)
+    return periods.select("account_id", F.inline(held)).withColumn("copies_change", none)
 
 
 def monthly_churn_reason(churn_events: DataFrame) -> DataFrame:
@@ -121,6 +138,7 @@ def account_segments(
     last_day: datetime.date | None,
     churn_events: DataFrame | None = None,
     partitions: int | None = None,
+    repeated_ids: bool = True,
 ) -> DataFrame:
     """Stretches of months in which nothing changes for an account.
 
@@ -132,10 +150,11 @@ def account_segments(
     Grouping by account and month first keeps at most one row per month for an
     account before rows meet by account, however many subscriptions it has.
     """
+    last_month = month_of(date_literal(last_day))
     totals = [F.sum(name).alias(name) for name in ("copies_change", "mrr_change", "count_change")]
     changes = (
         account_openings(accounts)
-        .unionByName(subscription_changes(subscriptions))
+        .unionByName(subscription_changes(subscriptions, repeated_ids).where(F.col("month") <= last_month))
         .groupBy("account_id", "month")
         .agg(*totals)
         .withColumn("is_churn", F.lit(False))
@@ -162,23 +181,32 @@ def account_segments(
 
     by_month = Window.partitionBy("account_id").orderBy("month", "is_churn")
     so_far = by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    copies = F.sum("copies_change").over(so_far)
     levels = changes.select(
         "account_id",
         "month",
-        copies.alias("copies"),
-        (copies * F.sum("mrr_change").over(so_far)).alias("mrr"),
-        F.sum("count_change").over(so_far).alias("active_subscription_count"),
+        "copies_change",
+        "mrr_change",
         "is_churn",
         "churn_reason_code",
+        F.sum("copies_change").over(so_far).alias("copies"),
+        F.sum("mrr_change").over(so_far).alias("mrr_per_copy"),
+        F.sum("count_change").over(so_far).alias("active_subscription_count"),
         F.lead("month").over(by_month).alias("next_month"),
-        F.coalesce(F.lag("month").over(by_month) == F.col("month"), F.lit(False)).alias("second_in_month"),
+        F.lag("month").over(by_month).alias("previous_month"),
+        F.lag("copies_change").over(by_month).alias("previous_copies_change"),
+        F.lag("mrr_change").over(by_month).alias("previous_mrr_change"),
+    )
+
+    def before_this_month(level: str, name: str) -> Column:
+        """A running sum without what this month's one or two rows added to it."""
+        same_month = F.col("previous_month") == F.col("month")
+        earlier_row = F.when(same_month, F.col(f"previous_{name}")).otherwise(0)
+        return F.col(level) - F.col(name) - earlier_row
+
+    prior = before_this_month("copies", "copies_change") * before_this_month("mrr_per_copy", "mrr_change")
+    segments = levels.withColumns(
+        {"mrr": F.col("copies") * F.col("mrr_per_copy"), "prior_mrr": prior}
     )
-    month_before_level = F.when(
-        F.col("second_in_month"), F.lag("mrr", 2).over(by_month)
-    ).otherwise(F.lag("mrr", 1).over(by_month))
-    last_month = month_of(date_literal(last_day))
-    segments = levels.withColumn("prior_mrr", F.coalesce(month_before_level, F.lit(0).cast("bigint")))
     segments = segments.where(
         (F.col("copies") > 0)
         & (F.col("month") <= last_month)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
 import hashlib
 import tempfile
 import uuid
@@ -10,7 +9,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mrrlens.plans.calendar import Bounds, calendar_bounds, calendar_dim
+from mrrlens.operators.timeline import ids_repeat
+from mrrlens.plans.calendar import Bounds, calendar_dim
 from mrrlens.plans.dimensions import account_dim
 from mrrlens.plans.facts import MANY_COPIES, monthly_fact
 from mrrlens.plans.staging import Staged
@@ -97,13 +97,14 @@ def shared_folder(spark: SparkSession) -> str:
 def bucket_count(spark: SparkSession, bounds: Bounds) -> int:
     """Buckets for the fact, from the most rows it can have.
 
-    Enough to keep a bucket to a task's size; up to that, one per core as long
-    as each gets a fair number of rows.
+    Enough to keep a bucket to a task's size; up to that, as many as the session
+    shuffles into as long as each gets a fair number of rows.
     """
     most_rows = bounds.accounts * bounds.months
     for_size = most_rows // MOST_ROWS_PER_BUCKET
-    for_cores = min(spark.sparkContext.defaultParallelism, most_rows // LEAST_ROWS_PER_BUCKET)
-    return max(1, min(max(for_size, for_cores), MOST_BUCKETS))
+    for_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(for_size, min(for_tasks, most_rows // LEAST_ROWS_PER_BUCKET))
+    return max(1, min(wanted, MOST_BUCKETS))
 
 
 def table_name(folder: str, name: str) -> str:
@@ -122,21 +123,18 @@ def write_table(rows: DataFrame, folder: str, name: str, count: int | None = Non
     writer.saveAsTable(table_name(folder, name))
 
 
-def build_marts(
-    spark: SparkSession,
-    staged: Staged,
-    folder: str,
-    as_of: datetime.date | None = None,
-) -> Marts:
+def build_marts(spark: SparkSession, staged: Staged, folder: str, bounds: Bounds) -> Marts:
     """Compute the calendar, the account dimension and the fact, and write them.
 
     Account and fact rows arrive partitioned by account into as many parts as
     there are buckets, so each task writes one file of one bucket; unless very
     many account rows share an id, which would make one such part huge.
     """
-    bounds = calendar_bounds(staged, as_of)
     count = bucket_count(spark, bounds)
-    fact = monthly_fact(staged.accounts, staged.subscriptions, staged.churn_events, bounds, count)
+    repeated = ids_repeat(staged.subscriptions, "subscription_id")
+    fact = monthly_fact(
+        staged.accounts, staged.subscriptions, staged.churn_events, bounds, count, repeated
+    )
     accounts = account_dim(staged.accounts, bounds)
     if bounds.copies <= MANY_COPIES:
         accounts = accounts.repartition(count, "account_id")

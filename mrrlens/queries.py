@@ -8,10 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mrrlens.operators.timeline import monthly_churn_reason
+from mrrlens.operators.timeline import ids_repeat, monthly_churn_reason
 from mrrlens.operators.versions import run_snapshot
 from mrrlens.plans import quality, reports
-from mrrlens.plans.calendar import account_month_spine, calendar_bounds, calendar_dim
+from mrrlens.plans.calendar import Bounds, account_month_spine, calendar_bounds, calendar_dim
 from mrrlens.plans.dimensions import STATE_COLUMNS, account_dim, current_state
 from mrrlens.plans.facts import monthly_activity, monthly_fact, movements
 from mrrlens.plans.staging import Staged
@@ -23,8 +23,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 FIRST_RUN = datetime.datetime(2001, 6, 30, 12, 0, 0)
 SECOND_RUN = datetime.datetime(2001, 12, 31, 12, 0, 0)
 
-# Folder of the marts built for one application and one state of the input files.
+# By application and state of the input files: the folder of the marts built from
+# them, the calendar's bounds found in them, and whether subscription ids repeat.
 _built: dict[tuple[str, int], str] = {}
+_bounds: dict[tuple[str, int], Bounds] = {}
+_repeated: dict[tuple[str, int], bool] = {}
 
 
 def staged_tables(spark: SparkSession, sf_dir: str) -> Staged:
@@ -34,21 +37,41 @@ def staged_tables(spark: SparkSession, sf_dir: str) -> Staged:
 def file_state(spark: SparkSession, sf_dir: str) -> int:
     """A hash of the names, sizes and times of the input files; no file is opened."""
     paths = [f"{sf_dir}/{table}.parquet" for table in testdata.SOURCE_TABLES]
-    files = spark.read.format("binaryFile").load(paths)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
     state = F.bit_xor(F.xxhash64("path", "length", "modificationTime"))
     return files.agg(state.alias("state")).first().state
 
 
+def input_key(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    return spark.conf.get("spark.app.id"), file_state(spark, sf_dir)
+
+
 def marts(spark: SparkSession, sf_dir: str) -> Marts:
     """The marts of a folder, built once and then read by every report."""
-    key = (spark.sparkContext.applicationId, file_state(spark, sf_dir))
+    key = input_key(spark, sf_dir)
     if key not in _built:
         folder = shared_folder(spark)
-        build_marts(spark, staged_tables(spark, sf_dir), folder, testdata.AS_OF)
+        staged = staged_tables(spark, sf_dir)
+        build_marts(spark, staged, folder, bounds_of(spark, sf_dir, staged))
         _built[key] = folder
     return Marts(spark, _built[key])
 
 
+def bounds_of(spark: SparkSession, sf_dir: str, staged: Staged) -> Bounds:
+    """The calendar's bounds, found once for all that only look them up."""
+    key = input_key(spark, sf_dir)
+    if key not in _bounds:
+        _bounds[key] = calendar_bounds(staged, testdata.AS_OF)
+    return _bounds[key]
+
+
+def repeated_ids(spark: SparkSession, sf_dir: str, staged: Staged) -> bool:
+    key = input_key(spark, sf_dir)
+    if key not in _repeated:
+        _repeated[key] = ids_repeat(staged.subscriptions, "subscription_id")
+    return _repeated[key]
+
+
 def staging(relation: str) -> Query:
     return lambda spark, sf_dir: getattr(staged_tables(spark, sf_dir), relation)
 
@@ -70,23 +93,25 @@ def check(build: Callable[[Staged], DataFrame]) -> Query:
 
 
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one query that is about the bounds, so it always finds them anew."""
     return calendar_dim(spark, calendar_bounds(staged_tables(spark, sf_dir), testdata.AS_OF))
 
 
 def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = staged_tables(spark, sf_dir)
-    return account_month_spine(staged.accounts, calendar_bounds(staged, testdata.AS_OF))
+    return account_month_spine(staged.accounts, bounds_of(spark, sf_dir, staged))
 
 
 def dim_account(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = staged_tables(spark, sf_dir)
-    return account_dim(staged.accounts, calendar_bounds(staged, testdata.AS_OF))
+    return account_dim(staged.accounts, bounds_of(spark, sf_dir, staged))
 
 
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = staged_tables(spark, sf_dir)
-    bounds = calendar_bounds(staged, testdata.AS_OF)
-    return monthly_activity(staged.accounts, staged.subscriptions, bounds)
+    bounds = bounds_of(spark, sf_dir, staged)
+    repeated = repeated_ids(spark, sf_dir, staged)
+    return monthly_activity(staged.accounts, staged.subscriptions, bounds, repeated)
 
 
 def churn_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,14 +120,18 @@ def churn_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = staged_tables(spark, sf_dir)
-    bounds = calendar_bounds(staged, testdata.AS_OF)
-    return monthly_fact(staged.accounts, staged.subscriptions, staged.churn_events, bounds)
+    bounds = bounds_of(spark, sf_dir, staged)
+    repeated = repeated_ids(spark, sf_dir, staged)
+    return monthly_fact(
+        staged.accounts, staged.subscriptions, staged.churn_events, bounds, repeated_ids=repeated
+    )
 
 
 def marts_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Writes all marts to a folder of its own and reads the fact back."""
+    """Finds the bounds, writes all marts to a folder of its own and reads the fact back."""
     staged = staged_tables(spark, sf_dir)
-    return build_marts(spark, staged, shared_folder(spark), testdata.AS_OF).fact
+    bounds = calendar_bounds(staged, testdata.AS_OF)
+    return build_marts(spark, staged, shared_folder(spark), bounds).fact
 
 
 def state(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,4 +32,4 @@ def assert_same(frame, connection, sql: str) -> int:
     extra = connection.execute("SELECT * FROM ours EXCEPT ALL SELECT * FROM theirs LIMIT 5").fetchall()
     missing = connection.execute("SELECT * FROM theirs EXCEPT ALL SELECT * FROM ours LIMIT 5").fetchall()
     assert (extra, missing) == ([], []), names
-    return connection.execute("SELECT count(*) FROM ours").fetchone()[0]
+    return connection.execute("SELECT count(*) FROM ours").fetchall()[0][0]

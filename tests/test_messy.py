@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from compare import assert_same
+from mrrlens.operators.timeline import ids_repeat
 from mrrlens.plans import facts
 from mrrlens.plans.calendar import account_month_spine, calendar_bounds, calendar_dim
 from mrrlens.plans.dimensions import account_dim, current_state
@@ -59,6 +60,22 @@ def test_fact(world):
     assert assert_same(fact, connection, given_sql("account_monthly_fact")) > 1000
 
 
+def test_fact_of_unique_subscriptions(world, spark):
+    """The way without a grouping by id, over subscriptions that allow it."""
+    staged, bounds, connection = world
+    assert ids_repeat(staged.subscriptions, "subscription_id")
+    unique = staged.subscriptions.dropDuplicates(["subscription_id"]).toArrow()
+    connection.register("unique_subscriptions", unique)
+    subscriptions = spark.createDataFrame(unique)
+    assert not ids_repeat(subscriptions, "subscription_id")
+    fact = facts.monthly_fact(
+        staged.accounts, subscriptions, staged.churn_events, bounds, 3, repeated_ids=False
+    )
+    # Over the same bounds: what was dropped may have held the last day.
+    sql = given_sql("account_monthly_fact").replace("LEFT JOIN stg_subscriptions", "LEFT JOIN unique_subscriptions")
+    assert_same(fact, connection, sql)
+
+
 def test_fact_with_spread_copies(world):
     staged, bounds, connection = world
     assert bounds.copies == 3
