@@ -235,24 +235,28 @@ def spell_out_months(segments: DataFrame) -> DataFrame:
     )
 
 
-def spell_out_rows(segments: DataFrame, spread: bool = False) -> DataFrame:
+def spell_out_rows(segments: DataFrame, longest: int | None = None, spread: bool = False) -> DataFrame:
     """One row per account row and month, with that row's own prior revenue.
 
-    With `spread`, the chunks a long segment is cut into go to different tasks.
+    `longest` is the most rows a segment can stand for, if known: above `CHUNK`
+    segments are first cut into chunks. With `spread`, the chunks of one segment
+    go to different tasks.
 
     Rows of an account are ordered by month, so the first copy of a month looks
     back to the month before and any further copy to its twin in the same month.
     """
-    total = F.col("months") * F.col("copies")
-    chunks = segments.withColumn("total", total).withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(total - 1) div {CHUNK}")))
-    )
-    if spread:
-        chunks = chunks.repartition("account_id", "month", "chunk")
-    start = F.col("chunk") * CHUNK
-    stop = F.least(start + CHUNK, F.col("total")) - 1
+    zero = F.lit(0).cast("bigint")
+    segments = segments.withColumn("total", F.col("months") * F.col("copies"))
+    start, stop = zero, F.col("total") - 1
+    if spread or longest is None or longest > CHUNK:
+        chunks = F.sequence(zero, F.expr(f"(total - 1) div {CHUNK}"))
+        segments = segments.withColumn("chunk", F.explode(chunks))
+        if spread:
+            segments = segments.repartition("account_id", "month", "chunk")
+        start = F.col("chunk") * CHUNK
+        stop = F.least(start + CHUNK, F.col("total")) - 1
     rows = (
-        chunks.withColumn("row", F.explode(F.sequence(start, stop)))
+        segments.withColumn("row", F.explode(F.sequence(start, stop)))
         .withColumn("offset", F.expr("row div copies").cast("int"))
         .withColumn("month_start", F.add_months("month", F.col("offset")))
     )

@@ -49,7 +49,7 @@ def monthly_fact(
     movement = movement_class(mrr, prior)
     amounts = movement_amounts(F.col("movement"), mrr, prior)
     return (
-        spell_out_rows(segments, spread)
+        spell_out_rows(segments, bounds.months * bounds.copies, spread)
         .withColumn("movement", movement)
         .select(
             "account_id",

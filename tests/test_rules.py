@@ -132,12 +132,12 @@ def test_repeated_subscription_counts_once_a_month_but_pays_twice(spark):
     assert months == {1: (1, 1), 2: (1, 3), 3: (1, 7), 4: (1, 2), 5: (0, 0), 6: (1, 24), 7: (0, 0)}
 
 
-def fact_rows(spark, accounts, subscriptions, churn=(), last=D(2001, 4, 30)):
+def fact_rows(spark, accounts, subscriptions, churn=(), last=D(2001, 4, 30), copies=1):
     staged = staged_from_rows(
         spark, accounts=accounts, subscriptions=subscriptions, churn_events=list(churn)
     )
     fact = facts.monthly_fact(
-        staged.accounts, staged.subscriptions, staged.churn_events, Bounds(D(2001, 1, 1), last, 1)
+        staged.accounts, staged.subscriptions, staged.churn_events, Bounds(D(2001, 1, 1), last, 1, copies)
     )
     return fact.orderBy("account_id", "month_start").collect()
 
@@ -147,7 +147,7 @@ def test_many_copies_of_one_account(spark, monkeypatch):
     monkeypatch.setattr("mrrlens.operators.timeline.CHUNK", 50)
     copies = [{"account_id": "a", "signup_date": "2001-01-15"} for _ in range(119)]
     late = {"account_id": "a", "signup_date": "2001-03-15"}
-    rows = fact_rows(spark, [*copies, late], [subscription("1", "2001-02-01", None, "2")])
+    rows = fact_rows(spark, [*copies, late], [subscription("1", "2001-02-01", None, "2")], copies=120)
     counted = Counter((r.month_start.month, r.mrr, r.prior_month_mrr) for r in rows)
     assert counted == {
         (1, 0, 0): 119,
