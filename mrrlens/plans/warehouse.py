@@ -123,17 +123,25 @@ def write_table(rows: DataFrame, folder: str, name: str, count: int | None = Non
     writer.saveAsTable(table_name(folder, name))
 
 
-def build_marts(spark: SparkSession, staged: Staged, folder: str, bounds: Bounds) -> Marts:
+def build_marts(
+    spark: SparkSession,
+    staged: Staged,
+    folder: str,
+    bounds: Bounds,
+    repeated_ids: bool | None = None,
+) -> Marts:
     """Compute the calendar, the account dimension and the fact, and write them.
 
     Account and fact rows arrive partitioned by account into as many parts as
     there are buckets, so each task writes one file of one bucket; unless very
-    many account rows share an id, which would make one such part huge.
+    many account rows share an id, which would make one such part huge. Whether
+    subscription ids repeat is found out unless given.
     """
     count = bucket_count(spark, bounds)
-    repeated = ids_repeat(staged.subscriptions, "subscription_id")
+    if repeated_ids is None:
+        repeated_ids = ids_repeat(staged.subscriptions, "subscription_id")
     fact = monthly_fact(
-        staged.accounts, staged.subscriptions, staged.churn_events, bounds, count, repeated
+        staged.accounts, staged.subscriptions, staged.churn_events, bounds, count, repeated_ids
     )
     accounts = account_dim(staged.accounts, bounds)
     if bounds.copies <= MANY_COPIES:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,154 +24,120 @@ Query = Callable[[SparkSession, str], DataFrame]
 FIRST_RUN = datetime.datetime(2001, 6, 30, 12, 0, 0)
 SECOND_RUN = datetime.datetime(2001, 12, 31, 12, 0, 0)
 
-# By application and state of the input files: the folder of the marts built from
-# them, the calendar's bounds found in them, and whether subscription ids repeat.
-_built: dict[tuple[str, int], str] = {}
-_bounds: dict[tuple[str, int], Bounds] = {}
-_repeated: dict[tuple[str, int], bool] = {}
+class Inputs:
+    """The test tables of a folder, and what is found in them once per application."""
 
+    # By application and state of the input files.
+    _folders: dict[tuple[str, int], str] = {}
+    _bounds: dict[tuple[str, int], Bounds] = {}
+    _repeated: dict[tuple[str, int], bool] = {}
 
-def staged_tables(spark: SparkSession, sf_dir: str) -> Staged:
-    return Staged(testdata.raw_tables(spark, sf_dir))
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self.staged = Staged(testdata.raw_tables(spark, sf_dir))
 
+    @cached_property
+    def key(self) -> tuple[str, int]:
+        """The application and a hash of the input files' names, sizes and times; none is opened."""
+        paths = [f"{self.sf_dir}/{table}.parquet" for table in testdata.SOURCE_TABLES]
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+        state = F.bit_xor(F.xxhash64("path", "length", "modificationTime"))
+        return self.spark.conf.get("spark.app.id"), files.agg(state.alias("state")).first().state
 
-def file_state(spark: SparkSession, sf_dir: str) -> int:
-    """A hash of the names, sizes and times of the input files; no file is opened."""
-    paths = [f"{sf_dir}/{table}.parquet" for table in testdata.SOURCE_TABLES]
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    state = F.bit_xor(F.xxhash64("path", "length", "modificationTime"))
-    return files.agg(state.alias("state")).first().state
+    @property
+    def bounds(self) -> Bounds:
+        """The calendar's bounds, for all that only look them up."""
+        if self.key not in self._bounds:
+            self._bounds[self.key] = calendar_bounds(self.staged, testdata.AS_OF)
+        return self._bounds[self.key]
 
+    @property
+    def repeated_ids(self) -> bool:
+        """Whether some subscription id is on two rows."""
+        if self.key not in self._repeated:
+            self._repeated[self.key] = ids_repeat(self.staged.subscriptions, "subscription_id")
+        return self._repeated[self.key]
 
-def input_key(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
-    return spark.conf.get("spark.app.id"), file_state(spark, sf_dir)
+    @property
+    def marts(self) -> Marts:
+        """The written marts: built once, then read by every report."""
+        if self.key not in self._folders:
+            folder = shared_folder(self.spark)
+            build_marts(self.spark, self.staged, folder, self.bounds, self.repeated_ids)
+            self._folders[self.key] = folder
+        return Marts(self.spark, self._folders[self.key])
 
 
-def marts(spark: SparkSession, sf_dir: str) -> Marts:
-    """The marts of a folder, built once and then read by every report."""
-    key = input_key(spark, sf_dir)
-    if key not in _built:
-        folder = shared_folder(spark)
-        staged = staged_tables(spark, sf_dir)
-        build_marts(spark, staged, folder, bounds_of(spark, sf_dir, staged))
-        _built[key] = folder
-    return Marts(spark, _built[key])
+def query(build: Callable[[Inputs], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(Inputs(spark, sf_dir))
 
 
-def bounds_of(spark: SparkSession, sf_dir: str, staged: Staged) -> Bounds:
-    """The calendar's bounds, found once for all that only look them up."""
-    key = input_key(spark, sf_dir)
-    if key not in _bounds:
-        _bounds[key] = calendar_bounds(staged, testdata.AS_OF)
-    return _bounds[key]
-
-
-def repeated_ids(spark: SparkSession, sf_dir: str, staged: Staged) -> bool:
-    key = input_key(spark, sf_dir)
-    if key not in _repeated:
-        _repeated[key] = ids_repeat(staged.subscriptions, "subscription_id")
-    return _repeated[key]
-
-
-def staging(relation: str) -> Query:
-    return lambda spark, sf_dir: getattr(staged_tables(spark, sf_dir), relation)
-
-
-def report(build: Callable[..., DataFrame], *options: str) -> Query:
-    return lambda spark, sf_dir: build(marts(spark, sf_dir).fact, *options)
+def report(build: Callable[..., DataFrame]) -> Query:
+    return query(lambda inputs: build(inputs.marts.fact))
 
 
 def account_report(build: Callable[..., DataFrame], *options: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        built = marts(spark, sf_dir)
-        return build(built.bucketed_fact, built.bucketed_accounts, *options)
+    def run(inputs: Inputs) -> DataFrame:
+        marts = inputs.marts
+        return build(marts.bucketed_fact, marts.bucketed_accounts, *options)
 
-    return run
+    return query(run)
 
 
-def check(build: Callable[[Staged], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(staged_tables(spark, sf_dir))
+def by_segment(name: str, build: Callable[..., DataFrame]) -> dict[str, Query]:
+    return {f"{name}_{segment}": account_report(build, segment) for segment in reports.SEGMENTS}
 
 
-def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dim_date(inputs: Inputs) -> DataFrame:
     """The one query that is about the bounds, so it always finds them anew."""
-    return calendar_dim(spark, calendar_bounds(staged_tables(spark, sf_dir), testdata.AS_OF))
-
-
-def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = staged_tables(spark, sf_dir)
-    return account_month_spine(staged.accounts, bounds_of(spark, sf_dir, staged))
-
-
-def dim_account(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = staged_tables(spark, sf_dir)
-    return account_dim(staged.accounts, bounds_of(spark, sf_dir, staged))
+    return calendar_dim(inputs.spark, calendar_bounds(inputs.staged, testdata.AS_OF))
 
 
-def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = staged_tables(spark, sf_dir)
-    bounds = bounds_of(spark, sf_dir, staged)
-    repeated = repeated_ids(spark, sf_dir, staged)
-    return monthly_activity(staged.accounts, staged.subscriptions, bounds, repeated)
+def activity(inputs: Inputs) -> DataFrame:
+    staged = inputs.staged
+    return monthly_activity(staged.accounts, staged.subscriptions, inputs.bounds, inputs.repeated_ids)
 
 
-def churn_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly_churn_reason(staged_tables(spark, sf_dir).churn_events)
-
-
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = staged_tables(spark, sf_dir)
-    bounds = bounds_of(spark, sf_dir, staged)
-    repeated = repeated_ids(spark, sf_dir, staged)
+def fact(inputs: Inputs) -> DataFrame:
+    staged = inputs.staged
     return monthly_fact(
-        staged.accounts, staged.subscriptions, staged.churn_events, bounds, repeated_ids=repeated
+        staged.accounts,
+        staged.subscriptions,
+        staged.churn_events,
+        inputs.bounds,
+        repeated_ids=inputs.repeated_ids,
     )
 
 
-def marts_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Finds the bounds, writes all marts to a folder of its own and reads the fact back."""
-    staged = staged_tables(spark, sf_dir)
-    bounds = calendar_bounds(staged, testdata.AS_OF)
-    return build_marts(spark, staged, shared_folder(spark), bounds).fact
-
+def marts_roundtrip(inputs: Inputs) -> DataFrame:
+    """Looks at the data anew, writes all marts to a folder of its own and reads the fact back."""
+    bounds = calendar_bounds(inputs.staged, testdata.AS_OF)
+    return build_marts(inputs.spark, inputs.staged, shared_folder(inputs.spark), bounds).fact
 
-def state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return current_state(staged_tables(spark, sf_dir).subscriptions, testdata.AS_OF)
 
-
-def known_state(spark: SparkSession, sf_dir: str, as_of: datetime.date) -> DataFrame:
+def known_state(inputs: Inputs, as_of: datetime.date) -> DataFrame:
     """State from the subscriptions known on a day: those without a start or started by then."""
-    subscriptions = staged_tables(spark, sf_dir).subscriptions
     known = F.col("start_date").isNull() | (F.col("start_date") <= F.lit(as_of))
-    return current_state(subscriptions.where(known), as_of)
+    return current_state(inputs.staged.subscriptions.where(known), as_of)
 
 
 def snapshot(*runs: tuple[datetime.date, datetime.datetime]) -> Query:
     """Snapshot runs one after the other: each the state of a day, at a run time."""
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        root = shared_folder(spark)
+    def run(inputs: Inputs) -> DataFrame:
+        root = shared_folder(inputs.spark)
         history, previous = None, None
         for number, (as_of, run_at) in enumerate(runs):
             target = f"{root}/run={number}"
-            current = known_state(spark, sf_dir, as_of)
-            history = run_snapshot(spark, current, "account_id", STATE_COLUMNS, run_at, target, previous)
+            current = known_state(inputs, as_of)
+            history = run_snapshot(
+                inputs.spark, current, "account_id", STATE_COLUMNS, run_at, target, previous
+            )
             previous = target
         return history
 
-    return run
-
-
-def by_segment(name: str, build: Callable[..., DataFrame]) -> dict[str, Query]:
-    return {f"{name}_{segment}": account_report(build, segment) for segment in reports.SEGMENTS}
-
-
-def dq_fact_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.fact_grain(marts(spark, sf_dir).bucketed_fact)
-
-
-def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.not_null(staged_tables(spark, sf_dir), marts(spark, sf_dir).fact)
+    return query(run)
 
 
 EARLY = (testdata.SNAPSHOT_AS_OF, FIRST_RUN)
@@ -178,20 +145,24 @@ EARLY_AGAIN = (testdata.SNAPSHOT_AS_OF, SECOND_RUN)
 LATE = (testdata.AS_OF, SECOND_RUN)
 
 QUERIES: dict[str, Query] = {
-    "stg_accounts": staging("accounts"),
-    "stg_subscriptions": staging("subscriptions"),
-    "stg_feature_usage": staging("feature_usage"),
-    "stg_support_tickets": staging("support_tickets"),
-    "stg_churn_events": staging("churn_events"),
-    "dim_date": dim_date,
-    "account_month_spine": spine,
-    "account_current_state": state,
-    "dim_account": dim_account,
-    "monthly_activity": activity,
-    "monthly_churn_reason": churn_reason,
-    "account_monthly_fact": fact,
+    "stg_accounts": query(lambda inputs: inputs.staged.accounts),
+    "stg_subscriptions": query(lambda inputs: inputs.staged.subscriptions),
+    "stg_feature_usage": query(lambda inputs: inputs.staged.feature_usage),
+    "stg_support_tickets": query(lambda inputs: inputs.staged.support_tickets),
+    "stg_churn_events": query(lambda inputs: inputs.staged.churn_events),
+    "dim_date": query(dim_date),
+    "account_month_spine": query(
+        lambda inputs: account_month_spine(inputs.staged.accounts, inputs.bounds)
+    ),
+    "account_current_state": query(
+        lambda inputs: current_state(inputs.staged.subscriptions, testdata.AS_OF)
+    ),
+    "dim_account": query(lambda inputs: account_dim(inputs.staged.accounts, inputs.bounds)),
+    "monthly_activity": query(activity),
+    "monthly_churn_reason": query(lambda inputs: monthly_churn_reason(inputs.staged.churn_events)),
+    "account_monthly_fact": query(fact),
     "mrr_movement_class": report(movements),
-    "marts_roundtrip": marts_roundtrip,
+    "marts_roundtrip": query(marts_roundtrip),
     "snapshot_initial": snapshot(EARLY),
     "snapshot_noop": snapshot(EARLY, EARLY_AGAIN),
     "snapshot_changed": snapshot(EARLY, LATE),
@@ -209,11 +180,11 @@ QUERIES: dict[str, Query] = {
     "report_exec_summary": report(reports.exec_summary),
     "analysis_churn_rate_plan_tenure": account_report(reports.churn_rate_by_plan_and_tenure),
     "analysis_churn_reasons_industry": account_report(reports.churn_reasons_by_industry),
-    "dq_not_null": dq_not_null,
-    "dq_unique": check(quality.unique),
-    "dq_accepted_values": check(quality.accepted_values),
-    "dq_relationships": check(quality.relationships),
-    "dq_fact_grain": dq_fact_grain,
+    "dq_not_null": query(lambda inputs: quality.not_null(inputs.staged, inputs.marts.fact)),
+    "dq_unique": query(lambda inputs: quality.unique(inputs.staged)),
+    "dq_accepted_values": query(lambda inputs: quality.accepted_values(inputs.staged)),
+    "dq_relationships": query(lambda inputs: quality.relationships(inputs.staged)),
+    "dq_fact_grain": query(lambda inputs: quality.fact_grain(inputs.marts.bucketed_fact)),
     "dq_mrr_nonnegative": report(quality.mrr_nonnegative),
     "dq_mrr_churned_rule": report(quality.mrr_churned_rule),
 }

@@ -11,6 +11,7 @@ def local_session(cpus: int | str = "*", checkpoint_dir: str | None = None) -> S
         .appName("mrrlens")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")

@@ -7,6 +7,8 @@ work to do. `k` is the integer key of the source row.
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,18 +38,18 @@ def every(n: int, yes: str, no: str) -> str:
     return f"if(k % {n} = 0, '{yes}', '{no}')"
 
 
-def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+# Gives a test table by name.
+Source = Callable[[str], DataFrame]
 
 
-def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_accounts(source: Source) -> DataFrame:
     first_orders = (
-        source(spark, sf_dir, "orders")
+        source("orders")
         .groupBy("o_custkey")
         .agg(F.min("o_orderdate").cast("date").alias("first_order"))
     )
-    nations = source(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
-    customers = source(spark, sf_dir, "customer").join(nations, "c_nationkey")
+    nations = source("nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
+    customers = source("customer").join(nations, "c_nationkey")
     with_orders = customers.join(first_orders.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", "left")
     return with_orders.withColumnRenamed("c_custkey", "k").selectExpr(
         "CAST(k AS STRING) AS account_id",
@@ -65,9 +67,9 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_periods(source: Source) -> DataFrame:
     """Orders with the days their subscription starts and ends; null stands for blank."""
-    orders = source(spark, sf_dir, "orders").selectExpr(
+    orders = source("orders").selectExpr(
         "o_orderkey AS k",
         "CAST(o_custkey AS STRING) AS account_id",
         "CAST(o_orderdate AS DATE) AS ordered",
@@ -84,8 +86,8 @@ def order_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_periods(spark, sf_dir).selectExpr(
+def raw_subscriptions(source: Source) -> DataFrame:
+    return order_periods(source).selectExpr(
         "CAST(k AS STRING) AS subscription_id",
         "account_id",
         "coalesce(CAST(starts AS STRING), '') AS start_date",
@@ -105,8 +107,8 @@ def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_feature_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source(spark, sf_dir, "lineitem").selectExpr(
+def raw_feature_usage(source: Source) -> DataFrame:
+    return source("lineitem").selectExpr(
         "concat(l_orderkey, '-', l_linenumber) AS usage_id",
         "CAST(l_orderkey AS STRING) AS subscription_id",
         "CAST(CAST(l_shipdate AS DATE) AS STRING) AS usage_date",
@@ -118,8 +120,8 @@ def raw_feature_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = source(spark, sf_dir, "events").selectExpr(
+def raw_support_tickets(source: Source) -> DataFrame:
+    events = source("events").selectExpr(
         "event_id AS k", "user_id", "event_type", "ts - INTERVAL '8400' DAY AS submitted"
     )
     return events.selectExpr(
@@ -135,8 +137,8 @@ def raw_support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_churn_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    periods = order_periods(spark, sf_dir)
+def raw_churn_events(source: Source) -> DataFrame:
+    periods = order_periods(source)
     return periods.where(
         f"k % 3 = 0 AND ends >= starts AND date_add(ends, 1) < DATE'{AS_OF}'"
     ).selectExpr(
@@ -162,4 +164,6 @@ DERIVATIONS = {
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
-    return RawTables(lambda name: DERIVATIONS[name](spark, sf_dir))
+    """The extracts over the test tables in a folder, each table opened once."""
+    source = cache(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+    return RawTables(lambda name: DERIVATIONS[name](source))

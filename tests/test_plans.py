@@ -25,7 +25,7 @@ def test_no_cross_join_and_no_python(spark, name):
 
 
 def test_spine_is_counted_off_without_a_month_join(spark):
-    plan = plan_of(queries.spine(spark, SF_DIR))
+    plan = plan_of(queries.QUERIES["account_month_spine"](spark, SF_DIR))
     # One exchange, of the derivation's first order dates.
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
 
@@ -36,7 +36,7 @@ def test_usage_is_cut_to_one_row_per_id_before_the_shuffle(spark):
 
 
 def test_fact_is_shuffled_as_change_rows_only(spark):
-    plan = plan_of(queries.fact(spark, SF_DIR))
+    plan = plan_of(queries.QUERIES["account_monthly_fact"](spark, SF_DIR))
     # Printed top down: every exchange lies below the step that spells out months.
     spelled_out = plan.index("explode(sequence(")
     assert "Exchange" not in plan[:spelled_out]
@@ -52,19 +52,19 @@ def no_broadcast(spark):
 
 
 def test_segment_join_needs_no_shuffle_when_accounts_are_many(spark, no_broadcast):
-    marts = queries.marts(spark, "/root/testdata/sf0.1")
+    marts = queries.Inputs(spark, "/root/testdata/sf0.1").marts
     plan = plan_of(reports.logo_churn_by_segment(marts.bucketed_fact, marts.bucketed_accounts, "plan"))
     assert "SortMergeJoin" in plan
     assert "hashpartitioning(account_id" not in plan
 
 
 def test_fact_grain_is_checked_without_a_shuffle(spark):
-    plan = plan_of(queries.dq_fact_grain(spark, "/root/testdata/sf0.1"))
+    plan = plan_of(queries.QUERIES["dq_fact_grain"](spark, "/root/testdata/sf0.1"))
     assert "hashpartitioning" not in plan
 
 
 def test_reports_read_only_their_columns(spark):
-    marts = queries.marts(spark, SF_DIR)
+    marts = queries.Inputs(spark, SF_DIR).marts
     plan = plan_of(reports.churn_reasons_trend(marts.fact))
     assert "ReadSchema: struct<month_start:date,logo_churned:boolean,churn_reason_code:string>" in plan
     assert "EqualTo(logo_churned,true)" in plan

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +16,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def marts(spark):
-    return queries.marts(spark, SF_DIR)
+    return queries.Inputs(spark, SF_DIR).marts
 
 
 def last(value):
@@ -58,10 +61,13 @@ def test_prior_is_last_months_total(marts):
     assert [row.prior_mrr for row in months[1:]] == [row.ending_mrr for row in months[:-1]]
 
 
-def test_marts_are_built_once_per_input(spark, marts):
-    folders = dict(queries._built)
-    queries.marts(spark, SF_DIR)
-    assert queries._built == folders
+def test_marts_are_built_once_per_input(spark, marts, tmp_path):
+    assert queries.Inputs(spark, SF_DIR).marts.folder == marts.folder
+    copy = shutil.copytree(SF_DIR, tmp_path / "copy")
+    other = queries.Inputs(spark, str(copy)).marts
+    assert other.folder != marts.folder
+    os.utime(copy / "orders.parquet", (1, 1))
+    assert queries.Inputs(spark, str(copy)).marts.folder != other.folder
 
 
 def test_schemas_are_those_written(marts):
