@@ -31,10 +31,6 @@ def ordered(rows: DataFrame, *keys: str, most: str | None = None, then: str | No
     return rows.orderBy(*order)
 
 
-def total(name: str) -> Column:
-    return F.sum(name)
-
-
 def lost_revenue() -> Column:
     """Last month's revenue of accounts that pay nothing this month."""
     return F.sum(F.when(F.col("mrr_churned"), F.col("prior_month_mrr")).otherwise(0))
@@ -61,7 +57,7 @@ def with_segment(fact: DataFrame, accounts: DataFrame, *columns: str) -> DataFra
 def revenue_trend(fact: DataFrame) -> DataFrame:
     paying = F.when(F.col("is_active"), F.col("mrr").cast("double"))
     report = fact.groupBy("month_start").agg(
-        total("mrr").alias("total_mrr"),
+        F.sum("mrr").alias("total_mrr"),
         F.count_if("is_active").alias("active_accounts"),
         F.avg(paying).alias("arpa_mrr"),
     )
@@ -70,13 +66,13 @@ def revenue_trend(fact: DataFrame) -> DataFrame:
 
 def mrr_waterfall(fact: DataFrame) -> DataFrame:
     report = fact.groupBy("month_start").agg(
-        *[total(name).alias(name) for name in MOVEMENTS], total("mrr").alias("ending_mrr")
+        *[F.sum(name).alias(name) for name in MOVEMENTS], F.sum("mrr").alias("ending_mrr")
     )
     return ordered(report, "month_start")
 
 
 def net_mrr_change(fact: DataFrame) -> DataFrame:
-    months = fact.groupBy("month_start").agg(total("mrr").alias("total_mrr"))
+    months = fact.groupBy("month_start").agg(F.sum("mrr").alias("total_mrr"))
     report = months.withColumn("mrr_delta", change_since_last_month("total_mrr"))
     return ordered(report, "month_start")
 
@@ -104,9 +100,9 @@ def logo_churn_by_segment(fact: DataFrame, accounts: DataFrame, segment: str = "
 
 def revenue_churn_trend(fact: DataFrame) -> DataFrame:
     report = fact.groupBy("month_start").agg(
-        total("prior_month_mrr").alias("prior_mrr"),
+        F.sum("prior_month_mrr").alias("prior_mrr"),
         lost_revenue().alias("churned_mrr_from_prior"),
-        total("mrr").alias("ending_mrr"),
+        F.sum("mrr").alias("ending_mrr"),
     )
     rate = share(F.col("churned_mrr_from_prior"), F.col("prior_mrr"))
     report = report.select(
@@ -124,16 +120,15 @@ def revenue_churn_by_segment(fact: DataFrame, accounts: DataFrame, segment: str
     report = (
         with_segment(fact, accounts, column)
         .groupBy("month_start", column)
-        .agg(lost_revenue().alias("churned_mrr"), total("prior_month_mrr").alias("prior_mrr"))
+        .agg(lost_revenue().alias("churned_mrr"), F.sum("prior_month_mrr").alias("prior_mrr"))
         .withColumn("revenue_churn_rate", share(F.col("churned_mrr"), F.col("prior_mrr")))
     )
     return ordered(report, "month_start", column)
 
 
 def churn_reasons(rows: DataFrame, *keys: str, count: str) -> DataFrame:
-    """Churned account-months per reason; the filter comes before any join."""
-    report = rows.groupBy(*keys, "churn_reason_code").agg(F.count("*").alias(count))
-    return report
+    """Churned account-months per reason, of rows already cut down to those."""
+    return rows.groupBy(*keys, "churn_reason_code").agg(F.count("*").alias(count))
 
 
 def churned(fact: DataFrame) -> DataFrame:
@@ -185,14 +180,14 @@ def exec_summary(fact: DataFrame) -> DataFrame:
     The fact is read once, reduced to month and reason, and rolled up from there.
     """
     per_reason = fact.groupBy("month_start", "churn_reason_code").agg(
-        total("mrr").alias("mrr"),
-        *[total(name).alias(name) for name in MOVEMENTS],
+        F.sum("mrr").alias("mrr"),
+        *[F.sum(name).alias(name) for name in MOVEMENTS],
         F.count_if("logo_churned").alias("churned_accounts"),
     )
     months = per_reason.groupBy("month_start").agg(
-        total("mrr").alias("ending_mrr"),
-        *[total(name).alias(name) for name in MOVEMENTS],
-        total("churned_accounts").alias("logo_churned_accounts"),
+        F.sum("mrr").alias("ending_mrr"),
+        *[F.sum(name).alias(name) for name in MOVEMENTS],
+        F.sum("churned_accounts").alias("logo_churned_accounts"),
         top_reason().alias("top_churn_reason"),
     )
     report = months.select(
