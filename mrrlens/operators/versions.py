@@ -11,13 +11,13 @@ VERSION_COLUMNS = ("version_id", "updated_at", "valid_from", "valid_to")
 
 
 def version_id(key: Column, run_at: Column) -> Column:
-    stamp = F.date_format(run_at, "yyyy-MM-dd HH:mm:ss")
-    return F.sha2(F.concat_ws("|", key, stamp), 256)
+    return F.sha2(F.concat_ws("|", key, run_at.cast("string")), 256)
 
 
 def first_versions(current: DataFrame, key: str, run_at: datetime.datetime) -> DataFrame:
-    """Every row of `current` as an open version."""
-    stamp = F.lit(run_at).cast("timestamp_ntz")
+    """Every row of `current` as an open version, from `run_at` (a time without a zone)."""
+    # By way of text, so that no session's time zone moves it.
+    stamp = F.lit(run_at.isoformat(sep=" ")).cast("timestamp_ntz")
     return require_key(current, key).select(
         "*",
         version_id(F.col(key).cast("string"), stamp).alias("version_id"),

@@ -58,6 +58,15 @@ def test_version_ids_are_unique(spark, folder):
     assert len(ids) == len(set(ids)) == 3
 
 
+def test_run_time_is_the_same_in_any_zone(spark, folder):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = take(spark, folder(), FIRST, ("a", "Pro", 1))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert rows == {("a", "Pro", 1, FIRST, None)}
+
+
 def test_null_key_is_refused(spark, folder):
     with pytest.raises(Exception, match="null id in snapshot input"):
         take(spark, folder(), FIRST, (None, "Pro", 1))
