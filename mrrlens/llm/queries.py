@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from mrrlens.llm.kd_shards import kd_shards
 from mrrlens.llm.packing import pack_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,8 +24,17 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, keep_ids=False)
 
 
+def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = kd_shards(table(spark, sf_dir, "documents"), shards=16)
+    return shards.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
+    "op10_kd_shards": op10_kd_shards,
 }
 
 ORACLES: dict[str, str] = {}
