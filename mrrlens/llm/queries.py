@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mrrlens.llm.kd_shards import kd_shards
+from mrrlens.llm.labelled import id_remainder
+from mrrlens.llm.language_cnn import fit_languages, identify_languages
 from mrrlens.llm.packing import pack_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +26,18 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, keep_ids=False)
 
 
+def held_out(modulus: int, remainder: int) -> Column:
+    """Whether a document is kept from training; one without an id is."""
+    return F.coalesce(id_remainder(F.col("doc_id"), modulus) == remainder, F.lit(True))
+
+
+def op7_language_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    network = fit_languages(docs.where(~held_out(5, 0)))
+    found = identify_languages(docs.select("doc_id", "text"), network, score_column="score")
+    return found.select("doc_id", held_out(5, 0).alias("held_out"), "lang_pred", "score")
+
+
 def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = kd_shards(table(spark, sf_dir, "documents"), shards=16)
     return shards.select(
@@ -34,6 +48,7 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
+    "op7_language_cnn": op7_language_cnn,
     "op10_kd_shards": op10_kd_shards,
 }
 
