@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+import zlib
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+WORD = re.compile(r"[^\W\d_]+")
+
 #: Classes are the most common labels, this many at most.
 MOST_CLASSES = 256
 
@@ -56,3 +61,19 @@ class Adam:
 
 def sigmoid(values: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(values, -60, 60)))
+
+
+class WordBuckets(dict):
+    """Buckets of words by hash. Holds the words met so far, and starts anew when they are many."""
+
+    MOST_WORDS = 1_000_000
+
+    def __init__(self, buckets: int) -> None:
+        super().__init__()
+        self.buckets = buckets
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.MOST_WORDS:
+            self.clear()
+        found = self[word] = zlib.crc32(word.encode("utf-8", "replace")) % self.buckets
+        return found

@@ -12,6 +12,8 @@ from mrrlens.llm.kd_shards import kd_shards
 from mrrlens.llm.labelled import id_remainder
 from mrrlens.llm.language_cnn import fit_languages, identify_languages
 from mrrlens.llm.packing import pack_documents
+from mrrlens.llm.quality_fm import fit_quality, score_quality
+from mrrlens.llm.toxicity_mil import fit_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,15 +24,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, keep_ids=False)
-
-
 def held_out(modulus: int, remainder: int) -> Column:
     """Whether a document is kept from training; one without an id is."""
     return F.coalesce(id_remainder(F.col("doc_id"), modulus) == remainder, F.lit(True))
 
 
+def labelled_documents(spark: SparkSession, sf_dir: str, label: str, out: Column) -> DataFrame:
+    """Texts and labels of the documents that may be learnt from."""
+    labels = table(spark, sf_dir, "labels").where(F.col(label).isNotNull() & ~out)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.join(labels.select("doc_id", label), "doc_id").select("text", label)
+
+
+def op2_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = held_out(4, 2)
+    model = fit_quality(labelled_documents(spark, sf_dir, "quality", out))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_quality(docs, model, score_column="score")
+    predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
+    return scored.select("doc_id", out.alias("held_out"), "score", predicted)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, keep_ids=False)
+
+
 def op7_language_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     network = fit_languages(docs.where(~held_out(5, 0)))
@@ -38,6 +56,15 @@ def op7_language_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(5, 0).alias("held_out"), "lang_pred", "score")
 
 
+def op8_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = held_out(5, 0)
+    model = fit_toxicity(labelled_documents(spark, sf_dir, "toxic", out))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, model, score_column="score", spans_column="spans")
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", out.alias("held_out"), "score", predicted, "spans")
+
+
 def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = kd_shards(table(spark, sf_dir, "documents"), shards=16)
     return shards.select(
@@ -47,8 +74,10 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_quality_fm": op2_quality_fm,
     "op4_packing": op4_packing,
     "op7_language_cnn": op7_language_cnn,
+    "op8_toxicity_mil": op8_toxicity_mil,
     "op10_kd_shards": op10_kd_shards,
 }
 
