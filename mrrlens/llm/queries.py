@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mrrlens.llm.inner_product_search import inner_product_search
 from mrrlens.llm.kd_shards import kd_shards
 from mrrlens.llm.labelled import id_remainder
 from mrrlens.llm.language_cnn import fit_languages, identify_languages
@@ -65,6 +66,11 @@ def op8_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", predicted, "spans")
 
 
+def op9_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return inner_product_search(vectors, F.col("vec_id") % 20 == 0, best=20)
+
+
 def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = kd_shards(table(spark, sf_dir, "documents"), shards=16)
     return shards.select(
@@ -78,7 +84,27 @@ QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
     "op7_language_cnn": op7_language_cnn,
     "op8_toxicity_mil": op8_toxicity_mil,
+    "op9_inner_products": op9_inner_products,
     "op10_kd_shards": op10_kd_shards,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_inner_products": """
+        WITH vectors AS (
+            SELECT row_number() OVER () AS row_id, vec_id,
+                list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.row_id AS query_row, q.vec_id AS query_id, c.vec_id, c.row_id,
+                list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+            FROM vectors q JOIN vectors c ON q.row_id <> c.row_id AND len(q.v) = len(c.v)
+            WHERE q.vec_id % 20 = 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id, row_id) AS rank
+            FROM scored
+        )
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+}
