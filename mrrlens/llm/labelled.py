@@ -20,24 +20,40 @@ def id_remainder(id_column: Column, modulus: int) -> Column:
     return F.crc32(id_column.cast("string").cast("binary")) % modulus
 
 
-def bounded_sample(rows: DataFrame, label: str, value: str, per_class: int) -> list[tuple]:
-    """(label, value) pairs for training: about `per_class` rows of each label, chosen by hash.
+def bounded_choice(rows: DataFrame, label: str, value: str, per_class: int) -> DataFrame:
+    """`label` and `value` of about `per_class` rows of each label, chosen by hash.
 
-    A label with fewer rows gives them all. At most twice as many rows as the
-    classes allow are fetched, however often rows repeat. Null labels and values
-    are no examples.
+    A label with fewer rows gives them all. There are at most twice as many rows
+    as the classes allow, however often rows repeat. Null labels and values are
+    no examples.
     """
     known = rows.where(F.col(label).isNotNull() & F.col(value).isNotNull()).select(
         F.col(label).alias("label"), F.col(value).alias("value")
     )
     counts = known.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MOST_CLASSES).collect()
     if not counts:
-        return []
+        return known.limit(0)
     shares = [(F.lit(row.label), F.lit(min(1.0, per_class / row["count"]))) for row in counts]
     share = F.create_map(*[item for pair in shares for item in pair])[F.col("label")]
     draw = F.pmod(F.xxhash64("value", "label"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = known.where(draw < share).limit(2 * per_class * len(counts)).collect()
-    return sorted((row.label, row.value) for row in chosen)
+    return known.where(draw < share).limit(2 * per_class * len(counts))
+
+
+def bounded_sample(rows: DataFrame, label: str, value: str, per_class: int) -> list[tuple]:
+    """Those rows, in a fixed order."""
+    return sorted((row.label, row.value) for row in bounded_choice(rows, label, value, per_class).collect())
+
+
+def labelled_texts(
+    docs: DataFrame, labels: DataFrame, label: str, id_column: str, text_column: str, per_class: int
+) -> tuple[list[str], list[int]]:
+    """Texts and labels (0 or 1) of a bounded sample. Ids are chosen among the labels, so only
+    the chosen texts move, and the chosen ids are few enough to be sent to every task."""
+    chosen = bounded_choice(labels.where(F.col(label).isin(0, 1)), label, id_column, per_class)
+    texts = docs.select(F.col(id_column).alias("value"), F.col(text_column).alias("text"))
+    found = texts.where(F.col("text").isNotNull()).join(F.broadcast(chosen), "value").select("label", "text")
+    rows = sorted((int(row.label), row.text) for row in found.limit(4 * per_class).collect())
+    return [text for _, text in rows], [label for label, _ in rows]
 
 
 class Adam:

@@ -13,11 +13,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mrrlens.llm.labelled import WORD, Adam, WordBuckets, bounded_sample, sigmoid
+from mrrlens.llm.labelled import WORD, Adam, WordBuckets, labelled_texts, sigmoid
 
 BUCKETS, RANK = 1 << 16, 4
 #: Labelled documents of each class to train on, passes over them, documents of a step.
-TEXTS_PER_CLASS, EPOCHS, BATCH = 2500, 12, 256
+TEXTS_PER_CLASS, EPOCHS, BATCH = 2000, 12, 256
 RATE, DECAY = 0.02, 1e-4
 SENTENCE = re.compile(r"[^.!?\n]+")
 STATISTICS = (
@@ -167,10 +167,11 @@ def train(texts: list[str], labels: list[int], seed: int = 3) -> Model | None:
     return Model(float(offset[0]), weights, factors, means, spreads)
 
 
-def fit_quality(labelled: DataFrame, label: str = "quality", text: str = "text") -> Model | None:
+def fit_quality(
+    docs: DataFrame, labels: DataFrame, label: str = "quality", id_column: str = "doc_id", text: str = "text"
+) -> Model | None:
     """A machine from a bounded sample of labelled documents, by default TEXTS_PER_CLASS of each class."""
-    sample = bounded_sample(labelled.where(F.col(label).isin(0, 1)), label, text, TEXTS_PER_CLASS)
-    return train([text for _, text in sample], [int(label) for label, _ in sample])
+    return train(*labelled_texts(docs, labels, label, id_column, text, TEXTS_PER_CLASS))
 
 
 def quality_of(model: Model | None, text: Column) -> Column:

@@ -14,6 +14,8 @@ from mrrlens.llm.labelled import id_remainder
 from mrrlens.llm.language_cnn import fit_languages, identify_languages
 from mrrlens.llm.packing import pack_documents
 from mrrlens.llm.quality_fm import fit_quality, score_quality
+from mrrlens.llm.secret_ledger import RULES, SecretLedger, scan_secrets
+from mrrlens.llm.storage import Scratch
 from mrrlens.llm.toxicity_mil import fit_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,17 +32,10 @@ def held_out(modulus: int, remainder: int) -> Column:
     return F.coalesce(id_remainder(F.col("doc_id"), modulus) == remainder, F.lit(True))
 
 
-def labelled_documents(spark: SparkSession, sf_dir: str, label: str, out: Column) -> DataFrame:
-    """Texts and labels of the documents that may be learnt from."""
-    labels = table(spark, sf_dir, "labels").where(F.col(label).isNotNull() & ~out)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.join(labels.select("doc_id", label), "doc_id").select("text", label)
-
-
 def op2_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = held_out(4, 2)
-    model = fit_quality(labelled_documents(spark, sf_dir, "quality", out))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, table(spark, sf_dir, "labels").where(~out))
     scored = score_quality(docs, model, score_column="score")
     predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
     return scored.select("doc_id", out.alias("held_out"), "score", predicted)
@@ -50,6 +45,21 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, keep_ids=False)
 
 
+def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts from an empty ledger, so every content is new."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = scan_secrets(docs, SecretLedger(spark, Scratch(spark).folder))
+    words = F.transform("secrets", lambda span: F.concat_ws(":", span["kind"], span["start"], span["end"]))
+    kinds = F.transform("secrets", lambda span: span["kind"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(kinds, lambda one: one == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(rule.kind) for rule in RULES]
+    spans = F.array_join(words, ",")
+    return found.select("doc_id", *counts, F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))
+
+
 def op7_language_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     network = fit_languages(docs.where(~held_out(5, 0)))
@@ -59,8 +69,8 @@ def op7_language_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = held_out(5, 0)
-    model = fit_toxicity(labelled_documents(spark, sf_dir, "toxic", out))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels").where(~out))
     scored = score_toxicity(docs, model, score_column="score", spans_column="spans")
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
     return scored.select("doc_id", out.alias("held_out"), "score", predicted, "spans")
@@ -82,13 +92,41 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_quality_fm": op2_quality_fm,
     "op4_packing": op4_packing,
+    "op6_secret_ledger": op6_secret_ledger,
     "op7_language_cnn": op7_language_cnn,
     "op8_toxicity_mil": op8_toxicity_mil,
     "op9_inner_products": op9_inner_products,
     "op10_kd_shards": op10_kd_shards,
 }
 
+ASSIGN = """(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
 ORACLES: dict[str, str] = {
+    "op6_secret_ledger": f"""
+        WITH rules(place, kind, pattern, least) AS (
+            VALUES (0, 'assign', '{ASSIGN}', 6), (1, 'access', '(AKIA[A-Z0-9]+)', 20), (2, 'hex', '([0-9a-f]{{24,}})', 24)
+        ), texts AS (
+            SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents
+        ), each AS (
+            SELECT row_id, place, kind, least,
+                unnest(list_transform(string_split_regex(text, pattern), lambda gap: length(gap))) AS gap,
+                unnest(list_transform(regexp_extract_all(text, pattern, 0), lambda hit: length(hit))) AS width,
+                unnest(list_transform(regexp_extract_all(text, pattern, 1), lambda key: length(key))) AS size,
+                unnest(range(1, 1 + len(regexp_extract_all(text, pattern, 0)))) AS n
+            FROM texts, rules
+        ), spans AS (
+            SELECT row_id, place, kind, least, size, width, sum(gap + width) OVER run - width AS start
+            FROM each WHERE n IS NOT NULL WINDOW run AS (PARTITION BY row_id, place ORDER BY n)
+        ), joined AS (
+            SELECT row_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+                count(*) FILTER (kind = 'hex') AS n_hex,
+                string_agg(kind || ':' || start::BIGINT || ':' || (start + width)::BIGINT, ',' ORDER BY start, place) AS spans
+            FROM spans WHERE size >= least GROUP BY row_id
+        )
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+            coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM texts LEFT JOIN joined USING (row_id)
+    """,
     "op9_inner_products": """
         WITH vectors AS (
             SELECT row_number() OVER () AS row_id, vec_id,

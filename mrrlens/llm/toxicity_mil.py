@@ -12,13 +12,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mrrlens.llm.labelled import WORD, Adam, WordBuckets, bounded_sample, sigmoid
+from mrrlens.llm.labelled import WORD, Adam, WordBuckets, labelled_texts, sigmoid
 
 BUCKETS = 1 << 18
 #: Letters of a word's beginnings that count besides the word.
 PREFIXES = (4, 5, 6)
 #: Labelled documents of each class to train on; steps; strength of the pull of weights to zero.
-TEXTS_PER_CLASS, STEPS, SHRINK = 2500, 160, 2e-4
+TEXTS_PER_CLASS, STEPS, SHRINK = 2000, 160, 2e-4
 #: What all toxic documents weigh together in training, of 1.
 TOXIC_SHARE = 0.2
 #: Documents of the sample that a word must be in to get a weight; weights below FAINT are dropped.
@@ -150,10 +150,11 @@ class Scorer:
         return score, [{"start": start, "end": end, "score": chance} for chance, start, end in found]
 
 
-def fit_toxicity(labelled: DataFrame, label: str = "toxic", text: str = "text") -> Model | None:
+def fit_toxicity(
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", id_column: str = "doc_id", text: str = "text"
+) -> Model | None:
     """A model from a bounded sample of labelled documents, by default TEXTS_PER_CLASS of each class."""
-    sample = bounded_sample(labelled.where(F.col(label).isin(0, 1)), label, text, TEXTS_PER_CLASS)
-    return train([text for _, text in sample], [int(label) for label, _ in sample])
+    return train(*labelled_texts(docs, labels, label, id_column, text, TEXTS_PER_CLASS))
 
 
 def toxicity_of(model: Model | None, text: Column) -> Column:
