@@ -12,6 +12,7 @@ from mrrlens.llm.inner_product_search import inner_product_search
 from mrrlens.llm.kd_shards import kd_shards
 from mrrlens.llm.labelled import id_remainder
 from mrrlens.llm.language_cnn import fit_languages, identify_languages
+from mrrlens.llm.line_dedup import dedup_lines
 from mrrlens.llm.packing import pack_documents
 from mrrlens.llm.quality_fm import fit_quality, score_quality
 from mrrlens.llm.secret_ledger import RULES, SecretLedger, scan_secrets
@@ -32,6 +33,10 @@ def held_out(modulus: int, remainder: int) -> Column:
     return F.coalesce(id_remainder(F.col("doc_id"), modulus) == remainder, F.lit(True))
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "removed_lines")
+
+
 def op2_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = held_out(4, 2)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -90,6 +95,7 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_quality_fm": op2_quality_fm,
     "op4_packing": op4_packing,
     "op6_secret_ledger": op6_secret_ledger,
