@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mrrlens.llm.dart_minhash import near_duplicates
 from mrrlens.llm.inner_product_search import inner_product_search
 from mrrlens.llm.kd_shards import kd_shards
 from mrrlens.llm.labelled import id_remainder
@@ -46,6 +47,10 @@ def op2_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", predicted)
 
 
+def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, keep_ids=False)
 
@@ -97,6 +102,7 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_fm": op2_quality_fm,
+    "op3_dart_minhash": op3_dart_minhash,
     "op4_packing": op4_packing,
     "op6_secret_ledger": op6_secret_ledger,
     "op7_language_cnn": op7_language_cnn,
