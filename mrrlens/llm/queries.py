@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mrrlens.llm.dart_minhash import near_duplicates
+from mrrlens.llm.decontamination import contaminated
 from mrrlens.llm.inner_product_search import inner_product_search
 from mrrlens.llm.kd_shards import kd_shards
 from mrrlens.llm.labelled import id_remainder
@@ -55,6 +56,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, keep_ids=False)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "windows", "found", "changed_slots")
+
+
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty ledger, so every content is new."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -104,6 +110,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality_fm": op2_quality_fm,
     "op3_dart_minhash": op3_dart_minhash,
     "op4_packing": op4_packing,
+    "op5_decontamination": op5_decontamination,
     "op6_secret_ledger": op6_secret_ledger,
     "op7_language_cnn": op7_language_cnn,
     "op8_toxicity_mil": op8_toxicity_mil,
