@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,6 +30,6 @@ def date_literal(day: datetime.date | None) -> Column:
     return F.lit(day).cast("date")
 
 
-def as_of_day(as_of: datetime.date | None) -> Column:
-    """The day that counts as today: a given one, else the run's own date."""
-    return F.current_date() if as_of is None else date_literal(as_of)
+def run_day(spark: SparkSession) -> datetime.date:
+    """The session's current date, for a run to settle on once."""
+    return spark.range(1).select(F.current_date().alias("day")).first().day

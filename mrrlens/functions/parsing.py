@@ -1,7 +1,8 @@
 """Raw text to typed columns, as SQL expressions over a column name.
 
-Tolerant parsers turn bad text into null. Strict ones rely on ANSI casts and
-fail the query, so a corrupt refund or ticket time never passes unseen.
+Tolerant parsers turn bad text into null. Strict ones fail the query, whatever
+the session's ANSI mode, so a corrupt refund or ticket time never passes unseen.
+No parser turns a number that is well formed into null: one beyond 64 bits fails.
 """
 
 from __future__ import annotations
@@ -35,14 +36,30 @@ def tolerant_date(name: str) -> str:
     return f"CASE WHEN {text} RLIKE r'{FULL_DATE}' THEN try_cast({text} AS DATE) END"
 
 
+def failure(name: str, kind: str, what: str) -> str:
+    """An expression of a type that fails the query, naming the column and its text."""
+    return f"CAST(raise_error(concat('{name}: {what}: ', {as_text(name)})) AS {kind})"
+
+
+def whole(name: str, decimal: str) -> str:
+    """A 64-bit number from a decimal; one that does not fit fails."""
+    return f"""CASE WHEN {decimal} IS NOT NULL
+        THEN coalesce(try_cast({decimal} AS BIGINT), {failure(name, "BIGINT", "beyond 64 bits")}) END"""
+
+
+def strict(name: str, kind: str) -> str:
+    """Text of a type; null stays null, other text fails."""
+    return f"""CASE WHEN {name} IS NOT NULL
+        THEN coalesce(try_cast({name} AS {kind}), {failure(name, kind, "not a " + kind.split("(")[0].lower())}) END"""
+
+
 def tolerant_integer(name: str) -> str:
-    """Nearest whole number, halves away from zero.
+    """Nearest whole number, halves away from zero; null if the text is none of up to 38 digits.
 
     Plain digits take the cheap cast; only other text pays for a decimal.
     """
     text = as_text(name)
-    rounded = f"try_cast(try_cast({text} AS DECIMAL(38,0)) AS BIGINT)"
-    return f"coalesce(try_cast({text} AS BIGINT), {rounded})"
+    return f"coalesce(try_cast({text} AS BIGINT), {whole(name, f'try_cast({text} AS DECIMAL(38,0))')})"
 
 
 def tolerant_boolean(name: str) -> str:
@@ -53,12 +70,12 @@ def tolerant_boolean(name: str) -> str:
 
 
 def strict_timestamp(name: str) -> str:
-    return f"CAST({name} AS TIMESTAMP_NTZ)"
+    return strict(name, "TIMESTAMP_NTZ")
 
 
 def strict_amount(name: str) -> str:
-    return f"CAST({name} AS DECIMAL(38,2))"
+    return strict(name, "DECIMAL(38,2)")
 
 
 def strict_integer(name: str) -> str:
-    return f"CAST(CAST({name} AS DECIMAL(38,0)) AS BIGINT)"
+    return f"coalesce(try_cast({name} AS BIGINT), {whole(name, strict(name, 'DECIMAL(38,0)'))})"

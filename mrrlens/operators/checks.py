@@ -38,38 +38,39 @@ def repeated_keys(rows: DataFrame, columns: list[str], skip_nulls: bool = True)
     return rows.groupBy(*columns).agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
 
 
-def unexpected_values(rows: DataFrame, relation: str, allowed: dict[str, tuple[str, ...]]) -> DataFrame:
-    """Distinct values outside a column's list; nulls pass. One pass for all columns.
+def unexpected_values(relations: dict[str, tuple[DataFrame, dict[str, tuple[str, ...]]]]) -> DataFrame:
+    """Distinct values outside the lists of columns, by relation; nulls pass.
 
-    Bad values are grouped within each task first, so one that fills a third of
-    the table is a single row by the time it is shuffled.
+    One pass over each relation. Bad values of all of them are grouped together,
+    within each task first, so one that fills a third of a table is a single row
+    by the time it is shuffled. Checks that find nothing enter with a null value.
     """
-    faults = {
-        name: F.coalesce(~F.col(name).isin(*values), F.lit(False)) for name, values in allowed.items()
-    }
-    listed = [
-        F.when(
-            fault,
-            F.struct(F.lit(check_name(relation, name)).alias("check_name"), F.col(name).alias("value")),
-        )
-        for name, fault in faults.items()
-    ]
-    faulty = rows.where(reduce(Column.__or__, faults.values()))
-    bad = faulty.select(F.inline(F.array_compact(F.array(*listed)))).groupBy("check_name", "value").count()
-    found = bad.groupBy("check_name").agg(F.count("*").alias("violations"))
-    return with_clean_checks(found, [check_name(relation, name) for name in allowed])
+    bad, names = [], []
+    for relation, (rows, allowed) in relations.items():
+        faults = {
+            name: F.coalesce(~F.col(name).isin(*values), F.lit(False)) for name, values in allowed.items()
+        }
+        listed = [
+            F.when(fault, F.struct(F.lit(check_name(relation, name)).alias("check_name"), F.col(name).alias("value")))
+            for name, fault in faults.items()
+        ]
+        faulty = rows.where(reduce(Column.__or__, faults.values()))
+        bad.append(faulty.select(F.inline(F.array_compact(F.array(*listed)))))
+        names += [check_name(relation, name) for name in allowed]
+    clean = zero_rows(bad[0], names).select("check_name", F.lit(None).cast("string").alias("value"))
+    values = together([*bad, clean]).groupBy("check_name", "value").count()
+    return values.groupBy("check_name").agg(F.count("value").alias("violations"))
 
 
 def check_name(relation: str, column: str) -> str:
     return f"accepted_values:{relation}.{column}"
 
 
-def with_clean_checks(found: DataFrame, names: list[str]) -> DataFrame:
-    """Add a zero row for each named check that found nothing."""
-    spark = found.sparkSession
+def zero_rows(frame: DataFrame, names: list[str]) -> DataFrame:
+    """A row without violations for each named check."""
     every = F.array(*[F.lit(name) for name in names])
-    clean = spark.range(1).select(F.explode(every).alias("check_name"), F.lit(0).cast("bigint").alias("violations"))
-    return found.unionByName(clean).groupBy("check_name").agg(F.sum("violations").alias("violations"))
+    rows = frame.sparkSession.range(0, 1, 1, 1)
+    return rows.select(F.explode(every).alias("check_name"), F.lit(0).cast("bigint").alias("violations"))
 
 
 def orphans(children: dict[str, tuple[DataFrame, str]], parents: DataFrame, key: str) -> DataFrame:
@@ -87,12 +88,9 @@ def orphans(children: dict[str, tuple[DataFrame, str]], parents: DataFrame, key:
             for name, (rows, column) in children.items()
         ]
     )
-    found = (
-        counted.join(parents.select(key), key, "left_anti")
-        .groupBy("check_name")
-        .agg(F.sum("violations").alias("violations"))
-    )
-    return with_clean_checks(found, list(children))
+    found = counted.join(parents.select(key), key, "left_anti").select("check_name", "violations")
+    both = found.unionByName(zero_rows(found, list(children)))
+    return both.groupBy("check_name").agg(F.sum("violations").alias("violations"))
 
 
 def broken_rule(name: str, rows: DataFrame, rule: Column) -> DataFrame:

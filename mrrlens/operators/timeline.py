@@ -24,7 +24,7 @@ from mrrlens.functions.months import (
 # Stands for "no end": later than any month a calendar can hold.
 OPEN_ENDED = datetime.date(9999, 12, 1)
 
-# Most months put into one array when a segment is spelled out.
+# Most elements of an array when a segment is spelled out.
 CHUNK = 4096
 
 
@@ -43,12 +43,6 @@ def change(amount: int) -> Column:
     return F.lit(amount).cast("bigint")
 
 
-def ids_repeat(rows: DataFrame, column: str) -> bool:
-    """Whether some id is on more than one row: one number, fetched."""
-    per_id = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows"))
-    return (per_id.agg(F.max("rows").alias("most")).first().most or 0) > 1
-
-
 def subscription_periods(subscriptions: DataFrame) -> DataFrame:
     """First and last month of each subscription.
 
@@ -235,26 +229,25 @@ def spell_out_months(segments: DataFrame) -> DataFrame:
     )
 
 
-def spell_out_rows(segments: DataFrame, longest: int | None = None, spread: bool = False) -> DataFrame:
+def spell_out_rows(segments: DataFrame) -> DataFrame:
     """One row per account row and month, with that row's own prior revenue.
 
-    `longest` is the most rows a segment can stand for, if known: above `CHUNK`
-    segments are first cut into chunks. With `spread`, the chunks of one segment
-    go to different tasks.
+    A segment is spelled out in chunks of chunks, so no array is longer than
+    `CHUNK` however many account rows share an id, and rows only stream.
 
     Rows of an account are ordered by month, so the first copy of a month looks
     back to the month before and any further copy to its twin in the same month.
     """
     zero = F.lit(0).cast("bigint")
     segments = segments.withColumn("total", F.col("months") * F.col("copies"))
-    start, stop = zero, F.col("total") - 1
-    if spread or longest is None or longest > CHUNK:
-        chunks = F.sequence(zero, F.expr(f"(total - 1) div {CHUNK}"))
-        segments = segments.withColumn("chunk", F.explode(chunks))
-        if spread:
-            segments = segments.repartition("account_id", "month", "chunk")
-        start = F.col("chunk") * CHUNK
-        stop = F.least(start + CHUNK, F.col("total")) - 1
+    last_chunk = F.expr(f"(total - 1) div {CHUNK}")
+    blocks = F.sequence(zero, F.expr(f"(total - 1) div {CHUNK * CHUNK}"))
+    segments = segments.withColumn("block", F.explode(blocks))
+    first_chunk = F.col("block") * CHUNK
+    chunks = F.sequence(first_chunk, F.least(first_chunk + CHUNK - 1, last_chunk))
+    segments = segments.withColumn("chunk", F.explode(chunks))
+    start = F.col("chunk") * CHUNK
+    stop = F.least(start + CHUNK, F.col("total")) - 1
     rows = (
         segments.withColumn("row", F.explode(F.sequence(start, stop)))
         .withColumn("offset", F.expr("row div copies").cast("int"))

@@ -1,56 +1,63 @@
-"""Versioned history of a keyed relation (type 2), by comparing columns."""
+"""Versioned history of a keyed relation (type 2), by comparing columns, kept under a name."""
 
 from __future__ import annotations
 
 import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from mrrlens.session import session_settings
 
 VERSION_COLUMNS = ("version_id", "updated_at", "valid_from", "valid_to")
 
+# A run's rows lie apart: versions that are open after it, versions that it closed.
+OPEN, CLOSED = "open", "closed"
+RUNS = "run_at timestamp_ntz, columns string, run int"
+
 
 def version_id(key: Column, run_at: Column) -> Column:
     return F.sha2(F.concat_ws("|", key, run_at.cast("string")), 256)
 
 
+def stamp(run_at: datetime.datetime) -> Column:
+    """A time without a zone; by way of text, so that no session's time zone moves it."""
+    return F.lit(run_at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def first_versions(current: DataFrame, key: str, run_at: datetime.datetime) -> DataFrame:
-    """Every row of `current` as an open version, from `run_at` (a time without a zone)."""
-    # By way of text, so that no session's time zone moves it.
-    stamp = F.lit(run_at.isoformat(sep=" ")).cast("timestamp_ntz")
-    return require_key(current, key).select(
+    """Every row of `current` as an open version, from `run_at` (a time without a zone).
+
+    A null key fails: it would match nothing and be inserted by every run. The
+    key itself is left as it is, so that its partitioning serves the join.
+    """
+    missing = F.raise_error(F.lit(f"null {key} in snapshot input")).cast("string")
+    known = F.coalesce(F.col(key).cast("string"), missing)
+    return current.select(
         "*",
-        version_id(F.col(key).cast("string"), stamp).alias("version_id"),
-        stamp.alias("updated_at"),
-        stamp.alias("valid_from"),
+        version_id(known, stamp(run_at)).alias("version_id"),
+        stamp(run_at).alias("updated_at"),
+        stamp(run_at).alias("valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("valid_to"),
     )
 
 
-def require_key(current: DataFrame, key: str) -> DataFrame:
-    """Fail on a null key: it would match nothing and be inserted by every run."""
-    checked = F.when(F.col(key).isNull(), F.raise_error(F.lit(f"null {key} in snapshot input")))
-    return current.withColumn(key, checked.otherwise(F.col(key)))
-
-
 def merge_versions(
-    history: DataFrame,
+    opened: DataFrame,
     current: DataFrame,
     key: str,
     check_columns: list[str],
     run_at: datetime.datetime,
 ) -> DataFrame:
-    """History after one more run.
+    """What a run makes of the open versions: those that stay open, and those it closes.
 
     A changed row closes its open version and opens a new one, a new key opens
-    one, an unchanged or missing key stays as it is. Only open versions meet the
-    current rows in a join; closed ones, which grow without end, pass by it.
+    one, an unchanged or missing key stays as it is.
     """
-    columns = history.columns
-    closed = history.where(F.col("valid_to").isNotNull())
-    opened = history.where(F.col("valid_to").isNull())
+    columns = opened.columns
     incoming = first_versions(current, key, run_at).select(*columns)
-
     old = opened.select(key, F.struct(*columns).alias("old"))
     new = incoming.select(key, F.struct(*columns).alias("new"))
     pairs = old.join(new, key, "full_outer")
@@ -64,26 +71,72 @@ def merge_versions(
         .when(F.col("new").isNull() | same, F.array("old"))
         .otherwise(F.array(ended, F.col("new")))
     )
-    return closed.unionByName(pairs.select(F.inline(outcome)))
+    return pairs.select(F.inline(outcome))
 
 
-def run_snapshot(
-    spark: SparkSession,
-    current: DataFrame,
-    key: str,
-    check_columns: list[str],
-    run_at: datetime.datetime,
-    target: str,
-    previous: str | None = None,
-) -> DataFrame:
-    """Write the history after this run to `target`, a folder of its own.
+class Snapshot:
+    """The history of one relation, in a folder that every run finds again.
 
-    The folder of the run before (`previous`) is only read, so a run that dies
-    half way can be started again.
+    Each run writes the versions that are open after it and, apart from them,
+    those that it closed; a closed version is never read or written again by
+    later runs. A run counts once its line in `runs` is written, last of all; what
+    a run that died has left behind is overwritten by the next one. One run at a
+    time may write.
     """
-    if previous is None:
-        versions = first_versions(current, key, run_at)
-    else:
-        versions = merge_versions(spark.read.parquet(previous), current, key, check_columns, run_at)
-    versions.write.mode("errorifexists").parquet(target)
-    return spark.read.parquet(target)
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def runs(self) -> list:
+        """The runs that count, oldest first."""
+        try:
+            rows = self.spark.read.schema(RUNS).parquet(f"{self.root}/runs").collect()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        return sorted(rows, key=lambda row: row.run)
+
+    def _versions(self, last) -> DataFrame:
+        schema = StructType.fromDDL(f"{last.columns}, run int, part string")
+        return self.spark.read.schema(schema).parquet(f"{self.root}/versions")
+
+    def opened(self, last) -> DataFrame:
+        """Versions that are open after the last run; nothing else is scanned."""
+        rows = self._versions(last).where((F.col("run") == last.run) & (F.col("part") == OPEN))
+        return rows.drop("run", "part")
+
+    def history(self) -> DataFrame:
+        """All versions as of the last run."""
+        runs = self.runs()
+        if not runs:
+            raise ValueError(f"no snapshot run under {self.root}")
+        last = runs[-1]
+        closed = F.col("run").isin([row.run for row in runs]) & (F.col("part") == CLOSED)
+        opened = (F.col("run") == last.run) & (F.col("part") == OPEN)
+        return self._versions(last).where(closed | opened).drop("run", "part")
+
+    def run(
+        self, current: DataFrame, key: str, check_columns: list[str], run_at: datetime.datetime
+    ) -> DataFrame:
+        """Compare `current` with the open versions, write the outcome, and return the history."""
+        runs = self.runs()
+        if not runs:
+            number, versions = 1, first_versions(current, key, run_at)
+        else:
+            last = runs[-1]
+            if run_at <= last.run_at:
+                raise ValueError(f"run at {run_at} is not after the last one at {last.run_at}")
+            number = last.run + 1
+            versions = merge_versions(self.opened(last), current, key, check_columns, run_at)
+        part = F.when(F.col("valid_to").isNull(), OPEN).otherwise(CLOSED)
+        columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in versions.schema)
+        # Two open files a task instead of a sort by part.
+        with session_settings(self.spark, {"spark.sql.maxConcurrentOutputFileWriters": "2"}):
+            versions.withColumn("part", part).write.mode("overwrite").partitionBy("part").parquet(
+                f"{self.root}/versions/run={number}"
+            )
+        line = self.spark.range(0, 1, 1, 1).select(stamp(run_at).alias("run_at"), F.lit(columns).alias("columns"))
+        line.write.mode("overwrite").parquet(f"{self.root}/runs/run={number}")
+        return self.history()

@@ -185,8 +185,7 @@ STG_CHURN_EVENTS = select(
 
 BOUNDS = """
 SELECT least(a.low, s.low, u.low, t.low, c.low) AS low,
-       least(greatest(a.high, s.high, u.high, t.high, c.high),
-             least(a.low, s.low, u.low, t.low, c.low) + 49999) AS high
+       greatest(a.high, s.high, u.high, t.high, c.high) AS high
 FROM (SELECT min(signup_date) AS low, max(signup_date) AS high FROM stg_accounts) a,
      (SELECT min(start_date) AS low, max(coalesce(end_date, DATE '2001-12-31')) AS high
       FROM stg_subscriptions) s,
@@ -253,7 +252,7 @@ FROM account_month_spine spine
 LEFT JOIN stg_subscriptions sub
   ON sub.account_id = spine.account_id
  AND sub.start_date <= last_day(spine.month_start)
- AND coalesce(sub.end_date >= spine.month_start, sub.end_date IS NULL)
+ AND (sub.end_date IS NULL OR sub.end_date >= spine.month_start)
 GROUP BY ALL
 """
 MONTHLY_CHURN_REASON = """
@@ -389,7 +388,7 @@ SELECT {state}.*, sha256(account_id || '|' || '{run_at}') AS version_id,
        {valid_to} AS valid_to
 FROM {state}
 """
-FIRST_RUN, SECOND_RUN = "2001-06-30 12:00:00", "2001-12-31 12:00:00"
+FIRST_RUN, SECOND_RUN, THIRD_RUN = "2001-06-30 12:00:00", "2001-12-31 12:00:00", "2002-01-31 12:00:00"
 OPEN = "CAST(NULL AS TIMESTAMP)"
 SNAPSHOT_INITIAL = VERSION.format(state="early_state", run_at=FIRST_RUN, valid_to=OPEN)
 UNCHANGED = """
@@ -404,6 +403,20 @@ UNION ALL
 WHERE account_id NOT IN ({UNCHANGED})
 """
 
+# In the third run the early state comes back: what the second run changed is
+# changed once more, accounts that only the second run knew stay as they are.
+SNAPSHOT_THIRD = f"""
+{VERSION.format(state="early_state", run_at=FIRST_RUN, valid_to=f'''
+  CASE WHEN account_id NOT IN ({UNCHANGED}) THEN TIMESTAMP '{SECOND_RUN}' END''')}
+UNION ALL
+{VERSION.format(state="account_current_state", run_at=SECOND_RUN, valid_to=f'''
+  CASE WHEN account_id IN (SELECT account_id FROM early_state) THEN TIMESTAMP '{THIRD_RUN}' END''')}
+WHERE account_id NOT IN ({UNCHANGED})
+UNION ALL
+{VERSION.format(state="early_state", run_at=THIRD_RUN, valid_to=OPEN)}
+WHERE account_id NOT IN ({UNCHANGED})
+"""
+
 
 def null_check(relation: str, column: str, name: str | None = None) -> str:
     return (
@@ -461,6 +474,7 @@ FROM account_monthly_fact""",
     "snapshot_initial": SNAPSHOT_INITIAL,
     "snapshot_noop": SNAPSHOT_INITIAL,
     "snapshot_changed": SNAPSHOT_CHANGED,
+    "snapshot_third": SNAPSHOT_THIRD,
     "report_revenue_trend": f"""
 SELECT month_start, {big('sum(mrr)')} AS total_mrr,
        count(*) FILTER (WHERE is_active) AS active_accounts,
@@ -547,6 +561,8 @@ FROM account_monthly_fact WHERE mrr < 0""",
 SELECT 'rule:account_monthly_fact.mrr_churned' AS check_name, count(*) AS violations
 FROM account_monthly_fact WHERE mrr_churned AND (mrr <> 0 OR prior_month_mrr <= 0)""",
 }
+SQL["stg_churn_events_csv"] = SQL["stg_churn_events"]
+SQL["dq_all"] = " UNION ALL ".join(f"({SQL[name]})" for name in SQL if name.startswith("dq_"))
 for segment_name, segment_column in SEGMENT_COLUMNS.items():
     SQL[f"report_logo_churn_by_segment_{segment_name}"] = logo_churn(FACT_AND_ACCOUNTS, segment_column)
     SQL[f"report_revenue_churn_by_segment_{segment_name}"] = revenue_churn(segment_column)

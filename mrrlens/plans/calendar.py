@@ -6,25 +6,22 @@ import datetime
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from mrrlens.functions.months import as_of_day, date_literal, month_of, months_from
+from mrrlens.functions.months import date_literal, month_of, months_from, run_day
 from mrrlens.plans.staging import Staged
 
-# Fixed value: the most days a calendar holds. It bounds the calendar, and with
-# it the months of one account, whatever dates the data claims.
-MAX_DAYS = 50_000
-
-
 class Bounds(NamedTuple):
-    """First and last day of the calendar, and the size of what meets it: how many
-    account rows there are and how many of them share one id at most."""
+    """What one look at the data tells all plans: first and last day of the calendar,
+    how many account rows there are, whether some subscription id is on two rows,
+    and the day that counts as today throughout a run."""
 
     first_day: datetime.date | None
     last_day: datetime.date | None
     accounts: int = 0
-    copies: int = 1
+    repeated_ids: bool = True
+    as_of: datetime.date | None = None
 
     @property
     def months(self) -> int:
@@ -38,14 +35,21 @@ def range_of(rows: DataFrame, low, high) -> DataFrame:
     return rows.agg(F.min(low).alias("low"), F.max(high).alias("high"))
 
 
-def account_sizes(accounts: DataFrame) -> DataFrame:
-    per_id = accounts.groupBy("account_id").agg(
+def account_range(accounts: DataFrame) -> DataFrame:
+    return accounts.agg(
         F.min("signup_date").alias("low"), F.max("signup_date").alias("high"), F.count("*").alias("rows")
     )
-    return per_id.agg(
-        F.min("low").alias("low"), F.max("high").alias("high"),
-        F.sum("rows").alias("rows"), F.max("rows").alias("copies"),
+
+
+def subscription_range(subscriptions: DataFrame, today: Column) -> DataFrame:
+    """The range of the periods, and how many rows share an id at most."""
+    per_id = subscriptions.groupBy("subscription_id").agg(
+        F.min("start_date").alias("low"),
+        F.max(F.coalesce("end_date", today)).alias("high"),
+        F.count("*").alias("rows"),
     )
+    rows_of_an_id = F.when(F.col("subscription_id").isNotNull(), F.col("rows"))
+    return per_id.agg(F.min("low").alias("low"), F.max("high").alias("high"), F.max(rows_of_an_id).alias("most"))
 
 
 def widest(days: list[datetime.date | None]) -> tuple[datetime.date | None, datetime.date | None]:
@@ -56,15 +60,21 @@ def widest(days: list[datetime.date | None]) -> tuple[datetime.date | None, date
 def calendar_bounds(staged: Staged, as_of: datetime.date | None = None) -> Bounds:
     """The calendar's first and last day, fetched (five rows) so later plans hold literals.
 
+    The calendar is exactly as long as the data's dates say. `as_of` is the day that
+    counts as today, by default the day on which this runs; `Bounds.as_of` hands it
+    on, so that a run has one today from its first plan to its last.
+
     Usage counts with one row per usage id. Dropping repeats can only narrow its
     range, so where all usage rows already lie within the other tables' dates
     the repeats need not be dropped and the largest table is never shuffled.
     """
-    today = as_of_day(as_of)
+    if as_of is None:
+        as_of = run_day(staged.accounts.sparkSession)
+    today = date_literal(as_of)
     closed = F.coalesce("closed_at", "submitted_at").cast("date")
     ranges = {
-        "accounts": account_sizes(staged.accounts),
-        "subscriptions": range_of(staged.subscriptions, "start_date", F.coalesce("end_date", today)),
+        "accounts": account_range(staged.accounts),
+        "subscriptions": subscription_range(staged.subscriptions, today),
         "churn_events": range_of(staged.churn_events, "churn_date", "churn_date"),
         "support_tickets": range_of(staged.support_tickets, F.col("submitted_at").cast("date"), closed),
         "usage": range_of(staged.usage_rows, "usage_date", "usage_date"),
@@ -78,10 +88,8 @@ def calendar_bounds(staged: Staged, as_of: datetime.date | None = None) -> Bound
     if widest([*others, usage.low, usage.high]) != others:
         usage = kept_usage_range(staged.usage_rows)
     first_day, last_day = widest([*others, usage.low, usage.high])
-    if first_day is not None and (last_day - first_day).days >= MAX_DAYS:
-        last_day = first_day + datetime.timedelta(days=MAX_DAYS - 1)
-    accounts = found["accounts"]
-    return Bounds(first_day, last_day, accounts.rows or 0, accounts.copies or 1)
+    repeated_ids = (found["subscriptions"].most or 0) > 1
+    return Bounds(first_day, last_day, found["accounts"].rows, repeated_ids, as_of)
 
 
 def kept_usage_range(usage_rows: DataFrame) -> Row:

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mrrlens.functions.months import as_of_day, date_literal
+from mrrlens.functions.months import date_literal
 from mrrlens.functions.revenue import tenure_bucket
 from mrrlens.operators.latest import first_per_key
 from mrrlens.plans.calendar import Bounds
@@ -40,16 +40,16 @@ def account_dim(accounts: DataFrame, bounds: Bounds) -> DataFrame:
     ).withColumn("tenure_bucket", tenure_bucket(F.col("tenure_days")))
 
 
-def current_state(subscriptions: DataFrame, as_of: datetime.date | None = None) -> DataFrame:
+def current_state(subscriptions: DataFrame, as_of: datetime.date) -> DataFrame:
     """The latest subscription of each account and whether it runs on `as_of`.
 
-    An unknown start counts as latest, and ids compare as text. Further columns
+    Within a run, `as_of` is the one of its `Bounds`. An unknown start counts as latest, and ids compare as text. Further columns
     only settle ties between rows alike in start and id.
     """
     newest_first = [F.col(name).desc_nulls_first() for name in ("start_date", "subscription_id")]
     ties = ("end_date", "plan_tier", "billing_frequency", "seats", "mrr_amount", "is_trial")
     order = newest_first + [F.col(name).asc_nulls_last() for name in ties]
-    today = as_of_day(as_of)
+    today = date_literal(as_of)
     started = F.col("start_date") <= today
     not_over = F.col("end_date").isNull() | (F.col("end_date") >= today)
     return first_per_key(

@@ -10,19 +10,11 @@ from mrrlens.operators.timeline import account_segments, spell_out_months, spell
 from mrrlens.plans.calendar import Bounds
 
 
-# Account rows under one id from which on their months are spread over tasks.
-MANY_COPIES = 1000
-
-
-def monthly_activity(
-    accounts: DataFrame, subscriptions: DataFrame, bounds: Bounds, repeated_ids: bool = True
-) -> DataFrame:
-    """Subscriptions and revenue of each account in each month since signup.
-
-    `repeated_ids` may be false only where `ids_repeat` says that no subscription
-    id is on two rows; it then spares a grouping by id.
-    """
-    segments = account_segments(accounts, subscriptions, bounds.last_day, repeated_ids=repeated_ids)
+def monthly_activity(accounts: DataFrame, subscriptions: DataFrame, bounds: Bounds) -> DataFrame:
+    """Subscriptions and revenue of each account in each month since signup."""
+    segments = account_segments(
+        accounts, subscriptions, bounds.last_day, repeated_ids=bounds.repeated_ids
+    )
     return spell_out_months(segments).select(
         "account_id", "month_start", "active_subscription_count", "mrr"
     )
@@ -34,22 +26,16 @@ def monthly_fact(
     churn_events: DataFrame,
     bounds: Bounds,
     partitions: int | None = None,
-    repeated_ids: bool = True,
 ) -> DataFrame:
-    """The fact. Its rows stay partitioned by account, in `partitions` parts if given.
-
-    `repeated_ids` is as in `monthly_activity`.
-
-    Only where very many account rows share one id (or have none) are they spread
-    instead, so that no task has to write out all of that id's months.
-    """
-    spread = bounds.copies > MANY_COPIES
-    segments = account_segments(accounts, subscriptions, bounds.last_day, churn_events, partitions, repeated_ids)
+    """The fact. Its rows stay partitioned by account, in `partitions` parts if given."""
+    segments = account_segments(
+        accounts, subscriptions, bounds.last_day, churn_events, partitions, bounds.repeated_ids
+    )
     mrr, prior = F.col("mrr"), F.col("prior_month_mrr")
     movement = movement_class(mrr, prior)
     amounts = movement_amounts(F.col("movement"), mrr, prior)
     return (
-        spell_out_rows(segments, bounds.months * bounds.copies, spread)
+        spell_out_rows(segments)
         .withColumn("movement", movement)
         .select(
             "account_id",

@@ -25,12 +25,14 @@ def usage_keys(staged: Staged) -> DataFrame:
     return one_row_per_usage(staged.usage_rows.select("usage_id", "subscription_id", "usage_date"))
 
 
-def not_null(staged: Staged, fact: DataFrame) -> DataFrame:
+def not_null(staged: Staged, fact: DataFrame, usage: DataFrame | None = None) -> DataFrame:
+    """`usage` is `usage_keys`, where a run has them at hand; so in the other checks."""
+    usage = usage_keys(staged) if usage is None else usage
     return checks.together(
         [
             checks.null_counts(staged.accounts, "accounts", ["account_id"]),
             checks.null_counts(staged.subscriptions, "subscriptions", ["subscription_id", "account_id"]),
-            checks.null_counts(usage_keys(staged), "feature_usage", ["usage_id", "subscription_id"]),
+            checks.null_counts(usage, "feature_usage", ["usage_id", "subscription_id"]),
             checks.null_counts(staged.support_tickets, "support_tickets", ["ticket_id", "account_id"]),
             checks.null_counts(staged.churn_events, "churn_events", ["churn_event_id", "account_id"]),
             checks.null_counts(fact, "account_monthly_fact", ["account_id", "month_start", "mrr"]),
@@ -38,11 +40,12 @@ def not_null(staged: Staged, fact: DataFrame) -> DataFrame:
     )
 
 
-def unique(staged: Staged) -> DataFrame:
+def unique(staged: Staged, usage: DataFrame | None = None) -> DataFrame:
+    usage = usage_keys(staged) if usage is None else usage
     keys = {
         "accounts.account_id": staged.accounts,
         "subscriptions.subscription_id": staged.subscriptions,
-        "feature_usage.usage_id": usage_keys(staged),
+        "feature_usage.usage_id": usage,
         "support_tickets.ticket_id": staged.support_tickets,
         "churn_events.churn_event_id": staged.churn_events,
     }
@@ -55,30 +58,27 @@ def unique(staged: Staged) -> DataFrame:
 
 
 def accepted_values(staged: Staged) -> DataFrame:
-    return checks.together(
-        [
-            checks.unexpected_values(
-                staged.accounts, "accounts", {"plan_tier": PLANS, "referral_source": REFERRAL_SOURCES}
-            ),
-            checks.unexpected_values(
-                staged.subscriptions,
-                "subscriptions",
-                {"billing_frequency": BILLING_FREQUENCIES, "plan_tier": PLANS},
+    return checks.unexpected_values(
+        {
+            "accounts": (staged.accounts, {"plan_tier": PLANS, "referral_source": REFERRAL_SOURCES}),
+            "subscriptions": (
+                staged.subscriptions, {"billing_frequency": BILLING_FREQUENCIES, "plan_tier": PLANS}
             ),
-            checks.unexpected_values(staged.support_tickets, "support_tickets", {"priority": PRIORITIES}),
-            checks.unexpected_values(staged.churn_events, "churn_events", {"reason_code": REASON_CODES}),
-        ]
+            "support_tickets": (staged.support_tickets, {"priority": PRIORITIES}),
+            "churn_events": (staged.churn_events, {"reason_code": REASON_CODES}),
+        }
     )
 
 
-def relationships(staged: Staged) -> DataFrame:
+def relationships(staged: Staged, usage: DataFrame | None = None) -> DataFrame:
+    usage = usage_keys(staged) if usage is None else usage
     of_accounts = {
         "relationships:subscriptions.account_id": (staged.subscriptions, "account_id"),
         "relationships:support_tickets.account_id": (staged.support_tickets, "account_id"),
         "relationships:churn_events.account_id": (staged.churn_events, "account_id"),
     }
     of_subscriptions = {
-        "relationships:feature_usage.subscription_id": (usage_keys(staged), "subscription_id")
+        "relationships:feature_usage.subscription_id": (usage, "subscription_id")
     }
     return checks.together(
         [
@@ -102,3 +102,17 @@ def mrr_churned_rule(fact: DataFrame) -> DataFrame:
     return checks.broken_rule(
         "rule:account_monthly_fact.mrr_churned", fact.where("mrr_churned"), lost
     )
+
+
+def all_checks(staged: Staged, fact: DataFrame, folder: str) -> DataFrame:
+    """All 30 checks. The kept usage ids, which three kinds need, are found once and
+    written to a new `folder` that all executors reach."""
+    keys = usage_keys(staged)
+    keys.write.mode("errorifexists").parquet(folder)
+    usage = keys.sparkSession.read.schema(keys.schema).parquet(folder)
+    return checks.together(
+        [
+            not_null(staged, fact, usage), unique(staged, usage), accepted_values(staged),
+            relationships(staged, usage), fact_grain(fact), mrr_nonnegative(fact), mrr_churned_rule(fact),
+        ]
+    )

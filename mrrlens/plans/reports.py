@@ -31,13 +31,22 @@ def ordered(rows: DataFrame, *keys: str, most: str | None = None, then: str | No
     return rows.orderBy(*order)
 
 
-def lost_revenue() -> Column:
+def times(weight: str | None) -> Column:
+    """How many rows a row stands for."""
+    return F.lit(1).cast("bigint") if weight is None else F.col(weight)
+
+
+def lost_revenue(weight: str | None = None) -> Column:
     """Last month's revenue of accounts that pay nothing this month."""
-    return F.sum(F.when(F.col("mrr_churned"), F.col("prior_month_mrr")).otherwise(0))
+    return F.sum(F.when(F.col("mrr_churned"), F.col("prior_month_mrr") * times(weight)).otherwise(0))
+
 
+def count_where(flag: str, weight: str | None = None) -> Column:
+    return F.sum(F.when(F.col(flag), times(weight)).otherwise(0))
 
-def rate_where(flag: str) -> Column:
-    return F.avg(F.when(F.col(flag), 1).otherwise(0))
+
+def rate_where(flag: str, weight: str) -> Column:
+    return count_where(flag, weight) / F.sum(times(weight))
 
 
 def change_since_last_month(name: str) -> Column:
@@ -46,12 +55,14 @@ def change_since_last_month(name: str) -> Column:
 
 
 def with_segment(fact: DataFrame, accounts: DataFrame, *columns: str) -> DataFrame:
-    """Fact rows with account attributes.
+    """Fact rows with account attributes and `weight`, how many account rows have them.
 
-    Both marts are written in buckets by account, so where the accounts are too
-    many to broadcast the join still needs no shuffle.
+    Account rows alike are one row here, so an id on many of them does not multiply
+    its fact rows. Both marts are written in buckets by account, so where the
+    accounts are too many to broadcast neither step needs a shuffle.
     """
-    return fact.join(accounts.select("account_id", *columns), "account_id")
+    alike = accounts.groupBy("account_id", *columns).agg(F.count("*").alias("weight"))
+    return fact.join(alike, "account_id")
 
 
 def revenue_trend(fact: DataFrame) -> DataFrame:
@@ -77,12 +88,12 @@ def net_mrr_change(fact: DataFrame) -> DataFrame:
     return ordered(report, "month_start")
 
 
-def logo_churn(rows: DataFrame, *keys: str) -> DataFrame:
+def logo_churn(rows: DataFrame, *keys: str, weight: str | None = None) -> DataFrame:
     report = (
         rows.groupBy(*keys)
         .agg(
-            F.count("*").alias("accounts_in_month"),
-            F.count_if("logo_churned").alias("logo_churned_accounts"),
+            F.sum(times(weight)).alias("accounts_in_month"),
+            count_where("logo_churned", weight).alias("logo_churned_accounts"),
         )
         .withColumn("logo_churn_rate", share(F.col("logo_churned_accounts"), F.col("accounts_in_month")))
     )
@@ -95,7 +106,7 @@ def logo_churn_trend(fact: DataFrame) -> DataFrame:
 
 def logo_churn_by_segment(fact: DataFrame, accounts: DataFrame, segment: str = "plan") -> DataFrame:
     column = SEGMENTS[segment]
-    return logo_churn(with_segment(fact, accounts, column), "month_start", column)
+    return logo_churn(with_segment(fact, accounts, column), "month_start", column, weight="weight")
 
 
 def revenue_churn_trend(fact: DataFrame) -> DataFrame:
@@ -120,15 +131,18 @@ def revenue_churn_by_segment(fact: DataFrame, accounts: DataFrame, segment: str
     report = (
         with_segment(fact, accounts, column)
         .groupBy("month_start", column)
-        .agg(lost_revenue().alias("churned_mrr"), F.sum("prior_month_mrr").alias("prior_mrr"))
+        .agg(
+            lost_revenue("weight").alias("churned_mrr"),
+            F.sum(F.col("prior_month_mrr") * F.col("weight")).alias("prior_mrr"),
+        )
         .withColumn("revenue_churn_rate", share(F.col("churned_mrr"), F.col("prior_mrr")))
     )
     return ordered(report, "month_start", column)
 
 
-def churn_reasons(rows: DataFrame, *keys: str, count: str) -> DataFrame:
+def churn_reasons(rows: DataFrame, *keys: str, count: str, weight: str | None = None) -> DataFrame:
     """Churned account-months per reason, of rows already cut down to those."""
-    return rows.groupBy(*keys, "churn_reason_code").agg(F.count("*").alias(count))
+    return rows.groupBy(*keys, "churn_reason_code").agg(F.sum(times(weight)).alias(count))
 
 
 def churned(fact: DataFrame) -> DataFrame:
@@ -143,7 +157,7 @@ def churn_reasons_trend(fact: DataFrame) -> DataFrame:
 def churn_reasons_by_segment(fact: DataFrame, accounts: DataFrame, segment: str = "industry") -> DataFrame:
     column = SEGMENTS[segment]
     rows = with_segment(churned(fact), accounts, column)
-    report = churn_reasons(rows, "month_start", column, count="churned_accounts")
+    report = churn_reasons(rows, "month_start", column, count="churned_accounts", weight="weight")
     return ordered(report, "month_start", column, most="churned_accounts", then="churn_reason_code")
 
 
@@ -207,10 +221,10 @@ def churn_rate_by_plan_and_tenure(fact: DataFrame, accounts: DataFrame) -> DataF
         with_segment(fact, accounts, *keys[1:])
         .groupBy(*keys)
         .agg(
-            F.count("*").alias("account_months"),
-            F.count_if("is_active").alias("active_account_months"),
-            rate_where("logo_churned").alias("logo_churn_rate"),
-            rate_where("mrr_churned").alias("revenue_churn_rate"),
+            F.sum("weight").alias("account_months"),
+            count_where("is_active", "weight").alias("active_account_months"),
+            rate_where("logo_churned", "weight").alias("logo_churn_rate"),
+            rate_where("mrr_churned", "weight").alias("revenue_churn_rate"),
         )
     )
     return ordered(report, *keys)
@@ -218,7 +232,7 @@ def churn_rate_by_plan_and_tenure(fact: DataFrame, accounts: DataFrame) -> DataF
 
 def churn_reasons_by_industry(fact: DataFrame, accounts: DataFrame) -> DataFrame:
     rows = with_segment(churned(fact), accounts, "industry")
-    report = churn_reasons(rows, "industry", count="churn_events")
+    report = churn_reasons(rows, "industry", count="churn_events", weight="weight")
     return report.orderBy(
         F.col("churn_events").desc(),
         F.col("industry").asc_nulls_last(),

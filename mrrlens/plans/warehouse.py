@@ -1,4 +1,9 @@
-"""Building the marts and writing them where reports read them."""
+"""Building the marts, and keeping them where reports read them.
+
+A build writes its three marts to a folder of its own below the root and is
+published, all three at once, by a line in `builds`, written last. The newest
+line is what readers open; `drop_old_builds` removes what no line of use names.
+"""
 
 from __future__ import annotations
 
@@ -7,13 +12,15 @@ import tempfile
 import uuid
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mrrlens.operators.timeline import ids_repeat
 from mrrlens.plans.calendar import Bounds, calendar_dim
 from mrrlens.plans.dimensions import account_dim
-from mrrlens.plans.facts import MANY_COPIES, monthly_fact
+from mrrlens.plans.facts import monthly_fact
 from mrrlens.plans.staging import Staged
+from mrrlens.session import session_settings
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 CALENDAR, ACCOUNTS, FACT = "dim_date", "dim_account", "account_monthly_fact"
@@ -35,29 +42,38 @@ SCHEMAS = {
     ),
 }
 LEAST_ROWS_PER_BUCKET, MOST_ROWS_PER_BUCKET = 50_000, 4_000_000
-MOST_BUCKETS = 50_000
+BUILDS = "folder string, buckets int, build int"
 
 
 class Marts:
-    """The written marts of a folder, each opened when first asked for.
+    """The written marts of a build, each opened when first asked for.
 
     `calendar`, `accounts` and `fact` are plain files, fit for any query. The
     bucketed pair is the same rows as tables whose buckets Spark knows, for
     joins and groupings by account. It is kept apart because Spark 4.1 gives
     wrong groups over a union of two bucketed scans.
+
+    Buckets are known to a catalog only. An application whose catalog does not
+    have the tables, as with the default one in memory, registers them over the
+    files when it first asks for them, so plans are the same everywhere.
     """
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
+    def __init__(self, spark: SparkSession, folder: str, buckets: int) -> None:
         self.spark = spark
         self.folder = folder
+        self.buckets = buckets
 
     def _files(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}")
 
     def _bucketed(self, name: str) -> DataFrame:
-        """As a table; plain files in an application whose catalog does not know it."""
         table = table_name(self.folder, name)
-        return self.spark.table(table) if self.spark.catalog.tableExists(table) else self._files(name)
+        if not self.spark.catalog.tableExists(table):
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {table} ({SCHEMAS[name]}) USING parquet"
+                f" CLUSTERED BY (account_id) INTO {self.buckets} BUCKETS LOCATION '{self.folder}/{name}'"
+            )
+        return self.spark.table(table)
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -80,15 +96,16 @@ class Marts:
         return self._bucketed(FACT)
 
 
-def shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession, temporary: bool = False) -> str:
     """A new folder that every executor can reach.
 
-    It lies under the folder the cluster names in `spark.checkpoint.dir`. Only a
-    local session may go without: it gets a temporary folder of this machine.
+    It lies under the folder the cluster names in `spark.checkpoint.dir`. With
+    `temporary`, a local session may go without one: it gets a temporary folder of
+    this machine, which is all that its executors are.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if root is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not temporary or not spark.conf.get("spark.master", "").split("[")[0] == "local":
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         root = tempfile.mkdtemp(prefix="mrrlens-")
     return f"{root.rstrip('/')}/mrrlens-{uuid.uuid4().hex}"
@@ -103,8 +120,7 @@ def bucket_count(spark: SparkSession, bounds: Bounds) -> int:
     most_rows = bounds.accounts * bounds.months
     for_size = most_rows // MOST_ROWS_PER_BUCKET
     for_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(for_size, min(for_tasks, most_rows // LEAST_ROWS_PER_BUCKET))
-    return max(1, min(wanted, MOST_BUCKETS))
+    return max(1, for_size, min(for_tasks, most_rows // LEAST_ROWS_PER_BUCKET))
 
 
 def table_name(folder: str, name: str) -> str:
@@ -115,38 +131,72 @@ def write_table(rows: DataFrame, folder: str, name: str, count: int | None = Non
     """Write one mart as Parquet under `folder`.
 
     With `count`, its rows go into that many buckets by account. Tables bucketed
-    alike join on the account without a shuffle.
+    alike join on the account without a shuffle. Rows come partitioned like the
+    buckets, so a task has one file open and need not sort its rows by bucket.
     """
     writer = rows.write.format("parquet").mode("errorifexists").option("path", f"{folder}/{name}")
     if count is not None:
         writer = writer.bucketBy(count, "account_id")
-    writer.saveAsTable(table_name(folder, name))
+    with session_settings(rows.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": "4"}):
+        writer.saveAsTable(table_name(folder, name))
 
 
-def build_marts(
-    spark: SparkSession,
-    staged: Staged,
-    folder: str,
-    bounds: Bounds,
-    repeated_ids: bool | None = None,
-) -> Marts:
-    """Compute the calendar, the account dimension and the fact, and write them.
+def build_marts(spark: SparkSession, staged: Staged, root: str, bounds: Bounds) -> Marts:
+    """Compute the calendar, the account dimension and the fact, write them below `root`,
+    and publish them as its newest build.
 
     Account and fact rows arrive partitioned by account into as many parts as
-    there are buckets, so each task writes one file of one bucket; unless very
-    many account rows share an id, which would make one such part huge. Whether
-    subscription ids repeat is found out unless given.
+    there are buckets, so each task writes one file of one bucket, whatever the
+    sizes. A build that dies half way is never seen; the next one starts anew.
     """
+    folder = f"{root.rstrip('/')}/build={uuid.uuid4().hex}"
     count = bucket_count(spark, bounds)
-    if repeated_ids is None:
-        repeated_ids = ids_repeat(staged.subscriptions, "subscription_id")
-    fact = monthly_fact(
-        staged.accounts, staged.subscriptions, staged.churn_events, bounds, count, repeated_ids
-    )
-    accounts = account_dim(staged.accounts, bounds)
-    if bounds.copies <= MANY_COPIES:
-        accounts = accounts.repartition(count, "account_id")
+    fact = monthly_fact(staged.accounts, staged.subscriptions, staged.churn_events, bounds, count)
+    accounts = account_dim(staged.accounts, bounds).repartition(count, "account_id")
     write_table(calendar_dim(spark, bounds), folder, CALENDAR)
     write_table(accounts, folder, ACCOUNTS, count)
     write_table(fact, folder, FACT, count)
-    return Marts(spark, folder)
+    number = max([row.build for row in published(spark, root)], default=0) + 1
+    line = spark.range(0, 1, 1, 1).select(F.lit(folder).alias("folder"), F.lit(count).alias("buckets"))
+    line.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/builds/build={number}")
+    return Marts(spark, folder, count)
+
+
+def published(spark: SparkSession, root: str) -> list:
+    """The builds below a root, oldest first."""
+    try:
+        rows = spark.read.schema(BUILDS).parquet(f"{root.rstrip('/')}/builds").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted(rows, key=lambda row: row.build)
+
+
+def newest_marts(spark: SparkSession, root: str) -> Marts:
+    """The marts of the newest build below a root."""
+    builds = published(spark, root)
+    if not builds:
+        raise ValueError(f"no marts are published under {root}")
+    return Marts(spark, builds[-1].folder, builds[-1].buckets)
+
+
+def drop_old_builds(spark: SparkSession, root: str, keep: int = 1) -> int:
+    """Remove all builds but the newest `keep`, and what dead builds have left; returns how many.
+
+    Files go with their tables in this session's catalog. Nothing may read or
+    write the builds meanwhile.
+    """
+    kept = {row.folder.rsplit("/", 1)[-1] for row in published(spark, root)[-keep:]}
+    jvm = spark._jvm
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    dropped = 0
+    for status in files.listStatus(top) if files.exists(top) else ():
+        name = status.getPath().getName()
+        if name.startswith("build=") and name not in kept:
+            for table in SCHEMAS:
+                spark.sql(f"DROP TABLE IF EXISTS {table_name(f'{root.rstrip("/")}/{name}', table)}")
+            files.delete(status.getPath(), True)
+            dropped += 1
+    return dropped

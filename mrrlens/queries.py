@@ -9,28 +9,29 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mrrlens.operators.timeline import ids_repeat, monthly_churn_reason
-from mrrlens.operators.versions import run_snapshot
+from mrrlens.operators.timeline import monthly_churn_reason
+from mrrlens.operators.versions import Snapshot
 from mrrlens.plans import quality, reports
 from mrrlens.plans.calendar import Bounds, account_month_spine, calendar_bounds, calendar_dim
 from mrrlens.plans.dimensions import STATE_COLUMNS, account_dim, current_state
 from mrrlens.plans.facts import monthly_activity, monthly_fact, movements
 from mrrlens.plans.staging import Staged
-from mrrlens.plans.warehouse import Marts, build_marts, shared_folder
+from mrrlens.plans.warehouse import Marts, build_marts, newest_marts, shared_folder
 from mrrlens.sources import testdata
+from mrrlens.sources.raw import land_raw_tables, read_raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 FIRST_RUN = datetime.datetime(2001, 6, 30, 12, 0, 0)
 SECOND_RUN = datetime.datetime(2001, 12, 31, 12, 0, 0)
+THIRD_RUN = datetime.datetime(2002, 1, 31, 12, 0, 0)
+
 
 class Inputs:
-    """The test tables of a folder, and what is found in them once per application."""
+    """The test tables of a folder, and the marts built of them once per application."""
 
     # By application and state of the input files.
-    _folders: dict[tuple[str, int], str] = {}
-    _bounds: dict[tuple[str, int], Bounds] = {}
-    _repeated: dict[tuple[str, int], bool] = {}
+    _marts: dict[tuple[str, int], Marts] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
@@ -46,27 +47,20 @@ class Inputs:
         return self.spark.conf.get("spark.app.id"), files.agg(state.alias("state")).first().state
 
     @property
-    def bounds(self) -> Bounds:
-        """The calendar's bounds, for all that only look them up."""
-        if self.key not in self._bounds:
-            self._bounds[self.key] = calendar_bounds(self.staged, testdata.AS_OF)
-        return self._bounds[self.key]
+    def folder(self) -> str:
+        return shared_folder(self.spark, temporary=True)
 
-    @property
-    def repeated_ids(self) -> bool:
-        """Whether some subscription id is on two rows."""
-        if self.key not in self._repeated:
-            self._repeated[self.key] = ids_repeat(self.staged.subscriptions, "subscription_id")
-        return self._repeated[self.key]
+    @cached_property
+    def bounds(self) -> Bounds:
+        """Found anew for each query that needs them."""
+        return calendar_bounds(self.staged, testdata.AS_OF)
 
     @property
     def marts(self) -> Marts:
         """The written marts: built once, then read by every report."""
-        if self.key not in self._folders:
-            folder = shared_folder(self.spark)
-            build_marts(self.spark, self.staged, folder, self.bounds, self.repeated_ids)
-            self._folders[self.key] = folder
-        return Marts(self.spark, self._folders[self.key])
+        if self.key not in self._marts:
+            self._marts[self.key] = build_marts(self.spark, self.staged, self.folder, self.bounds)
+        return self._marts[self.key]
 
 
 def query(build: Callable[[Inputs], DataFrame]) -> Query:
@@ -89,31 +83,31 @@ def by_segment(name: str, build: Callable[..., DataFrame]) -> dict[str, Query]:
     return {f"{name}_{segment}": account_report(build, segment) for segment in reports.SEGMENTS}
 
 
-def dim_date(inputs: Inputs) -> DataFrame:
-    """The one query that is about the bounds, so it always finds them anew."""
-    return calendar_dim(inputs.spark, calendar_bounds(inputs.staged, testdata.AS_OF))
-
-
 def activity(inputs: Inputs) -> DataFrame:
-    staged = inputs.staged
-    return monthly_activity(staged.accounts, staged.subscriptions, inputs.bounds, inputs.repeated_ids)
+    return monthly_activity(inputs.staged.accounts, inputs.staged.subscriptions, inputs.bounds)
 
 
 def fact(inputs: Inputs) -> DataFrame:
     staged = inputs.staged
-    return monthly_fact(
-        staged.accounts,
-        staged.subscriptions,
-        staged.churn_events,
-        inputs.bounds,
-        repeated_ids=inputs.repeated_ids,
-    )
+    return monthly_fact(staged.accounts, staged.subscriptions, staged.churn_events, inputs.bounds)
 
 
 def marts_roundtrip(inputs: Inputs) -> DataFrame:
-    """Looks at the data anew, writes all marts to a folder of its own and reads the fact back."""
-    bounds = calendar_bounds(inputs.staged, testdata.AS_OF)
-    return build_marts(inputs.spark, inputs.staged, shared_folder(inputs.spark), bounds).fact
+    """Looks at the data anew, builds all marts below a root of its own and opens the newest fact."""
+    root = inputs.folder
+    build_marts(inputs.spark, inputs.staged, root, inputs.bounds)
+    return newest_marts(inputs.spark, root).fact
+
+
+def landed_as_csv(inputs: Inputs) -> DataFrame:
+    """The extract with free text, written as CSV and staged from there."""
+    root = inputs.folder
+    land_raw_tables(inputs.staged.raw, root, "csv", ("churn_events",))
+    return Staged(read_raw_tables(inputs.spark, root, "csv")).churn_events
+
+
+def all_checks(inputs: Inputs) -> DataFrame:
+    return quality.all_checks(inputs.staged, inputs.marts.fact, inputs.folder)
 
 
 def known_state(inputs: Inputs, as_of: datetime.date) -> DataFrame:
@@ -126,15 +120,9 @@ def snapshot(*runs: tuple[datetime.date, datetime.datetime]) -> Query:
     """Snapshot runs one after the other: each the state of a day, at a run time."""
 
     def run(inputs: Inputs) -> DataFrame:
-        root = shared_folder(inputs.spark)
-        history, previous = None, None
-        for number, (as_of, run_at) in enumerate(runs):
-            target = f"{root}/run={number}"
-            current = known_state(inputs, as_of)
-            history = run_snapshot(
-                inputs.spark, current, "account_id", STATE_COLUMNS, run_at, target, previous
-            )
-            previous = target
+        kept = Snapshot(inputs.spark, inputs.folder)
+        for as_of, run_at in runs:
+            history = kept.run(known_state(inputs, as_of), "account_id", STATE_COLUMNS, run_at)
         return history
 
     return query(run)
@@ -143,6 +131,7 @@ def snapshot(*runs: tuple[datetime.date, datetime.datetime]) -> Query:
 EARLY = (testdata.SNAPSHOT_AS_OF, FIRST_RUN)
 EARLY_AGAIN = (testdata.SNAPSHOT_AS_OF, SECOND_RUN)
 LATE = (testdata.AS_OF, SECOND_RUN)
+EARLY_THIRD = (testdata.SNAPSHOT_AS_OF, THIRD_RUN)
 
 QUERIES: dict[str, Query] = {
     "stg_accounts": query(lambda inputs: inputs.staged.accounts),
@@ -150,7 +139,8 @@ QUERIES: dict[str, Query] = {
     "stg_feature_usage": query(lambda inputs: inputs.staged.feature_usage),
     "stg_support_tickets": query(lambda inputs: inputs.staged.support_tickets),
     "stg_churn_events": query(lambda inputs: inputs.staged.churn_events),
-    "dim_date": query(dim_date),
+    "stg_churn_events_csv": query(landed_as_csv),
+    "dim_date": query(lambda inputs: calendar_dim(inputs.spark, inputs.bounds)),
     "account_month_spine": query(
         lambda inputs: account_month_spine(inputs.staged.accounts, inputs.bounds)
     ),
@@ -166,6 +156,7 @@ QUERIES: dict[str, Query] = {
     "snapshot_initial": snapshot(EARLY),
     "snapshot_noop": snapshot(EARLY, EARLY_AGAIN),
     "snapshot_changed": snapshot(EARLY, LATE),
+    "snapshot_third": snapshot(EARLY, LATE, EARLY_THIRD),
     "report_revenue_trend": report(reports.revenue_trend),
     "report_mrr_waterfall": report(reports.mrr_waterfall),
     "report_net_mrr_change": report(reports.net_mrr_change),
@@ -187,4 +178,5 @@ QUERIES: dict[str, Query] = {
     "dq_fact_grain": query(lambda inputs: quality.fact_grain(inputs.marts.bucketed_fact)),
     "dq_mrr_nonnegative": report(quality.mrr_nonnegative),
     "dq_mrr_churned_rule": report(quality.mrr_churned_rule),
+    "dq_all": query(all_checks),
 }

@@ -1,7 +1,10 @@
-"""A local session for tests and the benchmark; on a cluster the caller brings one."""
+"""A local session for tests and the benchmark, and settings that hold for a while."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 
@@ -21,3 +24,19 @@ def local_session(cpus: int | str = "*", checkpoint_dir: str | None = None) -> S
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+@contextmanager
+def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold for what is run inside."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The columns each extract carries. All of them land as text.
@@ -52,27 +53,60 @@ def text_schema(table: str) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in RAW_COLUMNS[table]])
 
 
-def read_raw(spark: SparkSession, table: str, path: str, file_format: str = "csv") -> DataFrame:
-    """One extract. CSV is read with a given schema, so no pass is spent on inference."""
-    reader = spark.read
+# Extracts with free text, in which a quoted value may hold line breaks. Such a
+# file is read by one task, so it should come in many files rather than one;
+# better still, land it as Parquet.
+FREE_TEXT = ("churn_events",)
+BAD_RECORD = "_bad_record"
+# Quotes within a value are doubled.
+CSV_QUOTES = {"header": True, "quote": '"', "escape": '"'}
+
+
+def read_csv(spark: SparkSession, table: str, path: str, free_text: tuple[str, ...]) -> DataFrame:
+    """One extract from CSV, all columns as text.
+
+    Records with too few or too many values fail the query instead of being
+    filled up or cut. Only whole records show that, so none is read in part.
+    """
+    schema = text_schema(table).add(BAD_RECORD, T.StringType())
+    reader = spark.read.schema(schema).options(**CSV_QUOTES, enforceSchema=False, columnPruning=False)
+    reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_RECORD, multiLine=table in free_text)
+    failed = F.raise_error(F.concat(F.lit(f"{table}: record of the wrong width: "), F.col(BAD_RECORD)))
+    whole = F.when(F.col(BAD_RECORD).isNull(), True).otherwise(failed.cast("boolean"))
+    return reader.csv(path).where(whole)
+
+
+def read_raw(
+    spark: SparkSession, table: str, path: str, file_format: str = "csv", free_text: tuple[str, ...] = FREE_TEXT
+) -> DataFrame:
+    """One extract, without a pass for inference."""
     if file_format == "csv":
-        reader = reader.schema(text_schema(table)).option("header", True).option("enforceSchema", False)
-    return reader.format(file_format).load(path).select(*RAW_COLUMNS[table])
+        rows = read_csv(spark, table, path, free_text)
+    else:
+        rows = spark.read.format(file_format).load(path)
+    return rows.select(*RAW_COLUMNS[table])
+
 
+def read_raw_tables(
+    spark: SparkSession, root: str, file_format: str = "csv", free_text: tuple[str, ...] = FREE_TEXT
+) -> RawTables:
+    """All five extracts, each at `<root>/<table>` (a folder or file of that format).
 
-def read_raw_tables(spark: SparkSession, root: str, file_format: str = "csv") -> RawTables:
-    """All five extracts, each at `<root>/<table>` (a folder or file of that format)."""
-    return RawTables(lambda name: read_raw(spark, name, f"{root}/{name}", file_format))
+    `free_text` names the CSV extracts whose values may hold line breaks.
+    """
+    return RawTables(lambda name: read_raw(spark, name, f"{root}/{name}", file_format, free_text))
 
 
-def land_raw_tables(raw: RawTables, root: str, file_format: str = "parquet") -> None:
-    """Write the extracts under `root`, where `read_raw_tables` finds them."""
-    for name in RAW_COLUMNS:
+def land_raw_tables(
+    raw: RawTables, root: str, file_format: str = "parquet", names: Iterable[str] = tuple(RAW_COLUMNS)
+) -> None:
+    """Write extracts under `root`, where `read_raw_tables` finds them."""
+    for name in names:
         writer = raw.table(name).write.mode("errorifexists").format(file_format)
         if file_format == "csv":
             # Spaces around a value are the parsers' business, not the file's.
             writer = (
-                writer.option("header", True)
+                writer.options(**CSV_QUOTES)
                 .option("ignoreLeadingWhiteSpace", False)
                 .option("ignoreTrailingWhiteSpace", False)
             )

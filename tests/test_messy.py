@@ -6,13 +6,13 @@ import datetime
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from compare import assert_same
-from mrrlens.operators.timeline import ids_repeat
-from mrrlens.plans import facts
-from mrrlens.plans.calendar import account_month_spine, calendar_bounds, calendar_dim
+from mrrlens.plans import facts, quality, reports
+from mrrlens.plans.calendar import account_month_spine, calendar_bounds, calendar_dim, subscription_range
 from mrrlens.plans.dimensions import account_dim, current_state
-from mrrlens.plans import quality
+from mrrlens.plans.warehouse import build_marts
 from tables import given_sql, load, messy_rows, staged_from_rows
 
 AS_OF = datetime.date(2001, 12, 31)
@@ -63,28 +63,43 @@ def test_fact(world):
 def test_fact_of_unique_subscriptions(world, spark):
     """The way without a grouping by id, over subscriptions that allow it."""
     staged, bounds, connection = world
-    assert ids_repeat(staged.subscriptions, "subscription_id")
+    assert bounds.repeated_ids
     unique = staged.subscriptions.dropDuplicates(["subscription_id"]).toArrow()
     connection.register("unique_subscriptions", unique)
     subscriptions = spark.createDataFrame(unique)
-    assert not ids_repeat(subscriptions, "subscription_id")
+    assert subscription_range(subscriptions, F.lit(AS_OF)).first().most == 1
     fact = facts.monthly_fact(
-        staged.accounts, subscriptions, staged.churn_events, bounds, 3, repeated_ids=False
+        staged.accounts, subscriptions, staged.churn_events, bounds._replace(repeated_ids=False), 3
     )
     # Over the same bounds: what was dropped may have held the last day.
     sql = given_sql("account_monthly_fact").replace("LEFT JOIN stg_subscriptions", "LEFT JOIN unique_subscriptions")
     assert_same(fact, connection, sql)
 
 
-def test_fact_with_spread_copies(world):
-    staged, bounds, connection = world
-    assert bounds.copies == 3
-    many = bounds._replace(copies=facts.MANY_COPIES + 1)
-    fact = facts.monthly_fact(staged.accounts, staged.subscriptions, staged.churn_events, many, 3)
-    assert_same(fact, connection, given_sql("account_monthly_fact"))
-
-
-def test_checks_find_the_same_faults(world):
+def test_fact_of_an_id_on_many_account_rows(spark, tmp_path, monkeypatch):
+    """More than 1,000 rows of one id, spelled out in blocks of chunks, in as many files as buckets."""
+    monkeypatch.setattr("mrrlens.operators.timeline.CHUNK", 16)
+    rows = messy_rows(4, accounts=10, subscriptions=60, churn=10)
+    rows["accounts"] += [{"account_id": "a1", "signup_date": "2001-10-0" + str(1 + n % 9)} for n in range(1100)]
+    connection = duckdb.connect()
+    load(connection, rows)
+    staged = staged_from_rows(spark, **rows)
+    bounds = calendar_bounds(staged, AS_OF)
+    marts = build_marts(spark, staged, str(tmp_path / "marts"), bounds)
+    assert assert_same(marts.fact, connection, given_sql("account_monthly_fact")) > 3000
+    files = list((tmp_path / "marts").glob("build=*/account_monthly_fact/part-*.parquet"))
+    assert 0 < len(files) <= marts.buckets
+    for name, report in (
+        ("report_logo_churn_by_segment_plan", reports.logo_churn_by_segment),
+        ("report_revenue_churn_by_segment_plan", lambda *marts: reports.revenue_churn_by_segment(*marts, "plan")),
+        ("report_churn_reasons_by_segment_industry", reports.churn_reasons_by_segment),
+        ("analysis_churn_rate_plan_tenure", reports.churn_rate_by_plan_and_tenure),
+        ("analysis_churn_reasons_industry", reports.churn_reasons_by_industry),
+    ):
+        assert_same(report(marts.bucketed_fact, marts.bucketed_accounts), connection, given_sql(name))
+
+
+def test_checks_find_the_same_faults(world, tmp_path):
     staged, bounds, connection = world
     fact = facts.monthly_fact(staged.accounts, staged.subscriptions, staged.churn_events, bounds)
     results = {
@@ -93,6 +108,7 @@ def test_checks_find_the_same_faults(world):
         "dq_accepted_values": quality.accepted_values(staged),
         "dq_relationships": quality.relationships(staged),
         "dq_fact_grain": quality.fact_grain(fact),
+        "dq_all": quality.all_checks(staged, fact, str(tmp_path / "keys")),
     }
     for name, result in results.items():
         assert_same(result, connection, given_sql(name))

@@ -7,7 +7,7 @@ import re
 import pytest
 
 from mrrlens import queries
-from mrrlens.plans import reports
+from mrrlens.plans import reports, warehouse
 from mrrlens.plans.staging import Staged
 from mrrlens.sources import testdata
 
@@ -68,3 +68,34 @@ def test_reports_read_only_their_columns(spark):
     plan = plan_of(reports.churn_reasons_trend(marts.fact))
     assert "ReadSchema: struct<month_start:date,logo_churned:boolean,churn_reason_code:string>" in plan
     assert "EqualTo(logo_churned,true)" in plan
+
+
+def test_marts_are_written_without_a_sort(spark, tmp_path):
+    """The plans that ran: rows come by bucket, so no task sorts what it has spelled out."""
+    inputs = queries.Inputs(spark, "/root/testdata/sf0.01")
+    bounds = inputs.bounds
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    marts = warehouse.build_marts(spark, inputs.staged, str(tmp_path / "marts"), bounds)
+    assert marts.buckets > 1
+    spark._jsparkSession.sparkContext().listenerBus().waitUntilEmpty()
+    executions = store.executionsList()
+    plans = [executions.apply(n).physicalPlanDescription() for n in range(before, executions.size())]
+    spelled_out = [plan for plan in plans if "WriteFiles" in plan and "Generate" in plan]
+    assert len(spelled_out) == 1
+    above = spelled_out[0][: spelled_out[0].index("Generate")]
+    assert "WriteFiles" in above and "Sort" not in above
+
+
+def test_accepted_values_take_two_exchanges(spark):
+    plan = plan_of(queries.QUERIES["dq_accepted_values"](spark, SF_DIR))
+    checks = [line for line in plan.splitlines() if "Exchange hashpartitioning(check_name" in line]
+    assert len(checks) == 2
+
+
+def test_subscriptions_are_scanned_twice_for_the_marts(spark):
+    """Once for the calendar, with the finding that no id repeats, once for the fact."""
+    inputs = queries.Inputs(spark, SF_DIR)
+    assert not inputs.bounds.repeated_ids
+    plan = plan_of(queries.QUERIES["account_monthly_fact"](spark, SF_DIR))
+    assert "first_month" not in "".join(line for line in plan.splitlines() if "Exchange" in line)

@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from mrrlens.functions import parsing, revenue
+from mrrlens.functions.months import run_day
 from mrrlens.plans import facts, reports
-from mrrlens.plans.calendar import MAX_DAYS, Bounds, account_month_spine, calendar_bounds, calendar_dim
+from mrrlens.plans.calendar import Bounds, account_month_spine, calendar_bounds, calendar_dim
 from mrrlens.plans.dimensions import account_dim, current_state
 from tables import staged_from_rows
 
@@ -50,7 +51,7 @@ def test_strict_casts_round_or_fail(spark):
     assert [str(value) for value in parsed(spark, parsing.strict_amount, "12.345")] == ["12.35"]
     assert parsed(spark, parsing.strict_integer, "2.5", None) == [3, None]
     for parser in (parsing.strict_amount, parsing.strict_integer, parsing.strict_timestamp):
-        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        with pytest.raises(Exception, match="raw: not a "):
             parsed(spark, parser, "n/a")
 
 
@@ -132,22 +133,22 @@ def test_repeated_subscription_counts_once_a_month_but_pays_twice(spark):
     assert months == {1: (1, 1), 2: (1, 3), 3: (1, 7), 4: (1, 2), 5: (0, 0), 6: (1, 24), 7: (0, 0)}
 
 
-def fact_rows(spark, accounts, subscriptions, churn=(), last=D(2001, 4, 30), copies=1):
+def fact_rows(spark, accounts, subscriptions, churn=(), last=D(2001, 4, 30)):
     staged = staged_from_rows(
         spark, accounts=accounts, subscriptions=subscriptions, churn_events=list(churn)
     )
     fact = facts.monthly_fact(
-        staged.accounts, staged.subscriptions, staged.churn_events, Bounds(D(2001, 1, 1), last, 1, copies)
+        staged.accounts, staged.subscriptions, staged.churn_events, Bounds(D(2001, 1, 1), last, 1)
     )
     return fact.orderBy("account_id", "month_start").collect()
 
 
 def test_many_copies_of_one_account(spark, monkeypatch):
-    """Segments longer than a chunk: 120 copies of four months in chunks of 50 rows."""
-    monkeypatch.setattr("mrrlens.operators.timeline.CHUNK", 50)
+    """Segments longer than a block of chunks: 120 copies of four months in 8 chunks of 8 rows."""
+    monkeypatch.setattr("mrrlens.operators.timeline.CHUNK", 8)
     copies = [{"account_id": "a", "signup_date": "2001-01-15"} for _ in range(119)]
     late = {"account_id": "a", "signup_date": "2001-03-15"}
-    rows = fact_rows(spark, [*copies, late], [subscription("1", "2001-02-01", None, "2")], copies=120)
+    rows = fact_rows(spark, [*copies, late], [subscription("1", "2001-02-01", None, "2")])
     counted = Counter((r.month_start.month, r.mrr, r.prior_month_mrr) for r in rows)
     assert counted == {
         (1, 0, 0): 119,
@@ -226,7 +227,7 @@ def test_latest_subscription(spark):
 
 def test_state_as_of_now(spark):
     staged = staged_from_rows(spark, subscriptions=[subscription("1", "2001-01-01", None)])
-    assert current_state(staged.subscriptions).first().is_active
+    assert current_state(staged.subscriptions, run_day(spark)).first().is_active
 
 
 def test_unknown_signup_has_a_dimension_row_but_no_months(spark):
@@ -268,10 +269,57 @@ def test_calendar_bounds(spark):
     assert today == spark.sql("SELECT current_date() AS d").first().d
 
 
-def test_calendar_stops_at_its_most_days(spark):
-    far = [subscription("1", "2001-02-01", "9999-12-31")]
-    first, last = bounds_of(spark, subscriptions=far)
-    assert (last - first).days == MAX_DAYS - 1
+def test_calendar_is_as_long_as_its_dates(spark):
+    far = [subscription("1", "2001-02-01", "9999-12-31"), subscription("2", "0001-03-04", "2001-02-03")]
+    assert bounds_of(spark, subscriptions=far) == (D(1, 3, 4), D(9999, 12, 31))
+
+
+def test_one_early_signup_leaves_the_others_alone(spark):
+    accounts = [{"account_id": f"a{n}", "signup_date": "2001-02-01"} for n in range(5)]
+    subscriptions = [
+        {**subscription(str(n), "2001-02-01", "2001-12-31"), "account_id": f"a{n}", "mrr_amount": "10"} for n in range(5)
+    ]
+
+    def others(accounts) -> set:
+        staged = staged_from_rows(spark, accounts=accounts, subscriptions=subscriptions)
+        bounds = calendar_bounds(staged, AS_OF)
+        fact = facts.monthly_fact(staged.accounts, staged.subscriptions, staged.churn_events, bounds)
+        return {tuple(row) for row in fact.where("account_id LIKE 'a%'").collect()}
+
+    expected = others(accounts)
+    assert len(expected) == 55
+    assert others([*accounts, {"account_id": "early", "signup_date": "1850-01-01"}]) == expected
+
+
+def test_one_day_counts_as_today_throughout_a_run(spark):
+    staged = staged_from_rows(spark, accounts=[{"account_id": "a", "signup_date": "2001-01-01"}])
+    assert calendar_bounds(staged).as_of == spark.sql("SELECT current_date() AS d").first().d
+    assert calendar_bounds(staged, AS_OF).as_of == AS_OF
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_no_number_is_lost(spark, ansi):
+    """Well-formed numbers beyond 64 bits fail, tolerant or not; text that is no number is null or fails."""
+    from mrrlens.functions import parsing as p
+
+    def parsed(parser, text):
+        frame = spark.createDataFrame([(text,)], "n string").selectExpr(f"{parser('n')} AS n")
+        return frame.first().n
+
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        assert parsed(p.tolerant_integer, str(2**63 - 1)) == 2**63 - 1
+        assert (parsed(p.tolerant_integer, "12.5"), parsed(p.tolerant_integer, "n/a")) == (13, None)
+        assert (parsed(p.tolerant_integer, None), parsed(p.strict_integer, None)) == (None, None)
+        assert (parsed(p.strict_integer, "12.5"), str(parsed(p.strict_amount, "1.005"))) == (13, "1.01")
+        for parser, text in (
+            (p.tolerant_integer, "9" * 20), (p.tolerant_integer, "9" * 38), (p.strict_integer, "9" * 20),
+            (p.strict_integer, "n/a"), (p.strict_amount, "n/a"), (p.strict_timestamp, "soon"), (p.strict_amount, ""),
+        ):
+            with pytest.raises(Exception, match="n: "):
+                parsed(parser, text)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
 
 
 def test_empty_calendar(spark):

@@ -5,11 +5,13 @@ import uuid
 
 import pytest
 
-from mrrlens.operators.versions import merge_versions, run_snapshot
+from mrrlens.operators.versions import Snapshot, merge_versions
+from mrrlens.plans.dimensions import STATE_COLUMNS, current_state
 
 FIRST = datetime.datetime(2001, 1, 1, 8)
 SECOND = datetime.datetime(2001, 2, 1, 8)
 THIRD = datetime.datetime(2001, 3, 1, 8)
+FOURTH = datetime.datetime(2001, 4, 1, 8)
 
 
 def state(spark, *rows):
@@ -17,72 +19,117 @@ def state(spark, *rows):
 
 
 @pytest.fixture
-def folder(tmp_path):
-    return lambda: str(tmp_path / uuid.uuid4().hex)
+def kept(spark, tmp_path) -> Snapshot:
+    return Snapshot(spark, str(tmp_path / uuid.uuid4().hex))
 
 
-def take(spark, target, run_at, *rows, previous=None):
-    current = state(spark, *rows)
-    frame = run_snapshot(spark, current, "id", ["plan", "seats"], run_at, target, previous)
+def take(kept, run_at, *rows):
+    # A new object each time: what a run needs to know it finds under the root.
+    frame = Snapshot(kept.spark, kept.root).run(state(kept.spark, *rows), "id", ["plan", "seats"], run_at)
     return {(r.id, r.plan, r.seats, r.valid_from, r.valid_to) for r in frame.collect()}
 
 
-def test_runs(spark, folder):
-    one, two, three, four = folder(), folder(), folder(), folder()
+def files(kept, run: int, part: str) -> list:
+    from pathlib import Path
+
+    return sorted((p.name, p.stat().st_mtime_ns) for p in Path(kept.root, f"versions/run={run}/part={part}").glob("*.parquet"))
+
+
+def test_runs(kept):
     rows = [("same", "Pro", 1), ("moves", "Pro", 1), ("filled", None, 1), ("emptied", "Pro", 2), ("gone", "Pro", 3)]
-    first = take(spark, one, FIRST, *rows)
+    first = take(kept, FIRST, *rows)
     assert first == {(*row, FIRST, None) for row in rows}
-    assert take(spark, two, SECOND, *rows, previous=one) == first
+    assert take(kept, SECOND, *rows) == first
 
     later = [("same", "Pro", 1), ("moves", "Basic", 1), ("filled", "Pro", 1), ("emptied", "Pro", None), ("new", "Pro", 9)]
-    second = take(spark, three, SECOND, *later, previous=two)
+    third = take(kept, THIRD, *later)
     changed = {"moves", "filled", "emptied"}
-    assert second == (
-        {(*row, FIRST, SECOND if row[0] in changed else None) for row in rows}
-        | {(*row, SECOND, None) for row in later if row[0] in changed | {"new"}}
+    assert third == (
+        {(*row, FIRST, THIRD if row[0] in changed else None) for row in rows}
+        | {(*row, THIRD, None) for row in later if row[0] in changed | {"new"}}
     )
+    closed = files(kept, 3, "closed")
+    assert closed and not files(kept, 2, "closed")
 
-    # Back to the old plan: a third version, the closed ones untouched.
-    third = take(spark, four, THIRD, ("moves", "Pro", 1), previous=three)
-    assert {row for row in third if row[0] == "moves"} == {
-        ("moves", "Pro", 1, FIRST, SECOND), ("moves", "Basic", 1, SECOND, THIRD), ("moves", "Pro", 1, THIRD, None),
+    # Back to the old plan: a third version, the closed ones neither rewritten nor moved.
+    fourth = take(kept, FOURTH, ("moves", "Pro", 1))
+    assert {row for row in fourth if row[0] == "moves"} == {
+        ("moves", "Pro", 1, FIRST, THIRD), ("moves", "Basic", 1, THIRD, FOURTH), ("moves", "Pro", 1, FOURTH, None),
     }
-    assert {row for row in third if row[0] != "moves"} == {row for row in second if row[0] != "moves"}
+    assert {row for row in fourth if row[0] != "moves"} == {row for row in third if row[0] != "moves"}
+    assert files(kept, 3, "closed") == closed
+    last = kept.spark.read.parquet(f"{kept.root}/versions/run=4/part=closed")
+    assert [(row.id, row.valid_from) for row in last.collect()] == [("moves", THIRD)]
 
 
-def test_version_ids_are_unique(spark, folder):
-    one, two = folder(), folder()
-    take(spark, one, FIRST, ("a", "Pro", 1), ("b", "Pro", 1))
-    take(spark, two, SECOND, ("a", "Basic", 1), ("b", "Pro", 1), previous=one)
-    ids = [row.version_id for row in spark.read.parquet(two).collect()]
+def test_version_ids_are_unique(kept):
+    take(kept, FIRST, ("a", "Pro", 1), ("b", "Pro", 1))
+    take(kept, SECOND, ("a", "Basic", 1), ("b", "Pro", 1))
+    ids = [row.version_id for row in kept.history().collect()]
     assert len(ids) == len(set(ids)) == 3
 
 
-def test_run_time_is_the_same_in_any_zone(spark, folder):
+def test_run_time_is_the_same_in_any_zone(spark, kept):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        rows = take(spark, folder(), FIRST, ("a", "Pro", 1))
+        rows = take(kept, FIRST, ("a", "Pro", 1))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert rows == {("a", "Pro", 1, FIRST, None)}
 
 
-def test_null_key_is_refused(spark, folder):
+def test_null_key_is_refused(kept):
+    with pytest.raises(Exception, match="null id in snapshot input"):
+        take(kept, FIRST, (None, "Pro", 1))
+    assert kept.runs() == []
+    take(kept, FIRST, ("a", "Pro", 1))
     with pytest.raises(Exception, match="null id in snapshot input"):
-        take(spark, folder(), FIRST, (None, "Pro", 1))
+        take(kept, SECOND, (None, "Pro", 1))
+
+
+def test_a_run_must_be_later_than_the_last(kept):
+    take(kept, SECOND, ("a", "Pro", 1))
+    for run_at in (FIRST, SECOND):
+        with pytest.raises(ValueError, match="is not after"):
+            take(kept, run_at, ("a", "Basic", 1))
+
 
+def test_a_run_that_died_can_be_repeated(kept):
+    """It left versions behind, some in part, but no line among the runs."""
+    first = take(kept, FIRST, ("a", "Pro", 1))
+    wrong = merge_versions(kept.opened(kept.runs()[-1]), state(kept.spark, ("a", "Wrong", 1)), "id", ["plan"], SECOND)
+    wrong.write.parquet(f"{kept.root}/versions/run=2/part=open")
+    wrong.limit(1).write.parquet(f"{kept.root}/versions/run=2/part=closed/_temporary/0")
+    assert {tuple(row)[:3] for row in kept.history().collect()} == {row[:3] for row in first}
+    again = take(kept, SECOND, ("a", "Basic", 1))
+    assert again == {("a", "Pro", 1, FIRST, SECOND), ("a", "Basic", 1, SECOND, None)}
 
-def test_written_run_is_never_replaced(spark, folder):
-    target = folder()
-    take(spark, target, FIRST, ("a", "Pro", 1))
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        take(spark, target, SECOND, ("a", "Basic", 1))
 
+def test_no_history_without_a_run(kept):
+    with pytest.raises(ValueError, match="no snapshot run"):
+        kept.history()
 
-def test_closed_versions_pass_by_the_join(spark, folder):
-    target = folder()
-    take(spark, target, FIRST, ("a", "Pro", 1))
-    merged = merge_versions(spark.read.parquet(target), state(spark, ("a", "Pro", 1)), "id", ["plan"], SECOND)
-    plan = merged._jdf.queryExecution().toString()
-    assert "PushedFilters: [IsNotNull(valid_to)]" in plan
-    assert "PushedFilters: [IsNull(valid_to)]" in plan
+
+def test_empty_relation(kept):
+    assert take(kept, FIRST) == set()
+    assert take(kept, SECOND, ("a", "Pro", 1)) == {("a", "Pro", 1, SECOND, None)}
+
+
+def test_open_versions_are_scanned_once_and_the_state_is_shuffled_once(spark, kept):
+    from mrrlens import queries
+    from mrrlens.sources import testdata
+
+    inputs = queries.Inputs(spark, "/root/testdata/sf0.001")
+    now = current_state(inputs.staged.subscriptions, testdata.AS_OF)
+    kept.run(now, "account_id", STATE_COLUMNS, FIRST)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge_versions(kept.opened(kept.runs()[-1]), now, "account_id", STATE_COLUMNS, SECOND)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "version_id" in line]
+    assert len(scans) == 1
+    assert "PartitionFilters" in scans[0] and "= open)" in scans[0]
+    # One of the latest row of each account, one of the open versions.
+    assert plan.count("Exchange hashpartitioning(account_id") == 2

@@ -37,3 +37,39 @@ def test_typed_extracts_stage_alike(spark):
     typed = text.selectExpr("CAST(subscription_id AS INT)", "CAST(start_date AS DATE)", "CAST(seats AS INT)", "CAST(is_trial AS BOOLEAN)")
     parsers = {name: SUBSCRIPTIONS[name] for name in text.columns}
     assert parse(typed, parsers).collect() == parse(text, parsers).collect()
+
+
+def write_csv(folder, table: str, records: str) -> None:
+    (folder / table).mkdir()
+    (folder / table / "part.csv").write_text(",".join(RAW_COLUMNS[table]) + "\n" + records)
+
+
+def test_csv_with_quotes_commas_and_line_breaks(spark, tmp_path):
+    write_csv(
+        tmp_path, "churn_events",
+        'c1,a1,2001-02-03,pricing,1.50,yes,no,no,"said ""no, thanks"", left"\n'
+        'c2,a2,2001-02-04,support,,no,no,no,"line one\nline two, ""end"""\n'
+        'c3,a3,2001-02-05,budget,2,no,no,no,back\\slash\n'
+        'c4,a4,2001-02-06,,,,,,\n',
+    )
+    rows = Staged(read_raw_tables(spark, str(tmp_path))).churn_events.orderBy("churn_event_id").collect()
+    assert [row.feedback_text for row in rows] == [
+        'said "no, thanks", left', 'line one\nline two, "end"', "back\\slash", None,
+    ]
+    assert [row.churn_event_id for row in rows] == ["c1", "c2", "c3", "c4"]
+
+
+@pytest.mark.parametrize("record", ["c1,a1,2001-02-03", "c1,a1,2001-02-03,pricing,1.50,yes,no,no,text,one more"])
+@pytest.mark.parametrize("columns", [["churn_event_id"], ["churn_date", "feedback_text"]])
+def test_csv_records_of_the_wrong_width_fail(spark, tmp_path, record, columns):
+    write_csv(tmp_path, "churn_events", f"c0,a0,2001-02-03,pricing,1.50,yes,no,no,text\n{record}\n")
+    with pytest.raises(Exception, match="record of the wrong width"):
+        Staged(read_raw_tables(spark, str(tmp_path))).churn_events.select(*columns).collect()
+
+
+def test_csv_round_trip_of_hard_text(spark, tmp_path):
+    texts = ['quote " comma , end', "two\nlines", "back\\slash \\\"", " spaced ", '""', "x"]
+    rows = [{"churn_event_id": str(number), "feedback_text": text} for number, text in enumerate(texts)]
+    land_raw_tables(raw_from_rows(spark, churn_events=rows), str(tmp_path / "raw"), "csv", ("churn_events",))
+    read = read_raw_tables(spark, str(tmp_path / "raw")).table("churn_events").collect()
+    assert {row.churn_event_id: row.feedback_text for row in read} == {str(n): text for n, text in enumerate(texts)}
