@@ -1,0 +1,98 @@
+"""Plain versions of the operators, pair by pair where they compare pairs."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter, defaultdict
+
+from mrrlens.llm.line_dedup import BLANK, SHINGLES, SIMILARITY
+
+
+class Union:
+    def __init__(self, size: int) -> None:
+        self.parents = list(range(size))
+
+    def find(self, at: int) -> int:
+        while self.parents[at] != at:
+            at = self.parents[at]
+        return at
+
+    def join(self, one: int, two: int) -> None:
+        one, two = sorted((self.find(one), self.find(two)))
+        self.parents[two] = one
+
+
+def similar_classes(sets: list[set], similarity: float) -> Union:
+    """Union-find over all pairs that share an element and are similar enough."""
+    union, holders = Union(len(sets)), defaultdict(list)
+    for number, one in enumerate(sets):
+        shared = Counter(other for element in one for other in holders[element])
+        for element in one:
+            holders[element].append(number)
+        for other, count in shared.items():
+            if count >= similarity * (len(one) + len(sets[other]) - count):
+                union.join(number, other)
+    return union
+
+
+def dedup_lines(docs: list[tuple[int, str]]) -> dict[int, str]:
+    places = [
+        (doc, place, line.strip(BLANK))
+        for doc, text in docs for place, line in enumerate(text.split("\n")) if line.strip(BLANK)
+    ]
+    lines = list(dict.fromkeys(line for *_, line in places))
+    union = similar_classes([{m[1] for m in re.finditer(SHINGLES, line)} for line in lines], SIMILARITY)
+    number = {line: at for at, line in enumerate(lines)}
+    first: dict[int, tuple] = {}
+    for doc, place, line in places:
+        root = union.find(number[line])
+        first[root] = min(first.get(root, (doc, place)), (doc, place))
+    gone = {(doc, place) for doc, place, line in places if first[union.find(number[line])] != (doc, place)}
+    return {
+        doc: "\n".join(line for place, line in enumerate(text.split("\n")) if (doc, place) not in gone)
+        for doc, text in docs
+    }
+
+
+def weighted_shingles(text: str) -> set:
+    words = re.findall(r"\w+", text.lower())
+    if not words:
+        return {text}
+    width, counts, found = min(5, len(words)), Counter(), set()
+    for at in range(len(words) - width + 1):
+        shingle = tuple(words[at : at + width])
+        found.add((shingle, counts[shingle]))
+        counts[shingle] += 1
+    return found
+
+
+def near_classes(docs: list[tuple[int, str]]) -> dict[int, int]:
+    union = similar_classes([weighted_shingles(text) for _, text in docs], 0.8)
+    least: dict[int, int] = {}
+    for at, (doc, _) in enumerate(docs):
+        least[union.find(at)] = min(least.get(union.find(at), doc), doc)
+    return {doc: least[union.find(at)] for at, (doc, _) in enumerate(docs)}
+
+
+def held_items(docs: list[tuple[int, str]], items: list[tuple[int, str]]) -> set[tuple[int, int]]:
+    """(document, item) pairs by windows of five lower-case words; for texts without slots."""
+
+    def windows(text: str) -> set:
+        words = re.findall(r"[^\W\d_]+", text.lower())
+        return {tuple(words[at : at + 5]) for at in range(len(words) - 4)}
+
+    wanted = {item: windows(text) for item, text in items}
+    found = set()
+    for doc, text in docs:
+        own = windows(text)
+        found |= {(doc, item) for item, one in wanted.items() if one and len(own & one) >= 0.8 * len(one)}
+    return found
+
+
+def secret_spans(text: str) -> list[tuple[str, int, int]]:
+    assign = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    found = [("assign", *m.span()) for m in re.finditer(assign, text, re.ASCII) if len(m[2]) >= 6]
+    found += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    order = ("assign", "access", "hex")
+    return sorted(found, key=lambda span: (span[1], order.index(span[0])))

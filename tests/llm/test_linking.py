@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from brute import Union
+from mrrlens.llm import linking
+from mrrlens.llm.storage import Scratch
+
+
+def classes_of(frame) -> dict[int, int]:
+    rows = frame.collect()
+    assert len({row.id for row in rows}) == len(rows)
+    return {row.id: row.class_id for row in rows}
+
+
+def expected(links) -> dict[int, int]:
+    union = Union(1 + max((max(pair) for pair in links), default=0))
+    for one, two in links:
+        union.join(one, two)
+    return {one: union.find(one) for pair in links for one in pair}
+
+
+@pytest.mark.parametrize("links", [
+    [(0, 1)],
+    [(n, n + 1) for n in range(60)],
+    [(60 - n, 59 - n) for n in range(60)],
+    [(0, n) for n in range(1, 50)],
+    [(50, n) for n in range(50)],
+    [(n, n + 2) for n in range(40)] + [(7, 8)],
+    [tuple(random.Random(seed).sample(range(200), 2)) for seed in range(150)],
+])
+def test_components(spark, links):
+    frame = spark.createDataFrame(links + links[:3], "a bigint, b bigint")
+    assert classes_of(linking.components(frame, Scratch(spark))) == expected(links)
+
+
+def test_no_links(spark):
+    none = spark.createDataFrame([], "a bigint, b bigint")
+    assert classes_of(linking.components(none, Scratch(spark))) == {}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_no_link_within_a_bucket_is_lost(spark, seed, monkeypatch):
+    """Large buckets whose members are similar, dissimilar, or similar in chains."""
+    monkeypatch.setattr(linking, "SMALL_BUCKET", 3)
+    rng = random.Random(seed)
+    members = {(bucket, rng.randrange(120)) for bucket in range(6) for _ in range(40)}
+    members |= {(9, one) for one in range(200, 260)} | {(10, 1), (11, 300), (11, 301)}
+    sets = {}
+    for one in {member for _, member in members}:
+        # Windows of ten numbers: neighbours share nine of eleven, in groups and chains.
+        start = one if one >= 200 else 3 * rng.randrange(60) + rng.randrange(2)
+        sets[one] = list(range(start, start + 10))
+
+    def near(one: int, two: int) -> bool:
+        shared = len(set(sets[one]) & set(sets[two]))
+        return shared >= 0.8 * (20 - shared)
+
+    by_bucket = {}
+    for bucket, member in members:
+        by_bucket.setdefault(bucket, set()).add(member)
+    links = {(a, b) for own in by_bucket.values() for a in own for b in own if a < b and near(a, b)}
+    assert len(links) > 100
+
+    def sets_of(ids):
+        assert {row.id for row in ids.collect()} >= {one for pair in links for one in pair}
+        rows = [(one, own, len(own)) for one, own in sets.items()]
+        return spark.createDataFrame(rows, "id bigint, set array<bigint>, size int")
+
+    frame = spark.createDataFrame(sorted(members), "bucket bigint, id bigint")
+    assert classes_of(linking.link_classes(frame, sets_of, 0.8, Scratch(spark))) == expected(sorted(links))
+
+
+def test_pairs_stay_few_around_a_hub(spark, monkeypatch):
+    """1,000 near copies of one thing, in several buckets, all like the thing, not like each other."""
+    frame = spark.range(8000).select((F.col("id") % 8).alias("bucket"), F.floor(F.col("id") / 8).alias("id"))
+    # The thing itself shares one bucket more than the others do.
+    extra = spark.createDataFrame([(99, 500), (99, 3)], "bucket bigint, id bigint")
+    base = list(range(20))
+    rows = [(one, base if one == 500 else [*base[:17], 100 + one, 5000 + one], 20 if one == 500 else 19) for one in range(1000)]
+    sets = spark.createDataFrame(rows, "id bigint, set array<bigint>, size int")
+    compared = []
+    verified = linking.verified
+
+    def counted(pairs, *others):
+        compared.append(pairs.count())
+        return verified(pairs, *others)
+
+    monkeypatch.setattr(linking, "verified", counted)
+    monkeypatch.setattr(linking, "verified_within", None)
+    found = classes_of(linking.link_classes(frame.unionByName(extra), lambda ids: sets, 0.75, Scratch(spark)))
+    assert set(found.values()) == {0}
+    assert len(found) == 1000
+    assert sum(compared) < 10 * 1000

@@ -1,0 +1,86 @@
+from __future__ import annotations
+
+import random
+
+import duckdb
+from pyspark.sql import functions as F
+
+import brute
+from mrrlens.llm import secret_ledger
+from mrrlens.llm.queries import ORACLES, QUERIES
+from mrrlens.llm.secret_ledger import RULES, Rule, SecretLedger, scan_secrets
+from mrrlens.llm.storage import Scratch
+from tables import empty_documents, hard_documents
+
+KEY, HEX = "AKIA" + "Q7" * 8, "0123456789abcdef" * 2
+
+
+def found_in(frame) -> dict:
+    return {row.doc_id: [tuple(span) for span in row.secrets] for row in frame.collect()}
+
+
+def ledger(spark) -> SecretLedger:
+    return SecretLedger(spark, Scratch(spark).folder)
+
+
+def test_query_matches_sql(spark):
+    from compare import assert_same
+
+    connection = duckdb.connect()
+    connection.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.01/documents.parquet'")
+    found = QUERIES["op6_secret_ledger"](spark, "/root/testdata/sf0.01")
+    assert assert_same(found, connection, ORACLES["op6_secret_ledger"]) == 1000
+
+
+def test_random_texts(spark):
+    rng = random.Random(1)
+    parts = ["token", "Secret", "API_KEY", "apikey", "password", "passwd", '"', "'", " ", "=", ":", "=", "abc", "abcdef9",
+             KEY, "AKIA", "AKIAX", HEX, "f" * 23, "f" * 24, "é", "\U0001F600", "\n", "-/+._", "ſecret"]
+    rows = [(number, "".join(rng.choice(parts) for _ in range(rng.randrange(30)))) for number in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = found_in(scan_secrets(frame, ledger(spark)))
+    assert found == {doc_id: brute.secret_spans(text) for doc_id, text in rows}
+
+
+def test_many_matches_in_one_text(spark, monkeypatch):
+    monkeypatch.setattr(secret_ledger, "RUN", 7)
+    text = f"é token={HEX} {KEY},".join(["x"] * 60)
+    frame = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert found_in(scan_secrets(frame, ledger(spark))) == {1: brute.secret_spans(text)}
+
+
+def test_only_unseen_pairs_are_scanned(spark):
+    first = spark.createDataFrame([(1, f"token={HEX}"), (2, "none"), (3, f"token={HEX}")], "doc_id bigint, text string")
+    second = spark.createDataFrame([(4, "none"), (5, KEY), (6, f"token={HEX}")], "doc_id bigint, text string")
+    book = ledger(spark)
+    assert book.known() is None
+    scan_secrets(first, book)
+    rows = book.spark.read.schema(secret_ledger.LEDGER).parquet(book.path)
+    assert rows.count() == 2 * len(RULES)
+    # Contents that are in the ledger are not even candidates.
+    assert [row.text for row in book.unseen(second, RULES, "text").collect()] == [KEY]
+    found = found_in(scan_secrets(second, book))
+    assert found == {4: [], 5: [("access", 0, 20)], 6: brute.secret_spans(f"token={HEX}")}
+    rows = book.spark.read.schema(secret_ledger.LEDGER).parquet(book.path)
+    assert rows.count() == 3 * len(RULES)
+    # A new version of one rule scans all contents for it, and for it alone.
+    newer = (RULES[0], Rule("access", 2, "AKIA[A-Z0-9]+", 0, 4), RULES[2])
+    both = first.unionByName(second)
+    found = found_in(scan_secrets(both, book, newer))
+    assert found[5] == [("access", 0, 20)] and found[1] == brute.secret_spans(f"token={HEX}")
+    assert book.known().groupBy("kind", "version").count().where(F.col("count") == 3).count() == 4
+    # Nothing is left to scan; findings of all paths are there all the same.
+    assert book.unseen(both, newer, "text").count() == 0
+    assert found_in(book.findings(both, newer)) == found
+
+
+def test_hard_rows(spark):
+    docs = hard_documents(spark)
+    found = scan_secrets(docs, ledger(spark))
+    assert found.columns == [*docs.columns, "secrets"]
+    assert found.count() == docs.count()
+    assert found.where("doc_id = 2").count() == 2
+    assert {len(row.secrets) for row in found.where("doc_id IN (4, 5, 6, 7)").collect()} == {0}
+    book = ledger(spark)
+    assert scan_secrets(empty_documents(spark), book).count() == 0
+    assert book.findings(docs).count() == docs.count()

@@ -1,0 +1,182 @@
+"""Language, quality and toxicity: held-out accuracy, the arithmetic, and hard rows."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from mrrlens.llm import language_cnn, quality_fm, toxicity_mil
+from mrrlens.llm.labelled import WordBuckets, bounded_sample
+from mrrlens.llm.queries import QUERIES
+from tables import OTHER, PROSE, empty_documents, hard_documents
+
+SF_DIR = "/root/testdata/sf0.1"
+TEXTS = [("en", PROSE), ("en", OTHER), ("de", "Der Hafen erwacht vor der Stadt, und die Boote fahren aus."),
+         ("de", "Ein Brief kam aus den Bergen in der dritten Woche des Frostes.")]
+
+
+@pytest.fixture(scope="module")
+def network():
+    return language_cnn.train(TEXTS * 30)
+
+
+@pytest.fixture(scope="module")
+def toxic():
+    clean = [PROSE, OTHER, OTHER + " " + PROSE] * 10
+    return toxicity_mil.train(clean + [PROSE + " You stupid fool. " + OTHER] * 10, [0] * 30 + [1] * 10)
+
+
+@pytest.fixture(scope="module")
+def quality():
+    return quality_fm.train([PROSE, OTHER] * 20 + ["| a | b | c |", "### $$$ &&&"] * 20, [1] * 40 + [0] * 40)
+
+
+def accuracy(spark, found, labels, right) -> float:
+    return found.join(labels, "doc_id").where("held_out").agg(F.avg(F.expr(right).cast("int"))).first()[0]
+
+
+def test_language_of_held_out_documents(spark):
+    found = QUERIES["op7_language_cnn"](spark, SF_DIR)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang")
+    assert found.count() == docs.count()
+    assert accuracy(spark, found, docs, "lang = lang_pred") > 0.99
+
+
+def test_quality_of_held_out_documents(spark):
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    assert accuracy(spark, QUERIES["op2_quality_fm"](spark, SF_DIR), labels, "predicted = quality") > 0.98
+
+
+def test_toxicity_of_held_out_documents(spark):
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    found = QUERIES["op8_toxicity_mil"](spark, SF_DIR).cache()
+    assert accuracy(spark, found, labels, "predicted = toxic") > 0.98
+    assert accuracy(spark, found, labels.where("toxic = 0"), "predicted = 0") > 0.99
+
+
+def test_tables_are_the_network(network):
+    """The tables that score windows hold what the layers compute."""
+    rows = language_cnn.windows_of(PROSE.encode())[0]
+    vectors = network.embedding[rows]
+    pooled = []
+    for width, weight, bias in zip(language_cnn.WIDTHS, network.filters, network.biases, strict=True):
+        length = language_cnn.WINDOW - width + 1
+        pooled.append((sum(vectors[:, at : at + length] @ weight[at] for at in range(width)) + bias).max(axis=1))
+    hidden = np.maximum(np.concatenate(pooled, axis=1), 0)
+    expected = language_cnn.log_softmax(hidden @ network.output + network.offset)
+    assert np.allclose(language_cnn.Scorer(network).log_odds(rows), expected, atol=1e-4)
+
+
+def test_gradients_are_slopes():
+    rng = np.random.default_rng(0)
+    rows = rng.integers(1, 60, (5, language_cnn.WINDOW)).astype(np.uint8)
+    targets, weights = np.array([0, 1, 1, 0, 1]), np.ones(5)
+    embedding = rng.normal(0, 0.3, (256, language_cnn.EMBEDDING))
+    filters = [rng.normal(0, 0.3, (w, language_cnn.EMBEDDING, language_cnn.FILTERS)) for w in language_cnn.WIDTHS]
+    biases = [np.full(language_cnn.FILTERS, 0.1) for _ in language_cnn.WIDTHS]
+    output, offset = rng.normal(0, 0.3, (language_cnn.FILTERS * 3, 2)), np.zeros(2)
+    parts = [embedding, *filters, *biases, output, offset]
+
+    def loss() -> float:
+        vectors, pooled = embedding[rows], []
+        for width, weight, bias in zip(language_cnn.WIDTHS, filters, biases, strict=True):
+            length = language_cnn.WINDOW - width + 1
+            pooled.append((sum(vectors[:, at : at + length] @ weight[at] for at in range(width)) + bias).max(axis=1))
+        odds = language_cnn.log_softmax(np.maximum(np.concatenate(pooled, axis=1), 0) @ output + offset)
+        return -odds[np.arange(5), targets].mean()
+
+    found = language_cnn.gradients(rows, targets, weights, embedding, filters, biases, output, offset)
+    for part, gradient in zip(parts, found, strict=True):
+        at = np.unravel_index(np.abs(gradient).argmax(), gradient.shape)
+        before, step = part[at], 1e-5
+        part[at] = before + step
+        above = loss()
+        part[at] = before - step
+        below = loss()
+        part[at] = before
+        assert gradient[at] == pytest.approx((above - below) / (2 * step), rel=1e-3)
+
+
+def test_windows_cover_the_text():
+    for size in (0, 1, 252, 253, 254, 256, 257, 506, 509, 510, 1000):
+        rows, sizes = language_cnn.windows_of(b"x" * size)
+        assert sizes.sum() == max(size, 1)
+        assert (rows != 0).sum() >= size
+
+
+def test_pairs_are_the_sum_of_squares(quality):
+    data = quality_fm.Features([PROSE], WordBuckets(quality_fm.BUCKETS))
+    form = data.scaled(quality.means, quality.spreads)
+    values = np.concatenate([data.values, form[0]])
+    places = np.concatenate([data.places, quality_fm.BUCKETS + np.arange(form.shape[1])])
+    expected = quality.offset + float(quality.weights[places] @ values)
+    for one in range(len(places)):
+        for two in range(one):
+            expected += values[one] * values[two] * float(quality.factors[places[one]] @ quality.factors[places[two]])
+    raw, _ = quality_fm.raw_scores(
+        data.places, data.values, data.starts, form, quality.offset, quality.weights, quality.factors
+    )
+    assert raw[0] == pytest.approx(expected, rel=1e-4)
+
+
+def test_text_is_the_noisy_or_of_its_sentences(toxic):
+    scorer = toxicity_mil.Scorer(toxic)
+    text = "You stupid fool. The boats leave. Nobody hurries home"
+    chances = [scorer.chance(part) for part in text.split(".")]
+    score, spans = scorer.score(text)
+    assert score == pytest.approx(1 - math.prod(1 - chance for chance in chances))
+    assert [text[span["start"] : span["end"]] for span in spans] == ["You stupid fool"]
+
+
+def test_one_sentence_in_a_long_text(toxic):
+    scorer = toxicity_mil.Scorer(toxic)
+    text = (PROSE + " ") * 300
+    assert scorer.score(text)[0] < 0.5 < scorer.score(text + "You stupid fool.")[0]
+
+
+def test_sample_is_bounded(spark):
+    rows = spark.range(3000).selectExpr("IF(id % 100 = 0, 'rare', 'common') AS label", "CAST(id AS string) AS value")
+    sample = bounded_sample(rows, "label", "value", 100)
+    counts = {label: sum(one == label for one, _ in sample) for label, _ in sample}
+    assert counts["rare"] == 30
+    assert 60 < counts["common"] < 140
+    assert sample == bounded_sample(rows.repartition(5), "label", "value", 100)
+    same = spark.range(3000).selectExpr("'common' AS label", "'same' AS value")
+    assert len(bounded_sample(same, "label", "value", 100)) <= 200
+    assert bounded_sample(rows.limit(0), "label", "value", 100) == []
+
+
+def test_hard_rows(spark, network, toxic, quality):
+    docs = hard_documents(spark)
+    languages = language_cnn.identify_languages(docs, network)
+    assert languages.count() == docs.count()
+    assert languages.columns == [*docs.columns, "lang_pred", "lang_score"]
+    undetermined = {row.doc_id for row in languages.where("lang_pred = 'und'").collect()}
+    assert undetermined == {4, 5, 6, None, 7, 8}
+    for found, column in (
+        (toxicity_mil.score_toxicity(docs, toxic), "toxicity"), (quality_fm.score_quality(docs, quality), "quality_score")
+    ):
+        assert found.count() == docs.count()
+        assert set(docs.columns) < set(found.columns)
+        assert found.where(f"{column} BETWEEN 0 AND 1").count() == docs.count()
+    assert toxicity_mil.score_toxicity(docs, toxic).where("doc_id = 6").first().toxicity == 0
+    nothing = empty_documents(spark)
+    assert language_cnn.identify_languages(nothing, network).count() == 0
+    assert toxicity_mil.score_toxicity(nothing, toxic).count() == 0
+    assert quality_fm.score_quality(nothing, quality).count() == 0
+    # The score's own column may be there already.
+    assert language_cnn.identify_languages(languages, network).columns == languages.columns
+
+
+def test_nothing_to_learn(spark):
+    nothing, docs = empty_documents(spark), hard_documents(spark)
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    assert language_cnn.fit_languages(nothing) is None
+    assert quality_fm.fit_quality(docs, labels) is None
+    assert toxicity_mil.fit_toxicity(docs, labels) is None
+    assert {row.lang_pred for row in language_cnn.identify_languages(docs, None).collect()} == {"und"}
+    assert quality_fm.score_quality(docs, None).where("quality_score = 0.5").count() == docs.count()
+    assert toxicity_mil.score_toxicity(docs, None).where("toxicity = 0").count() == docs.count()
