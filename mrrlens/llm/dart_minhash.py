@@ -207,23 +207,15 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .select(F.monotonically_increasing_id().alias("id"), "key_1", "key_2", "one.*")
     )
 
-    def verifier(ids: DataFrame):
+    def sets_of(ids: DataFrame) -> DataFrame:
         wanted = contents.select("id", "doc_1", "doc_2").join(ids, "id", "left_semi")
         chosen = known.join(wanted, ["doc_1", "doc_2"]).select("id", "text")
         # Rows may repeat a document; one of them is enough.
-        sets = scratch.keep(weighted_sets(chosen).dropDuplicates(["id"]))
-
-        def verify(pairs: DataFrame) -> DataFrame:
-            left = sets.select(F.col("id").alias("a"), F.col("set").alias("set_a"))
-            right = sets.select(F.col("id").alias("b"), F.col("set").alias("set_b"))
-            shared = F.size(F.array_intersect("set_a", "set_b"))
-            total = F.size("set_a") + F.size("set_b") - shared
-            return pairs.join(left, "a").join(right, "b").where(shared >= SIMILARITY * total).select("a", "b")
-
-        return verify
+        sets = weighted_sets(chosen).dropDuplicates(["id"])
+        return scratch.keep(sets.withColumn("size", F.size("set")))
 
     members = contents.select(F.explode("bands").alias("bucket"), "id")
-    classes = link_classes(members, verifier, scratch)
+    classes = link_classes(members, sets_of, SIMILARITY, scratch)
     named = contents.select("id", "key_1", "key_2").join(classes, "id", "left")
     named = named.select("key_1", "key_2", F.coalesce("class_id", "id").alias("class"))
     placed = signed.drop("bands").join(named, ["key_1", "key_2"]).select("doc_id", "doc_1", "doc_2", "class")

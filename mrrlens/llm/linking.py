@@ -15,8 +15,8 @@ SMALL_BUCKET = 8
 #: apart meet each other.
 PIVOT_ROUNDS = 3
 
-#: From the ids in crowded buckets to a check of pairs (a, b), which returns those that hold.
-Verifier = Callable[[DataFrame], Callable[[DataFrame], DataFrame]]
+#: From the ids in crowded buckets to their sets: `id`, `set` (different numbers), `size`.
+SetsOf = Callable[[DataFrame], DataFrame]
 
 
 def two_hashes(*columns: Column) -> list[Column]:
@@ -59,8 +59,8 @@ def crowded_members(members: DataFrame) -> DataFrame:
     both stream, whatever a bucket's size.
     """
     dealt = members.repartition("bucket")
-    sizes = dealt.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    return dealt.join(sizes, "bucket")
+    sizes = dealt.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    return dealt.join(sizes.hint("shuffle_hash"), "bucket")
 
 
 def pairs_with_pivots(members: DataFrame) -> DataFrame:
@@ -69,18 +69,41 @@ def pairs_with_pivots(members: DataFrame) -> DataFrame:
     return members.join(pivots, "bucket").where("id <> pivot")
 
 
-def all_pairs(members: DataFrame) -> DataFrame:
-    """All pairs within buckets; for buckets of a small size, or what remains of large ones."""
-    left = members.select("bucket", F.col("id").alias("a"), F.col("class_id").alias("class_a"))
-    right = members.select("bucket", F.col("id").alias("b"), F.col("class_id").alias("class_b"))
-    return left.join(right, "bucket").where("a < b AND class_a <> class_b").select("a", "b").distinct()
+def pairs_within(members: DataFrame) -> DataFrame:
+    """All pairs within buckets of a small size, once each."""
+    left = members.select("bucket", F.col("id").alias("a"))
+    return left.join(members.select("bucket", F.col("id").alias("b")), "bucket").where("a < b").select("a", "b")
 
 
-def link_classes(members: DataFrame, verifier: Verifier, scratch: Scratch) -> DataFrame:
+def similar(similarity: float) -> Column:
+    """Whether the sets of `one` and `two` are similar enough (Jaccard); sizes that rule it out come first."""
+    small, large = F.least("one.size", "two.size"), F.greatest("one.size", "two.size")
+    shared = F.size(F.array_intersect("one.set", "two.set"))
+    return (small >= similarity * large) & (shared >= similarity * (F.col("one.size") + F.col("two.size") - shared))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those of the pairs (a, b) that are similar."""
+    one = sets.select(F.col("id").alias("a"), "set", "size").alias("one")
+    two = sets.select(F.col("id").alias("b"), "set", "size").alias("two")
+    joined = pairs.distinct().join(one, "a").join(two, "b")
+    return joined.where(similar(similarity)).select("a", "b")
+
+
+def verified_within(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Similar pairs of different classes within buckets. Sets go to the buckets, once for each
+    member, so that pairs are compared where they meet and only links leave."""
+    held = members.select("bucket", "id", "class_id").join(sets, "id")
+    pairs = held.alias("one").join(held.alias("two"), F.expr("one.bucket = two.bucket"))
+    apart = F.expr("one.id < two.id AND one.class_id <> two.class_id")
+    return pairs.where(apart & similar(similarity)).select(F.col("one.id").alias("a"), F.col("two.id").alias("b"))
+
+
+def link_classes(members: DataFrame, sets_of: SetsOf, similarity: float, scratch: Scratch) -> DataFrame:
     """`id` and `class_id` of all that are linked, from members (bucket, id).
 
-    Two things are linked if they share a bucket and the verifier holds for them;
-    classes are the components of the links. In small buckets all pairs are
+    Two things are linked if they share a bucket and their sets are similar; classes
+    are the components of the links. In small buckets all pairs are
     compared. In a larger one all members meet a pivot, then, as long as members
     without it are in different classes, another pivot, so that groups of
     near copies join in a number of pairs linear in their size. Members that no
@@ -88,16 +111,13 @@ def link_classes(members: DataFrame, verifier: Verifier, scratch: Scratch) -> Da
     classes; no pair that could join two classes is left out.
     """
     crowded = scratch.keep(crowded_members(members))
-    verify = verifier(crowded.select("id").distinct())
-    weights = crowded.groupBy("id").agg(F.sum("size").alias("weight"))
-    small = crowded.where(F.col("size") <= SMALL_BUCKET).withColumn("class_id", F.col("id"))
-    large = scratch.keep(crowded.where(F.col("size") > SMALL_BUCKET).join(weights, "id").drop("size"))
+    sets = sets_of(crowded.select("id").distinct())
+    weights = crowded.groupBy("id").agg(F.sum("members").alias("weight"))
+    small = crowded.where(F.col("members") <= SMALL_BUCKET)
+    large = scratch.keep(crowded.where(F.col("members") > SMALL_BUCKET).join(weights, "id").drop("members"))
     met = scratch.keep(pairs_with_pivots(large))
-    pairs = all_pairs(small).unionByName(
-        met.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
-    )
-    links = scratch.keep(verify(pairs.distinct()))
-    classes = scratch.keep(components(links, scratch))
+    pairs = pairs_within(small).unionByName(ordered_pairs(met))
+    classes = scratch.keep(components(verified(pairs, sets, similarity), scratch))
     for turn in range(PIVOT_ROUNDS):
         # Pivots have met all of their bucket, so the others go on without them.
         rest = scratch.keep(apart(met.drop("pivot"), classes))
@@ -105,15 +125,18 @@ def link_classes(members: DataFrame, verifier: Verifier, scratch: Scratch) -> Da
             break
         if turn + 1 < PIVOT_ROUNDS:
             met = scratch.keep(pairs_with_pivots(rest))
-            pairs = met.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
+            found = verified(ordered_pairs(met), sets, similarity)
         else:
-            pairs = all_pairs(rest)
-        found = verify(pairs.distinct())
+            found = verified_within(rest, sets, similarity)
         links = found.unionByName(classes.select(F.col("id").alias("a"), F.col("class_id").alias("b")))
         classes = scratch.keep(components(links, scratch))
     return classes
 
 
+def ordered_pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
+
+
 def apart(members: DataFrame, classes: DataFrame) -> DataFrame:
     """The members, with their class, of buckets whose members are not all in one class."""
     known = members.drop("class_id").join(classes, "id", "left")
