@@ -17,6 +17,10 @@ from mrrlens.llm.storage import Scratch
 WORDS, SIMILARITY = 5, 0.8
 #: A pair of that similarity meets with a probability of 1 - (1 - 0.8^5)^20 = 0.9996.
 BANDS, ROWS = 20, 5
+#: Sketches of 1,024 bits, for sets of hundreds of shingles.
+SKETCH_WORDS = 16
+#: Regions of several texts into which darts are thrown together.
+TOGETHER = 50_000
 TOKEN = re.compile(r"\w+")
 # Multipliers and shifts of the splitmix64 generator; fixed values.
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -67,8 +71,8 @@ def shingle_weights(text: str, hashes: WordHashes) -> tuple[np.ndarray, np.ndarr
     return shingles, weights, numbers.tobytes()
 
 
-def dart_signature(elements: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
-    """For each of `size` coordinates, the earliest dart that hits the weighted elements.
+def dart_signatures(sets: list[tuple[np.ndarray, np.ndarray]], size: int) -> np.ndarray:
+    """For each set of weighted elements and each of `size` coordinates, the earliest dart that hits it.
 
     An element of weight w is a region as wide as w, made of parts of width one.
     Darts fall on each part at times with exponential gaps, at a place in it and
@@ -78,45 +82,59 @@ def dart_signature(elements: np.ndarray, weights: np.ndarray, size: int) -> np.n
     Jaccard similarity. Darts are thrown up to a time by which `size` ln `size` +
     2 `size` are expected, and up to twice that as long as a coordinate has none.
     """
-    total = float(weights.sum())
+    signatures = np.zeros((len(sets), size), np.uint64)
+    expected = size * math.log(size) + 2 * size
+    limits = np.array([expected / float(weights.sum()) for _, weights in sets])
+    waiting = np.arange(len(sets))
+    while len(waiting):
+        full = throw([sets[one] for one in waiting], limits[waiting], size)
+        done = (full != 0).all(axis=1)
+        signatures[waiting[done]] = full[done]
+        waiting = waiting[~done]
+        limits[waiting] *= 2
+    return signatures
+
+
+def throw(sets: list[tuple[np.ndarray, np.ndarray]], limits: np.ndarray, size: int) -> np.ndarray:
+    """The earliest darts up to each set's limit; 0 where a coordinate has none."""
+    elements = np.concatenate([one for one, _ in sets])
+    weights = np.concatenate([one for _, one in sets])
+    owners = np.repeat(np.arange(len(sets)), [len(one) for one, _ in sets])
     parts = np.ceil(weights).astype(np.int64)
-    starts = np.cumsum(parts) - parts
-    part = np.arange(int(parts.sum())) - np.repeat(starts, parts)
+    part = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
     regions = mixed(np.repeat(elements, parts) ^ mixed(part.astype(np.uint64)))
     widths = np.minimum(np.repeat(weights, parts) - part, 1.0)
-    until = (size * math.log(size) + 2 * size) / total
-    while True:
-        times = np.zeros(len(regions))
-        open_regions, number = np.arange(len(regions)), 0
-        darts, at, coordinates = [], [], []
-        while len(open_regions):
-            number += 1
-            dart = mixed(regions[open_regions] ^ np.uint64(number * MIX[0] & 0xFFFFFFFFFFFFFFFF))
-            times[open_regions] -= np.log1p(-((dart >> np.uint64(11)) * 2.0**-53))
-            early = times[open_regions] <= until
-            open_regions, dart = open_regions[early], dart[early]
-            aim = mixed(dart)
-            place = (aim & np.uint64(0xFFFFFFFF)) * 2.0**-32
-            hit = place < widths[open_regions]
-            darts.append(dart[hit])
-            at.append(times[open_regions][hit])
-            coordinates.append(((aim[hit] >> np.uint64(32)) * np.uint64(size)) >> np.uint64(32))
-        darts, at, coordinates = (np.concatenate(one) for one in (darts, at, coordinates))
-        order = np.argsort(-at, kind="stable")
-        signature, found = np.zeros(size, np.uint64), np.zeros(size, bool)
-        # Later entries overwrite earlier ones, so the earliest dart stays.
-        signature[coordinates[order]] = darts[order]
-        found[coordinates] = True
-        if found.all():
-            return signature
-        until *= 2
-
-
-def band_hashes(signature: np.ndarray) -> np.ndarray:
-    rows = signature.reshape(BANDS, ROWS)
-    value = np.arange(1, BANDS + 1, dtype=np.uint64)
+    owners = np.repeat(owners, parts)
+    until, times = limits[owners], np.zeros(len(regions))
+    darts, at, places, number = [], [], [], 0
+    while len(regions):
+        number += 1
+        dart = mixed(regions ^ np.uint64(number * MIX[0] & 0xFFFFFFFFFFFFFFFF))
+        times = times - np.log1p(-((dart >> np.uint64(11)) * 2.0**-53))
+        early = times <= until
+        regions, widths, owners, until, times, dart = (
+            one[early] for one in (regions, widths, owners, until, times, dart)
+        )
+        aim = mixed(dart)
+        hit = (aim & np.uint64(0xFFFFFFFF)) * 2.0**-32 < widths
+        coordinate = ((aim >> np.uint64(32)) * np.uint64(size)) >> np.uint64(32)
+        darts.append(dart[hit])
+        at.append(times[hit])
+        places.append((owners * size + coordinate.astype(np.int64))[hit])
+    darts, at, places = (np.concatenate(one) for one in (darts, at, places))
+    earliest = np.full(len(sets) * size, np.inf)
+    np.minimum.at(earliest, places, at)
+    first = at == earliest[places]
+    found = np.zeros(len(sets) * size, np.uint64)
+    found[places[first]] = darts[first]
+    return found.reshape(len(sets), size)
+
+
+def band_hashes(signatures: np.ndarray) -> np.ndarray:
+    rows = signatures.reshape(len(signatures), BANDS, ROWS)
+    value = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), rows.shape[:2])
     for row in range(ROWS):
-        value = mixed(value ^ rows[:, row])
+        value = mixed(value ^ rows[:, :, row])
     return value
 
 
@@ -136,15 +154,29 @@ def signed_documents(docs: DataFrame, id_type: str) -> DataFrame:
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
+        none = np.zeros(0, np.int64)
         for batch in batches:
-            keys, bands = [], []
-            for text in batch.column(3).to_pylist():
+            keys, bands, sets, owners, regions = [], [none] * len(batch), [], [], 0
+
+            def close_sets() -> None:
+                found = band_hashes(dart_signatures(sets, BANDS * ROWS)).view(np.int64)
+                for owner, row in zip(owners, found, strict=True):
+                    bands[owner] = row
+                sets.clear()
+                owners.clear()
+
+            for number, text in enumerate(batch.column(3).to_pylist()):
                 elements, weights, words = shingle_weights(text, hashes)
                 keys.append(content_key(text, words))
-                bands.append(
-                    band_hashes(dart_signature(elements, weights, BANDS * ROWS)).view(np.int64)
-                    if len(elements) else np.zeros(0, np.int64)
-                )
+                if len(elements):
+                    sets.append((elements, weights))
+                    owners.append(number)
+                    regions += int(weights.sum())
+                if regions >= TOGETHER:
+                    close_sets()
+                    regions = 0
+            if sets:
+                close_sets()
             columns = [
                 *batch.columns[:3],
                 pa.array([key[0] for key in keys], pa.int64()), pa.array([key[1] for key in keys], pa.int64()),
@@ -211,11 +243,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         wanted = contents.select("id", "doc_1", "doc_2").join(ids, "id", "left_semi")
         chosen = known.join(wanted, ["doc_1", "doc_2"]).select("id", "text")
         # Rows may repeat a document; one of them is enough.
-        sets = weighted_sets(chosen).dropDuplicates(["id"])
-        return scratch.keep(sets.withColumn("size", F.size("set")))
+        return weighted_sets(chosen).dropDuplicates(["id"])
 
     members = contents.select(F.explode("bands").alias("bucket"), "id")
-    classes = link_classes(members, sets_of, SIMILARITY, scratch)
+    classes = link_classes(members, sets_of, SIMILARITY, scratch, SKETCH_WORDS)
     named = contents.select("id", "key_1", "key_2").join(classes, "id", "left")
     named = named.select("key_1", "key_2", F.coalesce("class_id", "id").alias("class"))
     placed = signed.drop("bands").join(named, ["key_1", "key_2"]).select("doc_id", "doc_1", "doc_2", "class")

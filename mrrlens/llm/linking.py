@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ SMALL_BUCKET = 8
 #: apart meet each other.
 PIVOT_ROUNDS = 3
 
-#: From the ids in crowded buckets to their sets: `id`, `set` (different numbers), `size`.
+#: From the ids in crowded buckets to their sets: `id` and `set`, an array of different numbers.
 SetsOf = Callable[[DataFrame], DataFrame]
 
 
@@ -75,31 +76,63 @@ def pairs_within(members: DataFrame) -> DataFrame:
     return left.join(members.select("bucket", F.col("id").alias("b")), "bucket").where("a < b").select("a", "b")
 
 
-def similar(similarity: float) -> Column:
-    """Whether the sets of `one` and `two` are similar enough (Jaccard); sizes that rule it out come first."""
+def with_sketch(sets: DataFrame, words: int) -> DataFrame:
+    """Sets with their size and a sketch: `words` numbers of 64 bits, of which each element turns one over.
+
+    Two sketches differ in no more bits than their sets differ in elements.
+    """
+
+    def word(number: int) -> Column:
+        own = F.filter("set", lambda one: F.pmod(F.shiftright(one, 6), F.lit(words)) == number)
+        bit = lambda one: F.call_function("shiftleft", F.lit(1).cast("bigint"), one.bitwiseAND(63).cast("int"))
+        return F.aggregate(own, F.lit(0).cast("bigint"), lambda bits, one: bits.bitwiseXOR(bit(one)))
+
+    sketch = [word(number).alias(f"word_{number}") for number in range(words)]
+    return sets.select("id", "set", F.size("set").alias("size"), *sketch)
+
+
+def close(similarity: float, words: int) -> Column:
+    """Whether sizes and sketches of `one` and `two` allow the similarity (Jaccard). If they do not, the
+    sets do not have it: they may differ in (1 - s) / (1 + s) of the sum of their sizes at most."""
     small, large = F.least("one.size", "two.size"), F.greatest("one.size", "two.size")
+    differing = [F.bit_count(F.col(f"one.word_{n}").bitwiseXOR(F.col(f"two.word_{n}"))) for n in range(words)]
+    most = (F.col("one.size") + F.col("two.size")) * ((1 - similarity) / (1 + similarity)) + 1e-6
+    return (small >= similarity * large - 1e-6) & (reduce(Column.__add__, differing) <= most)
+
+
+def similar(similarity: float) -> Column:
+    """Whether the sets of `one` and `two` are similar enough."""
     shared = F.size(F.array_intersect("one.set", "two.set"))
-    return (small >= similarity * large) & (shared >= similarity * (F.col("one.size") + F.col("two.size") - shared))
+    return shared >= similarity * (F.col("one.size") + F.col("two.size") - shared)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those of the pairs (a, b) that are similar."""
-    one = sets.select(F.col("id").alias("a"), "set", "size").alias("one")
-    two = sets.select(F.col("id").alias("b"), "set", "size").alias("two")
-    joined = pairs.distinct().join(one, "a").join(two, "b")
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float, words: int) -> DataFrame:
+    """Those of the pairs (a, b) that are similar. Sets are fetched for those alone whose sketches are close."""
+    sketches = sets.drop("set")
+    one, two = sketches.alias("one"), sketches.alias("two")
+    likely = pairs.distinct().join(one, F.expr("a = one.id")).join(two, F.expr("b = two.id"))
+    likely = likely.where(close(similarity, words)).select("a", "b")
+    whole = sets.select("id", "set", "size")
+    joined = likely.join(whole.alias("one"), F.expr("a = one.id")).join(whole.alias("two"), F.expr("b = two.id"))
     return joined.where(similar(similarity)).select("a", "b")
 
 
-def verified_within(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Similar pairs of different classes within buckets. Sets go to the buckets, once for each
-    member, so that pairs are compared where they meet and only links leave."""
+def verified_within(members: DataFrame, sets: DataFrame, similarity: float, words: int) -> DataFrame:
+    """Similar pairs of different classes within buckets.
+
+    Sets go to the buckets, once for each member. Pairs are compared where they
+    meet, by a few operations on their sketches, the close ones by their sets; only
+    links leave the join.
+    """
     held = members.select("bucket", "id", "class_id").join(sets, "id")
-    pairs = held.alias("one").join(held.alias("two"), F.expr("one.bucket = two.bucket"))
-    apart = F.expr("one.id < two.id AND one.class_id <> two.class_id")
-    return pairs.where(apart & similar(similarity)).select(F.col("one.id").alias("a"), F.col("two.id").alias("b"))
+    meet = F.expr("one.bucket = two.bucket AND one.id < two.id AND one.class_id <> two.class_id")
+    found = held.alias("one").join(held.alias("two"), meet & close(similarity, words) & similar(similarity))
+    return found.select(F.col("one.id").alias("a"), F.col("two.id").alias("b"))
 
 
-def link_classes(members: DataFrame, sets_of: SetsOf, similarity: float, scratch: Scratch) -> DataFrame:
+def link_classes(
+    members: DataFrame, sets_of: SetsOf, similarity: float, scratch: Scratch, words: int = 4
+) -> DataFrame:
     """`id` and `class_id` of all that are linked, from members (bucket, id).
 
     Two things are linked if they share a bucket and their sets are similar; classes
@@ -108,16 +141,17 @@ def link_classes(members: DataFrame, sets_of: SetsOf, similarity: float, scratch
     without it are in different classes, another pivot, so that groups of
     near copies join in a number of pairs linear in their size. Members that no
     pivot has joined are compared with all of the bucket that are in other
-    classes; no pair that could join two classes is left out.
+    classes; no pair that could join two classes is left out. `words` is the size
+    of the sketches that spare comparisons; it should suit the sizes of the sets.
     """
     crowded = scratch.keep(crowded_members(members))
-    sets = sets_of(crowded.select("id").distinct())
+    sets = scratch.keep(with_sketch(sets_of(crowded.select("id").distinct()), words))
     weights = crowded.groupBy("id").agg(F.sum("members").alias("weight"))
     small = crowded.where(F.col("members") <= SMALL_BUCKET)
     large = scratch.keep(crowded.where(F.col("members") > SMALL_BUCKET).join(weights, "id").drop("members"))
     met = scratch.keep(pairs_with_pivots(large))
     pairs = pairs_within(small).unionByName(ordered_pairs(met))
-    classes = scratch.keep(components(verified(pairs, sets, similarity), scratch))
+    classes = scratch.keep(components(verified(pairs, sets, similarity, words), scratch))
     for turn in range(PIVOT_ROUNDS):
         # Pivots have met all of their bucket, so the others go on without them.
         rest = scratch.keep(apart(met.drop("pivot"), classes))
@@ -125,9 +159,9 @@ def link_classes(members: DataFrame, sets_of: SetsOf, similarity: float, scratch
             break
         if turn + 1 < PIVOT_ROUNDS:
             met = scratch.keep(pairs_with_pivots(rest))
-            found = verified(ordered_pairs(met), sets, similarity)
+            found = verified(ordered_pairs(met), sets, similarity, words)
         else:
-            found = verified_within(rest, sets, similarity)
+            found = verified_within(rest, sets, similarity, words)
         links = found.unionByName(classes.select(F.col("id").alias("a"), F.col("class_id").alias("b")))
         classes = scratch.keep(components(links, scratch))
     return classes

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import brute
-from mrrlens.llm.dart_minhash import dart_signature, drop_near_duplicates, near_duplicates
+from mrrlens.llm.dart_minhash import dart_signatures, drop_near_duplicates, near_duplicates
 from mrrlens.llm.line_dedup import dedup_lines
 from mrrlens.llm.queries import QUERIES
 from tables import OTHER, PROSE, empty_documents, hard_documents
@@ -93,13 +93,17 @@ def test_signatures_estimate_weighted_similarity(seed):
     two[:200] = one[:200] * rng.uniform(0.8, 1.2, 200)
     expected = np.minimum(one, two).sum() / np.maximum(one, two).sum()
     size = 2000
-    agree = (dart_signature(elements, one, size) == dart_signature(elements, two, size)).mean()
+    left, right = dart_signatures([(elements, one), (elements, two)], size)
+    agree = (left == right).mean()
     assert agree == pytest.approx(expected, abs=4 * (expected * (1 - expected) / size) ** 0.5)
 
 
 def test_signatures_of_few_and_many_elements():
-    few = dart_signature(np.array([5], np.uint64), np.array([1]), 100)
-    assert len(few) == 100 and (few != 0).all()
+    few = np.array([5], np.uint64), np.array([1])
     many = np.arange(1, 20001, dtype=np.uint64)
-    same = dart_signature(many, np.ones(20000), 100)
-    assert (same == dart_signature(many[::-1], np.ones(20000), 100)).all()
+    sets = [few, (many, np.ones(20000)), (many[::-1], np.ones(20000))]
+    together = dart_signatures(sets, 100)
+    assert (together != 0).all()
+    assert (together[1] == together[2]).all()
+    # A signature does not depend on the sets beside it.
+    assert (dart_signatures([few], 100)[0] == together[0]).all()

@@ -67,8 +67,7 @@ def test_no_link_within_a_bucket_is_lost(spark, seed, monkeypatch):
 
     def sets_of(ids):
         assert {row.id for row in ids.collect()} >= {one for pair in links for one in pair}
-        rows = [(one, own, len(own)) for one, own in sets.items()]
-        return spark.createDataFrame(rows, "id bigint, set array<bigint>, size int")
+        return spark.createDataFrame(list(sets.items()), "id bigint, set array<bigint>")
 
     frame = spark.createDataFrame(sorted(members), "bucket bigint, id bigint")
     assert classes_of(linking.link_classes(frame, sets_of, 0.8, Scratch(spark))) == expected(sorted(links))
@@ -80,8 +79,8 @@ def test_pairs_stay_few_around_a_hub(spark, monkeypatch):
     # The thing itself shares one bucket more than the others do.
     extra = spark.createDataFrame([(99, 500), (99, 3)], "bucket bigint, id bigint")
     base = list(range(20))
-    rows = [(one, base if one == 500 else [*base[:17], 100 + one, 5000 + one], 20 if one == 500 else 19) for one in range(1000)]
-    sets = spark.createDataFrame(rows, "id bigint, set array<bigint>, size int")
+    rows = [(one, base if one == 500 else [*base[:17], 100 + one, 5000 + one]) for one in range(1000)]
+    sets = spark.createDataFrame(rows, "id bigint, set array<bigint>")
     compared = []
     verified = linking.verified
 
@@ -95,3 +94,24 @@ def test_pairs_stay_few_around_a_hub(spark, monkeypatch):
     assert set(found.values()) == {0}
     assert len(found) == 1000
     assert sum(compared) < 10 * 1000
+
+
+def test_sketches_never_rule_out_similar_sets(spark):
+    rng = random.Random(2)
+    rows = []
+    for one in range(300):
+        size = rng.randrange(1, 120)
+        own = {rng.randrange(-2**63, 2**63) for _ in range(size)}
+        other = set(list(own)[: size - rng.randrange(0, 1 + size // 6)]) | {rng.randrange(2**63) for _ in range(size // 9)}
+        rows += [(2 * one, sorted(own)), (2 * one + 1, sorted(other))]
+    sets = linking.with_sketch(spark.createDataFrame(rows, "id bigint, set array<bigint>"), 2)
+    pairs = spark.range(300).selectExpr("2 * id AS a", "2 * id + 1 AS b")
+    found = {row.a for row in linking.verified(pairs, sets, 0.8, 2).collect()}
+    held = dict(rows)
+
+    def near(a: int) -> bool:
+        one, two = set(held[a]), set(held[a + 1])
+        return len(one & two) >= 0.8 * len(one | two)
+
+    assert found == {a for a in range(0, 600, 2) if near(a)}
+    assert 50 < len(found) < 250
