@@ -12,9 +12,6 @@ from mrrlens.llm.storage import Scratch
 
 #: Buckets of at most so many members have all their pairs compared at once.
 SMALL_BUCKET = 8
-#: How often the members of a larger bucket meet one of them before those still
-#: apart meet each other.
-PIVOT_ROUNDS = 3
 
 #: From the ids in crowded buckets to their sets: `id` and `set`, an array of different numbers.
 SetsOf = Callable[[DataFrame], DataFrame]
@@ -33,22 +30,23 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     around its least id. Each step is two shuffles of the links, with minima taken
     in each task first, and its result is written.
     """
-    edges = scratch.keep(
-        links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    )
-    state = None
+    ordered = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = scratch.keep(ordered.where("a <> b").distinct())
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        large = scratch.keep(large.where("a <> b").distinct())
+        large = scratch.keep(large.where("a <> b"))
         lower = large.groupBy("a").agg(F.min("b").alias("least"))
         moved = large.join(lower, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        edges = scratch.keep(moved.unionByName(lower.select("a", F.col("least").alias("b"))).distinct())
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == state:
-            break
-        state = now
+        moved = moved.withColumn("moved", F.lit(True))
+        kept = lower.select("a", F.col("least").alias("b"), F.lit(False).alias("moved"))
+        edges = scratch.keep(moved.unionByName(kept).groupBy("a", "b").agg(F.max("moved").alias("moved")))
+        # Stars, if each node has one neighbour before it, which has none.
+        if edges.where("moved").isEmpty():
+            centres = edges.select(F.col("b").alias("a"))
+            if edges.join(centres, "a", "left_semi").isEmpty():
+                break
     leaves = edges.select(F.col("a").alias("id"), F.col("b").alias("class_id"))
     return leaves.unionByName(leaves.select(F.col("class_id").alias("id"), "class_id").distinct())
 
@@ -131,7 +129,7 @@ def verified_within(members: DataFrame, sets: DataFrame, similarity: float, word
 
 
 def link_classes(
-    members: DataFrame, sets_of: SetsOf, similarity: float, scratch: Scratch, words: int = 4
+    members: DataFrame, sets_of: SetsOf, similarity: float, scratch: Scratch, words: int = 2
 ) -> DataFrame:
     """`id` and `class_id` of all that are linked, from members (bucket, id).
 
@@ -148,23 +146,16 @@ def link_classes(
     sets = scratch.keep(with_sketch(sets_of(crowded.select("id").distinct()), words))
     weights = crowded.groupBy("id").agg(F.sum("members").alias("weight"))
     small = crowded.where(F.col("members") <= SMALL_BUCKET)
-    large = scratch.keep(crowded.where(F.col("members") > SMALL_BUCKET).join(weights, "id").drop("members"))
-    met = scratch.keep(pairs_with_pivots(large))
+    large = crowded.where(F.col("members") > SMALL_BUCKET).join(weights, "id")
+    met = scratch.keep(pairs_with_pivots(large.select("bucket", "id", "weight")))
     pairs = pairs_within(small).unionByName(ordered_pairs(met))
     classes = scratch.keep(components(verified(pairs, sets, similarity, words), scratch))
-    for turn in range(PIVOT_ROUNDS):
-        # Pivots have met all of their bucket, so the others go on without them.
-        rest = scratch.keep(apart(met.drop("pivot"), classes))
-        if rest.isEmpty():
-            break
-        if turn + 1 < PIVOT_ROUNDS:
-            met = scratch.keep(pairs_with_pivots(rest))
-            found = verified(ordered_pairs(met), sets, similarity, words)
-        else:
-            found = verified_within(rest, sets, similarity, words)
-        links = found.unionByName(classes.select(F.col("id").alias("a"), F.col("class_id").alias("b")))
-        classes = scratch.keep(components(links, scratch))
-    return classes
+    # Pivots have met all of their bucket; the others go on without them.
+    found = scratch.keep(verified_within(apart(met, classes), sets, similarity, words))
+    if found.isEmpty():
+        return classes
+    known = classes.select(F.col("id").alias("a"), F.col("class_id").alias("b"))
+    return scratch.keep(components(found.unionByName(known), scratch))
 
 
 def ordered_pairs(met: DataFrame) -> DataFrame:
@@ -173,7 +164,7 @@ def ordered_pairs(met: DataFrame) -> DataFrame:
 
 def apart(members: DataFrame, classes: DataFrame) -> DataFrame:
     """The members, with their class, of buckets whose members are not all in one class."""
-    known = members.drop("class_id").join(classes, "id", "left")
+    known = members.select("bucket", "id").join(classes, "id", "left")
     known = known.withColumn("class_id", F.coalesce("class_id", "id"))
     spread = known.groupBy("bucket").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high"))
     return known.join(spread.where("low <> high").select("bucket"), "bucket", "left_semi")

@@ -89,7 +89,6 @@ def test_pairs_stay_few_around_a_hub(spark, monkeypatch):
         return verified(pairs, *others)
 
     monkeypatch.setattr(linking, "verified", counted)
-    monkeypatch.setattr(linking, "verified_within", None)
     found = classes_of(linking.link_classes(frame.unionByName(extra), lambda ids: sets, 0.75, Scratch(spark)))
     assert set(found.values()) == {0}
     assert len(found) == 1000
