@@ -12,6 +12,8 @@ from mrrlens.llm.storage import Scratch
 
 #: Buckets of at most so many members have all their pairs compared at once.
 SMALL_BUCKET = 8
+#: Pivots of a larger bucket besides the foremost.
+DRAWN_PIVOTS = 3
 
 #: From the ids in crowded buckets to their sets: `id` and `set`, an array of different numbers.
 SetsOf = Callable[[DataFrame], DataFrame]
@@ -62,10 +64,18 @@ def crowded_members(members: DataFrame) -> DataFrame:
     return dealt.join(sizes.hint("shuffle_hash"), "bucket")
 
 
-def pairs_with_pivots(members: DataFrame) -> DataFrame:
-    """Each member of a bucket with its pivot: the one that shares the most buckets."""
-    pivots = members.groupBy("bucket").agg(F.max_by("id", F.struct("weight", "id")).alias("pivot"))
-    return members.join(pivots, "bucket").where("id <> pivot")
+def with_pivots(members: DataFrame) -> DataFrame:
+    """Each member of a bucket with the bucket's pivots: the one that shares the most buckets,
+    and some by hash, which overlapping buckets so have in common."""
+    drawn = [F.max_by("id", F.xxhash64("id", F.lit(number))) for number in range(DRAWN_PIVOTS)]
+    foremost = F.max_by("id", F.struct("weight", "id"))
+    pivots = members.groupBy("bucket").agg(F.array_distinct(F.array(foremost, *drawn)).alias("pivots"))
+    return members.select("bucket", "id").join(pivots, "bucket")
+
+
+def pairs_with_pivots(met: DataFrame) -> DataFrame:
+    pairs = met.select("id", F.explode("pivots").alias("pivot")).where("id <> pivot")
+    return pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
 
 
 def pairs_within(members: DataFrame) -> DataFrame:
@@ -134,34 +144,30 @@ def link_classes(
     """`id` and `class_id` of all that are linked, from members (bucket, id).
 
     Two things are linked if they share a bucket and their sets are similar; classes
-    are the components of the links. In small buckets all pairs are
-    compared. In a larger one all members meet a pivot, then, as long as members
-    without it are in different classes, another pivot, so that groups of
-    near copies join in a number of pairs linear in their size. Members that no
-    pivot has joined are compared with all of the bucket that are in other
-    classes; no pair that could join two classes is left out. `words` is the size
-    of the sketches that spare comparisons; it should suit the sizes of the sets.
+    are the components of the links. In small buckets all pairs are compared. In a
+    larger one all members meet a few pivots, so that a group of near copies joins
+    in a number of pairs linear in its size. Members that are then in different
+    classes are compared where they meet; no pair that could join two classes is
+    left out. `words` is the size of the sketches that spare comparisons; it should
+    suit the sizes of the sets.
     """
     crowded = scratch.keep(crowded_members(members))
     sets = scratch.keep(with_sketch(sets_of(crowded.select("id").distinct()), words))
     weights = crowded.groupBy("id").agg(F.sum("members").alias("weight"))
     small = crowded.where(F.col("members") <= SMALL_BUCKET)
     large = crowded.where(F.col("members") > SMALL_BUCKET).join(weights, "id")
-    met = scratch.keep(pairs_with_pivots(large.select("bucket", "id", "weight")))
-    pairs = pairs_within(small).unionByName(ordered_pairs(met))
+    met = scratch.keep(with_pivots(large.select("bucket", "id", "weight")))
+    pairs = pairs_within(small).unionByName(pairs_with_pivots(met))
     classes = scratch.keep(components(verified(pairs, sets, similarity, words), scratch))
     # Pivots have met all of their bucket; the others go on without them.
-    found = scratch.keep(verified_within(apart(met, classes), sets, similarity, words))
+    others = met.where(~F.array_contains("pivots", F.col("id")))
+    found = scratch.keep(verified_within(apart(others, classes), sets, similarity, words))
     if found.isEmpty():
         return classes
     known = classes.select(F.col("id").alias("a"), F.col("class_id").alias("b"))
     return scratch.keep(components(found.unionByName(known), scratch))
 
 
-def ordered_pairs(met: DataFrame) -> DataFrame:
-    return met.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
-
-
 def apart(members: DataFrame, classes: DataFrame) -> DataFrame:
     """The members, with their class, of buckets whose members are not all in one class."""
     known = members.select("bucket", "id").join(classes, "id", "left")
