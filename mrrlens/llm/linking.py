@@ -139,7 +139,7 @@ def verified_within(members: DataFrame, sets: DataFrame, similarity: float, word
 
 
 def link_classes(
-    members: DataFrame, sets_of: SetsOf, similarity: float, scratch: Scratch, words: int = 2
+    members: DataFrame, sets_of: SetsOf, similarity: float, scratch: Scratch, words: int
 ) -> DataFrame:
     """`id` and `class_id` of all that are linked, from members (bucket, id).
 

@@ -8,7 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mrrlens.llm.storage import SHUFFLE_CLEANUP, session_settings
+from mrrlens.llm.storage import SHUFFLE_CLEANUP
+from mrrlens.session import session_settings
 
 
 class Rule(NamedTuple):

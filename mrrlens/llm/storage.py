@@ -2,33 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 
 from mrrlens.plans.warehouse import shared_folder
+from mrrlens.session import session_settings
 
 # Spark then removes the shuffle files of a write as soon as it is done.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-@contextmanager
-def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    """Session settings that hold for what is run inside."""
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
-
-
 class Scratch:
     """A folder of its own below `spark.checkpoint.dir`, for one call of an operator.
 
@@ -39,7 +21,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
-        self.folder = shared_folder(spark)
+        self.folder = shared_folder(spark, temporary=True)
         self._tables = 0
 
     def keep(self, frame: DataFrame, settings: dict[str, str] | None = None) -> DataFrame:

@@ -70,7 +70,7 @@ def test_no_link_within_a_bucket_is_lost(spark, seed, monkeypatch):
         return spark.createDataFrame(list(sets.items()), "id bigint, set array<bigint>")
 
     frame = spark.createDataFrame(sorted(members), "bucket bigint, id bigint")
-    assert classes_of(linking.link_classes(frame, sets_of, 0.8, Scratch(spark))) == expected(sorted(links))
+    assert classes_of(linking.link_classes(frame, sets_of, 0.8, Scratch(spark), 2)) == expected(sorted(links))
 
 
 def test_pairs_stay_few_around_a_hub(spark, monkeypatch):
@@ -89,7 +89,7 @@ def test_pairs_stay_few_around_a_hub(spark, monkeypatch):
         return verified(pairs, *others)
 
     monkeypatch.setattr(linking, "verified", counted)
-    found = classes_of(linking.link_classes(frame.unionByName(extra), lambda ids: sets, 0.75, Scratch(spark)))
+    found = classes_of(linking.link_classes(frame.unionByName(extra), lambda ids: sets, 0.75, Scratch(spark), 1))
     assert set(found.values()) == {0}
     assert len(found) == 1000
     assert sum(compared) < 10 * 1000
