@@ -188,23 +188,29 @@ def signed_documents(docs: DataFrame, id_type: str) -> DataFrame:
 
 
 def weighted_sets(docs: DataFrame) -> DataFrame:
-    """Each text's shingles as a set of numbers, one for each time that a shingle occurs."""
+    """Each text's shingles as a set of numbers, one for each time that a shingle occurs, with
+    size and sketch as `linking` wants them: bit e modulo 64 of word e / 64 for an element e."""
+    names = ["id", "set", "size", *[f"word_{number}" for number in range(SKETCH_WORDS)]]
 
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            sets = []
-            for text in batch.column(1).to_pylist():
+            sets, sketches = [], np.zeros((len(batch), 64 * SKETCH_WORDS), bool)
+            for row, text in enumerate(batch.column(1).to_pylist()):
                 elements, weights, _ = shingle_weights(text, hashes)
                 starts = np.cumsum(weights) - weights
                 number = np.arange(int(weights.sum())) - np.repeat(starts, weights)
                 each = mixed(np.repeat(elements, weights) ^ mixed(number.astype(np.uint64)))
                 sets.append(each.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "set"]
-            )
-
-    return docs.mapInArrow(spread, "id bigint, set array<bigint>")
+                turns = np.bincount(each % np.uint64(64 * SKETCH_WORDS), minlength=64 * SKETCH_WORDS)
+                sketches[row] = turns % 2 == 1
+            words = np.packbits(sketches, axis=1, bitorder="little").view("<i8")
+            sizes = pa.array([len(one) for one in sets], pa.int32())
+            columns = [batch.column(0), pa.array(sets, pa.list_(pa.int64())), sizes]
+            yield pa.RecordBatch.from_arrays([*columns, *[pa.array(word) for word in words.T.copy()]], names)
+
+    words = ", ".join(f"{name} bigint" for name in names[3:])
+    return docs.mapInArrow(spread, f"id bigint, set array<bigint>, size int, {words}")
 
 
 def keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:

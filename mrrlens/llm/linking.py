@@ -15,7 +15,10 @@ SMALL_BUCKET = 8
 #: Pivots of a larger bucket besides the foremost.
 DRAWN_PIVOTS = 3
 
-#: From the ids in crowded buckets to their sets: `id` and `set`, an array of different numbers.
+#: Links that one task takes on; so many and fewer meet without a shuffle.
+LINKS_PER_TASK = 1_000_000
+#: From the ids in crowded buckets to their sets, as `with_sketch` makes them: `id`, `set` (an
+#: array of different numbers), `size` and `word_0` and so on.
 SetsOf = Callable[[DataFrame], DataFrame]
 
 
@@ -34,16 +37,24 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """
     ordered = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges = scratch.keep(ordered.where("a <> b").distinct())
+    # No step makes more links than it is given.
+    tasks = edges.count() // LINKS_PER_TASK + 1
+
+    def step(frame: DataFrame) -> DataFrame:
+        return scratch.keep(frame).coalesce(tasks)
+
+    edges = edges.coalesce(tasks)
     while True:
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = both.coalesce(tasks)
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        large = scratch.keep(large.where("a <> b"))
+        large = step(large.where("a <> b"))
         lower = large.groupBy("a").agg(F.min("b").alias("least"))
         moved = large.join(lower, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
         moved = moved.withColumn("moved", F.lit(True))
         kept = lower.select("a", F.col("least").alias("b"), F.lit(False).alias("moved"))
-        edges = scratch.keep(moved.unionByName(kept).groupBy("a", "b").agg(F.max("moved").alias("moved")))
+        edges = step(moved.unionByName(kept).coalesce(tasks).groupBy("a", "b").agg(F.max("moved").alias("moved")))
         # Stars, if each node has one neighbour before it, which has none.
         if edges.where("moved").isEmpty():
             centres = edges.select(F.col("b").alias("a"))
@@ -85,7 +96,7 @@ def pairs_within(members: DataFrame) -> DataFrame:
 
 
 def with_sketch(sets: DataFrame, words: int) -> DataFrame:
-    """Sets with their size and a sketch: `words` numbers of 64 bits, of which each element turns one over.
+    """Sets with their size and a sketch: `words` numbers of 64 bits, of which each element turns one bit over.
 
     Two sketches differ in no more bits than their sets differ in elements.
     """
@@ -148,11 +159,10 @@ def link_classes(
     larger one all members meet a few pivots, so that a group of near copies joins
     in a number of pairs linear in its size. Members that are then in different
     classes are compared where they meet; no pair that could join two classes is
-    left out. `words` is the size of the sketches that spare comparisons; it should
-    suit the sizes of the sets.
+    left out. `words` is the size of the sketches, which spare comparisons.
     """
     crowded = scratch.keep(crowded_members(members))
-    sets = scratch.keep(with_sketch(sets_of(crowded.select("id").distinct()), words))
+    sets = scratch.keep(sets_of(crowded.select("id").distinct()))
     weights = crowded.groupBy("id").agg(F.sum("members").alias("weight"))
     small = crowded.where(F.col("members") <= SMALL_BUCKET)
     large = crowded.where(F.col("members") > SMALL_BUCKET).join(weights, "id")

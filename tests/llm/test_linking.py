@@ -37,6 +37,13 @@ def test_components(spark, links):
     assert classes_of(linking.components(frame, Scratch(spark))) == expected(links)
 
 
+def test_components_in_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(linking, "LINKS_PER_TASK", 20)
+    links = [(n, n + 1) for n in range(70)] + [(200, n) for n in range(100, 140)]
+    frame = spark.createDataFrame(links, "a bigint, b bigint")
+    assert classes_of(linking.components(frame, Scratch(spark))) == expected(links)
+
+
 def test_no_links(spark):
     none = spark.createDataFrame([], "a bigint, b bigint")
     assert classes_of(linking.components(none, Scratch(spark))) == {}
@@ -67,7 +74,7 @@ def test_no_link_within_a_bucket_is_lost(spark, seed, monkeypatch):
 
     def sets_of(ids):
         assert {row.id for row in ids.collect()} >= {one for pair in links for one in pair}
-        return spark.createDataFrame(list(sets.items()), "id bigint, set array<bigint>")
+        return linking.with_sketch(spark.createDataFrame(list(sets.items()), "id bigint, set array<bigint>"), 2)
 
     frame = spark.createDataFrame(sorted(members), "bucket bigint, id bigint")
     assert classes_of(linking.link_classes(frame, sets_of, 0.8, Scratch(spark), 2)) == expected(sorted(links))
@@ -80,12 +87,12 @@ def test_pairs_stay_few_around_a_hub(spark, monkeypatch):
     extra = spark.createDataFrame([(99, 500), (99, 3)], "bucket bigint, id bigint")
     base = list(range(20))
     rows = [(one, base if one == 500 else [*base[:17], 100 + one, 5000 + one]) for one in range(1000)]
-    sets = spark.createDataFrame(rows, "id bigint, set array<bigint>")
+    sets = linking.with_sketch(spark.createDataFrame(rows, "id bigint, set array<bigint>"), 1)
     compared = []
     verified = linking.verified
 
     def counted(pairs, *others):
-        compared.append(pairs.count())
+        compared.append(pairs.distinct().count())
         return verified(pairs, *others)
 
     monkeypatch.setattr(linking, "verified", counted)
