@@ -42,7 +42,8 @@ def windows_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     padded = np.zeros((count - 1) * STRIDE + WINDOW, np.uint8)
     padded[: len(data)] = np.frombuffer(data, np.uint8)
     rows = np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::STRIDE]
-    sizes = np.clip(len(data) - np.arange(count) * STRIDE, 1, STRIDE)
+    sizes = np.full(count, STRIDE)
+    sizes[-1] = max(1, len(data) - (count - 1) * STRIDE)
     return rows, sizes
 
 

@@ -4,7 +4,7 @@ import brute
 from mrrlens.llm import decontamination
 from mrrlens.llm.decontamination import Tokens, contaminated, decontaminate, template
 from mrrlens.llm.queries import QUERIES
-from tables import OTHER, PROSE, empty_documents, hard_documents
+from hard_rows import OTHER, PROSE, empty_documents, hard_documents
 
 QUESTION = "Yesterday Alice Smith bought 3 crates of pears for 12 dollars each and sold every crate to Bob for 20 dollars."
 SMALL = "/root/testdata/sf0.01"

@@ -9,7 +9,7 @@ import brute
 from mrrlens.llm.dart_minhash import dart_signatures, drop_near_duplicates, near_duplicates
 from mrrlens.llm.line_dedup import dedup_lines
 from mrrlens.llm.queries import QUERIES
-from tables import OTHER, PROSE, empty_documents, hard_documents
+from hard_rows import OTHER, PROSE, empty_documents, hard_documents
 
 SMALL = "/root/testdata/sf0.01"
 

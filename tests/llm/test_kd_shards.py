@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mrrlens.llm.kd_shards import kd_shards
 from mrrlens.llm.queries import QUERIES
-from tables import empty_documents, hard_documents
+from hard_rows import empty_documents, hard_documents
 
 
 def assert_numbered(shards):

@@ -8,7 +8,7 @@ import brute
 import corpus_pipeline
 from mrrlens.llm.language_cnn import LETTER
 from mrrlens.llm.storage import Scratch
-from tables import empty_documents, hard_documents
+from hard_rows import empty_documents, hard_documents
 from test_packing import assert_packed
 
 SF_DIR = "/root/testdata/sf0.001"

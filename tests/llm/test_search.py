@@ -56,7 +56,7 @@ def test_against_brute_force(spark, kind, monkeypatch):
         vectors *= np.geomspace(1, 1e-4, 12)
         vectors *= rng.pareto(1, (400, 1))
     elif kind == "large":
-        vectors *= 2.0**24
+        vectors *= 2.0**20
     rows = [(n, [float(x) for x in vector], 1, "x") for n, vector in enumerate(vectors)]
     assert run(spark, rows, best=7) == brute([row[:2] for row in rows], 7)
 

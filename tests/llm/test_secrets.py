@@ -10,7 +10,7 @@ from mrrlens.llm import secret_ledger
 from mrrlens.llm.queries import ORACLES, QUERIES
 from mrrlens.llm.secret_ledger import RULES, Rule, SecretLedger, scan_secrets
 from mrrlens.llm.storage import Scratch
-from tables import empty_documents, hard_documents
+from hard_rows import empty_documents, hard_documents
 
 KEY, HEX = "AKIA" + "Q7" * 8, "0123456789abcdef" * 2
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from mrrlens.llm import language_cnn, quality_fm, toxicity_mil
 from mrrlens.llm.labelled import WordBuckets, bounded_sample
 from mrrlens.llm.queries import QUERIES
-from tables import OTHER, PROSE, empty_documents, hard_documents
+from hard_rows import OTHER, PROSE, empty_documents, hard_documents
 
 SF_DIR = "/root/testdata/sf0.1"
 TEXTS = [("en", PROSE), ("en", OTHER), ("de", "Der Hafen erwacht vor der Stadt, und die Boote fahren aus."),
