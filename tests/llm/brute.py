@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 
-from mrrlens.llm.line_dedup import BLANK, SHINGLES, SIMILARITY
+from mrrlens.llm.line_dedup import BLANK, SIMILARITY
 
 
 class Union:
@@ -35,13 +35,17 @@ def similar_classes(sets: list[set], similarity: float) -> Union:
     return union
 
 
+def character_shingles(line: str) -> set:
+    return {line[at : at + 8] for at in range(max(len(line) - 7, 1))}
+
+
 def dedup_lines(docs: list[tuple[int, str]]) -> dict[int, str]:
     places = [
         (doc, place, line.strip(BLANK))
         for doc, text in docs for place, line in enumerate(text.split("\n")) if line.strip(BLANK)
     ]
     lines = list(dict.fromkeys(line for *_, line in places))
-    union = similar_classes([{m[1] for m in re.finditer(SHINGLES, line)} for line in lines], SIMILARITY)
+    union = similar_classes([character_shingles(line) for line in lines], SIMILARITY)
     number = {line: at for at, line in enumerate(lines)}
     first: dict[int, tuple] = {}
     for doc, place, line in places:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from mrrlens.llm.dart_minhash import dart_signatures, drop_near_duplicates, near_duplicates
-from mrrlens.llm.line_dedup import dedup_lines
+from mrrlens.llm.line_dedup import SHINGLES, dedup_lines, shingle_set
 from mrrlens.llm.queries import QUERIES
 from hard_rows import OTHER, PROSE, empty_documents, hard_documents
 
@@ -32,6 +35,32 @@ def test_fuzzy_lines(spark):
     assert found == {1: (f"{PROSE}\n\n{OTHER}", 0), 2: ("Yes.\nNo.", 1), 3: ("yes.", 2), 4: ("", 1)}
 
 
+BLANK_FREE = [
+    "".join(chr(0x4E00 + 37 * n % 20000) for n in range(60)),
+    "https://example.org/a/long/path/of/many/parts/to/a/page.html?with=query&and=more&or=less",
+    "".join(chr(0x1F300 + 11 * n % 500) for n in range(60)),
+]
+
+
+def test_lines_without_blanks(spark):
+    """One character more at the start, or another in between, moves no shingle out of its set."""
+    near = ["\u5b57" + BLANK_FREE[0], BLANK_FREE[1].replace("https", "http"), BLANK_FREE[2] + "!"]
+    far = "".join(reversed(BLANK_FREE[0]))
+    docs = spark.createDataFrame([(1, "\n".join(BLANK_FREE)), (2, "\n".join([*near, far]))], "doc_id bigint, text string")
+    found = {row.doc_id: (row.text, row.removed_lines) for row in dedup_lines(docs).collect()}
+    assert found == {1: ("\n".join(BLANK_FREE), 0), 2: (far, 3)}
+
+
+def test_shingles_are_all_taken(spark):
+    lines = [*BLANK_FREE, PROSE, "a", "1234567", "12345678", "123456789", "a b\rc\u2028d\x85", "\U0001F600\u00e9 " * 9]
+    frame = spark.createDataFrame([(line,) for line in lines], "line string")
+    sets = frame.select("line", shingle_set(F.col("line")).alias("set"))
+    own = {row.line: row.set for row in sets.collect()}
+    for line in lines:
+        assert len(own[line]) == len(brute.character_shingles(line))
+        assert {found[1] for found in re.finditer(SHINGLES, line)} == brute.character_shingles(line)
+
+
 def test_lines_of_hard_rows(spark):
     docs = hard_documents(spark)
     found = dedup_lines(docs)
