@@ -18,8 +18,9 @@ DRAWN_PIVOTS = 3
 #: Links that one task takes on; so many and fewer meet without a shuffle.
 LINKS_PER_TASK = 1_000_000
 #: From the ids in crowded buckets to their sets, as `with_sketch` makes them: `id`, `set` (an
-#: array of different numbers), `size` and `word_0` and so on.
+#: array of different numbers, or what Elements makes one of), `size` and `word_0` and so on.
 SetsOf = Callable[[DataFrame], DataFrame]
+Elements = Callable[[Column], Column]
 
 
 def two_hashes(*columns: Column) -> list[Column]:
@@ -95,10 +96,15 @@ def pairs_within(members: DataFrame) -> DataFrame:
     return left.join(members.select("bucket", F.col("id").alias("b")), "bucket").where("a < b").select("a", "b")
 
 
-def with_sketch(sets: DataFrame, words: int) -> DataFrame:
+def as_it_is(one: Column) -> Column:
+    return one
+
+
+def with_sketch(sets: DataFrame, words: int, kept: str = "set") -> DataFrame:
     """Sets with their size and a sketch: `words` numbers of 64 bits, of which each element turns one bit over.
 
-    Two sketches differ in no more bits than their sets differ in elements.
+    Two sketches differ in no more bits than their sets differ in elements. Another
+    column, from which the set can be made again, may be `kept` in its place.
     """
 
     def word(number: int) -> Column:
@@ -107,7 +113,7 @@ def with_sketch(sets: DataFrame, words: int) -> DataFrame:
         return F.aggregate(own, F.lit(0).cast("bigint"), lambda bits, one: bits.bitwiseXOR(bit(one)))
 
     sketch = [word(number).alias(f"word_{number}") for number in range(words)]
-    return sets.select("id", "set", F.size("set").alias("size"), *sketch)
+    return sets.select("id", F.col(kept).alias("set"), F.size("set").alias("size"), *sketch)
 
 
 def close(similarity: float, words: int) -> Column:
@@ -119,13 +125,17 @@ def close(similarity: float, words: int) -> Column:
     return (small >= similarity * large - 1e-6) & (reduce(Column.__add__, differing) <= most)
 
 
-def similar(similarity: float) -> Column:
+def similar(similarity: float, elements: Elements) -> Column:
     """Whether the sets of `one` and `two` are similar enough."""
-    shared = F.size(F.array_intersect("one.set", "two.set"))
-    return shared >= similarity * (F.col("one.size") + F.col("two.size") - shared)
+    shared = F.size(F.array_intersect(elements(F.col("one.set")), elements(F.col("two.set"))))
+    sizes = F.col("one.size") + F.col("two.size")
+    # As a lambda's variable, what they share is counted once.
+    return F.transform(F.array(shared), lambda count: count >= similarity * (sizes - count))[0]
 
 
-def verified(pairs: DataFrame, sets: DataFrame, similarity: float, words: int) -> DataFrame:
+def verified(
+    pairs: DataFrame, sets: DataFrame, similarity: float, words: int, elements: Elements = as_it_is
+) -> DataFrame:
     """Those of the pairs (a, b) that are similar. Sets are fetched for those alone whose sketches are close."""
     sketches = sets.drop("set")
     one, two = sketches.alias("one"), sketches.alias("two")
@@ -133,10 +143,12 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float, words: int) -
     likely = likely.where(close(similarity, words)).select("a", "b")
     whole = sets.select("id", "set", "size")
     joined = likely.join(whole.alias("one"), F.expr("a = one.id")).join(whole.alias("two"), F.expr("b = two.id"))
-    return joined.where(similar(similarity)).select("a", "b")
+    return joined.where(similar(similarity, elements)).select("a", "b")
 
 
-def verified_within(members: DataFrame, sets: DataFrame, similarity: float, words: int) -> DataFrame:
+def verified_within(
+    members: DataFrame, sets: DataFrame, similarity: float, words: int, elements: Elements
+) -> DataFrame:
     """Similar pairs of different classes within buckets.
 
     Sets go to the buckets, once for each member. Pairs are compared where they
@@ -145,12 +157,13 @@ def verified_within(members: DataFrame, sets: DataFrame, similarity: float, word
     """
     held = members.select("bucket", "id", "class_id").join(sets, "id")
     meet = F.expr("one.bucket = two.bucket AND one.id < two.id AND one.class_id <> two.class_id")
-    found = held.alias("one").join(held.alias("two"), meet & close(similarity, words) & similar(similarity))
+    found = held.alias("one").join(held.alias("two"), meet & close(similarity, words) & similar(similarity, elements))
     return found.select(F.col("one.id").alias("a"), F.col("two.id").alias("b"))
 
 
 def link_classes(
-    members: DataFrame, sets_of: SetsOf, similarity: float, scratch: Scratch, words: int
+    members: DataFrame, sets_of: SetsOf, similarity: float, scratch: Scratch, words: int,
+    elements: Elements = as_it_is,
 ) -> DataFrame:
     """`id` and `class_id` of all that are linked, from members (bucket, id).
 
@@ -168,10 +181,10 @@ def link_classes(
     large = crowded.where(F.col("members") > SMALL_BUCKET).join(weights, "id")
     met = scratch.keep(with_pivots(large.select("bucket", "id", "weight")))
     pairs = pairs_within(small).unionByName(pairs_with_pivots(met))
-    classes = scratch.keep(components(verified(pairs, sets, similarity, words), scratch))
+    classes = scratch.keep(components(verified(pairs, sets, similarity, words, elements), scratch))
     # Pivots have met all of their bucket; the others go on without them.
     others = met.where(~F.array_contains("pivots", F.col("id")))
-    found = scratch.keep(verified_within(apart(others, classes), sets, similarity, words))
+    found = scratch.keep(verified_within(apart(others, classes), sets, similarity, words, elements))
     if found.isEmpty():
         return classes
     known = classes.select(F.col("id").alias("a"), F.col("class_id").alias("b"))

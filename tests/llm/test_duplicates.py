@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import brute
 from mrrlens.llm.dart_minhash import dart_signatures, drop_near_duplicates, near_duplicates
-from mrrlens.llm.line_dedup import SHINGLES, dedup_lines, shingle_set
+from mrrlens.llm.line_dedup import BANDS, ROWS, SHINGLES, dedup_lines, hashed, shingle_set
 from mrrlens.llm.queries import QUERIES
 from hard_rows import OTHER, PROSE, empty_documents, hard_documents
 
@@ -61,6 +61,25 @@ def test_shingles_are_all_taken(spark):
         assert {found[1] for found in re.finditer(SHINGLES, line)} == brute.character_shingles(line)
 
 
+@pytest.mark.parametrize("shared, own", [(8, 1), (16, 2)])
+def test_signatures_meet_at_the_threshold(spark, shared, own):
+    """Pairs of small sets with a similarity of exactly 0.8 share a band as independent hashes would have it."""
+    pairs = 20000
+    each = spark.range(pairs).select("id", F.explode(F.sequence(F.lit(0), F.lit(shared + 2 * own - 1))).alias("n"))
+    each = each.withColumn("hash", F.xxhash64("id", "n"))
+
+    def signatures(kept, side: str):
+        minima = [F.min(hashed(F.col("hash"), n)).alias(f"{side}_{n}") for n in range(BANDS * ROWS)]
+        return each.where(kept).groupBy("id").agg(*minima)
+
+    both = signatures(F.col("n") < shared + own, "a").join(
+        signatures((F.col("n") < shared) | (F.col("n") >= shared + own), "b"), "id")
+    bands = [" AND ".join(f"a_{n} = b_{n}" for n in range(band * ROWS, (band + 1) * ROWS)) for band in range(BANDS)]
+    met = both.where(" OR ".join(f"({band})" for band in bands)).count() / pairs
+    print(f"{shared} shared, {own} own each: {met:.4f}")
+    assert met == pytest.approx(1 - (1 - 0.8**ROWS) ** BANDS, abs=0.002)
+
+
 def test_lines_of_hard_rows(spark):
     docs = hard_documents(spark)
     found = dedup_lines(docs)
