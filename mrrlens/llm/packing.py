@@ -6,6 +6,7 @@ import base64
 import zlib
 from collections import deque
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,7 @@ class Tokenizer:
             path, pat_str=PIECES, mergeable_ranks=ranks, special_tokens=SPECIAL
         )
         size = max([*ranks.values(), *SPECIAL.values(), DOCUMENT_END]) + 1
+        self._path, self._whole = path, None
         self.closes = np.zeros(size, bool)
         self.breaks = np.zeros(size, bool)
         self.spaced = np.zeros(size, bool)
@@ -80,7 +82,19 @@ class Tokenizer:
 
     def ids(self, text: str | None) -> list[int]:
         """A text's tokens and the end of its document."""
-        return [*self._encoding.encode(text or "", allowed_special="all", disallowed_special=()), DOCUMENT_END]
+        try:
+            found = self._encoding.encode(text or "", allowed_special="all", disallowed_special=())
+        except ValueError:
+            # Its rule for pieces gives up on a run of about a million blanks; the other encoder does not.
+            found = self._whole_ids(text)
+        return [*found, DOCUMENT_END]
+
+    def _whole_ids(self, text: str) -> list[int]:
+        if self._whole is None:
+            from tokenizers import Tokenizer as Whole
+
+            self._whole = Whole.from_file(str(Path(self._path).with_suffix(".json")))
+        return self._whole.encode(text, add_special_tokens=False).ids
 
     def sentence_ends(self, ids: np.ndarray) -> np.ndarray:
         """The positions after a line break, or after a closing mark before white space."""
@@ -176,7 +190,9 @@ def pack_documents(
     of a sentence, a larger one inside a long sentence. Sequences are padded to
     `window` by whoever reads them; a task leaves one short sequence at its end.
 
-    `tokenizer_path` is a file of token ranks at the same place on every node.
+    `tokenizer_path` is a file of token ranks at the same place on every node. Beside
+    it, the same name with `.json` is the vocabulary for texts that only `tokenizers`
+    can take: those with a run of about a million blanks or line feeds.
 
     Null and empty texts are one token, the document's end. Null ids stay null;
     repeated rows are packed as often as they occur; an empty table gives no

@@ -100,6 +100,13 @@ def test_little_padding(spark):
     assert row.sequences * 2048 <= 1.015 * row.tokens
 
 
+def test_runs_of_millions_of_blanks(spark):
+    texts = [" " * 2_000_000 + "a", "a" + "\n" * 2_000_000 + "b <|endoftext|>", "a"]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    assert_packed(pack_documents(docs, TOKENIZER).collect(), rows, 2048)
+
+
 def test_hard_rows(spark):
     docs = hard_documents(spark)
     pieces = pack_documents(docs, TOKENIZER)
