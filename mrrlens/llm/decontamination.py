@@ -38,6 +38,8 @@ UNITS = frozenset(
 # What a token is, in the low bits of its number.
 MARK, WORD, NAME, NUMBER, UNIT = range(5)
 KIND = 7
+# Two templates of each text: one with names as slots, one that is the same in any case.
+FAMILIES = NAMED, CASELESS = range(2)
 
 
 class Tokens(dict):
@@ -65,18 +67,28 @@ class Tokens(dict):
         return found
 
 
+def numbered(text: str, tokens: Tokens) -> np.ndarray:
+    """The numbers of a text's tokens."""
+    found = TOKEN.findall(text)
+    return np.fromiter(map(tokens.__getitem__, found), np.uint64, len(found))
+
+
 def template(text: str, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """The template of a text with its names as slots; see `templated`."""
+    return templated(numbered(text, tokens), NAMED)
+
+
+def templated(numbers: np.ndarray, family: int) -> tuple[np.ndarray, np.ndarray]:
     """The template of a text, one number a token, and the value in each of its slots (0: no slot).
 
-    Numbers are placeholders; so are capitalised words inside a sentence, of which
-    several in a row are one name, and units right after a number. All other words
+    Numbers are placeholders, and so are units right after a number. In the family
+    NAMED, capitalised words inside a sentence are too, of which several in a row
+    are one name; in the family CASELESS capitals play no part. All other words
     count in lower case, and marks not at all.
     """
-    found = TOKEN.findall(text)
-    numbers = np.fromiter(map(tokens.__getitem__, found), np.uint64, len(found))
     kinds = (numbers & np.uint64(KIND)).astype(np.int8)
     before = np.concatenate([[MARK], kinds[:-1]]) if len(kinds) else kinds
-    name = (kinds == NAME) & (before != MARK)
+    name = (kinds == NAME) & (before != MARK) & (family == NAMED)
     slot = (kinds == NUMBER) | name | ((kinds == UNIT) & (before == NUMBER))
     follows = name & np.concatenate([[False], name[:-1]]) if len(name) else name
     values = np.where(slot, numbers, 0).astype(np.uint64)
@@ -90,71 +102,76 @@ def template(text: str, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
     return words, np.where(slot[kept], whole | np.uint64(1), np.uint64(0))
 
 
-def windows(words: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def windows(words: np.ndarray, slots: np.ndarray, family: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all windows of WORDS tokens that hold enough words, and their places."""
     count = len(words) - WORDS + 1
     if count < 1:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    values = np.zeros(count, np.uint64)
+    values = np.full(count, family, np.uint64)
     with np.errstate(over="ignore"):
+        each = mixed(words)
         for at in range(WORDS):
-            values = values * np.uint64(BASE) + mixed(words[at : at + count])
+            values = values * np.uint64(BASE) + each[at : at + count]
     plain = np.convolve(slots == 0, np.ones(WORDS, int), "valid")
     places = np.flatnonzero(plain >= LEAST_WORDS)
     return mixed(values[places]), places
 
 
 def window_table(texts: DataFrame, known: np.ndarray | None = None) -> DataFrame:
-    """All windows of texts with a key (key_1, key_2): hash, place, values of slots. Only those
-    among the known hashes (ascending), if given."""
+    """All windows of texts with a key (key_1, key_2), of either family: hash, family, place, values
+    of slots. Only those among the known hashes (ascending), if given."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens()
         for batch in batches:
-            owners, hashes, places, values = [], [], [], []
+            owners, hashes, families, places, values = [], [], [], [], []
             for row, text in enumerate(batch.column(2).to_pylist()):
-                words, slots = template(text, tokens)
-                found, at = windows(words, slots)
-                if known is not None and len(found):
-                    position = np.minimum(np.searchsorted(known, found), len(known) - 1)
-                    kept = known[position] == found
-                    found, at = found[kept], at[kept]
-                if not len(found):
-                    continue
-                owners.append(np.full(len(found), row))
-                hashes.append(found.view(np.int64))
-                places.append(at)
-                own = slots[at[:, None] + np.arange(WORDS)]
-                values.extend([one[one != 0].view(np.int64) for one in own])
+                numbers = numbered(text, tokens)
+                for family in FAMILIES:
+                    words, slots = templated(numbers, family)
+                    found, at = windows(words, slots, family)
+                    if known is not None and len(found):
+                        position = np.minimum(np.searchsorted(known, found), len(known) - 1)
+                        kept = known[position] == found
+                        found, at = found[kept], at[kept]
+                    if not len(found):
+                        continue
+                    owners.append(np.full(len(found), row))
+                    hashes.append(found.view(np.int64))
+                    families.append(np.full(len(found), family))
+                    places.append(at)
+                    own = slots[at[:, None] + np.arange(WORDS)]
+                    values.extend([one[one != 0].view(np.int64) for one in own])
             if not owners:
                 continue
             rows = pa.array(np.concatenate(owners))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(rows), batch.column(1).take(rows),
-                    pa.array(np.concatenate(hashes)), pa.array(np.concatenate(places), pa.int32()),
+                    pa.array(np.concatenate(hashes)), pa.array(np.concatenate(families), pa.int32()),
+                    pa.array(np.concatenate(places), pa.int32()),
                     pa.array(values, pa.list_(pa.int64())),
                 ],
-                ["key_1", "key_2", "hash", "place", "slots"],
+                ["key_1", "key_2", "hash", "family", "place", "slots"],
             )
 
-    schema = "key_1 bigint, key_2 bigint, hash bigint, place int, slots array<bigint>"
+    schema = "key_1 bigint, key_2 bigint, hash bigint, family int, place int, slots array<bigint>"
     return texts.mapInArrow(cut, schema)
 
 
 def item_windows(benchmark: DataFrame, id_column: str, text_column: str, scratch: Scratch) -> DataFrame:
-    """The different windows of each item, each at its first place, and how many the item has."""
+    """The different windows of each item and family, each at its first place, and how many those are."""
     first, second = two_hashes(F.col(id_column), F.col(text_column))
     items = benchmark.where(F.col(text_column).isNotNull())
     cut = window_table(items.select(first.alias("key_1"), second.alias("key_2"), F.col(text_column)))
-    once = cut.groupBy("key_1", "key_2", "hash").agg(F.min_by(F.struct("place", "slots"), "place").alias("at"))
+    once = cut.groupBy("key_1", "key_2", "family", "hash").agg(F.min_by(F.struct("place", "slots"), "place").alias("at"))
     once = scratch.keep(once.select(
-        F.col("key_1").alias("item_1"), F.col("key_2").alias("item_2"), "hash",
+        F.col("key_1").alias("item_1"), F.col("key_2").alias("item_2"), "family", "hash",
         F.col("at.place").alias("item_place"), F.col("at.slots").alias("item_slots"),
     ))
-    sizes = once.groupBy("item_1", "item_2").agg(F.count("*").alias("windows"))
+    sizes = once.groupBy("item_1", "item_2", "family").agg(F.count("*").alias("windows"))
     ids = items.select(first.alias("item_1"), second.alias("item_2"), F.col(id_column).alias("item_id")).distinct()
-    return scratch.keep(once.join(sizes, ["item_1", "item_2"]).join(ids, ["item_1", "item_2"]))
+    return scratch.keep(once.join(sizes, ["item_1", "item_2", "family"]).join(ids, ["item_1", "item_2"]))
 
 
 def contaminated(
@@ -174,7 +191,10 @@ def contaminated(
     its slots are consistent: at least half of the item's values are replaced by
     one value each wherever they recur. A document holds an item if its copies have
     at least 0.8 of the item's different windows; `changed_slots` says how many
-    values differ from the item's, so 0 is a verbatim copy.
+    values differ from the item's, so 0 is a verbatim copy. This is done with names
+    as slots and again with names as words in any case, so copies in capitals or in
+    lower case are found too; an item is held if it is held either way, and the
+    figures are those of the way that finds the larger share.
 
     Items with too few words for a window are not searched for; null texts hold
     nothing. Rows that repeat an id with its text are one document, or item. Empty
@@ -191,9 +211,10 @@ def contaminated(
             known = np.zeros(1, np.uint64)
     own = texts.where("text IS NOT NULL").select("doc_1", "doc_2", "text")
     cut = window_table(own, known).withColumnsRenamed({"key_1": "doc_1", "key_2": "doc_2"}).distinct()
-    copy = ["doc_1", "doc_2", "item_1", "item_2", "shift"]
+    pair = ["doc_1", "doc_2", "item_1", "item_2"]
+    copy = [*pair, "family", "shift"]
     matched = scratch.keep(
-        cut.join(items, "hash").withColumn("shift", F.col("place") - F.col("item_place"))
+        cut.join(items, ["hash", "family"]).withColumn("shift", F.col("place") - F.col("item_place"))
         .select(*copy, "item_id", "windows", "hash", "item_slots", "slots")
     )
     pairs = matched.select(*copy, F.explode(F.arrays_zip("item_slots", "slots")).alias("pair"))
@@ -205,11 +226,14 @@ def contaminated(
         F.avg((F.col("values") == 1).cast("int")).alias("consistent"), F.sum("changed").alias("changed")
     )
     whole = matched.join(slots, copy, "left").where(F.coalesce("consistent", F.lit(1.0)) >= CONSISTENT)
-    found = whole.groupBy("doc_1", "doc_2", "item_1", "item_2").agg(
+    found = whole.groupBy(*pair, "family").agg(
         F.first("item_id").alias("item_id"), F.first("windows").alias("windows"),
         F.countDistinct("hash").alias("found"), F.coalesce(F.max("changed"), F.lit(0)).alias("changed_slots"),
     )
-    held = scratch.keep(found.where(F.col("found") >= SIMILARITY * F.col("windows")))
+    found = found.where(F.col("found") >= SIMILARITY * F.col("windows"))
+    better = F.struct(F.col("found") / F.col("windows"), -F.col("changed_slots"), -F.col("family"))
+    figures = F.struct("item_id", "windows", "found", "changed_slots")
+    held = scratch.keep(found.groupBy(*pair).agg(F.max_by(figures, better).alias("best")).select(*pair, "best.*"))
     ids = texts.select("doc_id", "doc_1", "doc_2").distinct()
     return ids.join(held, ["doc_1", "doc_2"]).select(
         "doc_id", "item_id", "windows", "found", "changed_slots", "doc_1", "doc_2"

@@ -45,6 +45,17 @@ def test_other_numbers_names_and_units(spark):
     assert set(found) >= {(1, 7), (2, 7)} and not {doc for doc, _ in found} & {3}
 
 
+def test_copies_in_another_case(spark):
+    """Names are words like others where their capitals are gone or all words have some."""
+    forms = [QUESTION.upper(), QUESTION.lower(), QUESTION.title(), QUESTION.swapcase()]
+    docs = [(at, f"{PROSE}\n{text} {OTHER}") for at, text in enumerate(forms)]
+    other = QUESTION.upper().replace("12", "15")
+    found = held(spark, [*docs, (8, other), (9, PROSE.upper())], [(7, QUESTION), (6, QUESTION.lower())])
+    assert set(found) == {(doc, item) for doc in (0, 1, 2, 3, 8) for item in (7, 6)}
+    assert {count for (doc, _), count in found.items() if doc != 8} == {0}
+    assert found[(8, 7)] > 0
+
+
 def test_slots_must_be_consistent(spark):
     item = "In the park Alice met Bob and later on Alice told Bob that Alice saw Bob near the old bridge with Bob."
     names = iter(("Carol", "Dan", "Eve", "Frank", "Grace", "Heidi", "Ivan"))
