@@ -1,4 +1,4 @@
-"""The ten operators with their production parameters, over the test tables in a folder."""
+"""The operators with their production parameters, over the test tables in a folder."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from mrrlens.llm.dart_minhash import near_duplicates
 from mrrlens.llm.decontamination import contaminated
+from mrrlens.llm.divergence import source_divergence
 from mrrlens.llm.inner_product_search import inner_product_search
 from mrrlens.llm.kd_shards import kd_shards
 from mrrlens.llm.labelled import id_remainder
@@ -105,6 +106,10 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_fm": op2_quality_fm,
@@ -116,6 +121,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity_mil": op8_toxicity_mil,
     "op9_inner_products": op9_inner_products,
     "op10_kd_shards": op10_kd_shards,
+    "op11_divergence": op11_divergence,
 }
 
 ASSIGN = """(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
@@ -164,4 +170,44 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
     """,
+    "op11_divergence": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                coalesce(text, '') AS text
+            FROM documents
+        ), words AS (
+            SELECT row_id, lang, source, translate(
+                unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'
+            ) AS term
+            FROM docs
+        ), kept AS (
+            SELECT lang, term, count(*)::HUGEINT AS total FROM words GROUP BY lang, term HAVING count(DISTINCT row_id) >= 3
+        ), counts AS (
+            SELECT lang, source, term, count(*)::HUGEINT AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL
+        ), langs AS (
+            SELECT lang, coalesce(sum(total), 0)::HUGEINT AS size, count(term)::HUGEINT AS v
+            FROM (SELECT DISTINCT lang FROM docs) LEFT JOIN kept USING (lang) GROUP BY lang
+        ), groups AS (
+            SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS size
+            FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN counts USING (lang, source) GROUP BY lang, source
+        ), cells AS (
+            SELECT lang, source, term, coalesce(n, 0) AS n,
+                1 + (1000000000::HUGEINT * (coalesce(n, 0) + 1)) // (g.size + l.v) AS p,
+                1 + (1000000000::HUGEINT * (k.total + 1)) // (l.size + l.v) AS q
+            FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN counts USING (lang, source, term)
+        ), pairs AS (
+            SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+            FROM cells a JOIN cells b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ), found AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM cells WHERE n > 0 AND p > q
+        )
+        SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+        WHERE part = 'pair' OR rank <= 200
+    """,
 }
