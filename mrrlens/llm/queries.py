@@ -18,6 +18,7 @@ from mrrlens.llm.language_cnn import fit_languages, identify_languages
 from mrrlens.llm.line_dedup import dedup_lines
 from mrrlens.llm.packing import pack_documents
 from mrrlens.llm.quality_fm import fit_quality, score_quality
+from mrrlens.llm.ranked_search import ranked_search
 from mrrlens.llm.secret_ledger import RULES, SecretLedger, scan_secrets
 from mrrlens.llm.storage import Scratch
 from mrrlens.llm.toxicity_mil import fit_toxicity, score_toxicity
@@ -110,6 +111,10 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), best=10)
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_fm": op2_quality_fm,
@@ -122,6 +127,7 @@ QUERIES: dict[str, Query] = {
     "op9_inner_products": op9_inner_products,
     "op10_kd_shards": op10_kd_shards,
     "op11_divergence": op11_divergence,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 ASSIGN = """(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
@@ -210,4 +216,37 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
         WHERE part = 'pair' OR rank <= 200
     """,
+    "op12_ranked_search": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row_id, doc_id,
+                unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS word
+            FROM documents
+        ), held AS (
+            SELECT row_id, doc_id, translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term,
+                count(*) AS tf
+            FROM docs GROUP BY ALL
+        ), lengths AS (
+            SELECT row_id, sum(tf)::BIGINT AS n FROM held GROUP BY row_id
+        ), everything AS (
+            SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM lengths
+        ), terms AS (
+            SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM held, everything GROUP BY term
+        ), items AS (
+            SELECT DISTINCT item_id, text, translate(
+                unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'
+            ) AS term
+            FROM benchmark
+        ), scored AS (
+            SELECT item_id, text, row_id, doc_id,
+                sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // length))))::BIGINT AS score
+            FROM items JOIN terms USING (term) JOIN held USING (term) JOIN lengths USING (row_id), everything
+            GROUP BY ALL
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id, row_id) AS rank
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
 }
