@@ -20,6 +20,7 @@ from mrrlens.llm.packing import pack_documents
 from mrrlens.llm.quality_fm import fit_quality, score_quality
 from mrrlens.llm.ranked_search import ranked_search
 from mrrlens.llm.secret_ledger import RULES, SecretLedger, scan_secrets
+from mrrlens.llm.simhash import simhash_components
 from mrrlens.llm.storage import Scratch
 from mrrlens.llm.toxicity_mil import fit_toxicity, score_toxicity
 
@@ -115,6 +116,10 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), best=10)
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_fm": op2_quality_fm,
@@ -128,6 +133,7 @@ QUERIES: dict[str, Query] = {
     "op10_kd_shards": op10_kd_shards,
     "op11_divergence": op11_divergence,
     "op12_ranked_search": op12_ranked_search,
+    "op13_simhash": op13_simhash,
 }
 
 ASSIGN = """(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
