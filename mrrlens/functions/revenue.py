@@ -22,7 +22,7 @@ def is_revenue_churn(mrr: Column, prior: Column) -> Column:
 
 
 def movement_class(mrr: Column, prior: Column) -> Column:
-    """How an account's revenue moved since last month."""
+    """How an account's revenue moved since last month. At most one arm holds, so their order is free."""
     had_revenue = prior > 0
     return (
         F.when(had_revenue & (mrr == 0), "churned")

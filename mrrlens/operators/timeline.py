@@ -220,6 +220,41 @@ def account_segments(
     )
 
 
+def between_months(segments: DataFrame, first: datetime.date, last: datetime.date) -> DataFrame:
+    """The stretches cut down to the months from that of `first` to that of `last`, both included."""
+    first_month, last_month = month_of(date_literal(first)), month_of(date_literal(last))
+    ends = F.add_months("month", F.col("months") - 1)
+    start = F.greatest("month", first_month)
+    cut = F.col("month") < first_month
+    return segments.where((F.col("month") <= last_month) & (ends >= first_month)).withColumns(
+        {
+            "month": start,
+            "months": months_from(start, F.least(ends, last_month)),
+            # Within a stretch nothing changes, so the month before had the same revenue.
+            "prior_mrr": F.when(cut, F.col("mrr")).otherwise(F.col("prior_mrr")),
+            "logo_churned": ~cut & F.col("logo_churned"),
+            "churn_reason_code": F.when(~cut, F.col("churn_reason_code")),
+        }
+    )
+
+
+def repeated_months(segments: DataFrame) -> DataFrame:
+    """`account_id` and `months`: in how many months an account has more than one row, however
+    its stretches lie; accounts without any have no row."""
+    ends = F.add_months("month", F.col("months"))
+    rows = F.array(
+        F.struct("month", F.col("copies").alias("rows")), F.struct(ends.alias("month"), (-F.col("copies")).alias("rows"))
+    )
+    changed = segments.select("account_id", F.inline(rows)).groupBy("account_id", "month").agg(F.sum("rows").alias("rows"))
+    by_month = Window.partitionBy("account_id").orderBy("month")
+    running = changed.select(
+        "account_id",
+        F.sum("rows").over(by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("rows"),
+        (months_from(F.col("month"), F.lead("month").over(by_month)) - 1).alias("months"),
+    )
+    return running.where("rows > 1").groupBy("account_id").agg(F.sum("months").alias("months"))
+
+
 def spell_out_months(segments: DataFrame) -> DataFrame:
     """One row per account and month."""
     offsets = F.sequence(F.lit(0), F.col("months") - 1)

@@ -160,11 +160,11 @@ USAGE_ROWS = select(
 )
 STG_FEATURE_USAGE = """
 SELECT * FROM usage_rows
-QUALIFY 1 = row_number() OVER (
+QUALIFY row_number() OVER (
   PARTITION BY usage_id
   ORDER BY usage_date DESC NULLS FIRST, subscription_id NULLS LAST, feature_name NULLS LAST,
            usage_count NULLS LAST, usage_duration_secs NULLS LAST, error_count NULLS LAST,
-           is_beta_feature NULLS LAST)
+           is_beta_feature NULLS LAST) = 1
 """
 STG_SUPPORT_TICKETS = select(
     "raw_support_tickets",
@@ -212,11 +212,11 @@ WHERE month_start >= date_trunc('month', signup_date)
 """
 LATEST_SUBSCRIPTION = """
 SELECT * FROM {source}
-QUALIFY 1 = row_number() OVER (
+QUALIFY row_number() OVER (
   PARTITION BY account_id
   ORDER BY start_date DESC NULLS FIRST, subscription_id DESC NULLS FIRST, end_date NULLS LAST,
            plan_tier NULLS LAST, billing_frequency NULLS LAST, seats NULLS LAST,
-           mrr_amount NULLS LAST, is_trial NULLS LAST)
+           mrr_amount NULLS LAST, is_trial NULLS LAST) = 1
 """
 STATE = """
 SELECT account_id, plan_tier AS current_plan_tier, billing_frequency AS current_billing_frequency,
@@ -260,6 +260,7 @@ SELECT account_id, CAST(date_trunc('month', churn_date) AS DATE) AS month_start,
        min(reason_code) AS churn_reason_code
 FROM stg_churn_events GROUP BY ALL
 """
+# At most one arm of the movement holds, so their order is free.
 ACCOUNT_MONTHLY_FACT = """
 SELECT account_id, month_start, mrr, active_subscription_count, mrr > 0 AS is_active,
        prior_month_mrr, prior_month_mrr > 0 AND mrr = 0 AS mrr_churned,
@@ -365,8 +366,8 @@ RANKED_REASONS = """
 SELECT month_start, churn_reason_code AS top_churn_reason, count(*) AS churned_accounts
 FROM account_monthly_fact WHERE logo_churned
 GROUP BY month_start, churn_reason_code
-QUALIFY 1 = row_number() OVER (PARTITION BY month_start
-                               ORDER BY count(*) DESC, churn_reason_code ASC NULLS LAST)
+QUALIFY row_number() OVER (PARTITION BY month_start
+                               ORDER BY count(*) DESC, churn_reason_code ASC NULLS LAST) = 1
 """
 
 EXEC_SUMMARY = f"""
@@ -470,6 +471,8 @@ SELECT account_id, month_start, mrr, prior_month_mrr,
             WHEN contraction_mrr < 0 THEN 'contraction' WHEN churned_mrr > 0 THEN 'churned'
             ELSE 'none' END AS movement
 FROM account_monthly_fact""",
+    "account_monthly_fact_of_year": """
+SELECT * FROM account_monthly_fact WHERE month_start BETWEEN DATE '2001-01-01' AND DATE '2001-12-31'""",
     "marts_roundtrip": "SELECT * FROM account_monthly_fact",
     "snapshot_initial": SNAPSHOT_INITIAL,
     "snapshot_noop": SNAPSHOT_INITIAL,

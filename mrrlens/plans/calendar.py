@@ -12,33 +12,28 @@ from pyspark.sql import functions as F
 from mrrlens.functions.months import date_literal, month_of, months_from, run_day
 from mrrlens.plans.staging import Staged
 
+
 class Bounds(NamedTuple):
     """What one look at the data tells all plans: first and last day of the calendar,
-    how many account rows there are, whether some subscription id is on two rows,
-    and the day that counts as today throughout a run."""
+    how many rows the tables have whose dates change an account, whether some
+    subscription id is on two rows, and the day that counts as today throughout a run."""
 
     first_day: datetime.date | None
     last_day: datetime.date | None
     accounts: int = 0
+    subscriptions: int = 0
+    churn_events: int = 0
     repeated_ids: bool = True
     as_of: datetime.date | None = None
 
     @property
-    def months(self) -> int:
-        if self.first_day is None:
-            return 0
-        years = self.last_day.year - self.first_day.year
-        return years * 12 + self.last_day.month - self.first_day.month + 1
+    def stretches(self) -> int:
+        """The most stretches that accounts can have: one for each month in which something changes."""
+        return self.accounts + (3 if self.repeated_ids else 2) * self.subscriptions + 2 * self.churn_events
 
 
 def range_of(rows: DataFrame, low, high) -> DataFrame:
-    return rows.agg(F.min(low).alias("low"), F.max(high).alias("high"))
-
-
-def account_range(accounts: DataFrame) -> DataFrame:
-    return accounts.agg(
-        F.min("signup_date").alias("low"), F.max("signup_date").alias("high"), F.count("*").alias("rows")
-    )
+    return rows.agg(F.min(low).alias("low"), F.max(high).alias("high"), F.count("*").alias("rows"))
 
 
 def subscription_range(subscriptions: DataFrame, today: Column) -> DataFrame:
@@ -49,7 +44,10 @@ def subscription_range(subscriptions: DataFrame, today: Column) -> DataFrame:
         F.count("*").alias("rows"),
     )
     rows_of_an_id = F.when(F.col("subscription_id").isNotNull(), F.col("rows"))
-    return per_id.agg(F.min("low").alias("low"), F.max("high").alias("high"), F.max(rows_of_an_id).alias("most"))
+    return per_id.agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("rows").alias("rows"),
+        F.max(rows_of_an_id).alias("most"),
+    )
 
 
 def widest(days: list[datetime.date | None]) -> tuple[datetime.date | None, datetime.date | None]:
@@ -73,7 +71,7 @@ def calendar_bounds(staged: Staged, as_of: datetime.date | None = None) -> Bound
     today = date_literal(as_of)
     closed = F.coalesce("closed_at", "submitted_at").cast("date")
     ranges = {
-        "accounts": account_range(staged.accounts),
+        "accounts": range_of(staged.accounts, "signup_date", "signup_date"),
         "subscriptions": subscription_range(staged.subscriptions, today),
         "churn_events": range_of(staged.churn_events, "churn_date", "churn_date"),
         "support_tickets": range_of(staged.support_tickets, F.col("submitted_at").cast("date"), closed),
@@ -88,8 +86,8 @@ def calendar_bounds(staged: Staged, as_of: datetime.date | None = None) -> Bound
     if widest([*others, usage.low, usage.high]) != others:
         usage = kept_usage_range(staged.usage_rows)
     first_day, last_day = widest([*others, usage.low, usage.high])
-    repeated_ids = (found["subscriptions"].most or 0) > 1
-    return Bounds(first_day, last_day, found["accounts"].rows, repeated_ids, as_of)
+    rows = [found[name].rows or 0 for name in ("accounts", "subscriptions", "churn_events")]
+    return Bounds(first_day, last_day, *rows, (found["subscriptions"].most or 0) > 1, as_of)
 
 
 def kept_usage_range(usage_rows: DataFrame) -> Row:

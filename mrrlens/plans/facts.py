@@ -20,17 +20,21 @@ def monthly_activity(accounts: DataFrame, subscriptions: DataFrame, bounds: Boun
     )
 
 
-def monthly_fact(
+def fact_segments(
     accounts: DataFrame,
     subscriptions: DataFrame,
     churn_events: DataFrame,
     bounds: Bounds,
     partitions: int | None = None,
 ) -> DataFrame:
-    """The fact. Its rows stay partitioned by account, in `partitions` parts if given."""
-    segments = account_segments(
+    """The fact as stretches of months. They stay partitioned by account, in `partitions` parts if given."""
+    return account_segments(
         accounts, subscriptions, bounds.last_day, churn_events, partitions, bounds.repeated_ids
     )
+
+
+def fact_rows(segments: DataFrame) -> DataFrame:
+    """The fact: stretches spelled out where they lie, one row per account row and month."""
     mrr, prior = F.col("mrr"), F.col("prior_month_mrr")
     movement = movement_class(mrr, prior)
     amounts = movement_amounts(F.col("movement"), mrr, prior)
@@ -52,6 +56,12 @@ def monthly_fact(
     )
 
 
+def monthly_fact(
+    accounts: DataFrame, subscriptions: DataFrame, churn_events: DataFrame, bounds: Bounds
+) -> DataFrame:
+    return fact_rows(fact_segments(accounts, subscriptions, churn_events, bounds))
+
+
 def movements(fact: DataFrame) -> DataFrame:
     """Movement class of each fact row."""
     return fact.select(

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mrrlens.operators import checks
+from mrrlens.operators.timeline import repeated_months
+from mrrlens.plans.facts import fact_rows
 from mrrlens.plans.staging import Staged, one_row_per_usage
 
 # What each controlled column may hold.
@@ -88,9 +90,11 @@ def relationships(staged: Staged, usage: DataFrame | None = None) -> DataFrame:
     )
 
 
-def fact_grain(fact: DataFrame) -> DataFrame:
-    repeated = checks.repeated_keys(fact, ["account_id", "month_start"], skip_nulls=False)
-    return checks.named_count("unique:account_monthly_fact.account_id+month_start", repeated)
+def fact_grain(segments: DataFrame) -> DataFrame:
+    """Account and month are a key of the fact: no stretch stands for several rows or overlaps another."""
+    name = F.lit("unique:account_monthly_fact.account_id+month_start").alias("check_name")
+    months = F.coalesce(F.sum("months"), F.lit(0)).alias("violations")
+    return repeated_months(segments).agg(months).select(name, "violations")
 
 
 def mrr_nonnegative(fact: DataFrame) -> DataFrame:
@@ -104,15 +108,16 @@ def mrr_churned_rule(fact: DataFrame) -> DataFrame:
     )
 
 
-def all_checks(staged: Staged, fact: DataFrame, folder: str) -> DataFrame:
+def all_checks(staged: Staged, segments: DataFrame, folder: str) -> DataFrame:
     """All 30 checks. The kept usage ids, which three kinds need, are found once and
     written to a new `folder` that all executors reach."""
+    fact = fact_rows(segments)
     keys = usage_keys(staged)
     keys.write.mode("errorifexists").parquet(folder)
     usage = keys.sparkSession.read.schema(keys.schema).parquet(folder)
     return checks.together(
         [
             not_null(staged, fact, usage), unique(staged, usage), accepted_values(staged),
-            relationships(staged, usage), fact_grain(fact), mrr_nonnegative(fact), mrr_churned_rule(fact),
+            relationships(staged, usage), fact_grain(segments), mrr_nonnegative(fact), mrr_churned_rule(fact),
         ]
     )

@@ -1,7 +1,9 @@
 """Reports over the written marts.
 
-Each reads the columns it needs of the fact once and reduces it to months (and
-segments or reasons) before anything is ordered, joined again or windowed.
+Each reads the columns it needs of the accounts' stretches (`account_segments`)
+once: two change points a stretch, reduced to months of change (and segments or
+reasons) before anything is windowed or ordered. The fact, one row per account
+and month, is never spelled out.
 """
 
 from __future__ import annotations
@@ -9,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mrrlens.functions.revenue import share
+from mrrlens.functions.revenue import is_revenue_churn, movement_amounts, movement_class, share
+from mrrlens.operators.levels import change_points, over_months, sums_by_month
 
 # Segments a report can be cut by, and the account column behind each.
 SEGMENTS = {
@@ -36,137 +39,149 @@ def times(weight: str | None) -> Column:
     return F.lit(1).cast("bigint") if weight is None else F.col(weight)
 
 
-def lost_revenue(weight: str | None = None) -> Column:
-    """Last month's revenue of accounts that pay nothing this month."""
-    return F.sum(F.when(F.col("mrr_churned"), F.col("prior_month_mrr") * times(weight)).otherwise(0))
+def change_since_last_month(name: str) -> Column:
+    """Over one row per month: a single small partition, whatever the number of accounts."""
+    return F.col(name) - F.lag(name).over(Window.orderBy("month_start"))
 
 
-def count_where(flag: str, weight: str | None = None) -> Column:
-    return F.sum(F.when(F.col(flag), times(weight)).otherwise(0))
+# What a stretch adds to each of its months, or to its first month alone. All copies of
+# an account have the stretch's revenue; only the first of them looks back to the month
+# before, so movements and lost revenue count once.
 
 
-def rate_where(flag: str, weight: str) -> Column:
-    return count_where(flag, weight) / F.sum(times(weight))
+def rows_of(weight: str | None = None) -> Column:
+    return F.col("copies") * times(weight)
 
 
-def change_since_last_month(name: str) -> Column:
-    """Over one row per month: a single small partition, whatever the fact's size."""
-    return F.col(name) - F.lag(name).over(Window.orderBy("month_start"))
+def revenue(weight: str | None = None) -> Column:
+    return F.col("mrr") * rows_of(weight)
+
+
+def active_rows(weight: str | None = None) -> Column:
+    return F.when(F.col("mrr") > 0, rows_of(weight)).otherwise(0)
+
+
+def prior_correction(weight: str | None = None) -> Column:
+    """Prior revenue is a month's own revenue but where a stretch begins."""
+    return (F.col("prior_mrr") - F.col("mrr")) * times(weight)
+
+
+def revenue_churned() -> Column:
+    return is_revenue_churn(F.col("mrr"), F.col("prior_mrr"))
+
+
+def lost_revenue(weight: str | None = None) -> Column:
+    """Last month's revenue of accounts that pay nothing this month."""
+    return F.when(revenue_churned(), F.col("prior_mrr") * times(weight)).otherwise(0)
+
 
+def churned_rows(weight: str | None = None) -> Column:
+    return F.when(F.col("logo_churned"), rows_of(weight)).otherwise(0)
 
-def with_segment(fact: DataFrame, accounts: DataFrame, *columns: str) -> DataFrame:
-    """Fact rows with account attributes and `weight`, how many account rows have them.
+
+def moved_revenue() -> dict[str, Column]:
+    mrr, prior = F.col("mrr"), F.col("prior_mrr")
+    return movement_amounts(movement_class(mrr, prior), mrr, prior)
+
+
+def with_segment(segments: DataFrame, accounts: DataFrame, *columns: str) -> DataFrame:
+    """Stretches with account attributes and `weight`, how many account rows have them.
 
     Account rows alike are one row here, so an id on many of them does not multiply
-    its fact rows. Both marts are written in buckets by account, so where the
+    its stretches. Both marts are written in buckets by account, so where the
     accounts are too many to broadcast neither step needs a shuffle.
     """
     alike = accounts.groupBy("account_id", *columns).agg(F.count("*").alias("weight"))
-    return fact.join(alike, "account_id")
+    return segments.join(alike, "account_id")
 
 
-def revenue_trend(fact: DataFrame) -> DataFrame:
-    paying = F.when(F.col("is_active"), F.col("mrr").cast("double"))
-    report = fact.groupBy("month_start").agg(
-        F.sum("mrr").alias("total_mrr"),
-        F.count_if("is_active").alias("active_accounts"),
-        F.avg(paying).alias("arpa_mrr"),
+def revenue_trend(segments: DataFrame) -> DataFrame:
+    paying = F.when(F.col("mrr") > 0, revenue()).otherwise(0)
+    levels = {"total_mrr": revenue(), "active_accounts": active_rows(), "paid": paying, "accounts": rows_of()}
+    report = sums_by_month(segments, [], levels, {}, "accounts").select(
+        "month_start", "total_mrr", "active_accounts", share(F.col("paid"), F.col("active_accounts")).alias("arpa_mrr")
     )
     return ordered(report, "month_start")
 
 
-def mrr_waterfall(fact: DataFrame) -> DataFrame:
-    report = fact.groupBy("month_start").agg(
-        *[F.sum(name).alias(name) for name in MOVEMENTS], F.sum("mrr").alias("ending_mrr")
-    )
-    return ordered(report, "month_start")
+def mrr_waterfall(segments: DataFrame) -> DataFrame:
+    report = sums_by_month(segments, [], {"ending_mrr": revenue(), "accounts": rows_of()}, moved_revenue(), "accounts")
+    return ordered(report.select("month_start", *MOVEMENTS, "ending_mrr"), "month_start")
 
 
-def net_mrr_change(fact: DataFrame) -> DataFrame:
-    months = fact.groupBy("month_start").agg(F.sum("mrr").alias("total_mrr"))
+def net_mrr_change(segments: DataFrame) -> DataFrame:
+    months = sums_by_month(segments, [], {"total_mrr": revenue(), "accounts": rows_of()}, {}, "accounts")
+    months = months.select("month_start", "total_mrr")
     report = months.withColumn("mrr_delta", change_since_last_month("total_mrr"))
     return ordered(report, "month_start")
 
 
 def logo_churn(rows: DataFrame, *keys: str, weight: str | None = None) -> DataFrame:
-    report = (
-        rows.groupBy(*keys)
-        .agg(
-            F.sum(times(weight)).alias("accounts_in_month"),
-            count_where("logo_churned", weight).alias("logo_churned_accounts"),
-        )
-        .withColumn("logo_churn_rate", share(F.col("logo_churned_accounts"), F.col("accounts_in_month")))
-    )
-    return ordered(report, *keys)
+    levels, points = {"accounts_in_month": rows_of(weight)}, {"logo_churned_accounts": churned_rows(weight)}
+    report = sums_by_month(rows, list(keys), levels, points, "accounts_in_month")
+    rate = share(F.col("logo_churned_accounts"), F.col("accounts_in_month")).alias("logo_churn_rate")
+    return ordered(report.select("month_start", *keys, *levels, *points, rate), "month_start", *keys)
 
 
-def logo_churn_trend(fact: DataFrame) -> DataFrame:
-    return logo_churn(fact, "month_start")
+def logo_churn_trend(segments: DataFrame) -> DataFrame:
+    return logo_churn(segments)
 
 
-def logo_churn_by_segment(fact: DataFrame, accounts: DataFrame, segment: str = "plan") -> DataFrame:
+def logo_churn_by_segment(segments: DataFrame, accounts: DataFrame, segment: str = "plan") -> DataFrame:
     column = SEGMENTS[segment]
-    return logo_churn(with_segment(fact, accounts, column), "month_start", column, weight="weight")
+    return logo_churn(with_segment(segments, accounts, column), column, weight="weight")
 
 
-def revenue_churn_trend(fact: DataFrame) -> DataFrame:
-    report = fact.groupBy("month_start").agg(
-        F.sum("prior_month_mrr").alias("prior_mrr"),
-        lost_revenue().alias("churned_mrr_from_prior"),
-        F.sum("mrr").alias("ending_mrr"),
-    )
-    rate = share(F.col("churned_mrr_from_prior"), F.col("prior_mrr"))
-    report = report.select(
-        "month_start",
-        "prior_mrr",
-        "churned_mrr_from_prior",
-        rate.alias("revenue_churn_rate"),
-        "ending_mrr",
+def revenue_churn(rows: DataFrame, *keys: str, lost: str, weight: str | None = None) -> DataFrame:
+    levels = {"ending_mrr": revenue(weight), "accounts": rows_of(weight)}
+    points = {lost: lost_revenue(weight), "correction": prior_correction(weight)}
+    months = sums_by_month(rows, list(keys), levels, points, "accounts")
+    months = months.withColumn("prior_mrr", F.col("ending_mrr") + F.col("correction"))
+    return months.withColumn("revenue_churn_rate", share(F.col(lost), F.col("prior_mrr")))
+
+
+def revenue_churn_trend(segments: DataFrame) -> DataFrame:
+    report = revenue_churn(segments, lost="churned_mrr_from_prior").select(
+        "month_start", "prior_mrr", "churned_mrr_from_prior", "revenue_churn_rate", "ending_mrr"
     )
     return ordered(report, "month_start")
 
 
-def revenue_churn_by_segment(fact: DataFrame, accounts: DataFrame, segment: str = "plan") -> DataFrame:
+def revenue_churn_by_segment(segments: DataFrame, accounts: DataFrame, segment: str = "plan") -> DataFrame:
     column = SEGMENTS[segment]
-    report = (
-        with_segment(fact, accounts, column)
-        .groupBy("month_start", column)
-        .agg(
-            lost_revenue("weight").alias("churned_mrr"),
-            F.sum(F.col("prior_month_mrr") * F.col("weight")).alias("prior_mrr"),
-        )
-        .withColumn("revenue_churn_rate", share(F.col("churned_mrr"), F.col("prior_mrr")))
-    )
+    report = revenue_churn(with_segment(segments, accounts, column), column, lost="churned_mrr", weight="weight")
+    report = report.select("month_start", column, "churned_mrr", "prior_mrr", "revenue_churn_rate")
     return ordered(report, "month_start", column)
 
 
 def churn_reasons(rows: DataFrame, *keys: str, count: str, weight: str | None = None) -> DataFrame:
-    """Churned account-months per reason, of rows already cut down to those."""
-    return rows.groupBy(*keys, "churn_reason_code").agg(F.sum(times(weight)).alias(count))
+    """Churned account-months per reason, of stretches already cut down to those that begin with one."""
+    return rows.groupBy(*keys, "churn_reason_code").agg(F.sum(rows_of(weight)).alias(count))
 
 
-def churned(fact: DataFrame) -> DataFrame:
-    return fact.where("logo_churned")
+def churned(segments: DataFrame) -> DataFrame:
+    """Stretches whose first month has a churn event; that month is all that reports of reasons need."""
+    return segments.where("logo_churned").withColumnRenamed("month", "month_start")
 
 
-def churn_reasons_trend(fact: DataFrame) -> DataFrame:
-    report = churn_reasons(churned(fact), "month_start", count="churned_accounts")
+def churn_reasons_trend(segments: DataFrame) -> DataFrame:
+    report = churn_reasons(churned(segments), "month_start", count="churned_accounts")
     return ordered(report, "month_start", most="churned_accounts", then="churn_reason_code")
 
 
-def churn_reasons_by_segment(fact: DataFrame, accounts: DataFrame, segment: str = "industry") -> DataFrame:
+def churn_reasons_by_segment(segments: DataFrame, accounts: DataFrame, segment: str = "industry") -> DataFrame:
     column = SEGMENTS[segment]
-    rows = with_segment(churned(fact), accounts, column)
+    rows = with_segment(churned(segments), accounts, column)
     report = churn_reasons(rows, "month_start", column, count="churned_accounts", weight="weight")
     return ordered(report, "month_start", column, most="churned_accounts", then="churn_reason_code")
 
 
-def reason_mrr_impact(fact: DataFrame) -> DataFrame:
+def reason_mrr_impact(segments: DataFrame) -> DataFrame:
     """Revenue lost per reason; losses without a churn event have no reason."""
     report = (
-        fact.where(F.col("logo_churned") | F.col("mrr_churned"))
-        .groupBy("month_start", "churn_reason_code")
-        .agg(lost_revenue().alias("churned_mrr"))
+        segments.where(F.col("logo_churned") | revenue_churned())
+        .groupBy(F.col("month").alias("month_start"), "churn_reason_code")
+        .agg(F.sum(lost_revenue()).alias("churned_mrr"))
     )
     return ordered(report, "month_start", most="churned_mrr", then="churn_reason_code")
 
@@ -178,9 +193,9 @@ def top_reason() -> Column:
     return F.min_by(reason, F.when(F.col("churned_accounts") > 0, rank))
 
 
-def top_reason_by_month(fact: DataFrame) -> DataFrame:
+def top_reason_by_month(segments: DataFrame) -> DataFrame:
     """Months with churn, their most frequent reason and its count; ties go to the first by name."""
-    counted = churn_reasons(churned(fact), "month_start", count="churned_accounts")
+    counted = churn_reasons(churned(segments), "month_start", count="churned_accounts")
     report = counted.groupBy("month_start").agg(
         top_reason().alias("top_churn_reason"),
         F.max("churned_accounts").alias("churned_accounts"),
@@ -188,22 +203,25 @@ def top_reason_by_month(fact: DataFrame) -> DataFrame:
     return ordered(report, "month_start")
 
 
-def exec_summary(fact: DataFrame) -> DataFrame:
+def exec_summary(segments: DataFrame) -> DataFrame:
     """One row per month: revenue, its change and movements, churned accounts, top reason.
 
-    The fact is read once, reduced to month and reason, and rolled up from there.
+    Stretches are read once, reduced to month of change and reason, and rolled up from there.
     """
-    per_reason = fact.groupBy("month_start", "churn_reason_code").agg(
-        F.sum("mrr").alias("mrr"),
-        *[F.sum(name).alias(name) for name in MOVEMENTS],
-        F.count_if("logo_churned").alias("churned_accounts"),
+    levels = {"ending_mrr": revenue(), "accounts": rows_of()}
+    points = {**moved_revenue(), "churned_accounts": churned_rows()}
+    names = [*levels, *points]
+    per_reason = change_points(segments, ["churn_reason_code"], levels, points).groupBy("month", "churn_reason_code").agg(
+        *[F.sum(name).alias(name) for name in names]
     )
-    months = per_reason.groupBy("month_start").agg(
-        F.sum("mrr").alias("ending_mrr"),
-        *[F.sum(name).alias(name) for name in MOVEMENTS],
+    changed = per_reason.groupBy("month").agg(
+        *[F.sum(name).alias(name) for name in (*levels, *MOVEMENTS)],
         F.sum("churned_accounts").alias("logo_churned_accounts"),
         top_reason().alias("top_churn_reason"),
     )
+    months = over_months(
+        changed, [], list(levels), [*MOVEMENTS, "logo_churned_accounts", "top_churn_reason"], "accounts"
+    )
     report = months.select(
         "month_start",
         "ending_mrr",
@@ -215,23 +233,23 @@ def exec_summary(fact: DataFrame) -> DataFrame:
     return ordered(report, "month_start")
 
 
-def churn_rate_by_plan_and_tenure(fact: DataFrame, accounts: DataFrame) -> DataFrame:
-    keys = ("month_start", "initial_plan_tier", "tenure_bucket")
-    report = (
-        with_segment(fact, accounts, *keys[1:])
-        .groupBy(*keys)
-        .agg(
-            F.sum("weight").alias("account_months"),
-            count_where("is_active", "weight").alias("active_account_months"),
-            rate_where("logo_churned", "weight").alias("logo_churn_rate"),
-            rate_where("mrr_churned", "weight").alias("revenue_churn_rate"),
-        )
+def churn_rate_by_plan_and_tenure(segments: DataFrame, accounts: DataFrame) -> DataFrame:
+    keys = ("initial_plan_tier", "tenure_bucket")
+    levels = {"account_months": rows_of("weight"), "active_account_months": active_rows("weight")}
+    lost = F.when(revenue_churned(), F.col("weight")).otherwise(0)
+    points = {"logo": churned_rows("weight"), "lost": lost}
+    report = sums_by_month(with_segment(segments, accounts, *keys), list(keys), levels, points, "account_months").select(
+        "month_start",
+        *keys,
+        *levels,
+        share(F.col("logo"), F.col("account_months")).alias("logo_churn_rate"),
+        share(F.col("lost"), F.col("account_months")).alias("revenue_churn_rate"),
     )
-    return ordered(report, *keys)
+    return ordered(report, "month_start", *keys)
 
 
-def churn_reasons_by_industry(fact: DataFrame, accounts: DataFrame) -> DataFrame:
-    rows = with_segment(churned(fact), accounts, "industry")
+def churn_reasons_by_industry(segments: DataFrame, accounts: DataFrame) -> DataFrame:
+    rows = with_segment(churned(segments), accounts, "industry")
     report = churn_reasons(rows, "industry", count="churn_events", weight="weight")
     return report.orderBy(
         F.col("churn_events").desc(),

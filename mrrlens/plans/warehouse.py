@@ -1,12 +1,18 @@
 """Building the marts, and keeping them where reports read them.
 
-A build writes its three marts to a folder of its own below the root and is
-published, all three at once, by a line in `builds`, written last. The newest
-line is what readers open; `drop_old_builds` removes what no line of use names.
+A build writes its marts to a folder of its own below the root and is published,
+all at once, by a line in `builds`, written last. The newest line is what readers
+open; `drop_old_builds` removes what no line of use names.
+
+What is written grows with the extracts, not with the calendar: accounts, and
+their stretches of months in which nothing changes. The calendar is its first and
+last day, in the line; the fact is spelled out of the stretches when it is read,
+for the months that are asked for.
 """
 
 from __future__ import annotations
 
+import datetime
 import hashlib
 import tempfile
 import uuid
@@ -16,52 +22,51 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mrrlens.operators.timeline import between_months
 from mrrlens.plans.calendar import Bounds, calendar_dim
 from mrrlens.plans.dimensions import account_dim
-from mrrlens.plans.facts import monthly_fact
+from mrrlens.plans.facts import fact_rows, fact_segments
 from mrrlens.plans.staging import Staged
 from mrrlens.session import session_settings
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-CALENDAR, ACCOUNTS, FACT = "dim_date", "dim_account", "account_monthly_fact"
+ACCOUNTS, SEGMENTS = "dim_account", "account_segments"
 SCHEMAS = {
-    CALENDAR: (
-        "date_day date, month_start date, month_end date, year int, quarter int, month int,"
-        " day_of_week int, is_weekend boolean"
-    ),
     ACCOUNTS: (
         "account_id string, account_name string, industry string, country string, signup_date date,"
         " referral_source string, initial_plan_tier string, initial_seats bigint,"
         " initial_is_trial boolean, churn_flag_ever boolean, tenure_days int, tenure_bucket string"
     ),
-    FACT: (
-        "account_id string, month_start date, mrr bigint, active_subscription_count bigint,"
-        " is_active boolean, prior_month_mrr bigint, mrr_churned boolean, logo_churned boolean,"
-        " churn_reason_code string, new_mrr bigint, expansion_mrr bigint, contraction_mrr bigint,"
-        " churned_mrr bigint"
+    SEGMENTS: (
+        "account_id string, month date, months int, copies bigint, mrr bigint, prior_mrr bigint,"
+        " active_subscription_count bigint, logo_churned boolean, churn_reason_code string"
     ),
 }
 LEAST_ROWS_PER_BUCKET, MOST_ROWS_PER_BUCKET = 50_000, 4_000_000
-BUILDS = "folder string, buckets int, build int"
+BUILDS = (
+    "folder string, buckets int, first_day date, last_day date, accounts bigint, subscriptions bigint,"
+    " churn_events bigint, repeated_ids boolean, as_of date, build int"
+)
 
 
 class Marts:
     """The written marts of a build, each opened when first asked for.
 
-    `calendar`, `accounts` and `fact` are plain files, fit for any query. The
-    bucketed pair is the same rows as tables whose buckets Spark knows, for
-    joins and groupings by account. It is kept apart because Spark 4.1 gives
-    wrong groups over a union of two bucketed scans.
+    `accounts` and `segments` are plain files, fit for any query. The bucketed pair
+    is the same rows as tables whose buckets Spark knows, for joins and groupings by
+    account. It is kept apart because Spark 4.1 gives wrong groups over a union of
+    two bucketed scans. `calendar` and `fact` are made of them as they are read.
 
     Buckets are known to a catalog only. An application whose catalog does not
     have the tables, as with the default one in memory, registers them over the
     files when it first asks for them, so plans are the same everywhere.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, buckets: int) -> None:
+    def __init__(self, spark: SparkSession, folder: str, buckets: int, bounds: Bounds) -> None:
         self.spark = spark
         self.folder = folder
         self.buckets = buckets
+        self.bounds = bounds
 
     def _files(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}")
@@ -75,25 +80,33 @@ class Marts:
             )
         return self.spark.table(table)
 
-    @cached_property
+    @property
     def calendar(self) -> DataFrame:
-        return self._files(CALENDAR)
+        return calendar_dim(self.spark, self.bounds)
 
     @cached_property
     def accounts(self) -> DataFrame:
         return self._files(ACCOUNTS)
 
     @cached_property
+    def segments(self) -> DataFrame:
+        return self._files(SEGMENTS)
+
+    @property
     def fact(self) -> DataFrame:
-        return self._files(FACT)
+        return fact_rows(self.segments)
+
+    def fact_between(self, first: datetime.date, last: datetime.date) -> DataFrame:
+        """The fact's months from that of `first` to that of `last`; no other month is spelled out."""
+        return fact_rows(between_months(self.segments, first, last))
 
     @cached_property
     def bucketed_accounts(self) -> DataFrame:
         return self._bucketed(ACCOUNTS)
 
     @cached_property
-    def bucketed_fact(self) -> DataFrame:
-        return self._bucketed(FACT)
+    def bucketed_segments(self) -> DataFrame:
+        return self._bucketed(SEGMENTS)
 
 
 def shared_folder(spark: SparkSession, temporary: bool = False) -> str:
@@ -112,54 +125,51 @@ def shared_folder(spark: SparkSession, temporary: bool = False) -> str:
 
 
 def bucket_count(spark: SparkSession, bounds: Bounds) -> int:
-    """Buckets for the fact, from the most rows it can have.
+    """Buckets for the stretches, from the most that there can be.
 
     Enough to keep a bucket to a task's size; up to that, as many as the session
     shuffles into as long as each gets a fair number of rows.
     """
-    most_rows = bounds.accounts * bounds.months
-    for_size = most_rows // MOST_ROWS_PER_BUCKET
+    for_size = bounds.stretches // MOST_ROWS_PER_BUCKET
     for_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, for_size, min(for_tasks, most_rows // LEAST_ROWS_PER_BUCKET))
+    return max(1, for_size, min(for_tasks, bounds.stretches // LEAST_ROWS_PER_BUCKET))
 
 
 def table_name(folder: str, name: str) -> str:
     return f"{name}_{hashlib.sha256(folder.encode()).hexdigest()[:16]}"
 
 
-def write_table(rows: DataFrame, folder: str, name: str, count: int | None = None) -> None:
-    """Write one mart as Parquet under `folder`.
+def write_table(rows: DataFrame, folder: str, name: str, count: int) -> None:
+    """Write one mart as Parquet under `folder`, in so many buckets by account.
 
-    With `count`, its rows go into that many buckets by account. Tables bucketed
-    alike join on the account without a shuffle. Rows come partitioned like the
-    buckets, so a task has one file open and need not sort its rows by bucket.
+    Tables bucketed alike join on the account without a shuffle. Rows come
+    partitioned like the buckets, so a task has one file open and need not sort its
+    rows by bucket.
     """
     writer = rows.write.format("parquet").mode("errorifexists").option("path", f"{folder}/{name}")
-    if count is not None:
-        writer = writer.bucketBy(count, "account_id")
+    writer = writer.bucketBy(count, "account_id")
     with session_settings(rows.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": "4"}):
         writer.saveAsTable(table_name(folder, name))
 
 
 def build_marts(spark: SparkSession, staged: Staged, root: str, bounds: Bounds) -> Marts:
-    """Compute the calendar, the account dimension and the fact, write them below `root`,
-    and publish them as its newest build.
+    """Compute the account dimension and the accounts' stretches, write them below `root`,
+    and publish them, with the calendar's bounds, as its newest build.
 
-    Account and fact rows arrive partitioned by account into as many parts as
-    there are buckets, so each task writes one file of one bucket, whatever the
-    sizes. A build that dies half way is never seen; the next one starts anew.
+    Rows arrive partitioned by account into as many parts as there are buckets, so
+    each task writes one file of one bucket, whatever the sizes. A build that dies
+    half way is never seen; the next one starts anew.
     """
     folder = f"{root.rstrip('/')}/build={uuid.uuid4().hex}"
     count = bucket_count(spark, bounds)
-    fact = monthly_fact(staged.accounts, staged.subscriptions, staged.churn_events, bounds, count)
+    segments = fact_segments(staged.accounts, staged.subscriptions, staged.churn_events, bounds, count)
     accounts = account_dim(staged.accounts, bounds).repartition(count, "account_id")
-    write_table(calendar_dim(spark, bounds), folder, CALENDAR)
     write_table(accounts, folder, ACCOUNTS, count)
-    write_table(fact, folder, FACT, count)
+    write_table(segments, folder, SEGMENTS, count)
     number = max([row.build for row in published(spark, root)], default=0) + 1
-    line = spark.range(0, 1, 1, 1).select(F.lit(folder).alias("folder"), F.lit(count).alias("buckets"))
+    line = spark.createDataFrame([(folder, count, *bounds, number)], BUILDS).drop("build").coalesce(1)
     line.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/builds/build={number}")
-    return Marts(spark, folder, count)
+    return Marts(spark, folder, count, bounds)
 
 
 def published(spark: SparkSession, root: str) -> list:
@@ -178,7 +188,8 @@ def newest_marts(spark: SparkSession, root: str) -> Marts:
     builds = published(spark, root)
     if not builds:
         raise ValueError(f"no marts are published under {root}")
-    return Marts(spark, builds[-1].folder, builds[-1].buckets)
+    last = builds[-1]
+    return Marts(spark, last.folder, last.buckets, Bounds(*[last[name] for name in Bounds._fields]))
 
 
 def drop_old_builds(spark: SparkSession, root: str, keep: int = 1) -> int:

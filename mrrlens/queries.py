@@ -67,14 +67,18 @@ def query(build: Callable[[Inputs], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(Inputs(spark, sf_dir))
 
 
-def report(build: Callable[..., DataFrame]) -> Query:
+def on_fact(build: Callable[..., DataFrame]) -> Query:
     return query(lambda inputs: build(inputs.marts.fact))
 
 
+def report(build: Callable[..., DataFrame]) -> Query:
+    return query(lambda inputs: build(inputs.marts.segments))
+
+
 def account_report(build: Callable[..., DataFrame], *options: str) -> Query:
     def run(inputs: Inputs) -> DataFrame:
         marts = inputs.marts
-        return build(marts.bucketed_fact, marts.bucketed_accounts, *options)
+        return build(marts.bucketed_segments, marts.bucketed_accounts, *options)
 
     return query(run)
 
@@ -106,8 +110,13 @@ def landed_as_csv(inputs: Inputs) -> DataFrame:
     return Staged(read_raw_tables(inputs.spark, root, "csv")).churn_events
 
 
+def fact_of_year(inputs: Inputs) -> DataFrame:
+    """The months of one year, of marts that hold the whole calendar."""
+    return inputs.marts.fact_between(datetime.date(testdata.AS_OF.year, 1, 1), testdata.AS_OF)
+
+
 def all_checks(inputs: Inputs) -> DataFrame:
-    return quality.all_checks(inputs.staged, inputs.marts.fact, inputs.folder)
+    return quality.all_checks(inputs.staged, inputs.marts.segments, inputs.folder)
 
 
 def known_state(inputs: Inputs, as_of: datetime.date) -> DataFrame:
@@ -151,7 +160,8 @@ QUERIES: dict[str, Query] = {
     "monthly_activity": query(activity),
     "monthly_churn_reason": query(lambda inputs: monthly_churn_reason(inputs.staged.churn_events)),
     "account_monthly_fact": query(fact),
-    "mrr_movement_class": report(movements),
+    "account_monthly_fact_of_year": query(fact_of_year),
+    "mrr_movement_class": on_fact(movements),
     "marts_roundtrip": query(marts_roundtrip),
     "snapshot_initial": snapshot(EARLY),
     "snapshot_noop": snapshot(EARLY, EARLY_AGAIN),
@@ -175,8 +185,8 @@ QUERIES: dict[str, Query] = {
     "dq_unique": query(lambda inputs: quality.unique(inputs.staged)),
     "dq_accepted_values": query(lambda inputs: quality.accepted_values(inputs.staged)),
     "dq_relationships": query(lambda inputs: quality.relationships(inputs.staged)),
-    "dq_fact_grain": query(lambda inputs: quality.fact_grain(inputs.marts.bucketed_fact)),
-    "dq_mrr_nonnegative": report(quality.mrr_nonnegative),
-    "dq_mrr_churned_rule": report(quality.mrr_churned_rule),
+    "dq_fact_grain": query(lambda inputs: quality.fact_grain(inputs.marts.bucketed_segments)),
+    "dq_mrr_nonnegative": on_fact(quality.mrr_nonnegative),
+    "dq_mrr_churned_rule": on_fact(quality.mrr_churned_rule),
     "dq_all": query(all_checks),
 }

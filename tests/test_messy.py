@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from compare import assert_same
+from mrrlens.operators.timeline import between_months
 from mrrlens.plans import facts, quality, reports
 from mrrlens.plans.calendar import account_month_spine, calendar_bounds, calendar_dim, subscription_range
 from mrrlens.plans.dimensions import account_dim, current_state
@@ -56,7 +57,7 @@ def test_activity(world):
 def test_fact(world):
     """Repeated and null account ids included: each copy meets every subscription."""
     staged, bounds, connection = world
-    fact = facts.monthly_fact(staged.accounts, staged.subscriptions, staged.churn_events, bounds, 3)
+    fact = facts.monthly_fact(staged.accounts, staged.subscriptions, staged.churn_events, bounds)
     assert assert_same(fact, connection, given_sql("account_monthly_fact")) > 1000
 
 
@@ -69,7 +70,7 @@ def test_fact_of_unique_subscriptions(world, spark):
     subscriptions = spark.createDataFrame(unique)
     assert subscription_range(subscriptions, F.lit(AS_OF)).first().most == 1
     fact = facts.monthly_fact(
-        staged.accounts, subscriptions, staged.churn_events, bounds._replace(repeated_ids=False), 3
+        staged.accounts, subscriptions, staged.churn_events, bounds._replace(repeated_ids=False)
     )
     # Over the same bounds: what was dropped may have held the last day.
     sql = given_sql("account_monthly_fact").replace("LEFT JOIN stg_subscriptions", "LEFT JOIN unique_subscriptions")
@@ -87,7 +88,7 @@ def test_fact_of_an_id_on_many_account_rows(spark, tmp_path, monkeypatch):
     bounds = calendar_bounds(staged, AS_OF)
     marts = build_marts(spark, staged, str(tmp_path / "marts"), bounds)
     assert assert_same(marts.fact, connection, given_sql("account_monthly_fact")) > 3000
-    files = list((tmp_path / "marts").glob("build=*/account_monthly_fact/part-*.parquet"))
+    files = list((tmp_path / "marts").glob("build=*/account_segments/part-*.parquet"))
     assert 0 < len(files) <= marts.buckets
     for name, report in (
         ("report_logo_churn_by_segment_plan", reports.logo_churn_by_segment),
@@ -96,19 +97,85 @@ def test_fact_of_an_id_on_many_account_rows(spark, tmp_path, monkeypatch):
         ("analysis_churn_rate_plan_tenure", reports.churn_rate_by_plan_and_tenure),
         ("analysis_churn_reasons_industry", reports.churn_reasons_by_industry),
     ):
-        assert_same(report(marts.bucketed_fact, marts.bucketed_accounts), connection, given_sql(name))
+        assert_same(report(marts.bucketed_segments, marts.bucketed_accounts), connection, given_sql(name))
+
+
+REPORTS = {
+    "report_revenue_trend": reports.revenue_trend,
+    "report_mrr_waterfall": reports.mrr_waterfall,
+    "report_net_mrr_change": reports.net_mrr_change,
+    "report_logo_churn_trend": reports.logo_churn_trend,
+    "report_revenue_churn_trend": reports.revenue_churn_trend,
+    "report_churn_reasons_trend": reports.churn_reasons_trend,
+    "report_reason_mrr_impact": reports.reason_mrr_impact,
+    "top_reason_by_month": reports.top_reason_by_month,
+    "report_exec_summary": reports.exec_summary,
+}
+
+
+def test_reports_from_change_points(world):
+    """Two rows a stretch give what the plain SQL finds in all months of the fact."""
+    staged, bounds, connection = world
+    segments = facts.fact_segments(staged.accounts, staged.subscriptions, staged.churn_events, bounds)
+    for name, report in REPORTS.items():
+        assert assert_same(report(segments), connection, given_sql(name)) > 10
+
+
+@pytest.mark.parametrize(("first", "last"), [("2000-02-29", "2001-01-01"), ("1999-01-01", "1999-01-31"), ("2001-06-01", "2030-01-01")])
+def test_months_asked_for(world, first, last):
+    staged, bounds, connection = world
+    segments = facts.fact_segments(staged.accounts, staged.subscriptions, staged.churn_events, bounds)
+    some = between_months(segments, datetime.date.fromisoformat(first), datetime.date.fromisoformat(last))
+    months = f"date_trunc('month', DATE '{first}') AND date_trunc('month', DATE '{last}')"
+    sql = given_sql("account_monthly_fact") + f" WHERE month_start BETWEEN {months}"
+    assert_same(facts.fact_rows(some), connection, sql)
+
+
+def test_a_far_date_costs_nothing(spark, tmp_path):
+    """An end in the year 9999: marts of the same size, the same early months, and reports like their SQL."""
+    rows = messy_rows(5, accounts=100, subscriptions=300, churn=30)
+    sizes, early = {}, {}
+    for end in ("2001-12-31", "9999-12-31"):
+        far = {"subscription_id": "far", "account_id": "a1", "start_date": "2001-03-01", "end_date": end, "mrr_amount": "9"}
+        rows["subscriptions"].append(far)
+        staged = staged_from_rows(spark, **rows)
+        bounds = calendar_bounds(staged, AS_OF)
+        marts = build_marts(spark, staged, str(tmp_path / end), bounds)
+        sizes[end] = sum(file.stat().st_size for file in (tmp_path / end).rglob("*.parquet"))
+        early[end] = set(map(tuple, marts.fact_between(datetime.date(1999, 1, 1), AS_OF).collect()))
+        if end < "9":
+            rows["subscriptions"].pop()
+    assert marts.bounds.last_day.year == 9999
+    assert sizes["9999-12-31"] < 1.2 * sizes["2001-12-31"]
+    assert early["9999-12-31"] == early["2001-12-31"]
+    connection = duckdb.connect()
+    load(connection, rows)
+    assert assert_same(marts.calendar, connection, given_sql("dim_date")) > 2_900_000
+    # The plain SQL over all 96,000 months is too slow; some far months are taken instead.
+    months = "AND month_start IN (DATE '2001-03-01', DATE '4321-05-01', DATE '9999-12-01')"
+    text = given_sql("report_exec_summary").replace(
+        "WHERE month_start >= date_trunc('month', signup_date)", f"WHERE month_start >= date_trunc('month', signup_date) {months}"
+    )
+    far_months = "month_start IN (DATE '4321-05-01', DATE '9999-12-01')"
+    columns = "month_start, ending_mrr, logo_churned_accounts, top_churn_reason"
+    report = reports.exec_summary(marts.segments)
+    assert report.count() > 95_000
+    connection.register("far", report.where(far_months).selectExpr(*columns.split(", ")).toArrow())
+    expected = connection.execute(f"SELECT {columns} FROM ({text}) WHERE {far_months} ORDER BY 1").fetchall()
+    assert connection.execute("SELECT * FROM far ORDER BY 1").fetchall() == expected
 
 
 def test_checks_find_the_same_faults(world, tmp_path):
     staged, bounds, connection = world
-    fact = facts.monthly_fact(staged.accounts, staged.subscriptions, staged.churn_events, bounds)
+    segments = facts.fact_segments(staged.accounts, staged.subscriptions, staged.churn_events, bounds)
+    fact = facts.fact_rows(segments)
     results = {
         "dq_not_null": quality.not_null(staged, fact),
         "dq_unique": quality.unique(staged),
         "dq_accepted_values": quality.accepted_values(staged),
         "dq_relationships": quality.relationships(staged),
-        "dq_fact_grain": quality.fact_grain(fact),
-        "dq_all": quality.all_checks(staged, fact, str(tmp_path / "keys")),
+        "dq_fact_grain": quality.fact_grain(segments),
+        "dq_all": quality.all_checks(staged, segments, str(tmp_path / "keys")),
     }
     for name, result in results.items():
         assert_same(result, connection, given_sql(name))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mrrlens import queries
-from mrrlens.plans import quality, reports
+from mrrlens.plans import quality, reports, warehouse
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -57,7 +57,7 @@ def test_movements_add_up(marts):
 
 
 def test_prior_is_last_months_total(marts):
-    months = reports.revenue_churn_trend(marts.fact).collect()
+    months = reports.revenue_churn_trend(marts.segments).collect()
     assert [row.prior_mrr for row in months[1:]] == [row.ending_mrr for row in months[:-1]]
 
 
@@ -71,12 +71,12 @@ def test_marts_are_built_once_per_input(spark, marts, tmp_path):
 
 
 def test_schemas_are_those_written(marts):
-    assert marts.fact.dtypes == marts.bucketed_fact.dtypes
+    assert marts.segments.dtypes == marts.bucketed_segments.dtypes
     assert marts.accounts.dtypes == marts.bucketed_accounts.dtypes
-    assert marts.fact.exceptAll(marts.bucketed_fact).count() == 0
-    written = marts.spark.read.parquet(f"{marts.folder}/dim_date")
-    assert marts.calendar.dtypes == written.dtypes
-    assert marts.calendar.count() == written.count() > 0
+    assert marts.segments.exceptAll(marts.bucketed_segments).count() == 0
+    for name in warehouse.SCHEMAS:
+        written = marts.spark.read.parquet(f"{marts.folder}/{name}")
+        assert dict(written.dtypes) == dict(marts._files(name).dtypes)
 
 
 def test_rules_catch_faults(marts):
@@ -86,7 +86,10 @@ def test_rules_catch_faults(marts):
     rows = marts.fact.count()
     assert quality.mrr_nonnegative(broken).first().violations == rows
     assert quality.mrr_churned_rule(broken).first().violations == rows
-    assert quality.fact_grain(marts.fact.unionByName(marts.fact)).first().violations == rows
+    twice = marts.segments.unionByName(marts.segments)
+    assert quality.fact_grain(twice).first().violations == rows
+    assert quality.fact_grain(marts.segments.withColumn("copies", F.lit(2))).first().violations == rows
+    assert quality.fact_grain(marts.segments).first().violations == 0
     assert quality.mrr_nonnegative(marts.fact).first().violations == 0
 
 

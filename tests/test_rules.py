@@ -338,10 +338,8 @@ def test_calendar_days(spark):
 
 
 def test_rates_without_a_denominator(spark):
-    rows = fact_rows(spark, [{"account_id": "a", "signup_date": "2001-01-15"}], [])
-    fact = spark.createDataFrame(rows, "account_id string, month_start date, mrr long,"
-        " active_subscription_count long, is_active boolean, prior_month_mrr long, mrr_churned boolean,"
-        " logo_churned boolean, churn_reason_code string, new_mrr long, expansion_mrr long,"
-        " contraction_mrr long, churned_mrr long")
-    assert {row.arpa_mrr for row in reports.revenue_trend(fact).collect()} == {None}
-    assert {row.revenue_churn_rate for row in reports.revenue_churn_trend(fact).collect()} == {None}
+    staged = staged_from_rows(spark, accounts=[{"account_id": "a", "signup_date": "2001-01-15"}])
+    bounds = calendar_bounds(staged, AS_OF)
+    segments = facts.fact_segments(staged.accounts, staged.subscriptions, staged.churn_events, bounds)
+    assert [row.arpa_mrr for row in reports.revenue_trend(segments).collect()] == [None]
+    assert [row.revenue_churn_rate for row in reports.revenue_churn_trend(segments).collect()] == [None]

@@ -34,10 +34,10 @@ def test_the_newest_build_replaces_the_others(spark, tmp_path):
     first, second = build(spark, root, 2), build(spark, root, 3)
     newest = newest_marts(spark, root)
     assert newest.folder == second.folder
-    assert (newest.accounts.count(), newest.bucketed_fact.count(), first.accounts.count()) == (3, 9, 2)
+    assert (newest.accounts.count(), newest.fact.count(), first.accounts.count()) == (3, 9, 2)
     assert drop_old_builds(spark, root) == 1
     assert not Path(first.folder).exists()
-    assert not spark.catalog.tableExists(table_name(first.folder, "account_monthly_fact"))
+    assert not spark.catalog.tableExists(table_name(first.folder, "account_segments"))
     assert newest_marts(spark, root).fact.count() == 9
     assert drop_old_builds(spark, root) == 0
 
@@ -47,8 +47,8 @@ def test_a_build_that_dies_is_never_seen(spark, tmp_path, monkeypatch):
     build(spark, root, 2)
     write = warehouse.write_table
 
-    def dying(rows, folder, name, count=None):
-        if name == warehouse.FACT:
+    def dying(rows, folder, name, count):
+        if name == warehouse.SEGMENTS:
             raise RuntimeError("lost")
         write(rows, folder, name, count)
 
@@ -68,7 +68,7 @@ def test_buckets_are_known_without_a_shared_catalog(spark, tmp_path):
     for name in warehouse.SCHEMAS:
         spark.sql(f"DROP TABLE {table_name(folder, name)}")
     marts = newest_marts(spark, root)
-    plan = marts.bucketed_fact.groupBy("account_id").count()._jdf.queryExecution().executedPlan().toString()
+    plan = marts.bucketed_segments.groupBy("account_id").count()._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan
     assert "hashpartitioning" not in plan
 
