@@ -19,6 +19,9 @@ from mrrlens.llm.storage import Scratch
 WORDS, SIMILARITY, CONSISTENT = 5, 0.8, 0.5
 #: A window with fewer words, besides placeholders, says too little.
 LEAST_WORDS = 2
+#: An item without any window is searched for as a whole if it has so many tokens, one of them a word or
+#: a name: less is no question, and rows of numbers are in many tables.
+LEAST_TOKENS = 3
 #: Up to so many windows of the benchmark are sent to the tasks, so that only
 #: windows which are among them leave a task. Beyond, all windows meet in the join.
 MOST_SENT = 2_000_000
@@ -38,8 +41,11 @@ UNITS = frozenset(
 # What a token is, in the low bits of its number.
 MARK, WORD, NAME, NUMBER, UNIT = range(5)
 KIND = 7
-# Two templates of each text: one with names as slots, one that is the same in any case.
-FAMILIES = NAMED, CASELESS = range(2)
+# Two templates of each text: one with names as slots, one that is the same in any case. And
+# items that have no window of either, as they are: their tokens, in any case, numbers included.
+NAMED, CASELESS, WHOLE = range(3)
+FAMILIES = (NAMED, CASELESS)
+INVERSE = pow(BASE, -1, 1 << 64)
 
 
 class Tokens(dict):
@@ -78,6 +84,13 @@ def template(text: str, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
     return templated(numbered(text, tokens), NAMED)
 
 
+def kinds_and_names(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The kinds of tokens, those of the tokens before, and which are capitalised inside a sentence."""
+    kinds = (numbers & np.uint64(KIND)).astype(np.int8)
+    before = np.concatenate([[MARK], kinds[:-1]]) if len(kinds) else kinds
+    return kinds, before, (kinds == NAME) & (before != MARK)
+
+
 def templated(numbers: np.ndarray, family: int) -> tuple[np.ndarray, np.ndarray]:
     """The template of a text, one number a token, and the value in each of its slots (0: no slot).
 
@@ -86,9 +99,8 @@ def templated(numbers: np.ndarray, family: int) -> tuple[np.ndarray, np.ndarray]
     are one name; in the family CASELESS capitals play no part. All other words
     count in lower case, and marks not at all.
     """
-    kinds = (numbers & np.uint64(KIND)).astype(np.int8)
-    before = np.concatenate([[MARK], kinds[:-1]]) if len(kinds) else kinds
-    name = (kinds == NAME) & (before != MARK) & (family == NAMED)
+    kinds, before, name = kinds_and_names(numbers)
+    name = name & (family == NAMED)
     slot = (kinds == NUMBER) | name | ((kinds == UNIT) & (before == NUMBER))
     follows = name & np.concatenate([[False], name[:-1]]) if len(name) else name
     values = np.where(slot, numbers, 0).astype(np.uint64)
@@ -102,12 +114,12 @@ def templated(numbers: np.ndarray, family: int) -> tuple[np.ndarray, np.ndarray]
     return words, np.where(slot[kept], whole | np.uint64(1), np.uint64(0))
 
 
-def windows(words: np.ndarray, slots: np.ndarray, family: int) -> tuple[np.ndarray, np.ndarray]:
+def windows(words: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all windows of WORDS tokens that hold enough words, and their places."""
     count = len(words) - WORDS + 1
     if count < 1:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    values = np.full(count, family, np.uint64)
+    values = np.zeros(count, np.uint64)
     with np.errstate(over="ignore"):
         each = mixed(words)
         for at in range(WORDS):
@@ -117,31 +129,93 @@ def windows(words: np.ndarray, slots: np.ndarray, family: int) -> tuple[np.ndarr
     return mixed(values[places]), places
 
 
-def window_table(texts: DataFrame, known: np.ndarray | None = None) -> DataFrame:
+def stretches(numbers: np.ndarray, lengths: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all runs of so many tokens, marks aside, as they are; their lengths and places."""
+    tokens = mixed(numbers[(numbers & np.uint64(KIND)) != MARK] | np.uint64(KIND))
+    fitting = [length for length in lengths if length <= len(tokens)]
+    if not fitting:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.full(len(tokens), BASE, np.uint64)) * np.uint64(INVERSE)
+        scaled = tokens * np.cumprod(np.full(len(tokens), INVERSE, np.uint64))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(scaled)])
+        # Sums of a polynomial, moved to the same power wherever a run begins.
+        each = [
+            mixed((sums[length:] - sums[:-length]) * powers[: len(tokens) - length + 1] + np.uint64(length))
+            for length in fitting
+        ]
+    sizes = [len(one) for one in each]
+    return np.concatenate(each), np.repeat(fitting, sizes), np.concatenate([np.arange(size) for size in sizes])
+
+
+class Known:
+    """Hashes to look for, with a table of bits that rules out most of the others at once."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.hashes = np.sort(hashes) if len(hashes) else np.zeros(1, np.uint64)
+        bits = min(max(16, (16 * len(hashes)).bit_length()), 25)
+        self.shift = np.uint64(64 - bits)
+        self.sieve = np.zeros(1 << bits, bool)
+        self.sieve[self.hashes >> self.shift] = True
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Which of the hashes are known."""
+        likely = np.flatnonzero(self.sieve[hashes >> self.shift])
+        some = hashes[likely]
+        position = np.minimum(np.searchsorted(self.hashes, some), len(self.hashes) - 1)
+        return likely[self.hashes[position] == some]
+
+
+def window_table(texts: DataFrame, known: Known | None = None, lengths: list[int] | None = None) -> DataFrame:
     """All windows of texts with a key (key_1, key_2), of either family: hash, family, place, values
-    of slots. Only those among the known hashes (ascending), if given."""
+    of slots. Only the known ones, if given.
+
+    With `lengths`, all runs of so many tokens come too, as the family WHOLE. Without,
+    as for items, a text without any window comes as a whole.
+    """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens()
         for batch in batches:
             owners, hashes, families, places, values = [], [], [], [], []
-            for row, text in enumerate(batch.column(2).to_pylist()):
-                numbers = numbered(text, tokens)
-                for family in FAMILIES:
-                    words, slots = templated(numbers, family)
-                    found, at = windows(words, slots, family)
-                    if known is not None and len(found):
-                        position = np.minimum(np.searchsorted(known, found), len(known) - 1)
-                        kept = known[position] == found
-                        found, at = found[kept], at[kept]
-                    if not len(found):
-                        continue
+
+            def take(row: int, family: int, found: np.ndarray, at: np.ndarray, slots: np.ndarray | None) -> int:
+                total = len(found)
+                if known is not None and total:
+                    kept = known.places(found)
+                    found, at = found[kept], at[kept]
+                if len(found):
                     owners.append(np.full(len(found), row))
                     hashes.append(found.view(np.int64))
                     families.append(np.full(len(found), family))
                     places.append(at)
-                    own = slots[at[:, None] + np.arange(WORDS)]
-                    values.extend([one[one != 0].view(np.int64) for one in own])
+                    if slots is None:
+                        values.extend([[]] * len(found))
+                    else:
+                        own = slots[at[:, None] + np.arange(WORDS)]
+                        values.extend([one[one != 0].view(np.int64) for one in own])
+                return total
+
+            for row, text in enumerate(batch.column(2).to_pylist()):
+                numbers = numbered(text, tokens)
+                words, slots = templated(numbers, CASELESS)
+                found, at = windows(words, slots)
+                total = take(row, CASELESS, found, at, slots)
+                if kinds_and_names(numbers)[2].any():
+                    words, slots = templated(numbers, NAMED)
+                    found, at = windows(words, slots)
+                # Without names both templates are the same.
+                total += take(row, NAMED, found, at, slots)
+                if lengths:
+                    runs, _, at = stretches(numbers, lengths)
+                    take(row, WHOLE, runs, at, None)
+                elif lengths is None and not total:
+                    kinds = numbers & np.uint64(KIND)
+                    size = int((kinds != MARK).sum())
+                    if size >= LEAST_TOKENS and np.isin(kinds, (WORD, NAME)).any():
+                        runs, _, at = stretches(numbers, [size])
+                        # Its length stands for the place, for those who look for it.
+                        take(row, WHOLE, runs, at + size, None)
             if not owners:
                 continue
             rows = pa.array(np.concatenate(owners))
@@ -160,7 +234,9 @@ def window_table(texts: DataFrame, known: np.ndarray | None = None) -> DataFrame
 
 
 def item_windows(benchmark: DataFrame, id_column: str, text_column: str, scratch: Scratch) -> DataFrame:
-    """The different windows of each item and family, each at its first place, and how many those are."""
+    """The different windows of each item and family, each at its first place, and how many those are.
+
+    An item without any window has one row of the family WHOLE, with its length as place."""
     first, second = two_hashes(F.col(id_column), F.col(text_column))
     items = benchmark.where(F.col(text_column).isNotNull())
     cut = window_table(items.select(first.alias("key_1"), second.alias("key_2"), F.col(text_column)))
@@ -196,8 +272,10 @@ def contaminated(
     lower case are found too; an item is held if it is held either way, and the
     figures are those of the way that finds the larger share.
 
-    Items with too few words for a window are not searched for; null texts hold
-    nothing. Rows that repeat an id with its text are one document, or item. Empty
+    An item without any window, as it is short or of numbers, is searched for as it
+    is, in any case: all its tokens in a row, as one window. Items of fewer than three
+    tokens, or of numbers and units alone, are no question and not searched for; null
+    texts hold nothing. Rows that repeat an id with its text are one document, or item. Empty
     tables give no rows, further columns are ignored.
     """
     scratch = Scratch(docs.sparkSession)
@@ -206,11 +284,11 @@ def contaminated(
     known = None
     hashes = items.select("hash").distinct()
     if hashes.count() <= MOST_SENT:
-        known = np.sort(np.array([row.hash for row in hashes.collect()], np.int64).view(np.uint64))
-        if not len(known):
-            known = np.zeros(1, np.uint64)
+        known = Known(hashes.toArrow()["hash"].to_numpy().view(np.uint64))
+    whole = items.where(F.col("family") == WHOLE).select("item_place").distinct().orderBy("item_place")
+    lengths = whole.toArrow()["item_place"].to_pylist()
     own = texts.where("text IS NOT NULL").select("doc_1", "doc_2", "text")
-    cut = window_table(own, known).withColumnsRenamed({"key_1": "doc_1", "key_2": "doc_2"}).distinct()
+    cut = window_table(own, known, lengths).withColumnsRenamed({"key_1": "doc_1", "key_2": "doc_2"}).distinct()
     pair = ["doc_1", "doc_2", "item_1", "item_2"]
     copy = [*pair, "family", "shift"]
     matched = scratch.keep(

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import xxhash
+
+from mrrlens.llm import language_cnn, quality_fm, toxicity_mil
+from mrrlens.llm.decontamination import NUMBERS, UNITS
 from mrrlens.llm.line_dedup import BLANK, SIMILARITY
 
 
@@ -93,6 +100,74 @@ def held_items(docs: list[tuple[int, str]], items: list[tuple[int, str]]) -> set
     return found
 
 
+def plain_template(text: str, named: bool) -> list[tuple]:
+    """(word, None) or (kind of slot, value) for each token; names in a row are one."""
+    found, before = [], "mark"
+    for token in re.findall(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?:\n]", text):
+        lower = token.lower()
+        if token[0].isdecimal() or lower in NUMBERS:
+            kind = "number"
+        elif not token[0].isalpha():
+            kind = "mark"
+        elif lower in UNITS:
+            kind = "unit"
+        else:
+            kind = "name" if token[0].isupper() and (len(token) == 1 or not token.isupper()) else "word"
+        name = named and kind == "name" and before != "mark"
+        slot = kind == "number" or name or (kind == "unit" and before == "number")
+        if name and found and found[-1][0] == "name" and follows:
+            found[-1] = ("name", (*found[-1][1], lower))
+        elif kind != "mark":
+            found.append((kind, (lower,)) if slot else (lower, None))
+        follows, before = name, kind
+    return found
+
+
+def held_with_slots(docs: list[tuple[int, str]], items: list[tuple[int, str]]) -> set[tuple[int, int]]:
+    """(document, item) pairs by templates, window by window, copy by copy; short items as they are."""
+
+    def windows(words: list[tuple]) -> list[tuple]:
+        every = [(at, words[at : at + 5]) for at in range(len(words) - 4)]
+        return [
+            (at, tuple(word for word, value in own) + tuple(value is None for _, value in own), [value for _, value in own if value])
+            for at, own in every if sum(value is None for _, value in own) >= 2
+        ]
+
+    def plain(text: str) -> list[str]:
+        return [token.lower() for token in re.findall(r"\d+(?:[.,]\d+)*|[^\W\d_]+", text)]
+
+    found = set()
+    for item, asked in items:
+        short = plain(asked)
+        if not windows(plain_template(asked, False)):
+            words = [one for one in short if not one[0].isdecimal() and one not in NUMBERS and one not in UNITS]
+            for doc, text in docs:
+                own = plain(text)
+                if len(short) >= 3 and words and any(own[at : at + len(short)] == short for at in range(len(own))):
+                    found.add((doc, item))
+            continue
+        for named in (True, False):
+            first = {}
+            for at, window, values in windows(plain_template(asked, named)):
+                first.setdefault(window, (at, values))
+            for doc, text in docs:
+                copies = defaultdict(list)
+                for at, window, values in windows(plain_template(text, named)):
+                    if window in first:
+                        copies[at - first[window][0]].append((window, first[window][1], values))
+                held = set()
+                for own in copies.values():
+                    taken = defaultdict(set)
+                    for _, mine, theirs in own:
+                        for a, b in zip(mine, theirs, strict=True):
+                            taken[a].add(b)
+                    if not taken or sum(len(one) == 1 for one in taken.values()) >= 0.5 * len(taken):
+                        held |= {window for window, *_ in own}
+                if first and len(held) >= 0.8 * len(first):
+                    found.add((doc, item))
+    return found
+
+
 def secret_spans(text: str) -> list[tuple[str, int, int]]:
     assign = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
     found = [("assign", *m.span()) for m in re.finditer(assign, text, re.ASCII) if len(m[2]) >= 6]
@@ -100,3 +175,144 @@ def secret_spans(text: str) -> list[tuple[str, int, int]]:
     found += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
     order = ("assign", "access", "hex")
     return sorted(found, key=lambda span: (span[1], order.index(span[0])))
+
+
+def term_counts(text: str, signs: str) -> Counter:
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return Counter(word.translate(lower) for word in re.findall(signs, text))
+
+
+def divergences(docs: list[tuple], least_docs: int = 3, best: int = 200) -> list[tuple]:
+    """(lang, source, part, item, value, rank) from (lang, source, text), term by term."""
+    docs = [tuple(value or "" for value in row) for row in docs]
+    counts, held, langs = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
+    for lang, source, text in docs:
+        found = term_counts(text, r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+        counts[lang, source].update(found)
+        held[lang].update(found.keys())
+        langs[lang].add(source)
+    rows = []
+    for lang, sources in langs.items():
+        kept = [term for term, times in held[lang].items() if times >= least_docs]
+
+        def parts(count, kept=kept) -> dict[str, int]:
+            total = sum(count[term] for term in kept) + len(kept)
+            return {term: 1 + 10**9 * (count[term] + 1) // total for term in kept}
+
+        whole = parts(sum((counts[lang, source] for source in sources), Counter()))
+        own = {source: parts(counts[lang, source]) for source in sources}
+        for source in sources:
+            p = own[source]
+            pairs = [
+                (-sum((p[term] - q[term]) ** 2 // q[term] for term in kept), other.encode(), other)
+                for other, q in own.items() if other != source
+            ]
+            terms = [
+                (-((p[term] - whole[term]) ** 2 // whole[term]), term.encode(), term)
+                for term in kept if counts[lang, source][term] and p[term] > whole[term]
+            ]
+            for part, found in (("pair", sorted(pairs)), ("term", sorted(terms)[:best])):
+                rows += [(lang, source, part, item, -value, rank) for rank, (value, _, item) in enumerate(found, 1)]
+    return sorted(rows)
+
+
+def ranked(docs: list[tuple], items: list[tuple], best: int = 10) -> list[tuple]:
+    """(item, rank, document, score), each document scored in full."""
+    signs = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    known = [(doc, term_counts(text or "", signs)) for doc, text in docs]
+    known = [(doc, found, sum(found.values())) for doc, found in known if found]
+    length, holding = sum(size for *_, size in known), Counter(term for _, found, _ in known for term in found)
+    rows = []
+    for item, text in dict.fromkeys(items):
+        scored = []
+        for doc, found, size in known:
+            norm = 10 + 90 * size * len(known) // length
+            score = sum(
+                math.floor(1000 * math.log((2 * len(known) + 2) / (2 * holding[term] + 1)))
+                * (10**9 * found[term] // (1000 * found[term] + 8 * norm))
+                for term in term_counts(text or "", signs) if term in found
+            )
+            if score > 0:
+                scored.append((-score, doc is None, doc))
+        rows += [(item, rank, doc, -score) for rank, (score, _, doc) in enumerate(sorted(scored)[:best], 1)]
+    return rows
+
+
+def simhash(text: str | None) -> int:
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({n: n + 32 for n in range(65, 91)}))
+    shingles = [" ".join(words[at : at + 3]) for at in range(max(len(words) - 2, min(len(words), 1)))]
+    hashes = [xxhash.xxh64_intdigest(shingle.encode(), 42) for shingle in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(one >> bit & 1 for one in hashes) > len(hashes))
+
+
+def simhash_components(docs: list[tuple], prints: list[int] | None = None) -> list[tuple]:
+    """(document, fingerprint, component) with all pairs compared."""
+    prints = prints or [simhash(text) for _, text in docs]
+    union = Union(len(docs))
+    for one in range(len(docs)):
+        for two in range(one):
+            if (prints[one] ^ prints[two]).bit_count() <= 2:
+                union.join(one, two)
+    least: dict[int, int] = {}
+    for at, (doc, _) in enumerate(docs):
+        if doc is not None:
+            least[union.find(at)] = min(least.get(union.find(at), doc), doc)
+    return [(doc, f"{prints[at]:016x}", least.get(union.find(at))) for at, (doc, _) in enumerate(docs)]
+
+
+def quality(model, text: str | None, n_chars: int | None) -> float:
+    """The factorisation machine, pair by pair of features."""
+    text = text or ""
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    counts = Counter(words)
+    features = [
+        (zlib.crc32(word.encode("utf-8", "replace")) % quality_fm.BUCKETS, (count / len(words)) ** 0.5)
+        for word, count in counts.items()
+    ]
+    numbers = [*quality_fm.statistics(text, words, counts), math.log1p(n_chars) if n_chars is not None else None]
+    for place, (value, mean, spread) in enumerate(zip(numbers, model.means, model.spreads, strict=True)):
+        scaled = 0.0 if value is None else max(-4.0, min(4.0, (value - mean) / spread))
+        features.append((quality_fm.BUCKETS + place, scaled))
+    own = np.array([model.factors[place] * value for place, value in features])
+    pairs = float(np.triu(own @ own.T, 1).sum())
+    total = model.offset + sum(model.weights[place] * value for place, value in features) + pairs
+    return 1 / (1 + math.exp(-max(-60.0, min(60.0, total))))
+
+
+def language(network, text: str | None) -> tuple[str, float]:
+    """The byte network, filter by filter, over every window."""
+    if text is None or not any(char.isalpha() for char in text):
+        return "und", 0.0
+    data, total, start = text.encode("utf-8", "replace"), 0.0, 0
+    stride = language_cnn.WINDOW - max(language_cnn.WIDTHS) + 1
+    while True:
+        piece = data[start : start + language_cnn.WINDOW]
+        last = start + language_cnn.WINDOW >= len(data)
+        vectors = network.embedding[np.frombuffer(piece.ljust(language_cnn.WINDOW, b"\0"), np.uint8)]
+        pooled = []
+        for width, weight, bias in zip(language_cnn.WIDTHS, network.filters, network.biases, strict=True):
+            each = [sum(vectors[at + by] @ weight[by] for by in range(width)) for at in range(len(vectors) - width + 1)]
+            pooled.append(np.max(each, axis=0) + bias)
+        values = np.maximum(np.concatenate(pooled), 0) @ network.output + network.offset
+        odds = values - values.max() - np.log(np.exp(values - values.max()).sum())
+        # The last window counts by the bytes that no other holds first.
+        total = total + odds * (max(1, len(data) - start) if last else stride)
+        if last:
+            break
+        start += stride
+    shares = np.exp(total / len(data) - (total / len(data)).max())
+    shares /= shares.sum()
+    best = int(shares.argmax())
+    return network.languages[best], float(shares[best])
+
+
+def toxicity(model, text: str | None) -> float:
+    """The chance that not every sentence is harmless."""
+    harmless = 1.0
+    for sentence in re.findall(r"[^.!?\n]+", text or ""):
+        total = model.offset
+        for word in set(re.findall(r"[^\W\d_]+", sentence.lower())):
+            for feature in [word, *[word[:size] + "-" for size in (4, 5, 6) if len(word) > size]]:
+                total += float(model.weights[zlib.crc32(feature.encode()) % toxicity_mil.BUCKETS])
+        harmless *= 1 - 1 / (1 + math.exp(-total))
+    return 1 - harmless

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import brute
 from mrrlens.llm import decontamination
 from mrrlens.llm.decontamination import Tokens, contaminated, decontaminate, template
@@ -69,11 +71,46 @@ def test_tables_of_numbers_are_no_questions(spark):
     assert held(spark, [(1, rows)], [(1, "1 2 3 4 5 6 7 8 9 10 11 12"), (2, QUESTION)]) == {}
 
 
+def reworded(rng: random.Random, text: str) -> str:
+    """Other names, numbers and units, mostly the same wherever they recur, and sometimes other words."""
+    change = {
+        "Alice": ["Carol", "Dan Brown", "Alice"], "Bob": ["Eve", "Bob", "Mr Holt"], "12": ["15", "1,200", "12"], "7": ["9", "7"],
+        "dollars": ["euros", "dollars"], "km": ["miles", "km"],
+    }
+    fixed = {word: rng.choice(others) for word, others in change.items()}
+    loose, odds = rng.random() < 0.3, rng.choice([0.0, 0.0, 0.05, 0.3])
+    words = []
+    for word in text.split():
+        bare = word.strip(".?,")
+        new = rng.choice(change[bare]) if bare in change and loose else fixed.get(bare, bare)
+        words.append(word.replace(bare, "other" if rng.random() < odds else new))
+    return rng.choice([str, str, str.upper, str.lower])(" ".join(words))
+
+
+def test_reworded_copies_against_brute_force(spark):
+    rng = random.Random(8)
+    items = [
+        (1, QUESTION), (2, "A train went 12 km in 7 hours and then Alice saw that Bob had walked 7 km with Alice."),
+        (3, "In the park Alice met Bob and later on Alice told Bob that Alice saw Bob near the old bridge with Bob."),
+        (4, "Compute 12 + 35 * 7 - 4."), (5, "Who is Bob?"), (6, "No."), (7, "12 7 12 7 12 7"),
+    ]
+    docs = []
+    for number in range(150):
+        item = rng.choice(items)[1]
+        around = rng.choice([PROSE, OTHER, ""])
+        docs.append((number, f"{around} {reworded(rng, item)} {rng.choice([PROSE, OTHER, ''])}"))
+    expected = brute.held_with_slots(docs, items)
+    assert set(held(spark, docs, items)) == expected
+    assert {item for _, item in expected} == {1, 2, 3, 4, 5}
+    assert 30 < len(expected) < 140
+
+
 def test_large_benchmarks_meet_in_the_join(spark, monkeypatch):
-    docs, items = [(1, f"{PROSE} {QUESTION}"), (2, OTHER)], [(7, QUESTION), (9, PROSE)]
+    docs = [(1, f"{PROSE} {QUESTION}"), (2, OTHER), (3, "what is 7 + 4? It")]
+    items = [(7, QUESTION), (9, PROSE), (11, "What is 7+4")]
     sent = held(spark, docs, items)
     monkeypatch.setattr(decontamination, "MOST_SENT", 0)
-    assert held(spark, docs, items) == sent == {(1, 7): 0, (1, 9): 0}
+    assert held(spark, docs, items) == sent == {(1, 7): 0, (1, 9): 0, (3, 11): 0}
 
 
 def test_hard_rows(spark):
@@ -83,7 +120,7 @@ def test_hard_rows(spark):
     assert found == {(1, 1), (2, 1), (3, 1), (3, None), (None, None), (11, 1), (11, None)}
     left = decontaminate(docs, items)
     assert left.columns == docs.columns
-    assert sorted((row.doc_id for row in left.collect()), key=str) == sorted([4, 5, 6, None, 7, 8, 9, 10, 12, 13], key=str)
+    assert sorted((row.doc_id for row in left.collect()), key=str) == sorted([4, 5, 6, None, 7, 8, 9, 10, 12, 13, 14, 15], key=str)
     nothing = empty_documents(spark)
     assert contaminated(nothing, items).count() == 0
     assert decontaminate(docs, items.limit(0)).count() == docs.count()
