@@ -243,18 +243,23 @@ def probes(prints: DataFrame, plan: Plan, scratch: Scratch) -> DataFrame:
     return known.mapInArrow(choose, "part int, value bigint, print bigint")
 
 
+def candidates(looked_up: DataFrame, prints: DataFrame, plan: Plan) -> DataFrame:
+    """Pairs (a, b): the fingerprints b that have a value under which a looks for others."""
+    index = F.explode(F.array(*[
+        F.struct(F.lit(part).alias("part"), F.expr(plan.value(part)).alias("value")) for part in range(plan.count)
+    ])).alias("one")
+    held = prints.select(index, F.col("print").alias("b")).select("one.part", "one.value", "b")
+    asked = looked_up.where(F.col("part") != WHOLE).withColumnRenamed("print", "a")
+    return asked.join(held, ["part", "value"]).select("a", "b")
+
+
 def links(prints: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs (a, b) of different fingerprints within the distance whose components are those of all such pairs."""
     count = prints.count()
     plan = Plan(set_together(prints), count)
     looked_up = scratch.keep(probes(prints, plan, scratch))
-    index = F.explode(F.array(*[
-        F.struct(F.lit(part).alias("part"), F.expr(plan.value(part)).alias("value")) for part in range(plan.count)
-    ])).alias("one")
-    held = prints.select(index, F.col("print").alias("b")).select("one.part", "one.value", "b")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).between(1, DISTANCE)
-    asked = looked_up.where(F.col("part") != WHOLE).withColumnRenamed("print", "a")
-    found = asked.join(held, ["part", "value"]).where(near).select("a", "b")
+    found = candidates(looked_up, prints, plan).where(near)
     # Fingerprints that meet half way differ in two bits at most; each meets the least.
     half_way = looked_up.where(F.col("part") == WHOLE)
     least = half_way.groupBy("value").agg(F.min("print").alias("b"), F.count("*").alias("met")).where("met > 1")

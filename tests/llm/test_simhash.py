@@ -1,0 +1,130 @@
+"""SimHash components against all pairs."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+import mrrlens.llm.simhash as simhash
+from hard_rows import empty_documents, hard_documents
+from mrrlens.llm.linking import components
+from mrrlens.llm.queries import QUERIES
+from mrrlens.llm.storage import Scratch
+
+
+def test_query_matches_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = [(row.doc_id, row.text) for row in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    found = sorted(map(tuple, QUERIES["op13_simhash"](spark, folder).collect()))
+    assert found == sorted(brute.simhash_components(docs))
+
+
+def test_hard_rows(spark):
+    docs = hard_documents(spark)
+    rows = [(row.doc_id, row.text) for row in docs.collect()]
+    found = simhash.simhash_components(docs).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(brute.simhash_components(rows), key=str)
+    # Without words: null, empty and blank texts are one component.
+    assert {row.component_id for row in found if row.fingerprint == "0" * 16} == {4}
+    assert simhash.simhash_components(empty_documents(spark)).count() == 0
+
+
+def test_long_texts_are_hashed_in_parts(monkeypatch):
+    text = " ".join(random.Random(1).choices(["a", "B", "straße", "x1"], k=5000))
+    whole = simhash.fingerprint(text.encode())
+    monkeypatch.setattr(simhash, "TOGETHER", 7)
+    assert simhash.fingerprint(text.encode()) == whole
+    assert whole & (1 << 64) - 1 == brute.simhash(text)
+
+
+def near(rng, start: int, turned: int) -> int:
+    for bit in rng.sample(range(64), turned):
+        start ^= 1 << bit
+    return start
+
+
+def planted(kind: str) -> list[int]:
+    rng = random.Random(kind)
+    found = [rng.getrandbits(64) for _ in range(300)]
+    if kind == "pairs":
+        found += [near(rng, one, rng.randrange(1, 4)) for one in found]
+    elif kind == "chains":
+        for _ in range(10):
+            found.append(rng.getrandbits(64))
+            found += [near(rng, found[-1], 2) for _ in range(1)]
+            for _ in range(20):
+                found.append(near(rng, found[-1], 2))
+    elif kind == "crowd":
+        # Many near copies, hundreds in each bucket of any partition.
+        centre = rng.getrandbits(64)
+        found += [near(rng, centre, rng.randrange(0, 6)) for _ in range(600)]
+    elif kind == "common part":
+        # A third of the bits is the same for most, so that one value is heavy, and one next to it.
+        low = rng.getrandbits(32)
+        found += [(rng.getrandbits(32) << 32) | low for _ in range(400)]
+        found += [(one >> 32 << 32) | (low ^ 1) for one in found[-100:]]
+    return list(dict.fromkeys(found))
+
+
+@pytest.mark.parametrize("kind", ["pairs", "chains", "crowd", "common part"])
+@pytest.mark.parametrize("heavy", [simhash.HEAVY, 3])
+def test_no_link_is_lost(spark, monkeypatch, kind, heavy):
+    """Whichever thresholds a fingerprint has: few candidates, heavy values, or half way."""
+    monkeypatch.setattr(simhash, "HEAVY", heavy)
+    prints = planted(kind)
+    signed = np.array(prints, np.uint64).view(np.int64).tolist()
+    scratch = Scratch(spark)
+    frame = scratch.keep(spark.createDataFrame([(one,) for one in signed], "print bigint"))
+    found = components(simhash.links(frame, scratch), scratch).collect()
+    number = {one: at for at, one in enumerate(signed)}
+    expected = brute.simhash_components([(at, "") for at in range(len(prints))], prints)
+    together = {}
+    for row in found:
+        together.setdefault(row.class_id, []).append(number[row.id])
+    least = {member: min(members) for members in together.values() for member in members}
+    assert [least.get(at, at) for at in range(len(prints))] == [row[2] for row in expected]
+    if kind != "common part":
+        assert len(found) > 20
+
+
+def test_crowds_meet_half_way(spark):
+    """No value is looked up that very many fingerprints have."""
+    signed = np.array(planted("crowd"), np.uint64).view(np.int64).tolist()
+    scratch = Scratch(spark)
+    frame = scratch.keep(spark.createDataFrame([(one,) for one in signed], "print bigint"))
+    plan = simhash.Plan(simhash.set_together(frame), len(signed))
+    looked_up = scratch.keep(simhash.probes(frame, plan, scratch))
+    assert looked_up.where(F.col("part") == simhash.WHOLE).count() > 50 * simhash.HALF_WAY
+    # What each looks up, and what it meets there, is no more than it would send half way, or so.
+    met = simhash.candidates(looked_up, frame, plan).count()
+    assert looked_up.count() < len(signed) * simhash.HALF_WAY
+    assert met < 2 * len(signed) * simhash.HALF_WAY
+
+
+def test_thresholds_by_dynamic_programming():
+    """The programme finds what trying all allocations finds."""
+    rng = np.random.default_rng(2)
+    for parts in (2, 3, 4):
+        costs = rng.integers(0, 50, (40, parts, 3)).astype(float)
+        budget = simhash.DISTANCE - parts + 1
+        thresholds, total = simhash.allocated(costs, budget)
+        choices = np.array(np.meshgrid(*[[-1, 0, 1]] * parts)).reshape(parts, -1).T
+        choices = choices[choices.sum(axis=1) == budget]
+        tried = np.array([[costs[row, range(parts), one + 1].sum() for one in choices] for row in range(40)])
+        assert (total == tried.min(axis=1)).all()
+        assert (thresholds.sum(axis=1) == budget).all()
+        assert (costs[np.arange(40)[:, None], range(parts), thresholds + 1].sum(axis=1) == total).all()
+
+
+def test_correlated_bits_stand_together():
+    rng = np.random.default_rng(4)
+    bits = rng.integers(0, 2, (4000, 64))
+    bits[:, 40:60] = bits[:, :20]
+    groups = simhash.partitions((bits.T @ bits).astype(float), 4000, 3)
+    assert sorted(bit for group in groups for bit in group) == list(range(64))
+    assert [len(group) for group in groups] == [21, 21, 22]
+    assert sum(bit + 40 in group for group in groups for bit in group if bit < 20) >= 18
