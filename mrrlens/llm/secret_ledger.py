@@ -139,13 +139,14 @@ class SecretLedger:
             rows.write.mode("append").parquet(self.path)
 
     def findings(self, versions: DataFrame, rules: tuple[Rule, ...] = RULES, text_column: str = "text") -> DataFrame:
-        """All rows and columns of the versions, with `secrets`: the spans that the rules have
-        found in the content, by start and order of the rules."""
+        """All rows and columns of the versions, with `secrets` as the last: the spans that the rules
+        have found in the content, by start and order of the rules. A column of that name is replaced."""
         none = F.array().cast(f"array<{SPAN}>")
         keyed = addressed(versions, text_column).drop("text")
+        others = [F.col(f"version.`{name}`") for name in versions.columns if name.lower() != "secrets"]
         known = self.known()
         if known is None:
-            return keyed.select("version.*", none.alias("secrets"))
+            return keyed.select(*others, none.alias("secrets"))
         order = F.create_map(*[F.lit(item) for n, rule in enumerate(rules) for item in (f"{rule.kind} {rule.version}", n)])
         own = known.withColumn("order", order[F.concat_ws(" ", "kind", "version")])
         found = own.where(F.col("order").isNotNull() & (F.size("spans") > 0))
@@ -155,7 +156,7 @@ class SecretLedger:
             span["kind"].alias("kind"), span["start"].alias("start"), span["end"].alias("end")
         ))
         return keyed.join(by_blob.select("blob", secrets.alias("found")), "blob", "left").select(
-            "version.*", F.coalesce("found", none).alias("secrets")
+            *others, F.coalesce("found", none).alias("secrets")
         )
 
 
@@ -167,8 +168,7 @@ def scan_secrets(
     Contents are known by their sha256, so a content is scanned once per version
     of a rule, however many paths, commits, copies or runs have it. Null texts are
     empty texts and have no secrets; repeated rows each get the findings; an empty
-    table gives an empty one. A column named `secrets` among the input's would
-    clash in the result: rename it first; no other name is taken.
+    table gives an empty one. A column named `secrets` is replaced; all others pass.
     """
     ledger.scan(versions, rules, text_column)
     return ledger.findings(versions, rules, text_column)

@@ -14,7 +14,8 @@ OTHER = (
 CLASHING = (
     "doc string, line string, place int, id string, `set` string, bucket int, class_id int, label string,"
     " score double, doc_1 int, doc_2 int, value string, version int, blob string, size int, `row` int,"
-    " node int, places string, spans string, `key_1` int, gone string, lines string, seen string"
+    " node int, places string, spans string, `key_1` int, gone string, lines string, seen string,"
+    " secrets string, `print` int, term string, found string, part int, least_id int"
 )
 NAMES = [part.split()[0].strip("`") for part in CLASHING.split(", ")]
 
@@ -24,7 +25,7 @@ def hard_documents(spark):
     rows = [
         (1, PROSE), (2, PROSE), (2, PROSE), (3, OTHER + "\n" + PROSE), (4, ""), (5, ""), (6, None), (None, None),
         (None, OTHER), (7, " \n\t\n"), (8, "### 123 !!!"), (9, "a"), (10, "\U0001F600 é ß\r\n\x00<|endoftext|>"),
-        (11, (PROSE + "\n" + OTHER + "\n") * 400), (12, "word " * 5000), (13, "x" * 20000),
+        (11, (PROSE + "\n" + OTHER + "\n") * 400), (12, "word " * 5000), (13, "x" * 20000), (14, "½ ² ① Ⅷ 七2"), (15, "½ ² ①"),
     ]
     kinds = dict(spark.createDataFrame([], CLASHING).dtypes)
     fill = {"string": "x", "int": 7, "double": 7.0}
