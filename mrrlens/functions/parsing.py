@@ -2,7 +2,8 @@
 
 Tolerant parsers turn bad text into null. Strict ones fail the query, whatever
 the session's ANSI mode, so a corrupt refund or ticket time never passes unseen.
-No parser turns a number that is well formed into null: one beyond 64 bits fails.
+No parser turns a number that is well formed into null: one beyond 64 bits fails, or is
+kept, with up to 38 digits, by the parsers of wide numbers.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ def failure(name: str, kind: str, what: str) -> str:
 def whole(name: str, decimal: str) -> str:
     """A 64-bit number from a decimal; one that does not fit fails."""
     return f"""CASE WHEN {decimal} IS NOT NULL
-        THEN coalesce(try_cast({decimal} AS BIGINT), {failure(name, "BIGINT", "beyond 64 bits")}) END"""
+        THEN coalesce(try_cast({decimal} AS BIGINT), {failure(name, "BIGINT", "beyond 64 bits, stage wide numbers")}) END"""
 
 
 def strict(name: str, kind: str) -> str:
@@ -79,3 +80,15 @@ def strict_amount(name: str) -> str:
 
 def strict_integer(name: str) -> str:
     return f"coalesce(try_cast({name} AS BIGINT), {whole(name, strict(name, 'DECIMAL(38,0)'))})"
+
+
+def wide_tolerant_integer(name: str) -> str:
+    return f"try_cast({as_text(name)} AS DECIMAL(38,0))"
+
+
+def wide_strict_integer(name: str) -> str:
+    return strict(name, "DECIMAL(38,0)")
+
+
+# What stands for a parser where numbers are wide.
+WIDE = {tolerant_integer: wide_tolerant_integer, strict_integer: wide_strict_integer}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,24 +74,59 @@ def zero_rows(frame: DataFrame, names: list[str]) -> DataFrame:
     return rows.select(F.explode(every).alias("check_name"), F.lit(0).cast("bigint").alias("violations"))
 
 
-def orphans(children: dict[str, tuple[DataFrame, str]], parents: DataFrame, key: str) -> DataFrame:
-    """Child rows whose key no parent holds; null child keys pass.
+class Keys(NamedTuple):
+    """A key column: the relation whose key it is, and those that refer to it."""
 
-    Children are counted per key before the join, so a key shared by a third of
-    all rows is one row in it, and checks with the same parent share the join.
+    column: str
+    parent: str
+    children: tuple[str, ...] = ()
+
+
+def key_checks(
+    relations: dict[str, DataFrame], keys: list[Keys], kinds: tuple[str, ...] = ("not_null", "unique", "relationships")
+) -> DataFrame:
+    """Nulls, repeated keys of parents and orphans of children, for all keys together.
+
+    Parents and children meet by key in one aggregate: each row of a relation enters
+    once for each of its key columns, and is added up in its task before the one
+    shuffle. So each relation is scanned once, nothing is joined or sorted, and a key
+    on a third of all rows is a row for each task. Null keys are nulls, not orphans.
     """
-    counted = together(
-        [
-            rows.where(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias(key))
-            .agg(F.count("*").alias("violations"))
-            .withColumn("check_name", F.lit(name))
-            for name, (rows, column) in children.items()
-        ]
-    )
-    found = counted.join(parents.select(key), key, "left_anti").select("check_name", "violations")
-    both = found.unionByName(zero_rows(found, list(children)))
-    return both.groupBy("check_name").agg(F.sum("violations").alias("violations"))
+    entries: dict[str, list] = {}
+    for number, key in enumerate(keys):
+        for role, relation in enumerate((key.parent, *key.children)):
+            if role == 0 or kinds != ("unique",):
+                entry = F.struct(F.lit(number).alias("key"), F.col(key.column).alias("value"), F.lit(role).alias("role"))
+                entries.setdefault(relation, []).append(entry)
+    entered = together([
+        relations[relation].select(F.inline(F.array(*own))) for relation, own in entries.items()
+    ])
+    roles = range(1 + max(len(key.children) for key in keys))
+    met = entered.groupBy("key", "value").agg(*[F.count_if(F.col("role") == role).alias(f"rows_{role}") for role in roles])
+    null = F.col("value").isNull()
+    sums = [F.sum(F.when(null, F.col(f"rows_{role}")).otherwise(0)).alias(f"nulls_{role}") for role in roles]
+    sums += [
+        F.sum(F.when(~null & (F.col("rows_0") == 0), F.col(f"rows_{role}")).otherwise(0)).alias(f"orphans_{role}")
+        for role in roles
+    ]
+    counts = met.groupBy("key").agg(F.count_if(~null & (F.col("rows_0") > 1)).alias("repeated"), *sums)
+
+    names, results = [], F.when(F.lit(False), F.array().cast("array<struct<check_name: string, violations: bigint>>"))
+    for number, key in enumerate(keys):
+        found = {("unique", key.parent): "repeated"}
+        for role, relation in enumerate((key.parent, *key.children)):
+            found["not_null", relation] = f"nulls_{role}"
+            if role:
+                found["relationships", relation] = f"orphans_{role}"
+        own = {f"{kind}:{relation}.{key.column}": F.col(name) for (kind, relation), name in found.items() if kind in kinds}
+        names += own
+        results = results.when(F.col("key") == number, F.array(*[
+            F.struct(F.lit(name).alias("check_name"), violations.alias("violations")) for name, violations in own.items()
+        ]))
+    rows = counts.select(F.inline(results))
+    # Relations without rows have no counts.
+    every = rows.unionByName(zero_rows(rows, names))
+    return every.groupBy("check_name").agg(F.sum("violations").alias("violations"))
 
 
 def broken_rule(name: str, rows: DataFrame, rule: Column) -> DataFrame:

@@ -16,3 +16,20 @@ def first_per_key(rows: DataFrame, keys: list[str], order: list[Column]) -> Data
         .where(F.col("_position") == 1)
         .drop("_position")
     )
+
+
+def first_of_repeated(rows: DataFrame, key: str, order: list[Column]) -> DataFrame:
+    """The same for one key, where most rows are alone under theirs: only rows whose key
+    may repeat are shuffled and sorted.
+
+    Keys are counted as hashes of 64 bits, in a hash aggregate that combines them in
+    each task. A row passes as it is if its key's hash is its own; the others, few of
+    which only share a hash, are cut to one row per key.
+    """
+    print_of = F.xxhash64(F.col(key))
+    counted = rows.select(print_of.alias("_print")).groupBy("_print").agg(F.count("*").alias("_rows"))
+    repeated = counted.where(F.col("_rows") > 1).select("_print")
+    printed = rows.withColumn("_print", print_of)
+    alone = printed.join(repeated, "_print", "left_anti").drop("_print")
+    others = printed.join(repeated, "_print", "left_semi").drop("_print")
+    return alone.unionByName(first_per_key(others, [key], order))

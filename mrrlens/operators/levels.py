@@ -18,11 +18,11 @@ def change_points(
 ) -> DataFrame:
     """Two rows for each stretch (`month`, `months`): levels hold from its first month to its
     last, points count in the first month alone."""
-    none = F.lit(0).cast("bigint")
 
     def row(month: Column, sign: int) -> Column:
-        held = [(sign * level.cast("bigint")).alias(name) for name, level in levels.items()]
-        met = [(point if sign > 0 else none).cast("bigint").alias(name) for name, point in points.items()]
+        held = [(sign * level).alias(name) for name, level in levels.items()]
+        # Either way of the type of the point, whatever that is.
+        met = [F.when(F.lit(sign > 0), point).otherwise(F.lit(0)).alias(name) for name, point in points.items()]
         return F.struct(month.alias("month"), *held, *met)
 
     ends = F.add_months("month", F.col("months"))

@@ -66,21 +66,28 @@ def with_counted_from(periods: DataFrame) -> DataFrame:
 
     Revenue counts every row, but the count an id once a month: a period only
     counts from where the earlier periods of its id stop. Equal periods of one id
-    are added up first, so an id on a third of all rows is a few rows here. A
-    reversed period ends before any later one starts, so it covers nothing.
+    are added up first. What periods of earlier months cover is a running maximum
+    over one row per month; among those of one month it is the one that ends before,
+    as all start alike. So no task has more rows of an id than there are months,
+    however many periods it has. A reversed period ends before any later one starts,
+    so it covers nothing.
     """
-    keys = ["account_id", "subscription_id", "first_month", "last_month"]
-    earlier = (
-        Window.partitionBy("account_id", "subscription_id")
-        .orderBy("first_month", "last_month")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    of_id = ["account_id", "subscription_id"]
+    different = periods.groupBy(*of_id, "first_month", "last_month").agg(F.sum("mrr").alias("mrr"))
+    months = different.groupBy(*of_id, "first_month").agg(F.max("last_month").alias("month_covers_to"))
+    started = F.when(F.col("first_month").isNotNull(), F.col("month_covers_to"))
+    earlier = Window.partitionBy(*of_id).orderBy("first_month").rowsBetween(Window.unboundedPreceding, -1)
+    months = months.select(
+        *[F.col(name).alias(f"of_{name}") for name in (*of_id, "first_month")], F.max(started).over(earlier).alias("covered_to")
     )
-    started = F.when(F.col("first_month").isNotNull(), F.col("last_month"))
-    covered_to = F.max(started).over(earlier)
-    return (
-        periods.groupBy(*keys)
-        .agg(F.sum("mrr").alias("mrr"))
-        .withColumn("counted_from", F.greatest(F.col("first_month"), month_after(covered_to)))
+    same = [F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in (*of_id, "first_month")]
+    in_month = Window.partitionBy(*of_id, "first_month").orderBy("last_month")
+    before = F.when(F.col("first_month").isNotNull(), F.lag("last_month").over(in_month))
+    joined = different.withColumn("ends_before", before).join(months, same)
+    covered_to = F.greatest("covered_to", "ends_before")
+    return joined.select(
+        *of_id, "first_month", "last_month", "mrr",
+        F.greatest(F.col("first_month"), month_after(covered_to)).alias("counted_from"),
     )
 
 

@@ -15,7 +15,14 @@ VERSION_COLUMNS = ("version_id", "updated_at", "valid_from", "valid_to")
 
 # A run's rows lie apart: versions that are open after it, versions that it closed.
 OPEN, CLOSED = "open", "closed"
-RUNS = "run_at timestamp_ntz, columns string, run int"
+RUNS = (
+    "run_at timestamp_ntz, columns string, checked array<string>, prints array<string>, written array<int>, run int"
+)
+#: Keys are printed in so many fine buckets, of which the buckets of a snapshot are made up: one for
+#: about so many keys of the first run, a power of two.
+FINE, KEYS_PER_BUCKET = 4096, 50_000
+#: Files that a task may have open at once before it sorts its rows by bucket instead.
+OPEN_FILES = 32
 
 
 def version_id(key: Column, run_at: Column) -> Column:
@@ -74,14 +81,49 @@ def merge_versions(
     return pairs.select(F.inline(outcome))
 
 
+def bucket_of(key: str, count: int) -> Column:
+    """The bucket of a key; buckets of a smaller power of two are made up of those of a larger one."""
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(count)).cast("int")
+
+
+def fine_prints(current: DataFrame, key: str, check_columns: list[str]) -> dict[int, tuple[int, int, int]]:
+    """For each fine bucket of the keys: how many rows, and two sums of their hashes without carry.
+
+    They do not depend on the order of rows, and those of buckets that are put together
+    add up likewise. Nulls count by their place.
+    """
+    missing = F.raise_error(F.lit(f"null {key} in snapshot input")).cast("string")
+    known = F.coalesce(F.col(key).cast("string"), missing)
+    row = [known, *[F.col(name) for name in check_columns], *[F.col(name).isNull() for name in check_columns]]
+    hashed = current.select(
+        F.pmod(F.xxhash64(known), F.lit(FINE)).alias("fine"),
+        F.xxhash64(*row).alias("one"), F.xxhash64(F.lit(1), *row).alias("other"),
+    )
+    sums = hashed.groupBy("fine").agg(F.count("*").alias("rows"), F.bit_xor("one").alias("one"), F.bit_xor("other").alias("other"))
+    return {found.fine: (found.rows, found.one, found.other) for found in sums.collect()}
+
+
+def bucket_prints(fine: dict[int, tuple[int, int, int]], count: int) -> list[str]:
+    """The prints of so many buckets, as text."""
+    prints = [(0, 0, 0)] * count
+    for number, (rows, one, other) in fine.items():
+        before = prints[number % count]
+        prints[number % count] = (before[0] + rows, before[1] ^ one, before[2] ^ other)
+    return [f"{rows}:{one & (1 << 64) - 1:016x}{other & (1 << 64) - 1:016x}" for rows, one, other in prints]
+
+
 class Snapshot:
     """The history of one relation, in a folder that every run finds again.
 
-    Each run writes the versions that are open after it and, apart from them,
-    those that it closed; a closed version is never read or written again by
-    later runs. A run counts once its line in `runs` is written, last of all; what
-    a run that died has left behind is overwritten by the next one. One run at a
-    time may write.
+    Keys are dealt into buckets by hash. A run prints its input by bucket and compares
+    the prints with those of the last run. It reads and writes the open versions of
+    buckets that differ, and leaves the others where they lie: an input without a
+    change writes no version. Versions that it closes lie apart and are never read or
+    written again by later runs.
+
+    A run counts once its line in `runs` is written, last of all; it says which run has
+    written the open versions of each bucket. What a run that died has left behind is
+    overwritten by the next one. One run at a time may write.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -99,13 +141,23 @@ class Snapshot:
         return sorted(rows, key=lambda row: row.run)
 
     def _versions(self, last) -> DataFrame:
-        schema = StructType.fromDDL(f"{last.columns}, run int, part string")
+        schema = StructType.fromDDL(f"{last.columns}, run int, part string, bucket int")
         return self.spark.read.schema(schema).parquet(f"{self.root}/versions")
 
-    def opened(self, last) -> DataFrame:
-        """Versions that are open after the last run; nothing else is scanned."""
-        rows = self._versions(last).where((F.col("run") == last.run) & (F.col("part") == OPEN))
-        return rows.drop("run", "part")
+    def _lies_open(self, last, buckets: list[int]) -> Column:
+        """Where the open versions of some buckets lie, by run and bucket."""
+        by_run: dict[int, list[int]] = {}
+        for bucket in buckets:
+            by_run.setdefault(last.written[bucket], []).append(bucket)
+        found = F.lit(False)
+        for run, own in by_run.items():
+            found = found | ((F.col("run") == run) & F.col("bucket").isin(own))
+        return (F.col("part") == OPEN) & found
+
+    def opened(self, last, buckets: list[int] | None = None) -> DataFrame:
+        """Versions that are open after the last run, in some buckets or all; nothing else is scanned."""
+        some = range(len(last.written)) if buckets is None else buckets
+        return self._versions(last).where(self._lies_open(last, list(some))).drop("run", "part", "bucket")
 
     def history(self) -> DataFrame:
         """All versions as of the last run."""
@@ -114,29 +166,51 @@ class Snapshot:
             raise ValueError(f"no snapshot run under {self.root}")
         last = runs[-1]
         closed = F.col("run").isin([row.run for row in runs]) & (F.col("part") == CLOSED)
-        opened = (F.col("run") == last.run) & (F.col("part") == OPEN)
-        return self._versions(last).where(closed | opened).drop("run", "part")
+        opened = self._lies_open(last, list(range(len(last.written))))
+        return self._versions(last).where(closed | opened).drop("run", "part", "bucket")
 
     def run(
         self, current: DataFrame, key: str, check_columns: list[str], run_at: datetime.datetime
     ) -> DataFrame:
-        """Compare `current` with the open versions, write the outcome, and return the history."""
+        """Compare `current`, one row a key, with the open versions, write what changes, and return the history."""
         runs = self.runs()
-        if not runs:
-            number, versions = 1, first_versions(current, key, run_at)
-        else:
-            last = runs[-1]
-            if run_at <= last.run_at:
-                raise ValueError(f"run at {run_at} is not after the last one at {last.run_at}")
-            number = last.run + 1
-            versions = merge_versions(self.opened(last), current, key, check_columns, run_at)
-        part = F.when(F.col("valid_to").isNull(), OPEN).otherwise(CLOSED)
-        columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in versions.schema)
-        # Two open files a task instead of a sort by part.
-        with session_settings(self.spark, {"spark.sql.maxConcurrentOutputFileWriters": "2"}):
-            versions.withColumn("part", part).write.mode("overwrite").partitionBy("part").parquet(
-                f"{self.root}/versions/run={number}"
-            )
-        line = self.spark.range(0, 1, 1, 1).select(stamp(run_at).alias("run_at"), F.lit(columns).alias("columns"))
-        line.write.mode("overwrite").parquet(f"{self.root}/runs/run={number}")
+        last = runs[-1] if runs else None
+        if last is not None and run_at <= last.run_at:
+            raise ValueError(f"run at {run_at} is not after the last one at {last.run_at}")
+        number = 1 if last is None else last.run + 1
+        # The input is read twice: for its prints, and where they differ.
+        current = current.persist()
+        try:
+            line = self._write(current, key, check_columns, run_at, last, number)
+        finally:
+            current.unpersist()
+        rows = self.spark.createDataFrame([(*line, number)], RUNS).drop("run", "run_at").coalesce(1)
+        # By way of text, so that no session's time zone moves it.
+        rows.withColumn("run_at", stamp(run_at)).write.mode("overwrite").parquet(f"{self.root}/runs/run={number}")
         return self.history()
+
+    def _write(self, current: DataFrame, key: str, check_columns: list[str], run_at: datetime.datetime, last, number: int) -> tuple:
+        """Write the versions of a run; what its line says of it."""
+        fine = fine_prints(current, key, check_columns)
+        if last is None:
+            keys = sum(rows for rows, *_ in fine.values())
+            count = min(FINE, 1 << max(0, (keys - 1) // KEYS_PER_BUCKET).bit_length())
+            prints, changed = bucket_prints(fine, count), list(range(count))
+            versions, written = first_versions(current, key, run_at), [number] * count
+            columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in versions.schema)
+        else:
+            count, columns = len(last.written), last.columns
+            prints = bucket_prints(fine, count)
+            other = list(last.checked) != check_columns
+            changed = [bucket for bucket in range(count) if other or prints[bucket] != last.prints[bucket]]
+            some = current if len(changed) == count else current.where(bucket_of(key, count).isin(changed))
+            versions = merge_versions(self.opened(last, changed), some, key, check_columns, run_at)
+            written = [number if bucket in set(changed) else before for bucket, before in enumerate(last.written)]
+        if changed:
+            part = F.when(F.col("valid_to").isNull(), OPEN).otherwise(CLOSED)
+            placed = versions.withColumns({"part": part, "bucket": bucket_of(key, count)})
+            # One task has all of a bucket, and so one file of it; a bucket is a task's size.
+            placed = placed.coalesce(1) if count == 1 else placed.repartition("bucket")
+            with session_settings(self.spark, {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)}):
+                placed.write.mode("overwrite").partitionBy("part", "bucket").parquet(f"{self.root}/versions/run={number}")
+        return None, columns, check_columns, prints, written

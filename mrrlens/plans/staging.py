@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mrrlens.functions import parsing as p
-from mrrlens.operators.latest import first_per_key
+from mrrlens.operators.latest import first_of_repeated
 from mrrlens.sources.raw import RawTables
 
 ACCOUNTS = {
@@ -74,8 +74,9 @@ CHURN_EVENTS = {
 }
 
 
-def parse(raw: DataFrame, parsers: dict[str, Callable[[str], str]]) -> DataFrame:
-    return raw.selectExpr(*[f"{parser(name)} AS {name}" for name, parser in parsers.items()])
+def parse(raw: DataFrame, parsers: dict[str, Callable[[str], str]], wide: bool = False) -> DataFrame:
+    used = {name: p.WIDE.get(parser, parser) if wide else parser for name, parser in parsers.items()}
+    return raw.selectExpr(*[f"{parser(name)} AS {name}" for name, parser in used.items()])
 
 
 def one_row_per_usage(usage_rows: DataFrame) -> DataFrame:
@@ -88,27 +89,37 @@ def one_row_per_usage(usage_rows: DataFrame) -> DataFrame:
     ties = [name for name in FEATURE_USAGE if name not in ("usage_id", "usage_date")]
     order = [F.col("usage_date").desc_nulls_first()]
     order += [F.col(name).asc_nulls_last() for name in ties if name in usage_rows.columns]
-    return first_per_key(usage_rows, ["usage_id"], order)
+    return first_of_repeated(usage_rows, "usage_id", order)
 
 
 class Staged:
-    """The five staged relations, each planned when first asked for."""
+    """The five staged relations, each planned when first asked for.
 
-    def __init__(self, raw: RawTables) -> None:
+    Whole numbers have 64 bits, which is fast, and a number beyond them fails. With
+    `wide` they have up to 38 digits, in all that is made of them: marts and reports too.
+    """
+
+    def __init__(self, raw: RawTables, wide: bool = False) -> None:
         self.raw = raw
+        self.wide = wide
+
+    @property
+    def number(self) -> str:
+        """The type of whole numbers."""
+        return "decimal(38,0)" if self.wide else "bigint"
 
     @cached_property
     def accounts(self) -> DataFrame:
-        return parse(self.raw.table("accounts"), ACCOUNTS)
+        return parse(self.raw.table("accounts"), ACCOUNTS, self.wide)
 
     @cached_property
     def subscriptions(self) -> DataFrame:
-        return parse(self.raw.table("subscriptions"), SUBSCRIPTIONS)
+        return parse(self.raw.table("subscriptions"), SUBSCRIPTIONS, self.wide)
 
     @cached_property
     def usage_rows(self) -> DataFrame:
         """Feature usage with its repeated ids, for steps that can drop them more cheaply."""
-        return parse(self.raw.table("feature_usage"), FEATURE_USAGE)
+        return parse(self.raw.table("feature_usage"), FEATURE_USAGE, self.wide)
 
     @cached_property
     def feature_usage(self) -> DataFrame:
@@ -116,8 +127,8 @@ class Staged:
 
     @cached_property
     def support_tickets(self) -> DataFrame:
-        return parse(self.raw.table("support_tickets"), SUPPORT_TICKETS)
+        return parse(self.raw.table("support_tickets"), SUPPORT_TICKETS, self.wide)
 
     @cached_property
     def churn_events(self) -> DataFrame:
-        return parse(self.raw.table("churn_events"), CHURN_EVENTS)
+        return parse(self.raw.table("churn_events"), CHURN_EVENTS, self.wide)

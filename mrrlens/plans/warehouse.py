@@ -34,18 +34,18 @@ ACCOUNTS, SEGMENTS = "dim_account", "account_segments"
 SCHEMAS = {
     ACCOUNTS: (
         "account_id string, account_name string, industry string, country string, signup_date date,"
-        " referral_source string, initial_plan_tier string, initial_seats bigint,"
+        " referral_source string, initial_plan_tier string, initial_seats {number},"
         " initial_is_trial boolean, churn_flag_ever boolean, tenure_days int, tenure_bucket string"
     ),
     SEGMENTS: (
-        "account_id string, month date, months int, copies bigint, mrr bigint, prior_mrr bigint,"
+        "account_id string, month date, months int, copies bigint, mrr {number}, prior_mrr {number},"
         " active_subscription_count bigint, logo_churned boolean, churn_reason_code string"
     ),
 }
 LEAST_ROWS_PER_BUCKET, MOST_ROWS_PER_BUCKET = 50_000, 4_000_000
 BUILDS = (
     "folder string, buckets int, first_day date, last_day date, accounts bigint, subscriptions bigint,"
-    " churn_events bigint, repeated_ids boolean, as_of date, build int"
+    " churn_events bigint, repeated_ids boolean, as_of date, number string, build int"
 )
 
 
@@ -62,20 +62,24 @@ class Marts:
     files when it first asks for them, so plans are the same everywhere.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, buckets: int, bounds: Bounds) -> None:
+    def __init__(self, spark: SparkSession, folder: str, buckets: int, bounds: Bounds, number: str = "bigint") -> None:
         self.spark = spark
         self.folder = folder
         self.buckets = buckets
         self.bounds = bounds
+        self.number = number
+
+    def schema(self, name: str) -> str:
+        return SCHEMAS[name].format(number=self.number)
 
     def _files(self, name: str) -> DataFrame:
-        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(self.schema(name)).parquet(f"{self.folder}/{name}")
 
     def _bucketed(self, name: str) -> DataFrame:
         table = table_name(self.folder, name)
         if not self.spark.catalog.tableExists(table):
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {table} ({SCHEMAS[name]}) USING parquet"
+                f"CREATE TABLE IF NOT EXISTS {table} ({self.schema(name)}) USING parquet"
                 f" CLUSTERED BY (account_id) INTO {self.buckets} BUCKETS LOCATION '{self.folder}/{name}'"
             )
         return self.spark.table(table)
@@ -167,9 +171,9 @@ def build_marts(spark: SparkSession, staged: Staged, root: str, bounds: Bounds)
     write_table(accounts, folder, ACCOUNTS, count)
     write_table(segments, folder, SEGMENTS, count)
     number = max([row.build for row in published(spark, root)], default=0) + 1
-    line = spark.createDataFrame([(folder, count, *bounds, number)], BUILDS).drop("build").coalesce(1)
+    line = spark.createDataFrame([(folder, count, *bounds, staged.number, number)], BUILDS).drop("build").coalesce(1)
     line.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/builds/build={number}")
-    return Marts(spark, folder, count, bounds)
+    return Marts(spark, folder, count, bounds, staged.number)
 
 
 def published(spark: SparkSession, root: str) -> list:
@@ -189,7 +193,7 @@ def newest_marts(spark: SparkSession, root: str) -> Marts:
     if not builds:
         raise ValueError(f"no marts are published under {root}")
     last = builds[-1]
-    return Marts(spark, last.folder, last.buckets, Bounds(*[last[name] for name in Bounds._fields]))
+    return Marts(spark, last.folder, last.buckets, Bounds(*[last[name] for name in Bounds._fields]), last.number)
 
 
 def drop_old_builds(spark: SparkSession, root: str, keep: int = 1) -> int:

@@ -116,7 +116,7 @@ def fact_of_year(inputs: Inputs) -> DataFrame:
 
 
 def all_checks(inputs: Inputs) -> DataFrame:
-    return quality.all_checks(inputs.staged, inputs.marts.segments, inputs.folder)
+    return quality.all_checks(inputs.staged, inputs.marts.segments)
 
 
 def known_state(inputs: Inputs, as_of: datetime.date) -> DataFrame:

@@ -165,7 +165,7 @@ def test_a_far_date_costs_nothing(spark, tmp_path):
     assert connection.execute("SELECT * FROM far ORDER BY 1").fetchall() == expected
 
 
-def test_checks_find_the_same_faults(world, tmp_path):
+def test_checks_find_the_same_faults(world):
     staged, bounds, connection = world
     segments = facts.fact_segments(staged.accounts, staged.subscriptions, staged.churn_events, bounds)
     fact = facts.fact_rows(segments)
@@ -175,7 +175,7 @@ def test_checks_find_the_same_faults(world, tmp_path):
         "dq_accepted_values": quality.accepted_values(staged),
         "dq_relationships": quality.relationships(staged),
         "dq_fact_grain": quality.fact_grain(segments),
-        "dq_all": quality.all_checks(staged, segments, str(tmp_path / "keys")),
+        "dq_all": quality.all_checks(staged, segments),
     }
     for name, result in results.items():
         assert_same(result, connection, given_sql(name))

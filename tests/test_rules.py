@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from mrrlens.functions import parsing, revenue
 from mrrlens.functions.months import run_day
+from mrrlens.operators.versions import Snapshot
 from mrrlens.plans import facts, reports
 from mrrlens.plans.calendar import Bounds, account_month_spine, calendar_bounds, calendar_dim
-from mrrlens.plans.dimensions import account_dim, current_state
-from tables import staged_from_rows
+from mrrlens.plans.dimensions import STATE_COLUMNS, account_dim, current_state
+from mrrlens.plans.staging import Staged
+from mrrlens.plans.warehouse import build_marts, newest_marts
+from tables import raw_from_rows, staged_from_rows
 
 D = datetime.date
 AS_OF = D(2001, 12, 31)
@@ -322,6 +325,40 @@ def test_no_number_is_lost(spark, ansi):
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
+def test_wide_numbers_go_all_the_way(spark, tmp_path):
+    """Numbers of 31 digits, in staging, fact, marts, reports and state, exact to the last digit."""
+    large, small = 10**30 + 1, 10**19
+    extracts = raw_from_rows(
+        spark,
+        accounts=[{"account_id": "a", "signup_date": "2001-01-15", "plan_tier": "Pro", "seats": str(small)}],
+        subscriptions=[
+            subscription("1", "2001-01-20", "2001-02-03", str(large)),
+            subscription("2", "2001-02-10", "2001-03-03", f"{small}.5"),
+        ],
+        support_tickets=[{"ticket_id": "t", "submitted_at": "2001-01-16 10:00:00", "satisfaction_score": str(large)}],
+    )
+    with pytest.raises(Exception, match="beyond 64 bits, stage wide numbers"):
+        Staged(extracts).subscriptions.collect()
+    staged = Staged(extracts, wide=True)
+    assert staged.support_tickets.first().satisfaction_score == large
+    bounds = calendar_bounds(staged, D(2001, 4, 1))
+    build_marts(spark, staged, str(tmp_path / "marts"), bounds)
+    marts = newest_marts(spark, str(tmp_path / "marts"))
+    assert [row.mrr for row in marts.fact.orderBy("month_start").collect()] == [large, large + small + 1, small + 1]
+    assert marts.bucketed_accounts.first().initial_seats == small
+    summary = reports.exec_summary(marts.segments).collect()
+    assert [row.ending_mrr for row in summary] == [large, large + small + 1, small + 1]
+    assert [row.mrr_delta for row in summary] == [None, small + 1, -large]
+    assert [(row.new_mrr, row.expansion_mrr, row.contraction_mrr) for row in summary] == [
+        (large, 0, 0), (0, small + 1, 0), (0, 0, -large)
+    ]
+    churn = reports.revenue_churn_by_segment(marts.bucketed_segments, marts.bucketed_accounts, "plan").collect()
+    assert [row.prior_mrr for row in churn] == [0, large, large + small + 1]
+    state = current_state(staged.subscriptions, bounds.as_of)
+    kept = Snapshot(spark, str(tmp_path / "state")).run(state, "account_id", STATE_COLUMNS, datetime.datetime(2001, 4, 1))
+    assert kept.first().current_mrr == small + 1
+
+
 def test_empty_calendar(spark):
     assert calendar_dim(spark, Bounds(None, None)).count() == 0
     staged = staged_from_rows(spark, accounts=[{"account_id": "a", "signup_date": "?"}])

@@ -1,12 +1,18 @@
 from __future__ import annotations
 
 import datetime
+import random
+import re
 import uuid
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+from mrrlens.operators import versions
 from mrrlens.operators.versions import Snapshot, merge_versions
 from mrrlens.plans.dimensions import STATE_COLUMNS, current_state
+from mrrlens.session import session_settings
 
 FIRST = datetime.datetime(2001, 1, 1, 8)
 SECOND = datetime.datetime(2001, 2, 1, 8)
@@ -30,9 +36,7 @@ def take(kept, run_at, *rows):
 
 
 def files(kept, run: int, part: str) -> list:
-    from pathlib import Path
-
-    return sorted((p.name, p.stat().st_mtime_ns) for p in Path(kept.root, f"versions/run={run}/part={part}").glob("*.parquet"))
+    return sorted((p.name, p.stat().st_mtime_ns) for p in Path(kept.root, f"versions/run={run}/part={part}").rglob("*.parquet"))
 
 
 def test_runs(kept):
@@ -98,13 +102,88 @@ def test_a_run_that_died_can_be_repeated(kept):
     """It left versions behind, some in part, but no line among the runs."""
     first = take(kept, FIRST, ("a", "Pro", 1))
     wrong = merge_versions(kept.opened(kept.runs()[-1]), state(kept.spark, ("a", "Wrong", 1)), "id", ["plan"], SECOND)
-    wrong.write.parquet(f"{kept.root}/versions/run=2/part=open")
-    wrong.limit(1).write.parquet(f"{kept.root}/versions/run=2/part=closed/_temporary/0")
+    wrong.write.parquet(f"{kept.root}/versions/run=2/part=open/bucket=0")
+    wrong.limit(1).write.parquet(f"{kept.root}/versions/run=2/part=closed/bucket=0/_temporary/0")
     assert {tuple(row)[:3] for row in kept.history().collect()} == {row[:3] for row in first}
     again = take(kept, SECOND, ("a", "Basic", 1))
     assert again == {("a", "Pro", 1, FIRST, SECOND), ("a", "Basic", 1, SECOND, None)}
 
 
+@pytest.fixture
+def small_buckets(monkeypatch):
+    monkeypatch.setattr(versions, "KEYS_PER_BUCKET", 25)
+
+
+def many(count: int, changed: set[int] = frozenset()) -> list[tuple]:
+    return [(f"k{n}", "Basic" if n in changed else "Pro", n) for n in range(count)]
+
+
+def test_only_buckets_that_differ_are_written(kept, small_buckets):
+    take(kept, FIRST, *many(800))
+    assert len(kept.runs()[0].written) == 32
+    first = files(kept, 1, "open")
+    assert len(first) == 32
+    # Nothing has changed: a line, and no version.
+    take(kept, SECOND, *reversed(many(800)))
+    assert not Path(kept.root, "versions/run=2").exists()
+    # Eight keys, of at most eight buckets.
+    found = take(kept, THIRD, *many(800, set(range(8))))
+    assert len(files(kept, 3, "open")) <= 8 and files(kept, 1, "open") == first
+    assert sum(row[3] == THIRD for row in found) == sum(row[4] == THIRD for row in found) == 8
+    assert len(found) == 808
+    last = kept.runs()[-1]
+    assert sum(run == 3 for run in last.written) == len(files(kept, 3, "open"))
+    # A key that goes missing stays as it is, in a bucket that differs; the next run knows of it.
+    assert take(kept, FOURTH, *many(799, set(range(8)))) == found
+    assert len(files(kept, 4, "open")) == 1
+
+
+def test_open_versions_of_other_buckets_are_not_read(kept, small_buckets):
+    take(kept, FIRST, *many(800))
+    take(kept, THIRD, *many(800, {5}))
+    last = kept.runs()[-1]
+    one = [bucket for bucket, run in enumerate(last.written) if run == 2]
+    some = kept.opened(last, one)
+    with session_settings(kept.spark, {"spark.sql.maxMetadataStringLength": "2000"}):
+        plan = some._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    assert re.search(r"PartitionFilters: \[[^]]*run#\d+ = 2[^]]*bucket#\d+ = ", scan)
+    assert some.select(F.input_file_name()).distinct().count() == 1
+    assert kept.opened(last).select(F.input_file_name()).distinct().count() == 32
+    assert kept.opened(last).count() == 800
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_runs_against_a_plain_merge(kept, small_buckets, seed):
+    """Keys come, change, go and come back; nulls move from one column to the next."""
+    rng = random.Random(seed)
+    history: dict[tuple, tuple] = {}
+    for number in range(6):
+        run_at = FIRST + datetime.timedelta(days=number)
+        rows = []
+        for key in range(150):
+            if rng.random() < 0.8:
+                rows.append((f"k{key}", rng.choice([None, "Pro", "Pro", "Pro"]), rng.choice([None, 1, 1, 1])))
+        if number == 3:
+            rows = last
+        for key, plan, seats in rows:
+            before = next((one for one in history if one[0] == key and history[one] is None), None)
+            if before is None or before[1:3] != (plan, seats):
+                if before is not None:
+                    history[before] = run_at
+                history[key, plan, seats, run_at] = None
+        last = rows
+        assert take(kept, run_at, *rows) == {(*one, end) for one, end in history.items()}
+
+
+def test_other_columns_to_compare_make_all_buckets_differ(kept, small_buckets):
+    rows = state(kept.spark, *many(200))
+    kept.run(rows, "id", ["plan"], FIRST)
+    other = state(kept.spark, *[(key, plan, seats + 1) for key, plan, seats in many(200)])
+    assert kept.run(other, "id", ["plan"], SECOND).count() == 200
+    assert kept.run(other, "id", ["plan", "seats"], THIRD).count() == 400
+
+
 def test_no_history_without_a_run(kept):
     with pytest.raises(ValueError, match="no snapshot run"):
         kept.history()
