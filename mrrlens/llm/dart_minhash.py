@@ -245,11 +245,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .select(F.monotonically_increasing_id().alias("id"), "key_1", "key_2", "one.*")
     )
 
-    def sets_of(ids: DataFrame) -> DataFrame:
+    def sets_of(ids: DataFrame) -> tuple[DataFrame, DataFrame]:
         wanted = contents.select("id", "doc_1", "doc_2").join(ids, "id", "left_semi")
         chosen = known.join(wanted, ["doc_1", "doc_2"]).select("id", "text")
         # Rows may repeat a document; one of them is enough.
-        return weighted_sets(chosen).dropDuplicates(["id"])
+        sets = scratch.keep(weighted_sets(chosen).dropDuplicates(["id"]))
+        return sets.drop("set"), sets.select("id", "size", "set")
 
     members = contents.select(F.explode("bands").alias("bucket"), "id")
     classes = link_classes(members, sets_of, SIMILARITY, scratch, SKETCH_WORDS)

@@ -17,9 +17,12 @@ DRAWN_PIVOTS = 3
 
 #: Links that one task takes on; so many and fewer meet without a shuffle.
 LINKS_PER_TASK = 1_000_000
-#: From the ids in crowded buckets to their sets, as `with_sketch` makes them: `id`, `set` (an
-#: array of different numbers, or what Elements makes one of), `size` and `word_0` and so on.
-SetsOf = Callable[[DataFrame], DataFrame]
+#: Members of a bucket that one task compares with as many others, at most.
+PART = 1_000
+#: From the ids in crowded buckets to their sketches, as `sketched` makes them (`id`, `size`, `word_0`
+#: and so on), and to their sets (`id`, `size` and `set`: an array of different numbers, or what
+#: Elements makes one of).
+SetsOf = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 Elements = Callable[[Column], Column]
 
 
@@ -100,20 +103,20 @@ def as_it_is(one: Column) -> Column:
     return one
 
 
-def with_sketch(sets: DataFrame, words: int, kept: str = "set") -> DataFrame:
-    """Sets with their size and a sketch: `words` numbers of 64 bits, of which each element turns one bit over.
+def sketched(elements: DataFrame, words: int) -> DataFrame:
+    """From the different elements of sets (id, element): their number and a sketch, which is `words`
+    numbers of 64 bits, of which each element turns one bit over.
 
-    Two sketches differ in no more bits than their sets differ in elements. Another
-    column, from which the set can be made again, may be `kept` in its place.
+    Two sketches differ in no more bits than their sets differ in elements.
     """
-
-    def word(number: int) -> Column:
-        own = F.filter("set", lambda one: F.pmod(F.shiftright(one, 6), F.lit(words)) == number)
-        bit = lambda one: F.call_function("shiftleft", F.lit(1).cast("bigint"), one.bitwiseAND(63).cast("int"))
-        return F.aggregate(own, F.lit(0).cast("bigint"), lambda bits, one: bits.bitwiseXOR(bit(one)))
-
-    sketch = [word(number).alias(f"word_{number}") for number in range(words)]
-    return sets.select("id", F.col(kept).alias("set"), F.size("set").alias("size"), *sketch)
+    word = F.pmod(F.shiftright("element", 6), F.lit(words)).alias("word")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("element").bitwiseAND(63).cast("int"))
+    parts = [
+        F.coalesce(F.bit_xor(F.when(F.col("word") == number, F.col("bit"))), F.lit(0).cast("bigint")).alias(f"word_{number}")
+        for number in range(words)
+    ]
+    bits = elements.select("id", word, bit.alias("bit"))
+    return bits.groupBy("id").agg(F.count("*").cast("int").alias("size"), *parts)
 
 
 def close(similarity: float, words: int) -> Column:
@@ -134,31 +137,56 @@ def similar(similarity: float, elements: Elements) -> Column:
 
 
 def verified(
-    pairs: DataFrame, sets: DataFrame, similarity: float, words: int, elements: Elements = as_it_is
+    pairs: DataFrame, sketches: DataFrame, sets: DataFrame, similarity: float, words: int, elements: Elements = as_it_is
 ) -> DataFrame:
     """Those of the pairs (a, b) that are similar. Sets are fetched for those alone whose sketches are close."""
-    sketches = sets.drop("set")
     one, two = sketches.alias("one"), sketches.alias("two")
     likely = pairs.distinct().join(one, F.expr("a = one.id")).join(two, F.expr("b = two.id"))
     likely = likely.where(close(similarity, words)).select("a", "b")
-    whole = sets.select("id", "set", "size")
-    joined = likely.join(whole.alias("one"), F.expr("a = one.id")).join(whole.alias("two"), F.expr("b = two.id"))
+    joined = likely.join(sets.alias("one"), F.expr("a = one.id")).join(sets.alias("two"), F.expr("b = two.id"))
     return joined.where(similar(similarity, elements)).select("a", "b")
 
 
+def in_parts(members: DataFrame) -> DataFrame:
+    """Members with the number of parts of their bucket, and their own.
+
+    Parts are by hash; a bucket with few members is one.
+    """
+    sizes = members.groupBy("bucket").agg(F.floor((F.count("*") - 1) / PART + 1).cast("int").alias("parts"))
+    dealt = members.join(sizes, "bucket")
+    return dealt.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+
+
 def verified_within(
-    members: DataFrame, sets: DataFrame, similarity: float, words: int, elements: Elements
+    members: DataFrame, sketches: DataFrame, sets: DataFrame, similarity: float, words: int, elements: Elements
 ) -> DataFrame:
     """Similar pairs of different classes within buckets.
 
-    Sets go to the buckets, once for each member. Pairs are compared where they
-    meet, by a few operations on their sketches, the close ones by their sets; only
-    links leave the join.
+    Each part of a bucket meets each, itself included, in a task's join, so no task
+    has a large bucket by itself. Pairs are compared where they meet, by a few
+    operations on their sketches, the close ones by their sets, in the first of the
+    buckets that they share; only links leave the join.
     """
-    held = members.select("bucket", "id", "class_id").join(sets, "id")
-    meet = F.expr("one.bucket = two.bucket AND one.id < two.id AND one.class_id <> two.class_id")
-    found = held.alias("one").join(held.alias("two"), meet & close(similarity, words) & similar(similarity, elements))
-    return found.select(F.col("one.id").alias("a"), F.col("two.id").alias("b"))
+    parts = in_parts(members)
+    buckets = parts.groupBy("id").agg(F.sort_array(F.collect_set("bucket")).alias("buckets"))
+    # All that is known of an id is brought together once for it, then goes to its buckets.
+    known = sets.join(sketches.drop("size"), "id").join(buckets, "id")
+    held = parts.join(known, "id")
+    pairs_of = F.struct(F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
+    met = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "*", pairs_of.alias("met")
+    )
+    # Those of the lower part on one side, those of the higher on the other; a part that meets itself is on
+    # both. Dealt out here, as what meets is small enough: no join need split it once more.
+    one, two = (met.where(side).repartition("bucket", "met") for side in ("part <= other", "part >= other"))
+    one, two = one.alias("one"), two.alias("two")
+    meet = F.expr(
+        "one.bucket = two.bucket AND one.met = two.met AND one.class_id <> two.class_id"
+        " AND (one.part <> two.part OR one.id < two.id)"
+    )
+    first_shared = F.element_at(F.array_intersect("one.buckets", "two.buckets"), 1) == F.col("one.bucket")
+    found = one.join(two, meet & close(similarity, words) & first_shared & similar(similarity, elements))
+    return found.select(F.least("one.id", "two.id").alias("a"), F.greatest("one.id", "two.id").alias("b"))
 
 
 def link_classes(
@@ -175,16 +203,16 @@ def link_classes(
     left out. `words` is the size of the sketches, which spare comparisons.
     """
     crowded = scratch.keep(crowded_members(members))
-    sets = scratch.keep(sets_of(crowded.select("id").distinct()))
+    sketches, sets = sets_of(crowded.select("id").distinct())
     weights = crowded.groupBy("id").agg(F.sum("members").alias("weight"))
     small = crowded.where(F.col("members") <= SMALL_BUCKET)
     large = crowded.where(F.col("members") > SMALL_BUCKET).join(weights, "id")
     met = scratch.keep(with_pivots(large.select("bucket", "id", "weight")))
     pairs = pairs_within(small).unionByName(pairs_with_pivots(met))
-    classes = scratch.keep(components(verified(pairs, sets, similarity, words, elements), scratch))
+    classes = scratch.keep(components(verified(pairs, sketches, sets, similarity, words, elements), scratch))
     # Pivots have met all of their bucket; the others go on without them.
     others = met.where(~F.array_contains("pivots", F.col("id")))
-    found = scratch.keep(verified_within(apart(others, classes), sets, similarity, words, elements))
+    found = scratch.keep(verified_within(apart(others, classes), sketches, sets, similarity, words, elements))
     if found.isEmpty():
         return classes
     known = classes.select(F.col("id").alias("a"), F.col("class_id").alias("b"))
