@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from mrrlens.session import session_settings
+from mrrlens.session import folders_below, session_settings
 
 VERSION_COLUMNS = ("version_id", "updated_at", "valid_from", "valid_to")
 
@@ -169,6 +169,25 @@ class Snapshot:
         opened = self._lies_open(last, list(range(len(last.written))))
         return self._versions(last).where(closed | opened).drop("run", "part", "bucket")
 
+    def clean(self) -> int:
+        """Remove open versions that a later run has written anew, and what runs that died have left;
+        returns how many folders. Nothing may read or write the snapshot meanwhile."""
+        runs = {row.run: row for row in self.runs()}
+        written = runs[max(runs)].written if runs else []
+        dropped = 0
+        files, statuses = folders_below(self.spark, f"{self.root}/versions")
+        for status in statuses:
+            run = int(status.getPath().getName().removeprefix("run="))
+            if run not in runs:
+                gone = [status]
+            else:
+                _, buckets = folders_below(self.spark, f"{self.root}/versions/run={run}/part={OPEN}")
+                gone = [one for one in buckets if written[int(one.getPath().getName().removeprefix("bucket="))] != run]
+            for one in gone:
+                files.delete(one.getPath(), True)
+                dropped += 1
+        return dropped
+
     def run(
         self, current: DataFrame, key: str, check_columns: list[str], run_at: datetime.datetime
     ) -> DataFrame:

@@ -465,6 +465,13 @@ SQL = {
             "dim_account", "monthly_activity", "monthly_churn_reason", "account_monthly_fact",
         )
     },
+    "calendar_ranges": """
+SELECT 'accounts' AS relation, min(signup_date) AS low, max(signup_date) AS high, count(*) AS rows FROM stg_accounts
+UNION ALL SELECT 'subscriptions', min(start_date), max(coalesce(end_date, DATE '2001-12-31')), count(*) FROM stg_subscriptions
+UNION ALL SELECT 'feature_usage', min(usage_date), max(usage_date), count(*) FROM usage_rows
+UNION ALL SELECT 'support_tickets', CAST(min(submitted_at) AS DATE),
+    CAST(max(coalesce(closed_at, submitted_at)) AS DATE), count(*) FROM stg_support_tickets
+UNION ALL SELECT 'churn_events', min(churn_date), max(churn_date), count(*) FROM stg_churn_events""",
     "mrr_movement_class": """
 SELECT account_id, month_start, mrr, prior_month_mrr,
        CASE WHEN new_mrr > 0 THEN 'new' WHEN expansion_mrr > 0 THEN 'expansion'

@@ -55,6 +55,21 @@ def widest(days: list[datetime.date | None]) -> tuple[datetime.date | None, date
     return (min(known), max(known)) if known else (None, None)
 
 
+def date_ranges(staged: Staged, as_of: datetime.date) -> DataFrame:
+    """`relation`, and the first and last day (`low`, `high`) that its rows give the calendar: where
+    a date far off comes from. Also how many rows it has, and the most that share a subscription id."""
+    closed = F.coalesce("closed_at", "submitted_at").cast("date")
+    ranges = {
+        "accounts": range_of(staged.accounts, "signup_date", "signup_date"),
+        "subscriptions": subscription_range(staged.subscriptions, date_literal(as_of)),
+        "churn_events": range_of(staged.churn_events, "churn_date", "churn_date"),
+        "support_tickets": range_of(staged.support_tickets, F.col("submitted_at").cast("date"), closed),
+        "feature_usage": range_of(staged.usage_rows, "usage_date", "usage_date"),
+    }
+    tagged = [found.withColumn("relation", F.lit(name)) for name, found in ranges.items()]
+    return reduce(lambda one, two: one.unionByName(two, allowMissingColumns=True), tagged)
+
+
 def calendar_bounds(staged: Staged, as_of: datetime.date | None = None) -> Bounds:
     """The calendar's first and last day, fetched (five rows) so later plans hold literals.
 
@@ -68,20 +83,9 @@ def calendar_bounds(staged: Staged, as_of: datetime.date | None = None) -> Bound
     """
     if as_of is None:
         as_of = run_day(staged.accounts.sparkSession)
-    today = date_literal(as_of)
-    closed = F.coalesce("closed_at", "submitted_at").cast("date")
-    ranges = {
-        "accounts": range_of(staged.accounts, "signup_date", "signup_date"),
-        "subscriptions": subscription_range(staged.subscriptions, today),
-        "churn_events": range_of(staged.churn_events, "churn_date", "churn_date"),
-        "support_tickets": range_of(staged.support_tickets, F.col("submitted_at").cast("date"), closed),
-        "usage": range_of(staged.usage_rows, "usage_date", "usage_date"),
-    }
-    tagged = [found.withColumn("relation", F.lit(name)) for name, found in ranges.items()]
-    union = reduce(lambda one, two: one.unionByName(two, allowMissingColumns=True), tagged)
-    found = {row.relation: row for row in union.collect()}
+    found = {row.relation: row for row in date_ranges(staged, as_of).collect()}
 
-    usage = found.pop("usage")
+    usage = found.pop("feature_usage")
     others = widest([day for row in found.values() for day in (row.low, row.high)])
     if widest([*others, usage.low, usage.high]) != others:
         usage = kept_usage_range(staged.usage_rows)

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import re
 import tempfile
 import uuid
 from functools import cached_property
@@ -27,7 +28,7 @@ from mrrlens.plans.calendar import Bounds, calendar_dim
 from mrrlens.plans.dimensions import account_dim
 from mrrlens.plans.facts import fact_rows, fact_segments
 from mrrlens.plans.staging import Staged
-from mrrlens.session import session_settings
+from mrrlens.session import folders_below, session_settings
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 ACCOUNTS, SEGMENTS = "dim_account", "account_segments"
@@ -42,6 +43,8 @@ SCHEMAS = {
         " active_subscription_count bigint, logo_churned boolean, churn_reason_code string"
     ),
 }
+#: What `shared_folder` calls a folder.
+FOLDER = re.compile("mrrlens-[0-9a-f]{32}")
 LEAST_ROWS_PER_BUCKET, MOST_ROWS_PER_BUCKET = 50_000, 4_000_000
 BUILDS = (
     "folder string, buckets int, first_day date, last_day date, accounts bigint, subscriptions bigint,"
@@ -128,6 +131,11 @@ def shared_folder(spark: SparkSession, temporary: bool = False) -> str:
     return f"{root.rstrip('/')}/mrrlens-{uuid.uuid4().hex}"
 
 
+def newest_change(files, status) -> int:
+    """When a folder, or one right in it, last got something; as Hadoop tells it."""
+    return max([status.getModificationTime(), *[one.getModificationTime() for one in files.listStatus(status.getPath())]])
+
+
 def bucket_count(spark: SparkSession, bounds: Bounds) -> int:
     """Buckets for the stretches, from the most that there can be.
 
@@ -203,11 +211,9 @@ def drop_old_builds(spark: SparkSession, root: str, keep: int = 1) -> int:
     write the builds meanwhile.
     """
     kept = {row.folder.rsplit("/", 1)[-1] for row in published(spark, root)[-keep:]}
-    jvm = spark._jvm
-    top = jvm.org.apache.hadoop.fs.Path(root)
-    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, statuses = folders_below(spark, root)
     dropped = 0
-    for status in files.listStatus(top) if files.exists(top) else ():
+    for status in statuses:
         name = status.getPath().getName()
         if name.startswith("build=") and name not in kept:
             for table in SCHEMAS:
@@ -215,3 +221,24 @@ def drop_old_builds(spark: SparkSession, root: str, keep: int = 1) -> int:
             files.delete(status.getPath(), True)
             dropped += 1
     return dropped
+
+
+def drop_old_folders(spark: SparkSession, older_than: datetime.timedelta) -> int:
+    """Remove folders of intermediate tables below `spark.checkpoint.dir` that nothing was put into
+    for so long; returns how many.
+
+    Results that are not written yet may still read theirs, so give more than any run
+    takes. Marts and snapshots that a caller keeps there under names of its own stay.
+    """
+    root = spark.conf.get(CHECKPOINT_DIR, None)
+    if root is None:
+        raise ValueError(f"{CHECKPOINT_DIR} is not set")
+    files, statuses = folders_below(spark, root)
+    latest = (datetime.datetime.now(datetime.timezone.utc) - older_than).timestamp() * 1000
+    old = [
+        status for status in statuses
+        if status.isDirectory() and FOLDER.fullmatch(status.getPath().getName()) and newest_change(files, status) < latest
+    ]
+    for status in old:
+        files.delete(status.getPath(), True)
+    return len(old)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from mrrlens.operators.timeline import monthly_churn_reason
 from mrrlens.operators.versions import Snapshot
 from mrrlens.plans import quality, reports
-from mrrlens.plans.calendar import Bounds, account_month_spine, calendar_bounds, calendar_dim
+from mrrlens.plans.calendar import Bounds, account_month_spine, calendar_bounds, calendar_dim, date_ranges
 from mrrlens.plans.dimensions import STATE_COLUMNS, account_dim, current_state
 from mrrlens.plans.facts import monthly_activity, monthly_fact, movements
 from mrrlens.plans.staging import Staged
@@ -149,6 +149,9 @@ QUERIES: dict[str, Query] = {
     "stg_support_tickets": query(lambda inputs: inputs.staged.support_tickets),
     "stg_churn_events": query(lambda inputs: inputs.staged.churn_events),
     "stg_churn_events_csv": query(landed_as_csv),
+    "calendar_ranges": query(
+        lambda inputs: date_ranges(inputs.staged, testdata.AS_OF).select("relation", "low", "high", "rows")
+    ),
     "dim_date": query(lambda inputs: calendar_dim(inputs.spark, inputs.bounds)),
     "account_month_spine": query(
         lambda inputs: account_month_spine(inputs.staged.accounts, inputs.bounds)

@@ -26,6 +26,13 @@ def local_session(cpus: int | str = "*", checkpoint_dir: str | None = None) -> S
     return spark
 
 
+def folders_below(spark: SparkSession, root: str) -> tuple:
+    """The file system of a folder, and what lies right in it; nothing if there is none."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files, list(files.listStatus(top)) if files.exists(top) else []
+
+
 @contextmanager
 def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     """Session settings that hold for what is run inside."""

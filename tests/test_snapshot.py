@@ -184,6 +184,23 @@ def test_other_columns_to_compare_make_all_buckets_differ(kept, small_buckets):
     assert kept.run(other, "id", ["plan", "seats"], THIRD).count() == 400
 
 
+def test_clean(kept, small_buckets):
+    """What later runs have written anew goes, with the leavings of dead runs; the history stays."""
+    assert kept.clean() == 0
+    take(kept, FIRST, *many(200))
+    take(kept, SECOND, *many(200, {1, 2, 3}))
+    history = take(kept, THIRD, *many(200, {3}))
+    (Path(kept.root) / "versions/run=9/part=open/bucket=0").mkdir(parents=True)
+    before = len(files(kept, 1, "open")) + len(files(kept, 2, "open"))
+    rewritten = sum(run > 1 for run in kept.runs()[-1].written)
+    assert kept.clean() >= rewritten + 1
+    assert len(files(kept, 1, "open")) + len(files(kept, 2, "open")) < before
+    assert not Path(kept.root, "versions/run=9").exists()
+    assert {(r.id, r.plan, r.seats, r.valid_from, r.valid_to) for r in kept.history().collect()} == history
+    assert kept.clean() == 0
+    assert take(kept, FOURTH, *many(200, {3})) == history
+
+
 def test_no_history_without_a_run(kept):
     with pytest.raises(ValueError, match="no snapshot run"):
         kept.history()

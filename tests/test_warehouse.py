@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import os
 from pathlib import Path
 
 import pytest
@@ -73,6 +74,32 @@ def test_buckets_are_known_without_a_shared_catalog(spark, tmp_path):
     assert "hashpartitioning" not in plan
 
 
+def test_old_folders_are_dropped(spark, tmp_path, monkeypatch):
+    root = tmp_path / "shared"
+    settings = spark.conf
+
+    class Conf:
+        @staticmethod
+        def get(key, default=None):
+            return str(root) if key == "spark.checkpoint.dir" else settings.get(key, default)
+
+    class Session:
+        conf, _jvm, _jsc = Conf, spark._jvm, spark._jsc
+
+    names = [Path(warehouse.shared_folder(Session)).name for _ in range(2)]
+    for name in (*names, "mrrlens-of-mine", "marts"):
+        (root / name / "table=1").mkdir(parents=True)
+    os.utime(root / names[0] / "table=1", (1, 1))
+    os.utime(root / names[0], (1, 1))
+    # Of the second only a table is new.
+    os.utime(root / names[1], (1, 1))
+    for name in ("mrrlens-of-mine", "marts"):
+        os.utime(root / name / "table=1", (1, 1))
+        os.utime(root / name, (1, 1))
+    assert warehouse.drop_old_folders(Session, datetime.timedelta(hours=1)) == 1
+    assert sorted(path.name for path in root.iterdir()) == sorted([names[1], "mrrlens-of-mine", "marts"])
+
+
 def test_where_folders_may_lie(spark, monkeypatch):
     assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
     settings = {"spark.checkpoint.dir": None, "spark.master": "local[2]"}
