@@ -3,7 +3,8 @@
 Each reads the columns it needs of the accounts' stretches (`account_segments`)
 once: two change points a stretch, reduced to months of change (and segments or
 reasons) before anything is windowed or ordered. The fact, one row per account
-and month, is never spelled out.
+and month, is never spelled out. Reports by account attributes read the cube that
+a build makes of all of them at once.
 """
 
 from __future__ import annotations
@@ -84,15 +85,34 @@ def moved_revenue() -> dict[str, Column]:
     return movement_amounts(movement_class(mrr, prior), mrr, prior)
 
 
-def with_segment(segments: DataFrame, accounts: DataFrame, *columns: str) -> DataFrame:
-    """Stretches with account attributes and `weight`, how many account rows have them.
+def segment_cube(segments: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Change points by month, all account attributes that reports are cut by, and churn reason.
 
-    Account rows alike are one row here, so an id on many of them does not multiply
-    its stretches. Both marts are written in buckets by account, so where the
-    accounts are too many to broadcast neither step needs a shuffle.
+    Sums of any of them come from this one table, which has a row for each combination
+    in which something changes; cubes of parts of the accounts add up. Account rows
+    alike are one row with a weight, so an id on many of them does not multiply its
+    stretches. Both marts are written in buckets by account, so where the accounts are
+    too many to broadcast the join needs no shuffle.
     """
+    columns = list(SEGMENTS.values())
     alike = accounts.groupBy("account_id", *columns).agg(F.count("*").alias("weight"))
-    return segments.join(alike, "account_id")
+    rows = segments.join(alike, "account_id")
+    lost = F.when(revenue_churned(), F.col("weight")).otherwise(0)
+    levels = {"accounts": rows_of("weight"), "active": active_rows("weight"), "mrr": revenue("weight")}
+    points = {
+        "logo_churned": churned_rows("weight"), "mrr_churned": lost, "lost_mrr": lost_revenue("weight"),
+        "prior_correction": prior_correction("weight"),
+    }
+    keys = [*columns, "churn_reason_code"]
+    return change_points(rows, keys, levels, points).groupBy(*keys, "month").agg(
+        *[F.sum(name).alias(name) for name in (*levels, *points)]
+    )
+
+
+def cut(cube: DataFrame, keys: list[str], levels: list[str], points: list[str]) -> DataFrame:
+    """A cube's sums by month and some of its attributes."""
+    changed = cube.groupBy(*keys, "month").agg(*[F.sum(name).alias(name) for name in (*levels, *points)])
+    return over_months(changed, keys, levels, points, "accounts")
 
 
 def revenue_trend(segments: DataFrame) -> DataFrame:
@@ -116,47 +136,52 @@ def net_mrr_change(segments: DataFrame) -> DataFrame:
     return ordered(report, "month_start")
 
 
-def logo_churn(rows: DataFrame, *keys: str, weight: str | None = None) -> DataFrame:
-    levels, points = {"accounts_in_month": rows_of(weight)}, {"logo_churned_accounts": churned_rows(weight)}
-    report = sums_by_month(rows, list(keys), levels, points, "accounts_in_month")
-    rate = share(F.col("logo_churned_accounts"), F.col("accounts_in_month")).alias("logo_churn_rate")
-    return ordered(report.select("month_start", *keys, *levels, *points, rate), "month_start", *keys)
+def logo_churn(months: DataFrame, *keys: str) -> DataFrame:
+    accounts, churned = F.col("accounts").alias("accounts_in_month"), F.col("logo_churned").alias("logo_churned_accounts")
+    rate = share(F.col("logo_churned"), F.col("accounts")).alias("logo_churn_rate")
+    return ordered(months.select("month_start", *keys, accounts, churned, rate), "month_start", *keys)
 
 
 def logo_churn_trend(segments: DataFrame) -> DataFrame:
-    return logo_churn(segments)
+    return logo_churn(sums_by_month(segments, [], {"accounts": rows_of()}, {"logo_churned": churned_rows()}, "accounts"))
 
 
-def logo_churn_by_segment(segments: DataFrame, accounts: DataFrame, segment: str = "plan") -> DataFrame:
+def logo_churn_by_segment(cube: DataFrame, segment: str = "plan") -> DataFrame:
     column = SEGMENTS[segment]
-    return logo_churn(with_segment(segments, accounts, column), column, weight="weight")
+    return logo_churn(cut(cube, [column], ["accounts"], ["logo_churned"]), column)
 
 
-def revenue_churn(rows: DataFrame, *keys: str, lost: str, weight: str | None = None) -> DataFrame:
-    levels = {"ending_mrr": revenue(weight), "accounts": rows_of(weight)}
-    points = {lost: lost_revenue(weight), "correction": prior_correction(weight)}
-    months = sums_by_month(rows, list(keys), levels, points, "accounts")
-    months = months.withColumn("prior_mrr", F.col("ending_mrr") + F.col("correction"))
-    return months.withColumn("revenue_churn_rate", share(F.col(lost), F.col("prior_mrr")))
+def with_revenue_churn(months: DataFrame) -> DataFrame:
+    months = months.withColumn("prior_mrr", F.col("mrr") + F.col("prior_correction"))
+    return months.withColumn("revenue_churn_rate", share(F.col("lost_mrr"), F.col("prior_mrr")))
 
 
 def revenue_churn_trend(segments: DataFrame) -> DataFrame:
-    report = revenue_churn(segments, lost="churned_mrr_from_prior").select(
-        "month_start", "prior_mrr", "churned_mrr_from_prior", "revenue_churn_rate", "ending_mrr"
+    levels = {"mrr": revenue(), "accounts": rows_of()}
+    points = {"lost_mrr": lost_revenue(), "prior_correction": prior_correction()}
+    report = with_revenue_churn(sums_by_month(segments, [], levels, points, "accounts")).select(
+        "month_start", "prior_mrr", F.col("lost_mrr").alias("churned_mrr_from_prior"), "revenue_churn_rate",
+        F.col("mrr").alias("ending_mrr"),
     )
     return ordered(report, "month_start")
 
 
-def revenue_churn_by_segment(segments: DataFrame, accounts: DataFrame, segment: str = "plan") -> DataFrame:
+def revenue_churn_by_segment(cube: DataFrame, segment: str = "plan") -> DataFrame:
     column = SEGMENTS[segment]
-    report = revenue_churn(with_segment(segments, accounts, column), column, lost="churned_mrr", weight="weight")
-    report = report.select("month_start", column, "churned_mrr", "prior_mrr", "revenue_churn_rate")
+    months = with_revenue_churn(cut(cube, [column], ["mrr", "accounts"], ["lost_mrr", "prior_correction"]))
+    report = months.select(
+        "month_start", column, F.col("lost_mrr").alias("churned_mrr"), "prior_mrr", "revenue_churn_rate"
+    )
     return ordered(report, "month_start", column)
 
 
-def churn_reasons(rows: DataFrame, *keys: str, count: str, weight: str | None = None) -> DataFrame:
+def churn_reasons(rows: DataFrame, *keys: str, count: str) -> DataFrame:
     """Churned account-months per reason, of stretches already cut down to those that begin with one."""
-    return rows.groupBy(*keys, "churn_reason_code").agg(F.sum(rows_of(weight)).alias(count))
+    return rows.groupBy(*keys, "churn_reason_code").agg(F.sum(rows_of()).alias(count))
+
+
+def churned_in(cube: DataFrame) -> DataFrame:
+    return cube.where("logo_churned <> 0").withColumnRenamed("month", "month_start")
 
 
 def churned(segments: DataFrame) -> DataFrame:
@@ -169,10 +194,11 @@ def churn_reasons_trend(segments: DataFrame) -> DataFrame:
     return ordered(report, "month_start", most="churned_accounts", then="churn_reason_code")
 
 
-def churn_reasons_by_segment(segments: DataFrame, accounts: DataFrame, segment: str = "industry") -> DataFrame:
+def churn_reasons_by_segment(cube: DataFrame, segment: str = "industry") -> DataFrame:
     column = SEGMENTS[segment]
-    rows = with_segment(churned(segments), accounts, column)
-    report = churn_reasons(rows, "month_start", column, count="churned_accounts", weight="weight")
+    report = churned_in(cube).groupBy("month_start", column, "churn_reason_code").agg(
+        F.sum("logo_churned").alias("churned_accounts")
+    )
     return ordered(report, "month_start", column, most="churned_accounts", then="churn_reason_code")
 
 
@@ -233,24 +259,21 @@ def exec_summary(segments: DataFrame) -> DataFrame:
     return ordered(report, "month_start")
 
 
-def churn_rate_by_plan_and_tenure(segments: DataFrame, accounts: DataFrame) -> DataFrame:
-    keys = ("initial_plan_tier", "tenure_bucket")
-    levels = {"account_months": rows_of("weight"), "active_account_months": active_rows("weight")}
-    lost = F.when(revenue_churned(), F.col("weight")).otherwise(0)
-    points = {"logo": churned_rows("weight"), "lost": lost}
-    report = sums_by_month(with_segment(segments, accounts, *keys), list(keys), levels, points, "account_months").select(
+def churn_rate_by_plan_and_tenure(cube: DataFrame) -> DataFrame:
+    keys = ["initial_plan_tier", "tenure_bucket"]
+    report = cut(cube, keys, ["accounts", "active"], ["logo_churned", "mrr_churned"]).select(
         "month_start",
         *keys,
-        *levels,
-        share(F.col("logo"), F.col("account_months")).alias("logo_churn_rate"),
-        share(F.col("lost"), F.col("account_months")).alias("revenue_churn_rate"),
+        F.col("accounts").alias("account_months"),
+        F.col("active").alias("active_account_months"),
+        share(F.col("logo_churned"), F.col("accounts")).alias("logo_churn_rate"),
+        share(F.col("mrr_churned"), F.col("accounts")).alias("revenue_churn_rate"),
     )
     return ordered(report, "month_start", *keys)
 
 
-def churn_reasons_by_industry(segments: DataFrame, accounts: DataFrame) -> DataFrame:
-    rows = with_segment(churned(segments), accounts, "industry")
-    report = churn_reasons(rows, "industry", count="churn_events", weight="weight")
+def churn_reasons_by_industry(cube: DataFrame) -> DataFrame:
+    report = churned_in(cube).groupBy("industry", "churn_reason_code").agg(F.sum("logo_churned").alias("churn_events"))
     return report.orderBy(
         F.col("churn_events").desc(),
         F.col("industry").asc_nulls_last(),

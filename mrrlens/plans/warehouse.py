@@ -4,10 +4,10 @@ A build writes its marts to a folder of its own below the root and is published,
 all at once, by a line in `builds`, written last. The newest line is what readers
 open; `drop_old_builds` removes what no line of use names.
 
-What is written grows with the extracts, not with the calendar: accounts, and
-their stretches of months in which nothing changes. The calendar is its first and
-last day, in the line; the fact is spelled out of the stretches when it is read,
-for the months that are asked for.
+What is written grows with the extracts, not with the calendar: accounts, their
+stretches of months in which nothing changes, and the cube of changes by account
+attributes. The calendar is its first and last day, in the line; the fact is
+spelled out of the stretches when it is read, for the months that are asked for.
 """
 
 from __future__ import annotations
@@ -27,11 +27,12 @@ from mrrlens.operators.timeline import between_months
 from mrrlens.plans.calendar import Bounds, calendar_dim
 from mrrlens.plans.dimensions import account_dim
 from mrrlens.plans.facts import fact_rows, fact_segments
+from mrrlens.plans.reports import segment_cube
 from mrrlens.plans.staging import Staged
 from mrrlens.session import folders_below, session_settings
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-ACCOUNTS, SEGMENTS = "dim_account", "account_segments"
+ACCOUNTS, SEGMENTS, CUBE = "dim_account", "account_segments", "segment_cube"
 SCHEMAS = {
     ACCOUNTS: (
         "account_id string, account_name string, industry string, country string, signup_date date,"
@@ -42,6 +43,11 @@ SCHEMAS = {
         "account_id string, month date, months int, copies bigint, mrr {number}, prior_mrr {number},"
         " active_subscription_count bigint, logo_churned boolean, churn_reason_code string"
     ),
+    CUBE: (
+        "initial_plan_tier string, industry string, country string, tenure_bucket string, churn_reason_code string,"
+        " month date, accounts bigint, active bigint, mrr {number}, logo_churned bigint, mrr_churned bigint,"
+        " lost_mrr {number}, prior_correction {number}"
+    ),
 }
 #: What `shared_folder` calls a folder.
 FOLDER = re.compile("mrrlens-[0-9a-f]{32}")
@@ -99,6 +105,10 @@ class Marts:
     def segments(self) -> DataFrame:
         return self._files(SEGMENTS)
 
+    @cached_property
+    def cube(self) -> DataFrame:
+        return self._files(CUBE)
+
     @property
     def fact(self) -> DataFrame:
         return fact_rows(self.segments)
@@ -151,22 +161,23 @@ def table_name(folder: str, name: str) -> str:
     return f"{name}_{hashlib.sha256(folder.encode()).hexdigest()[:16]}"
 
 
-def write_table(rows: DataFrame, folder: str, name: str, count: int) -> None:
-    """Write one mart as Parquet under `folder`, in so many buckets by account.
+def write_table(rows: DataFrame, folder: str, name: str, count: int | None = None) -> None:
+    """Write one mart as Parquet under `folder`, in so many buckets by account if given.
 
     Tables bucketed alike join on the account without a shuffle. Rows come
     partitioned like the buckets, so a task has one file open and need not sort its
     rows by bucket.
     """
     writer = rows.write.format("parquet").mode("errorifexists").option("path", f"{folder}/{name}")
-    writer = writer.bucketBy(count, "account_id")
+    if count is not None:
+        writer = writer.bucketBy(count, "account_id")
     with session_settings(rows.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": "4"}):
         writer.saveAsTable(table_name(folder, name))
 
 
 def build_marts(spark: SparkSession, staged: Staged, root: str, bounds: Bounds) -> Marts:
-    """Compute the account dimension and the accounts' stretches, write them below `root`,
-    and publish them, with the calendar's bounds, as its newest build.
+    """Compute the account dimension, the accounts' stretches and the cube of both, write them
+    below `root`, and publish them, with the calendar's bounds, as its newest build.
 
     Rows arrive partitioned by account into as many parts as there are buckets, so
     each task writes one file of one bucket, whatever the sizes. A build that dies
@@ -178,10 +189,12 @@ def build_marts(spark: SparkSession, staged: Staged, root: str, bounds: Bounds)
     accounts = account_dim(staged.accounts, bounds).repartition(count, "account_id")
     write_table(accounts, folder, ACCOUNTS, count)
     write_table(segments, folder, SEGMENTS, count)
+    marts = Marts(spark, folder, count, bounds, staged.number)
+    write_table(segment_cube(marts.bucketed_segments, marts.bucketed_accounts), folder, CUBE)
     number = max([row.build for row in published(spark, root)], default=0) + 1
     line = spark.createDataFrame([(folder, count, *bounds, staged.number, number)], BUILDS).drop("build").coalesce(1)
     line.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/builds/build={number}")
-    return Marts(spark, folder, count, bounds, staged.number)
+    return marts
 
 
 def published(spark: SparkSession, root: str) -> list:

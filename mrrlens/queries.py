@@ -76,11 +76,7 @@ def report(build: Callable[..., DataFrame]) -> Query:
 
 
 def account_report(build: Callable[..., DataFrame], *options: str) -> Query:
-    def run(inputs: Inputs) -> DataFrame:
-        marts = inputs.marts
-        return build(marts.bucketed_segments, marts.bucketed_accounts, *options)
-
-    return query(run)
+    return query(lambda inputs: build(inputs.marts.cube, *options))
 
 
 def by_segment(name: str, build: Callable[..., DataFrame]) -> dict[str, Query]:

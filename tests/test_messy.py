@@ -92,12 +92,12 @@ def test_fact_of_an_id_on_many_account_rows(spark, tmp_path, monkeypatch):
     assert 0 < len(files) <= marts.buckets
     for name, report in (
         ("report_logo_churn_by_segment_plan", reports.logo_churn_by_segment),
-        ("report_revenue_churn_by_segment_plan", lambda *marts: reports.revenue_churn_by_segment(*marts, "plan")),
+        ("report_revenue_churn_by_segment_plan", reports.revenue_churn_by_segment),
         ("report_churn_reasons_by_segment_industry", reports.churn_reasons_by_segment),
         ("analysis_churn_rate_plan_tenure", reports.churn_rate_by_plan_and_tenure),
         ("analysis_churn_reasons_industry", reports.churn_reasons_by_industry),
     ):
-        assert_same(report(marts.bucketed_segments, marts.bucketed_accounts), connection, given_sql(name))
+        assert_same(report(marts.cube), connection, given_sql(name))
 
 
 REPORTS = {
@@ -121,6 +121,23 @@ def test_reports_from_change_points(world):
         assert assert_same(report(segments), connection, given_sql(name)) > 10
 
 
+def test_segments_from_one_cube(world):
+    """All attributes from one table, and from cubes of parts of the accounts added up."""
+    staged, bounds, connection = world
+    segments = facts.fact_segments(staged.accounts, staged.subscriptions, staged.churn_events, bounds)
+    accounts = account_dim(staged.accounts, bounds)
+    odd = F.pmod(F.xxhash64("account_id"), F.lit(2)) == 1
+    whole = reports.segment_cube(segments, accounts).cache()
+    parts = [reports.segment_cube(segments, accounts.where(side)) for side in (odd, ~odd)]
+    for cube in (whole, parts[0].unionByName(parts[1])):
+        for segment in ("plan", "industry") if cube is not whole else reports.SEGMENTS:
+            for name in ("logo_churn", "revenue_churn", "churn_reasons"):
+                report = getattr(reports, f"{name}_by_segment")(cube, segment)
+                assert_same(report, connection, given_sql(f"report_{name}_by_segment_{segment}"))
+    assert_same(reports.churn_rate_by_plan_and_tenure(whole), connection, given_sql("analysis_churn_rate_plan_tenure"))
+    assert_same(reports.churn_reasons_by_industry(whole), connection, given_sql("analysis_churn_reasons_industry"))
+
+
 @pytest.mark.parametrize(("first", "last"), [("2000-02-29", "2001-01-01"), ("1999-01-01", "1999-01-31"), ("2001-06-01", "2030-01-01")])
 def test_months_asked_for(world, first, last):
     staged, bounds, connection = world

@@ -53,7 +53,7 @@ def no_broadcast(spark):
 
 def test_segment_join_needs_no_shuffle_when_accounts_are_many(spark, no_broadcast):
     marts = queries.Inputs(spark, "/root/testdata/sf0.1").marts
-    plan = plan_of(reports.logo_churn_by_segment(marts.bucketed_segments, marts.bucketed_accounts, "plan"))
+    plan = plan_of(reports.segment_cube(marts.bucketed_segments, marts.bucketed_accounts))
     assert "SortMergeJoin" in plan
     assert "hashpartitioning(account_id" not in plan
 
@@ -72,9 +72,11 @@ def test_reports_read_only_their_columns(spark):
 
 @pytest.mark.parametrize("name", [name for name in queries.QUERIES if name.startswith("report_")])
 def test_reports_never_spell_out_the_fact(spark, name):
-    """Stretches are aggregated by month of change before months are counted off, which takes no scan of a fact."""
+    """Changes are aggregated by month before months are counted off, which takes no scan of a fact; by
+    account attributes they come from the cube, without a join."""
     plan = plan_of(queries.QUERIES[name](spark, SF_DIR))
     assert re.search(r"ReadSchema: struct<[^>]*\bmonth:date", plan) and "month_start:date" not in plan
+    assert "Join" not in plan and plan.count("FileScan") == 1
     spelled_out = [number for number, line in enumerate(plan.splitlines()) if "explode(sequence(" in line]
     summed = [number for number, line in enumerate(plan.splitlines()) if "Aggregate" in line and "sum(" in line]
     # Printed top down.

@@ -352,7 +352,7 @@ def test_wide_numbers_go_all_the_way(spark, tmp_path):
     assert [(row.new_mrr, row.expansion_mrr, row.contraction_mrr) for row in summary] == [
         (large, 0, 0), (0, small + 1, 0), (0, 0, -large)
     ]
-    churn = reports.revenue_churn_by_segment(marts.bucketed_segments, marts.bucketed_accounts, "plan").collect()
+    churn = reports.revenue_churn_by_segment(marts.cube, "plan").collect()
     assert [row.prior_mrr for row in churn] == [0, large, large + small + 1]
     state = current_state(staged.subscriptions, bounds.as_of)
     kept = Snapshot(spark, str(tmp_path / "state")).run(state, "account_id", STATE_COLUMNS, datetime.datetime(2001, 4, 1))
