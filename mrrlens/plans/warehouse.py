@@ -17,10 +17,10 @@ import hashlib
 import re
 import tempfile
 import uuid
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mrrlens.operators.timeline import between_months
@@ -32,13 +32,15 @@ from mrrlens.plans.staging import Staged
 from mrrlens.session import folders_below, session_settings
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-ACCOUNTS, SEGMENTS, CUBE = "dim_account", "account_segments", "segment_cube"
+ACCOUNTS, SEGMENTS, CUBE, HEAVY = "dim_account", "account_segments", "segment_cube", "dim_account_heavy"
+ACCOUNT_COLUMNS = (
+    "account_id string, account_name string, industry string, country string, signup_date date,"
+    " referral_source string, initial_plan_tier string, initial_seats {number},"
+    " initial_is_trial boolean, churn_flag_ever boolean, tenure_days int, tenure_bucket string"
+)
 SCHEMAS = {
-    ACCOUNTS: (
-        "account_id string, account_name string, industry string, country string, signup_date date,"
-        " referral_source string, initial_plan_tier string, initial_seats {number},"
-        " initial_is_trial boolean, churn_flag_ever boolean, tenure_days int, tenure_bucket string"
-    ),
+    ACCOUNTS: ACCOUNT_COLUMNS,
+    HEAVY: ACCOUNT_COLUMNS,
     SEGMENTS: (
         "account_id string, month date, months int, copies bigint, mrr {number}, prior_mrr {number},"
         " active_subscription_count bigint, logo_churned boolean, churn_reason_code string"
@@ -51,10 +53,12 @@ SCHEMAS = {
 }
 #: What `shared_folder` calls a folder.
 FOLDER = re.compile("mrrlens-[0-9a-f]{32}")
+#: An id with more account rows lies in a layer of files of its own, dealt by row.
+HEAVY_ROWS = 1_000_000
 LEAST_ROWS_PER_BUCKET, MOST_ROWS_PER_BUCKET = 50_000, 4_000_000
 BUILDS = (
     "folder string, buckets int, first_day date, last_day date, accounts bigint, subscriptions bigint,"
-    " churn_events bigint, repeated_ids boolean, as_of date, number string, build int"
+    " churn_events bigint, repeated_ids boolean, as_of date, number string, heavy array<string>, build int"
 )
 
 
@@ -65,18 +69,23 @@ class Marts:
     is the same rows as tables whose buckets Spark knows, for joins and groupings by
     account. It is kept apart because Spark 4.1 gives wrong groups over a union of
     two bucketed scans. `calendar` and `fact` are made of them as they are read.
+    Account rows of the ids in `heavy` are not bucketed.
 
     Buckets are known to a catalog only. An application whose catalog does not
     have the tables, as with the default one in memory, registers them over the
     files when it first asks for them, so plans are the same everywhere.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, buckets: int, bounds: Bounds, number: str = "bigint") -> None:
+    def __init__(
+        self, spark: SparkSession, folder: str, buckets: int, bounds: Bounds, number: str = "bigint",
+        heavy: tuple[str | None, ...] = (),
+    ) -> None:
         self.spark = spark
         self.folder = folder
         self.buckets = buckets
         self.bounds = bounds
         self.number = number
+        self.heavy = heavy
 
     def schema(self, name: str) -> str:
         return SCHEMAS[name].format(number=self.number)
@@ -99,7 +108,8 @@ class Marts:
 
     @cached_property
     def accounts(self) -> DataFrame:
-        return self._files(ACCOUNTS)
+        rows = self._files(ACCOUNTS)
+        return rows.unionByName(self._files(HEAVY)) if self.heavy else rows
 
     @cached_property
     def segments(self) -> DataFrame:
@@ -157,6 +167,28 @@ def bucket_count(spark: SparkSession, bounds: Bounds) -> int:
     return max(1, for_size, min(for_tasks, bounds.stretches // LEAST_ROWS_PER_BUCKET))
 
 
+def heavy_ids(accounts: DataFrame, bounds: Bounds) -> tuple[str | None, ...]:
+    """The ids with more than HEAVY_ROWS account rows, so at most one for so many rows; ids are only
+    counted where there are enough rows for one."""
+    if bounds.accounts <= HEAVY_ROWS:
+        return ()
+    counted = accounts.groupBy("account_id").agg(F.count("*").alias("rows")).where(F.col("rows") > HEAVY_ROWS)
+    return tuple(row.account_id for row in counted.collect())
+
+
+def among(heavy: tuple[str | None, ...]) -> Column:
+    return reduce(Column.__or__, [F.col("account_id").eqNullSafe(F.lit(one)) for one in heavy], F.lit(False))
+
+
+def cube_of(marts: Marts) -> DataFrame:
+    """The cube of the written marts: bucket by bucket, and of the heavy ids, of which each task
+    first reduces its account rows to those that differ."""
+    cube = segment_cube(marts.bucketed_segments, marts.bucketed_accounts)
+    if not marts.heavy:
+        return cube
+    return cube.unionByName(segment_cube(marts.segments.where(among(marts.heavy)), marts._files(HEAVY)))
+
+
 def table_name(folder: str, name: str) -> str:
     return f"{name}_{hashlib.sha256(folder.encode()).hexdigest()[:16]}"
 
@@ -186,13 +218,17 @@ def build_marts(spark: SparkSession, staged: Staged, root: str, bounds: Bounds)
     folder = f"{root.rstrip('/')}/build={uuid.uuid4().hex}"
     count = bucket_count(spark, bounds)
     segments = fact_segments(staged.accounts, staged.subscriptions, staged.churn_events, bounds, count)
-    accounts = account_dim(staged.accounts, bounds).repartition(count, "account_id")
-    write_table(accounts, folder, ACCOUNTS, count)
+    accounts = account_dim(staged.accounts, bounds)
+    heavy = heavy_ids(staged.accounts, bounds)
+    if heavy:
+        write_table(accounts.where(among(heavy)).repartition(count, *accounts.columns), folder, HEAVY)
+        accounts = accounts.where(~among(heavy))
+    write_table(accounts.repartition(count, "account_id"), folder, ACCOUNTS, count)
     write_table(segments, folder, SEGMENTS, count)
-    marts = Marts(spark, folder, count, bounds, staged.number)
-    write_table(segment_cube(marts.bucketed_segments, marts.bucketed_accounts), folder, CUBE)
+    marts = Marts(spark, folder, count, bounds, staged.number, heavy)
+    write_table(cube_of(marts), folder, CUBE)
     number = max([row.build for row in published(spark, root)], default=0) + 1
-    line = spark.createDataFrame([(folder, count, *bounds, staged.number, number)], BUILDS).drop("build").coalesce(1)
+    line = spark.createDataFrame([(folder, count, *bounds, staged.number, list(heavy), number)], BUILDS).drop("build").coalesce(1)
     line.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/builds/build={number}")
     return marts
 
@@ -214,7 +250,8 @@ def newest_marts(spark: SparkSession, root: str) -> Marts:
     if not builds:
         raise ValueError(f"no marts are published under {root}")
     last = builds[-1]
-    return Marts(spark, last.folder, last.buckets, Bounds(*[last[name] for name in Bounds._fields]), last.number)
+    bounds = Bounds(*[last[name] for name in Bounds._fields])
+    return Marts(spark, last.folder, last.buckets, bounds, last.number, tuple(last.heavy))
 
 
 def drop_old_builds(spark: SparkSession, root: str, keep: int = 1) -> int:

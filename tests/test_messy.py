@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from compare import assert_same
 from mrrlens.operators.timeline import between_months
-from mrrlens.plans import facts, quality, reports
+from mrrlens.plans import facts, quality, reports, warehouse
 from mrrlens.plans.calendar import account_month_spine, calendar_bounds, calendar_dim, subscription_range
 from mrrlens.plans.dimensions import account_dim, current_state
 from mrrlens.plans.warehouse import build_marts
@@ -100,6 +100,38 @@ def test_fact_of_an_id_on_many_account_rows(spark, tmp_path, monkeypatch):
         assert_same(report(marts.cube), connection, given_sql(name))
 
 
+def test_heavy_ids_lie_in_files_of_their_own(spark, tmp_path, monkeypatch):
+    """A third of all account rows under one id, and some without an id: written by many tasks, read like others."""
+    monkeypatch.setattr(warehouse, "HEAVY_ROWS", 300)
+    monkeypatch.setattr(warehouse, "LEAST_ROWS_PER_BUCKET", 100)
+    rows = messy_rows(6, accounts=30, subscriptions=100, churn=20)
+    plans, names = ["Basic", " Pro", "Enterprise "], ["a ", "b", None]
+    for identifier, count in (("a1", 1500), (None, 400), ("light", 300)):
+        rows["accounts"] += [
+            {"account_id": identifier, "signup_date": f"2001-10-0{1 + n % 9}", "plan_tier": plans[n % 3], "industry": names[n % 2],
+             "account_name": f"name {n}"}
+            for n in range(count)
+        ]
+    connection = duckdb.connect()
+    load(connection, rows)
+    staged = staged_from_rows(spark, **rows)
+    build_marts(spark, staged, str(tmp_path / "marts"), calendar_bounds(staged, AS_OF))
+    marts = warehouse.newest_marts(spark, str(tmp_path / "marts"))
+    assert set(marts.heavy) == {"a1", None}
+    sizes = [row.n for row in marts._files("dim_account_heavy").groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == marts.buckets > 2 and max(sizes) < 3 * sorted(sizes)[len(sizes) // 2]
+    assert marts.bucketed_accounts.where(warehouse.among(marts.heavy)).count() == 0
+    assert_same(marts.accounts, connection, given_sql("dim_account"))
+    assert_same(marts.fact, connection, given_sql("account_monthly_fact"))
+    for name, report in (
+        ("report_logo_churn_by_segment_plan", reports.logo_churn_by_segment),
+        ("report_revenue_churn_by_segment_plan", reports.revenue_churn_by_segment),
+        ("report_churn_reasons_by_segment_industry", reports.churn_reasons_by_segment),
+        ("analysis_churn_rate_plan_tenure", reports.churn_rate_by_plan_and_tenure),
+    ):
+        assert_same(report(marts.cube), connection, given_sql(name))
+
+
 REPORTS = {
     "report_revenue_trend": reports.revenue_trend,
     "report_mrr_waterfall": reports.mrr_waterfall,

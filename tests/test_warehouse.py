@@ -66,7 +66,7 @@ def test_buckets_are_known_without_a_shared_catalog(spark, tmp_path):
     """Another application finds files, but no tables: it registers them and needs no shuffle either."""
     root = str(tmp_path / "marts")
     folder = build(spark, root, 3).folder
-    for name in warehouse.SCHEMAS:
+    for name in (warehouse.ACCOUNTS, warehouse.SEGMENTS, warehouse.CUBE):
         spark.sql(f"DROP TABLE {table_name(folder, name)}")
     marts = newest_marts(spark, root)
     plan = marts.bucketed_segments.groupBy("account_id").count()._jdf.queryExecution().executedPlan().toString()
