@@ -11,32 +11,36 @@ from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\W\d_]+")
 
-#: Classes are the most common labels, this many at most.
-MOST_CLASSES = 256
-
 
 def id_remainder(id_column: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo a number; null for a null id."""
     return F.crc32(id_column.cast("string").cast("binary")) % modulus
 
 
-def bounded_choice(rows: DataFrame, label: str, value: str, per_class: int) -> DataFrame:
-    """`label` and `value` of about `per_class` rows of each label, chosen by hash.
+def bounded_choice(
+    rows: DataFrame, label: str, value: str, per_class: int, most_classes: int = 1000
+) -> DataFrame:
+    """`label` and `value` of about `per_class` different values of each label, chosen by hash.
 
-    A label with fewer rows gives them all. There are at most twice as many rows
-    as the classes allow, however often rows repeat. Null labels and values are
-    no examples.
+    A label with fewer values gives them all. Values that repeat under a label count
+    once, so copies take no other's place, and the choice does not depend on the
+    order of rows. Null labels and values are no examples. More than `most_classes`
+    labels are an error: none is left out.
     """
     known = rows.where(F.col(label).isNotNull() & F.col(value).isNotNull()).select(
         F.col(label).alias("label"), F.col(value).alias("value")
     )
-    counts = known.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MOST_CLASSES).collect()
+    different = F.approx_count_distinct(F.xxhash64("value"), 0.02).alias("different")
+    counts = known.groupBy("label").agg(different).limit(most_classes + 1).collect()
+    if len(counts) > most_classes:
+        raise ValueError(f"more than {most_classes} labels in {label}: raise most_classes, or clean them")
     if not counts:
         return known.limit(0)
-    shares = [(F.lit(row.label), F.lit(min(1.0, per_class / row["count"]))) for row in counts]
+    shares = [(F.lit(row.label), F.lit(min(1.0, per_class / max(row.different, 1)))) for row in counts]
     share = F.create_map(*[item for pair in shares for item in pair])[F.col("label")]
     draw = F.pmod(F.xxhash64("value", "label"), F.lit(1 << 30)) / float(1 << 30)
-    return known.where(draw < share).limit(2 * per_class * len(counts))
+    # What is drawn is few; it is made different there, not in the whole table.
+    return known.where(draw < share).dropDuplicates(["label", "value"])
 
 
 def bounded_sample(rows: DataFrame, label: str, value: str, per_class: int) -> list[tuple]:
@@ -44,16 +48,28 @@ def bounded_sample(rows: DataFrame, label: str, value: str, per_class: int) -> l
     return sorted((row.label, row.value) for row in bounded_choice(rows, label, value, per_class).collect())
 
 
+def labelled_rows(
+    docs: DataFrame, labels: DataFrame, label: str, id_column: str, columns: list[str], per_class: int
+) -> tuple[list[tuple], list[int]]:
+    """Some columns and the labels (0 or 1) of a bounded sample of rows, the first of them not null.
+
+    Ids are chosen among the labels, so only the chosen rows move, and the chosen ids
+    are few enough to be sent to every task. Rows that repeat count once.
+    """
+    chosen = bounded_choice(labels.where(F.col(label).isin(0, 1)), label, id_column, per_class)
+    own = [F.col(name).alias(f"column_{number}") for number, name in enumerate(columns)]
+    rows = docs.select(F.col(id_column).alias("value"), *own).where("column_0 IS NOT NULL")
+    found = rows.join(F.broadcast(chosen), "value").drop("value").distinct().collect()
+    order = sorted(found, key=lambda row: (int(row.label), *map(str, row)))
+    return [tuple(row)[: len(columns)] for row in order], [int(row.label) for row in order]
+
+
 def labelled_texts(
     docs: DataFrame, labels: DataFrame, label: str, id_column: str, text_column: str, per_class: int
 ) -> tuple[list[str], list[int]]:
-    """Texts and labels (0 or 1) of a bounded sample. Ids are chosen among the labels, so only
-    the chosen texts move, and the chosen ids are few enough to be sent to every task."""
-    chosen = bounded_choice(labels.where(F.col(label).isin(0, 1)), label, id_column, per_class)
-    texts = docs.select(F.col(id_column).alias("value"), F.col(text_column).alias("text"))
-    found = texts.where(F.col("text").isNotNull()).join(F.broadcast(chosen), "value").select("label", "text")
-    rows = sorted((int(row.label), row.text) for row in found.limit(4 * per_class).collect())
-    return [text for _, text in rows], [label for label, _ in rows]
+    """Texts and labels (0 or 1) of a bounded sample; see `labelled_rows`."""
+    rows, found = labelled_rows(docs, labels, label, id_column, [text_column], per_class)
+    return [text for text, in rows], found
 
 
 class Adam:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -22,7 +21,11 @@ STRIDE = WINDOW - max(WIDTHS) + 1
 TEXTS_PER_LANGUAGE, WINDOWS_PER_TEXT, EPOCHS, BATCH = 600, 6, 6, 64
 #: Windows that are run through the network at once.
 CHUNK = 256
-LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether a text has a letter; digits, fractions and numerals are none."""
+    return text is not None and any(map(str.isalpha, text))
 
 
 class Network(NamedTuple):
@@ -179,7 +182,7 @@ class Scorer:
 
         lengths = {}
         for index, text in enumerate(texts):
-            if text is None or LETTER.search(text) is None:
+            if not has_letter(text):
                 continue
             data = text.encode("utf-8", "replace")
             rows, sizes = windows_of(data)

@@ -1,4 +1,4 @@
-"""Quality of texts by a factorisation machine."""
+"""Quality of texts and their metadata by a factorisation machine."""
 
 from __future__ import annotations
 
@@ -12,8 +12,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
-from mrrlens.llm.labelled import WORD, Adam, WordBuckets, labelled_texts, sigmoid
+from mrrlens.llm.labelled import WORD, Adam, WordBuckets, labelled_rows, sigmoid
 
 BUCKETS, RANK = 1 << 16, 4
 #: Labelled documents of each class to train on, passes over them, documents of a step.
@@ -30,9 +31,10 @@ WIDEST = 4.0
 
 
 class Model(NamedTuple):
-    """The machine's weights and factors, and the mean and spread of each statistic.
+    """The machine's weights and factors, and the mean and spread of each number.
 
-    Features are the buckets of words and, after them, the statistics.
+    Features are the buckets of words and of metadata values and, after them, the
+    statistics and the metadata that are numbers.
     """
 
     offset: float
@@ -40,6 +42,8 @@ class Model(NamedTuple):
     factors: np.ndarray
     means: np.ndarray
     spreads: np.ndarray
+    numbers: tuple[str, ...] = ()
+    values: tuple[str, ...] = ()
 
 
 def share(part: float, whole: float) -> float:
@@ -80,29 +84,41 @@ def statistics(text: str, words: list[str], counts: Counter) -> list[float]:
 
 
 class Features:
-    """The features of texts, laid end to end: buckets, their values, where each text starts."""
+    """The features of texts, laid end to end: buckets, their values, where each text starts.
 
-    def __init__(self, texts: list[str | None], buckets: WordBuckets) -> None:
+    `numbers` has a row of metadata numbers for each text, unknown ones as NaN, and
+    `named` its other metadata as pairs of name and value.
+    """
+
+    def __init__(
+        self, texts: list[str | None], buckets: WordBuckets,
+        numbers: np.ndarray | None = None, named: list[list[tuple[str, str]]] | None = None,
+    ) -> None:
         places, values, starts, forms = [], [], [], []
         size = 0
-        for text in texts:
+        for number, text in enumerate(texts):
             text = text or ""
             words = WORD.findall(text.lower())
             counts = Counter(words)
             forms.append(statistics(text, words, counts))
             roots = np.sqrt(np.fromiter(counts.values(), np.float32, len(counts)))
             norm = float(np.sqrt(len(words))) or 1.0
-            places.append(np.fromiter(map(buckets.__getitem__, counts), np.int64, len(counts)))
-            values.append(roots / norm)
+            # No word has an equals sign.
+            held = [f"{name}={value}" for name, value in named[number]] if named else []
+            places.append(np.fromiter(map(buckets.__getitem__, [*counts, *held]), np.int64, len(counts) + len(held)))
+            values.append(np.concatenate([roots / norm, np.ones(len(held), np.float32)]))
             starts.append(size)
-            size += len(counts)
+            size += len(counts) + len(held)
         self.places = np.concatenate(places) if places else np.zeros(0, np.int64)
         self.values = np.concatenate(values) if values else np.zeros(0, np.float32)
         self.starts = np.array(starts, np.int64)
         self.forms = np.array(forms, np.float64).reshape(len(texts), len(STATISTICS))
+        if numbers is not None:
+            self.forms = np.concatenate([self.forms, np.sign(numbers) * np.log1p(np.abs(numbers))], axis=1)
 
     def scaled(self, means: np.ndarray, spreads: np.ndarray) -> np.ndarray:
-        return np.clip((self.forms - means) / spreads, -WIDEST, WIDEST)
+        """Numbers in standard deviations from their mean, which stands for unknown ones."""
+        return np.nan_to_num(np.clip((self.forms - means) / spreads, -WIDEST, WIDEST))
 
 
 def summed(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -128,20 +144,33 @@ def raw_scores(
     return offset + linear + 0.5 * (sums * sums - squares).sum(axis=1), sums
 
 
-def train(texts: list[str], labels: list[int], seed: int = 3) -> Model | None:
+def moments(forms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and spread of each column's known numbers; one without any has 0 and 1."""
+    known = np.isfinite(forms)
+    count = np.maximum(known.sum(axis=0), 1)
+    means = np.where(known, forms, 0).sum(axis=0) / count
+    spreads = np.sqrt((np.where(known, forms - means, 0) ** 2).sum(axis=0) / count) + 1e-6
+    return means, np.where(known.any(axis=0), spreads, 1.0)
+
+
+def train(
+    texts: list[str], labels: list[int], seed: int = 3,
+    numbers: np.ndarray | None = None, named: list[list[tuple[str, str]]] | None = None,
+) -> Model | None:
     """A machine that tells label 1 from label 0; none without both."""
     if len(set(labels)) < 2:
         return None
     rng = np.random.default_rng(seed)
-    data = Features(texts, WordBuckets(BUCKETS))
-    means, spreads = data.forms.mean(axis=0), data.forms.std(axis=0) + 1e-6
+    data = Features(texts, WordBuckets(BUCKETS), numbers, named)
+    means, spreads = moments(data.forms)
     forms = data.scaled(means, spreads)
     target = np.array(labels, np.float64)
     importance = np.where(target == 1, 0.5 / target.sum(), 0.5 / (1 - target).sum()) * len(target)
     stops = np.append(data.starts[1:], len(data.places))
     offset = np.zeros(1)
-    weights = np.zeros(BUCKETS + len(STATISTICS))
-    factors = rng.normal(0, 0.05, (BUCKETS + len(STATISTICS), RANK))
+    size = BUCKETS + data.forms.shape[1]
+    weights = np.zeros(size)
+    factors = rng.normal(0, 0.05, (size, RANK))
     adam = Adam([offset, weights, factors], RATE)
     for epoch in range(EPOCHS):
         adam.rate = RATE * (1 - epoch / EPOCHS) + 0.001
@@ -167,15 +196,61 @@ def train(texts: list[str], labels: list[int], seed: int = 3) -> Model | None:
     return Model(float(offset[0]), weights, factors, means, spreads)
 
 
+def metadata_kinds(docs: DataFrame, metadata: tuple[str, ...]) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """The metadata columns that are numbers, and the others."""
+    kinds = {field.name: field.dataType for field in docs.schema.fields}
+    numbers = tuple(name for name in metadata if isinstance(kinds[name], NumericType))
+    return numbers, tuple(name for name in metadata if name not in numbers)
+
+
+def number_rows(columns: list) -> np.ndarray:
+    """Columns of numbers as rows; null and infinite ones are unknown."""
+    rows = np.array([pd.to_numeric(pd.Series(column), errors="coerce").to_numpy(np.float64, na_value=np.nan) for column in columns]).T
+    return np.where(np.isfinite(rows), rows, np.nan)
+
+
+def named_rows(names: tuple[str, ...], columns: list, size: int) -> list[list[tuple[str, str]]]:
+    """For each row its values by name; nulls are left out."""
+    rows: list[list[tuple[str, str]]] = [[] for _ in range(size)]
+    for name, column in zip(names, columns, strict=True):
+        for row, value in zip(rows, column, strict=True):
+            if value is not None:
+                row.append((name, value))
+    return rows
+
+
+def inputs(text: str, numbers: tuple[str, ...], values: tuple[str, ...]) -> list[Column]:
+    """What the machine reads: the text, numbers, and other metadata as text."""
+    return [F.col(text), *[F.col(name).cast("double") for name in numbers], *[F.col(name).cast("string") for name in values]]
+
+
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, label: str = "quality", id_column: str = "doc_id", text: str = "text"
+    docs: DataFrame, labels: DataFrame, label: str = "quality", id_column: str = "doc_id", text: str = "text",
+    metadata: tuple[str, ...] = (),
 ) -> Model | None:
-    """A machine from a bounded sample of labelled documents, by default TEXTS_PER_CLASS of each class."""
-    return train(*labelled_texts(docs, labels, label, id_column, text, TEXTS_PER_CLASS))
-
+    """A machine from a bounded sample of labelled documents, by default TEXTS_PER_CLASS of each class.
 
-def quality_of(model: Model | None, text: Column) -> Column:
-    """How likely a text is good, from 0 to 1.
+    Metadata columns take part in the pairwise interactions like words and
+    statistics do: numbers as their logarithm, in standard deviations, others as one
+    hashed feature for each value. Null is unknown and adds nothing. Scoring reads the
+    same columns.
+    """
+    numbers, values = metadata_kinds(docs, metadata)
+    own = inputs(text, numbers, values)
+    rows = docs.select(F.col(id_column).alias("row_id"), *[column.alias(f"input_{at}") for at, column in enumerate(own)])
+    names = [f"input_{at}" for at in range(len(own))]
+    found, known = labelled_rows(rows, labels.withColumnRenamed(id_column, "row_id"), label, "row_id", names, TEXTS_PER_CLASS)
+    texts, *columns = zip(*found, strict=True) if found else [()] * len(own)
+    model = train(
+        list(texts), known,
+        numbers=number_rows(columns[: len(numbers)]) if numbers and found else None,
+        named=named_rows(values, columns[len(numbers) :], len(found)) if values else None,
+    )
+    return model and model._replace(numbers=numbers, values=values)
+
+
+def quality_of(model: Model | None, text: str) -> Column:
+    """How likely a text is good, from 0 to 1, given the metadata that the model has learnt with.
 
     Null texts count as empty ones, which are scored by their statistics. Where
     nothing was learnt every text has 0.5. Whole texts count, however long.
@@ -184,12 +259,18 @@ def quality_of(model: Model | None, text: Column) -> Column:
         return F.lit(0.5)
 
     @F.pandas_udf("double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         buckets = WordBuckets(BUCKETS)
-        for texts in batches:
+        for rows in batches:
             scores = [np.zeros(0)]
-            for first in range(0, len(texts), BATCH):
-                data = Features(texts.iloc[first : first + BATCH].tolist(), buckets)
+            for first in range(0, len(rows), BATCH):
+                part = rows.iloc[first : first + BATCH]
+                own, *metadata = (part[name].tolist() for name in part.columns)
+                numbers, named = metadata[: len(model.numbers)], metadata[len(model.numbers) :]
+                data = Features(
+                    own, buckets, number_rows(numbers) if numbers else None,
+                    named_rows(model.values, named, len(own)) if named else None,
+                )
                 forms = data.scaled(model.means, model.spreads)
                 raw, _ = raw_scores(
                     data.places, data.values, data.starts, forms, model.offset, model.weights, model.factors
@@ -197,7 +278,8 @@ def quality_of(model: Model | None, text: Column) -> Column:
                 scores.append(sigmoid(raw))
             yield pd.Series(np.concatenate(scores))
 
-    return scored(text)
+    columns = inputs(text, model.numbers, model.values)
+    return scored(F.struct(*[column.alias(f"input_{at}") for at, column in enumerate(columns)]))
 
 
 def score_quality(
@@ -208,4 +290,4 @@ def score_quality(
     Every row is kept, repeated ones too, and an empty table stays empty. A column
     that bears the score's name already is replaced; all others pass unchanged.
     """
-    return docs.withColumn(score_column, quality_of(model, F.col(text)))
+    return docs.withColumn(score_column, quality_of(model, text))

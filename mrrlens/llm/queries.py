@@ -44,8 +44,8 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = held_out(4, 2)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = fit_quality(docs, table(spark, sf_dir, "labels").where(~out))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    model = fit_quality(docs, table(spark, sf_dir, "labels").where(~out), metadata=("n_chars",))
     scored = score_quality(docs, model, score_column="score")
     predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
     return scored.select("doc_id", out.alias("held_out"), "score", predicted)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
-from mrrlens.llm.language_cnn import LETTER
+from mrrlens.llm.language_cnn import has_letter
 from mrrlens.llm.storage import Scratch
 from hard_rows import empty_documents, hard_documents
 from test_packing import assert_packed
@@ -37,7 +38,34 @@ def test_stages_keep_the_columns(stages):
 
 
 def test_languages(stages):
-    assert texts(stages[1]) == [row for row in texts(stages[0]) if row[1] and LETTER.search(row[1])]
+    assert texts(stages[1]) == [row for row in texts(stages[0]) if has_letter(row[1])]
+
+
+def test_the_network_decides(spark, monkeypatch):
+    """A document with letters goes where the network is as good as guessing."""
+    docs = spark.createDataFrame(
+        [(n, text, None, "s", 1) for n, text in enumerate(["sure", "unsure", "12", None])],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    )
+    known = F.col("doc.text")
+    scored = F.when(known == "sure", 0.6).when(known == "unsure", 0.26).otherwise(0.0)
+    label = F.when(known.isin("sure", "unsure"), "en").otherwise("und")
+
+    class Network:
+        languages = ("de", "en", "es", "fr")
+
+    monkeypatch.setattr(corpus_pipeline, "fit_languages", lambda rows: Network)
+    monkeypatch.setattr(corpus_pipeline, "language_of", lambda *_: F.struct(label.alias("label"), scored.alias("score")))
+    assert [row.doc_id for row in corpus_pipeline.language_id(spark, docs, SF_DIR).collect()] == [0]
+
+
+def test_nothing_to_learn_languages_from(spark):
+    """Where no row has a language, what has a letter stays."""
+    docs = hard_documents(spark).withColumn("lang", F.lit(None).cast("string"))
+    left = corpus_pipeline.language_id(spark, docs, SF_DIR)
+    assert left.columns == docs.columns
+    assert {row.doc_id for row in left.collect()} == {1, 2, 3, 9, 10, 11, 12, 13, 14, None}
+    assert {row.doc_id for row in left.collect()} == {row.doc_id for row in docs.collect() if has_letter(row.text)}
 
 
 def test_lines(stages):
@@ -76,4 +104,4 @@ def test_hard_rows(spark):
             if name != "packing":
                 assert found.columns == docs.columns
     left = corpus_pipeline.language_id(spark, docs, SF_DIR)
-    assert {row.doc_id for row in left.collect()} == {1, 2, 3, 9, 10, 11, 12, 13, None}
+    assert {row.doc_id for row in left.collect()} == {1, 2, 3, 9, 10, 11, 12, 13, 14, None}

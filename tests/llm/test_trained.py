@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 
+import brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from mrrlens.llm import language_cnn, quality_fm, toxicity_mil
-from mrrlens.llm.labelled import WordBuckets, bounded_sample
-from mrrlens.llm.queries import QUERIES
+from mrrlens.llm.labelled import WordBuckets, bounded_choice, bounded_sample
+from mrrlens.llm.queries import QUERIES, held_out
 from hard_rows import OTHER, PROSE, empty_documents, hard_documents
 
 SF_DIR = "/root/testdata/sf0.1"
@@ -145,17 +146,84 @@ def test_sample_is_bounded(spark):
     assert 60 < counts["common"] < 140
     assert sample == bounded_sample(rows.repartition(5), "label", "value", 100)
     same = spark.range(3000).selectExpr("'common' AS label", "'same' AS value")
-    assert len(bounded_sample(same, "label", "value", 100)) <= 200
+    assert bounded_sample(same, "label", "value", 100) == [("common", "same")]
     assert bounded_sample(rows.limit(0), "label", "value", 100) == []
 
 
+def test_copies_take_no_place_in_the_sample(spark):
+    """However often values repeat, the other values and labels are drawn as if they did not."""
+    rows = spark.range(2000).selectExpr("IF(id % 2 = 0, 'a', 'b') AS label", "CAST(id AS string) AS value")
+    copies = spark.range(50_000).selectExpr("'a' AS label", "CAST(id % 3 * 2 AS string) AS value")
+    alone = bounded_sample(rows, "label", "value", 200)
+    assert bounded_sample(rows.unionByName(copies), "label", "value", 200) == alone
+    assert {label for label, _ in alone} == {"a", "b"}
+
+
+def test_no_label_is_left_out(spark):
+    rows = spark.range(500).selectExpr("CAST(id AS string) AS label", "'x' AS value")
+    assert len(bounded_sample(rows, "label", "value", 5)) == 500
+    with pytest.raises(ValueError, match="more than 499 labels in label"):
+        bounded_choice(rows, "label", "value", 5, most_classes=499).count()
+
+
+def test_metadata_takes_part_in_the_pairs(spark):
+    """Neither of two columns tells the label by itself; both together do, through their factors alone."""
+    rows = [(n, "some words", float(n % 2), "xy"[n // 2 % 2]) for n in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, number double, kind string")
+    labels = spark.createDataFrame([(n, int(n % 2 == n // 2 % 2)) for n in range(400)], "doc_id bigint, quality int")
+    model = quality_fm.fit_quality(docs, labels, metadata=("number", "kind"))
+    assert (model.numbers, model.values) == (("number",), ("kind",))
+    found = quality_fm.score_quality(docs, model).join(labels, "doc_id")
+    assert found.where("(quality_score >= 0.5) <> (quality = 1)").count() == 0
+    assert np.abs(model.factors[quality_fm.BUCKETS + len(quality_fm.STATISTICS)]).max() > 0.1
+    unknown = docs.selectExpr("doc_id", "text", "CAST(NULL AS double) AS number", "CAST(NULL AS string) AS kind")
+    odd = docs.selectExpr("doc_id", "text", "CAST('NaN' AS double) AS number", "CAST(NULL AS string) AS kind")
+    for frame in (unknown, odd):
+        assert quality_fm.score_quality(frame, model).select("quality_score").distinct().count() == 1
+
+
+@pytest.fixture(scope="module")
+def tiny(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    return docs, spark.read.parquet("/root/testdata/sf0.001/labels.parquet"), docs.collect()
+
+
+def test_quality_query_against_plain_sums(spark, tiny):
+    """The query's own scores, each pair of features by itself."""
+    docs, labels, rows = tiny
+    model = quality_fm.fit_quality(docs, labels.where(~held_out(4, 2)), metadata=("n_chars",))
+    found = {row.doc_id: row.score for row in QUERIES["op2_quality_fm"](spark, "/root/testdata/sf0.001").collect()}
+    assert set(found) == {row.doc_id for row in rows}
+    for row in rows:
+        assert found[row.doc_id] == pytest.approx(brute.quality(model, row.text, row.n_chars), abs=1e-5)
+
+
+def test_language_query_against_plain_convolutions(spark, tiny):
+    docs, _, rows = tiny
+    network = language_cnn.fit_languages(docs.where(~held_out(5, 0)))
+    found = {row.doc_id: row for row in QUERIES["op7_language_cnn"](spark, "/root/testdata/sf0.001").collect()}
+    for row in rows:
+        label, score = brute.language(network, row.text)
+        assert found[row.doc_id].lang_pred == label
+        assert found[row.doc_id].score == pytest.approx(score, abs=1e-4)
+
+
+def test_toxicity_query_against_plain_noisy_or(spark, tiny):
+    docs, labels, rows = tiny
+    model = toxicity_mil.fit_toxicity(docs, labels.where(~held_out(5, 0)))
+    found = {row.doc_id: row.score for row in QUERIES["op8_toxicity_mil"](spark, "/root/testdata/sf0.001").collect()}
+    for row in rows:
+        assert found[row.doc_id] == pytest.approx(brute.toxicity(model, row.text), abs=1e-6)
+
+
 def test_hard_rows(spark, network, toxic, quality):
     docs = hard_documents(spark)
     languages = language_cnn.identify_languages(docs, network)
     assert languages.count() == docs.count()
     assert languages.columns == [*docs.columns, "lang_pred", "lang_score"]
     undetermined = {row.doc_id for row in languages.where("lang_pred = 'und'").collect()}
-    assert undetermined == {4, 5, 6, None, 7, 8}
+    # Fractions and numerals are no letters.
+    assert undetermined == {4, 5, 6, None, 7, 8, 15}
     for found, column in (
         (toxicity_mil.score_toxicity(docs, toxic), "toxicity"), (quality_fm.score_quality(docs, quality), "quality_score")
     ):
