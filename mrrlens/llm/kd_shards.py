@@ -41,7 +41,7 @@ def sized(docs: DataFrame, id_column: str, text_column: str, dimensions: tuple[s
 
 
 def placed(rows: DataFrame, count: int, scratch: Scratch) -> tuple[DataFrame, int]:
-    """The rows with a place on each dimension, written; and how many there are."""
+    """The rows with a place on each dimension, and the root as their node, written; and how many there are."""
     rows = scratch.keep(rows)
     bounds = rows.agg(
         F.count("*").alias("rows"),
@@ -58,16 +58,11 @@ def placed(rows: DataFrame, count: int, scratch: Scratch) -> tuple[DataFrame, in
         places.append(F.coalesce(F.when(F.col(f"value_{i}").isNotNull(), place), F.lit(0)).cast("int"))
     points = rows.select(
         "doc_id", "size", "text_crc32", F.array(*places).alias("places"),
-        F.monotonically_increasing_id().alias("row"),
+        F.monotonically_increasing_id().alias("row"), F.lit(0).alias("node"),
     )
     return scratch.keep(points), bounds["rows"]
 
 
-def chosen(values: list, node: Column) -> Column:
-    """The value of a row's node, from a list with one entry per node of a level."""
-    return F.element_at(F.array(*[F.lit(value) for value in values]), node + 1)
-
-
 def half(points: DataFrame, group: list[str], place: str) -> DataFrame:
     """Sums of sizes by place, with what lies before each place of its group; the
     groups have a bounded number of places."""
@@ -77,11 +72,18 @@ def half(points: DataFrame, group: list[str], place: str) -> DataFrame:
     return sums.withColumn("before", F.coalesce(before, F.lit(0)))
 
 
-def split_nodes(points: DataFrame, leaves: list[int], shares: list[float], level: int) -> dict[int, tuple]:
-    """For each node of a level with more than one leaf: dimension, place and tie to split at."""
-    splitting = chosen([count > 1 for count in leaves], F.col("node"))
-    share = chosen(shares, F.col("node"))
-    open_points = points.where(splitting)
+def tie_of(level: int) -> Column:
+    return F.pmod(F.xxhash64("row", F.lit(level)), F.lit(TIE_PLACES)).cast("int")
+
+
+def splits_of(points: DataFrame, nodes: DataFrame, level: int) -> DataFrame:
+    """The nodes of a level (node, leaves, first) with dimension, place and tie to split at.
+
+    A node with one leaf, or without rows, has a split that leaves all on its left side.
+    """
+    share = (F.floor((F.col("leaves") + 1) / 2) / F.col("leaves")).alias("share")
+    shares = nodes.where("leaves > 1").select("node", share)
+    open_points = points.join(shares.select("node"), "node", "left_semi")
     by_dimension = open_points.select("node", "size", F.posexplode("places").alias("dimension", "place"))
     sums = half(by_dimension, ["node", "dimension"], "place")
     extents = sums.groupBy("node", "dimension").agg(
@@ -90,61 +92,46 @@ def split_nodes(points: DataFrame, leaves: list[int], shares: list[float], level
     widest = extents.groupBy("node").agg(
         F.max_by(F.struct("dimension", "total"), F.struct("extent", -F.col("dimension"))).alias("widest")
     ).select("node", "widest.*")
-    at = F.col("total") * share
-    found = (
-        sums.join(widest, ["node", "dimension"])
+    at = F.col("total") * F.col("share")
+    middle = (
+        sums.join(widest.join(shares, "node"), ["node", "dimension"])
         .where((F.col("before") <= at) & (at < F.col("before") + F.col("weight")))
         .select("node", "dimension", "place", (at - F.col("before")).alias("rest"))
-        .collect()
     )
-    if not found:
-        return {}
-    middle = {row.node: row for row in found}
-
-    def known(name: str, default) -> list:
-        return [middle[node][name] if node in middle else default for node in range(len(leaves))]
-
-    own_place = F.element_at("places", chosen(known("dimension", 0), F.col("node")) + 1)
-    inside = open_points.where(own_place == chosen(known("place", -1), F.col("node")))
-    ties = half(inside.withColumn("tie", tie_of(F.lit(level))), ["node"], "tie")
-    rest = chosen(known("rest", 0.0), F.col("node"))
+    inside = open_points.join(middle, "node").where(F.element_at("places", F.col("dimension") + 1) == F.col("place"))
+    ties = half(inside.withColumn("tie", tie_of(level)), ["node", "rest"], "tie")
     # The first tie that goes right: the one whose border is nearest to the median.
     middle_of_tie = F.col("before") + F.col("weight") / 2
-    borders = ties.groupBy("node").agg(F.min(F.when(middle_of_tie > rest, F.col("tie"))).alias("tie"))
-    cuts = {row.node: row.tie for row in borders.collect()}
-    return {
-        node: (row.dimension, row.place, TIE_PLACES if cuts.get(node) is None else cuts[node])
-        for node, row in middle.items()
-    }
+    borders = ties.groupBy("node").agg(F.min(F.when(middle_of_tie > F.col("rest"), F.col("tie"))).alias("tie"))
+    found = nodes.join(middle.drop("rest"), "node", "left").join(borders, "node", "left")
+    return found.select(
+        "node", "leaves", "first", F.coalesce("dimension", F.lit(0)).alias("dimension"),
+        F.coalesce("place", F.lit(PLACES)).alias("place"),
+        F.when(F.col("place").isNull(), 0).otherwise(F.coalesce("tie", F.lit(TIE_PLACES))).alias("tie"),
+    )
 
 
-def tie_of(level: Column) -> Column:
-    return F.pmod(F.xxhash64("row", level), F.lit(TIE_PLACES)).cast("int")
+def next_points(points: DataFrame, splits: DataFrame, level: int) -> DataFrame:
+    """The points, each with the child that it goes to as its node."""
+    place = F.element_at("places", F.col("dimension") + 1)
+    tied = (place == F.col("place")) & (tie_of(level) >= F.col("tie"))
+    right = ((place > F.col("place")) | tied).cast("int")
+    return points.join(splits.drop("leaves", "first"), "node").select(
+        *[F.col(name) if name != "node" else (2 * F.col("node") + right).alias("node") for name in points.columns]
+    )
 
 
-def node_of(tree: list[list[tuple]]) -> Column:
-    """The node that a row reaches through the levels of the tree, each a list of splits."""
-    if not tree:
-        return F.lit(0)
-    names = ("dimension", "place", "tie")
-    levels = [
+def next_nodes(splits: DataFrame) -> DataFrame:
+    """The children of the nodes: how many leaves each has, and the first of them."""
+    left = F.floor((F.col("leaves") + 1) / 2).cast("int")
+    children = F.array(
+        F.struct((2 * F.col("node")).alias("node"), left.alias("leaves"), F.col("first").alias("first")),
         F.struct(
-            F.lit(number).alias("level"),
-            F.array(*[
-                F.struct(*[F.lit(value).alias(name) for name, value in zip(names, split, strict=True)])
-                for split in splits
-            ]).alias("splits"),
-        )
-        for number, splits in enumerate(tree)
-    ]
-
-    def step(node: Column, level: Column) -> Column:
-        split = F.element_at(level["splits"], node + 1)
-        place = F.element_at("places", split["dimension"] + 1)
-        tied = (place == split["place"]) & (tie_of(level["level"]) >= split["tie"])
-        return 2 * node + ((place > split["place"]) | tied).cast("int")
-
-    return F.aggregate(F.array(*levels), F.lit(0), step)
+            (2 * F.col("node") + 1).alias("node"), (F.col("leaves") - left).alias("leaves"),
+            (F.col("first") + left).alias("first"),
+        ),
+    )
+    return splits.select(F.inline(children)).where("leaves > 0")
 
 
 def kd_shards(
@@ -161,9 +148,10 @@ def kd_shards(
     node of the tree is split along the dimension on which its documents lie
     widest, where it divides its bytes as its numbers of leaves ask for (at the
     median, if both sides have as many). Places come from sums of bytes by place,
-    added up in each task before they meet, so a level costs two passes over
-    narrow rows and no sort; what the driver learns is one row per node. Documents
-    at the very place of the median are divided by a hash of their row, so that
+    added up in each task before they meet, so a level costs three passes over
+    narrow rows and no sort. The tree is a table of splits for each level, and each
+    row keeps the node that it has reached, so plans do not grow with the number of
+    shards and the driver learns nothing but their depth. Documents at the very place of the median are divided by a hash of their row, so that
     no hot value unbalances the halves. Slots number a shard's rows from 0.
 
     Null texts have size 1 and the checksum of no bytes; null metadata has a place
@@ -176,23 +164,13 @@ def kd_shards(
     if shards is None:
         total = points.agg(F.sum("size")).first()[0] or 0
         shards = max(1, math.ceil(total / target_bytes))
-    # The nodes of a level, in order: how many leaves each has, and the first of them.
-    nodes = [(shards, 0)]
-    tree: list[list[tuple]] = []
-    while any(leaves > 1 for leaves, _ in nodes):
-        left = [(leaves + 1) // 2 for leaves, _ in nodes]
-        shares = [one / leaves for one, (leaves, _) in zip(left, nodes, strict=True)]
-        reached = points.withColumn("node", node_of(tree))
-        splits = split_nodes(reached, [leaves for leaves, _ in nodes], shares, len(tree))
-        # A node without a split keeps to its left side.
-        tree.append([splits.get(number, (0, PLACES, 0)) for number in range(len(nodes))])
-        nodes = [
-            side
-            for one, (leaves, first) in zip(left, nodes, strict=True)
-            for side in ((one, first), (leaves - one, first + one))
-        ]
-    shard = chosen([first for _, first in nodes], node_of(tree)).cast("int")
-    return numbered(points.withColumn("shard", shard), max(1, count // (shards * SLOT_ROWS) + 1)).select(
+    spark = docs.sparkSession
+    nodes = spark.createDataFrame([(0, shards, 0)], "node int, leaves int, first int")
+    for level in range(max(0, shards - 1).bit_length()):
+        splits = scratch.keep(splits_of(points, nodes, level))
+        points, nodes = scratch.keep(next_points(points, splits, level)), next_nodes(splits)
+    points = points.join(nodes.select("node", F.col("first").alias("shard")), "node")
+    return numbered(points, max(1, count // (shards * SLOT_ROWS) + 1)).select(
         "doc_id", "size", "text_crc32", "shard", "slot"
     )
 
