@@ -25,7 +25,8 @@ LEAST_TOKENS = 3
 #: Up to so many windows of the benchmark are sent to the tasks, so that only
 #: windows which are among them leave a task. Beyond, all windows meet in the join.
 MOST_SENT = 2_000_000
-TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?:\n]")
+# Runs of letters, numbers, marks. Runs of the commonest letters first, as those are read faster.
+TOKEN = re.compile(r"[a-zA-Z\xc0-\xd6\xd8-\xf6\xf8-\xff]++(?![^\W\d_])|[^\W\d_]+|\d+(?:[.,]\d+)*|[.!?:\n]")
 # Words that are numbers, and units after a number.
 NUMBERS = frozenset(
     "two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
@@ -41,6 +42,7 @@ UNITS = frozenset(
 # What a token is, in the low bits of its number.
 MARK, WORD, NAME, NUMBER, UNIT = range(5)
 KIND = 7
+KINDS = dict.fromkeys(UNITS, UNIT) | dict.fromkeys(NUMBERS, NUMBER)
 # Two templates of each text: one with names as slots, one that is the same in any case. And
 # items that have no window of either, as they are: their tokens, in any case, numbers included.
 NAMED, CASELESS, WHOLE = range(3)
@@ -49,34 +51,35 @@ INVERSE = pow(BASE, -1, 1 << 64)
 
 
 class Tokens(dict):
-    """A number for each token: a hash of its lower case, with its kind in the low bits."""
+    """A number for each token: a hash of its lower case, with its kind in the low bits; as a signed
+    number, which numpy takes over sooner."""
 
     MOST = 500_000
 
-    def __missing__(self, token: str) -> int:
-        import xxhash
+    def __init__(self) -> None:
+        from xxhash import xxh3_64_intdigest
+
+        self.digest = xxh3_64_intdigest
 
+    def __missing__(self, token: str) -> int:
         if len(self) >= self.MOST:
             self.clear()
         lower = token.lower()
-        if token[0].isdecimal() or lower in NUMBERS:
-            kind = NUMBER
-        elif not token[0].isalpha():
-            kind = MARK
-        elif lower in UNITS:
-            kind = UNIT
-        elif token[0].isupper() and (len(token) == 1 or not token.isupper()):
-            kind = NAME
-        else:
-            kind = WORD
-        found = self[token] = (xxhash.xxh3_64_intdigest(lower) & ~KIND & 0xFFFFFFFFFFFFFFFF) | kind
+        kind = KINDS.get(lower)
+        if kind is None:
+            if token[0].isalpha():
+                kind = NAME if token[0].isupper() and (len(token) == 1 or not token.isupper()) else WORD
+            else:
+                kind = NUMBER if token[0].isdecimal() else MARK
+        number = (self.digest(lower) & ~KIND) | kind
+        found = self[token] = number - (number >> 63 << 64)
         return found
 
 
 def numbered(text: str, tokens: Tokens) -> np.ndarray:
     """The numbers of a text's tokens."""
     found = TOKEN.findall(text)
-    return np.fromiter(map(tokens.__getitem__, found), np.uint64, len(found))
+    return np.fromiter(map(tokens.__getitem__, found), np.int64, len(found)).view(np.uint64)
 
 
 def template(text: str, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
@@ -91,25 +94,33 @@ def kinds_and_names(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     return kinds, before, (kinds == NAME) & (before != MARK)
 
 
-def templated(numbers: np.ndarray, family: int) -> tuple[np.ndarray, np.ndarray]:
+def templated(
+    numbers: np.ndarray, family: int, known: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """The template of a text, one number a token, and the value in each of its slots (0: no slot).
+    What `kinds_and_names` gives may be handed over.
 
     Numbers are placeholders, and so are units right after a number. In the family
     NAMED, capitalised words inside a sentence are too, of which several in a row
     are one name; in the family CASELESS capitals play no part. All other words
     count in lower case, and marks not at all.
     """
-    kinds, before, name = kinds_and_names(numbers)
-    name = name & (family == NAMED)
-    slot = (kinds == NUMBER) | name | ((kinds == UNIT) & (before == NUMBER))
-    follows = name & np.concatenate([[False], name[:-1]]) if len(name) else name
-    values = np.where(slot, numbers, 0).astype(np.uint64)
-    kept = np.flatnonzero((kinds != MARK) & ~follows)
+    kinds, before, name = known or kinds_and_names(numbers)
+    slot = (kinds == NUMBER) | ((kinds == UNIT) & (before == NUMBER))
+    kept = kinds != MARK
+    if family == NAMED:
+        slot |= name
+        kept[1:] &= ~(name[1:] & name[:-1])
+    kept = np.flatnonzero(kept)
     if not len(kept):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    with np.errstate(over="ignore"):
-        # The words of a name add up; marks and words between slots have no value.
-        whole = np.add.reduceat(np.where(follows | name, values * np.uint64(BASE), values), kept)
+    values = np.where(slot, numbers, np.uint64(0))
+    if family == NAMED:
+        with np.errstate(over="ignore"):
+            # The words of a name add up; marks and words between slots have no value.
+            whole = np.add.reduceat(np.where(name, values * np.uint64(BASE), values), kept)
+    else:
+        whole = values[kept]
     words = np.where(slot[kept], kinds[kept].astype(np.uint64), numbers[kept] | np.uint64(KIND))
     return words, np.where(slot[kept], whole | np.uint64(1), np.uint64(0))
 
@@ -124,7 +135,8 @@ def windows(words: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarra
         each = mixed(words)
         for at in range(WORDS):
             values = values * np.uint64(BASE) + each[at : at + count]
-    plain = np.convolve(slots == 0, np.ones(WORDS, int), "valid")
+    blank = slots == 0
+    plain = sum(blank[at : at + count].astype(np.int8) for at in range(WORDS))
     places = np.flatnonzero(plain >= LEAST_WORDS)
     return mixed(values[places]), places
 
@@ -198,11 +210,12 @@ def window_table(texts: DataFrame, known: Known | None = None, lengths: list[int
 
             for row, text in enumerate(batch.column(2).to_pylist()):
                 numbers = numbered(text, tokens)
-                words, slots = templated(numbers, CASELESS)
+                of_tokens = kinds_and_names(numbers)
+                words, slots = templated(numbers, CASELESS, of_tokens)
                 found, at = windows(words, slots)
                 total = take(row, CASELESS, found, at, slots)
-                if kinds_and_names(numbers)[2].any():
-                    words, slots = templated(numbers, NAMED)
+                if of_tokens[2].any():
+                    words, slots = templated(numbers, NAMED, of_tokens)
                     found, at = windows(words, slots)
                 # Without names both templates are the same.
                 total += take(row, NAMED, found, at, slots)

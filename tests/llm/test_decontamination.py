@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import random
+import re
 
 import brute
+import pyarrow as pa
 from mrrlens.llm import decontamination
 from mrrlens.llm.decontamination import Tokens, contaminated, decontaminate, template
 from mrrlens.llm.queries import QUERIES
@@ -124,3 +126,27 @@ def test_hard_rows(spark):
     nothing = empty_documents(spark)
     assert contaminated(nothing, items).count() == 0
     assert decontaminate(docs, items.limit(0)).count() == docs.count()
+
+
+def test_tokens_are_those_of_the_plain_pattern():
+    plain = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?:\n]")
+    rng = random.Random(5)
+    signs = "aZéßÖœÆÿ×÷ŁжΩ漢٣²Ⅷ_-.,!?:\n 09'́ªºK"
+    for _ in range(3000):
+        text = "".join(rng.choices(signs, k=rng.randrange(30)))
+        assert decontamination.TOKEN.findall(text) == plain.findall(text)
+
+
+def test_kinds_of_tokens_are_found_once_a_text(monkeypatch):
+    calls = []
+    known = decontamination.kinds_and_names
+    monkeypatch.setattr(decontamination, "kinds_and_names", lambda numbers: calls.append(1) or known(numbers))
+    texts = ["The train to Paris leaves the old town at 12 km a day.", "no name is in here at all"]
+
+    class Texts:
+        def mapInArrow(self, cut, schema):
+            keys = pa.array(range(len(texts)), pa.int64())
+            return list(cut([pa.RecordBatch.from_arrays([keys, keys, pa.array(texts)], ["key_1", "key_2", "text"])]))
+
+    assert sum(batch.num_rows for batch in decontamination.window_table(Texts())) > 0
+    assert len(calls) == len(texts)
