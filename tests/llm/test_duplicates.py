@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 import brute
 from mrrlens.llm.dart_minhash import dart_signatures, drop_near_duplicates, near_duplicates
-from mrrlens.llm.line_dedup import BANDS, HALF, ROWS, dedup_lines, hashed, shingle_set
+from mrrlens.llm.line_dedup import (
+    BANDS, FEW, HALF, ROWS, dedup_lines, hashed, line_table, shingle_set, signatures, signed_lines,
+)
 from mrrlens.llm.queries import QUERIES
 from hard_rows import OTHER, PROSE, empty_documents, hard_documents
 
@@ -78,6 +80,45 @@ def test_signatures_meet_at_the_threshold(spark, shared, own):
     assert met == pytest.approx(1 - (1 - 0.8**ROWS) ** BANDS, abs=0.002)
 
 
+@pytest.mark.parametrize("shared, own, second, least", [
+    (4, 0, False, 0.992), (8, 1, False, 0.991), (16, 2, False, 0.993), (24, 3, False, 0.995), (80, 10, False, 0.996),
+    (4, 0, True, 0.999), (8, 1, True, 0.999), (16, 2, True, 0.999),
+])
+def test_binned_signatures_meet_at_the_threshold(spark, shared, own, second, least):
+    """Sets with a similarity of 0.8 (one of five for four) share a band of one signature, or of two."""
+    pairs, size = 20000, shared + 2 * max(own, 1) - (own == 0)
+    each = spark.range(pairs).select("id", F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("n"))
+    each = each.withColumn("hash", F.xxhash64("id", "n"))
+    sides = [each.where(F.col("n") < shared + own), each.where((F.col("n") < shared) | (F.col("n") >= shared + own))]
+    turns = F.explode(F.array(*[F.lit(turn) for turn in ([False, True] if second else [False])])).alias("second")
+    one, two = (signatures(side.select("id", "hash", turns), ["id"]) for side in sides)
+    both = one.alias("one").join(two.alias("two"), "id")
+    assert {row.size for row in one.select(F.size("bands").alias("size")).distinct().collect()} == {BANDS * (1 + second)}
+    met = both.where(F.arrays_overlap("one.bands", "two.bands")).count() / pairs
+    print(f"{shared} shared, {own} own each: {met:.4f}")
+    assert met >= least
+
+
+def test_repeated_shingles_change_no_signature(spark):
+    """Lines of few different shingles meet, whether they are short or long."""
+    rules = ["=" * 12, "=" * 40, "=" * 900, "-" * 500]
+    leaders = [". " * 9, ". " * 300]
+    docs = spark.createDataFrame([(at, line) for at, line in enumerate(rules + leaders)], "doc_id bigint, text string")
+    found = {row.doc_id: row.text for row in dedup_lines(docs).collect()}
+    assert found == {0: rules[0], 1: "", 2: "", 3: rules[3], 4: leaders[0], 5: ""}
+
+
+def test_equal_lines_are_signed_once(spark):
+    docs = spark.createDataFrame([(1, f"{PROSE}\n{OTHER}"), (2, PROSE), (3, PROSE[: FEW // 2])], "doc_id bigint, text string")
+    signed = signed_lines(line_table(docs, "doc_id", "text"))
+    assert sorted((row.copies, len(row.bands)) for row in signed.collect()) == [(1, BANDS), (1, 2 * BANDS), (2, BANDS)]
+    plan = signed._jdf.queryExecution().sparkPlan().toString()
+    spelled = [at for at, line in enumerate(plan.split("\n")) if "Generate explode" in line]
+    counted = [at for at, line in enumerate(plan.split("\n")) if "count(1)" in line]
+    # Top down: shingles are spelled out of what is left of the lines.
+    assert spelled and max(spelled) < min(counted)
+
+
 def test_lines_of_hard_rows(spark):
     docs = hard_documents(spark)
     found = dedup_lines(docs)
